@@ -29,30 +29,35 @@ def discovery_folders(spark: SparkSession) -> DataFrame:
     )
 
 
+def below(path: Column, root: str) -> Column:
+    """The part of a path below ``root``."""
+    return F.split_part(path, F.lit(f"{root.rstrip('/')}/"), F.lit(2))
+
+
 def new_runs(
     files: DataFrame,
     now: Column,
+    root: str,
     folders: DataFrame | None = None,
     hours: int = 24,
-    folder_part: int = -4,
-    run_part: int = -3,
     run_pattern: str = "^2",
     name_pattern: str = r"\.bam$",
 ) -> DataFrame:
     """Distinct runs per analysis type with a recently changed read file.
 
-    ``files`` has ``path`` and ``modificationTime``. Folder and run are path parts by position. A
-    folder may serve several analysis types. The folder lookup has eight rows unless given.
+    ``files`` has ``path`` and ``modificationTime``; below ``root`` come the folder, the run, and
+    the files at any depth. A folder may serve several analysis types. The folder lookup has eight
+    fixed rows unless given.
     """
     if folders is None:
         folders = F.broadcast(discovery_folders(files.sparkSession))
-    path = F.col("path")
+    inner = below(F.col("path"), root)
     found = (
         recent(files, now, hours)
-        .filter(path.rlike(name_pattern))
+        .filter(F.col("path").rlike(name_pattern))
         .select(
-            ids.path_part(path, folder_part).alias("folder"),
-            ids.path_part(path, run_part).alias("run_id"),
+            ids.path_part(inner, 1).alias("folder"),
+            ids.path_part(inner, 2).alias("run_id"),
         )
         .filter(F.col("run_id").rlike(run_pattern))
         .distinct()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions import ids
-from cohortflow.operators.planning import discovery_folders
+from cohortflow.operators.planning import below, discovery_folders
 
 
 def stream_new_runs(
@@ -23,14 +23,12 @@ def stream_new_runs(
     )
 
 
-def arrivals_from_files(
-    files: DataFrame, folder_part: int = -4, run_part: int = -3, pattern: str = r"\.bam$"
-) -> DataFrame:
-    """Folder, run and time of each read file of a file listing or stream of listings."""
-    path = F.col("path")
-    return files.filter(path.rlike(pattern)).select(
-        ids.path_part(path, folder_part).alias("folder"),
-        ids.path_part(path, run_part).alias("run_id"),
+def arrivals_from_files(files: DataFrame, root: str, pattern: str = r"\.bam$") -> DataFrame:
+    """Folder, run and time of each read file of a stream (or table) of file listings."""
+    inner = below(F.col("path"), root)
+    return files.filter(F.col("path").rlike(pattern)).select(
+        ids.path_part(inner, 1).alias("folder"),
+        ids.path_part(inner, 2).alias("run_id"),
         "modificationTime",
     )
 
