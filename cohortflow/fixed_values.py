@@ -152,3 +152,6 @@ TYPE_WITHOUT = {
     ),
     "IM": ("pileupcaller_min_map_quality", "pileupcaller_min_base_quality"),
 }
+
+# Order in which profiles are laid over each other; the analysis type comes last.
+BASE_PROFILES = ("autorun", "local_paths")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.operators import packages
 from cohortflow.sinks.tables import stamp_version, write_ind, write_metadata
+from cohortflow.sources.files import SNP_COLUMNS
 
 CATALOG_SCHEMA = (
     "package_id string, version string, path string, published_at timestamp, "
@@ -23,12 +24,17 @@ def write_package(
     the sample index columns. Each is range-sorted, so its parts in name order are the whole file.
     """
     lines.orderBy("snp_idx").select("line").write.text(f"{path}/geno")
-    snp_line = F.concat_ws("\t", "snp_id", "chrom", "genetic_pos", "pos", "ref", "alt")
-    snps.orderBy("snp_idx").select(snp_line.alias("value")).write.text(f"{path}/snp")
+    write_snps(snps, f"{path}/snp")
     write_ind(inds, f"{path}/ind", "EIGENSTRAT", order="pos")
     write_metadata(metadata, f"{path}/metadata")
 
 
+def write_snps(snps: DataFrame, path: str) -> None:
+    """SNP list in genome order, tab separated."""
+    line = F.concat_ws("\t", *SNP_COLUMNS)
+    snps.orderBy("snp_idx").select(line.alias("value")).write.text(path)
+
+
 def read_catalog(spark, path: str) -> DataFrame:
     return spark.read.schema(CATALOG_SCHEMA).parquet(path)
 

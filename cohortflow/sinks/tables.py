@@ -30,24 +30,41 @@ def report_empty(df: DataFrame, message: str) -> bool:
     return empty
 
 
+# Layout for many individuals: a folder per site, individuals side by side in its files.
+SITE_LAYOUT = V.SHEET_KEYS[:2]
+
+
 def write_run_sheets(
     sheet: DataFrame,
     path: str,
     previous: DataFrame | None = None,
-    keys: Sequence[str] = V.SHEET_KEYS,
+    only_changed: bool = False,
+    layout: Sequence[str] = V.SHEET_KEYS,
 ) -> DataFrame:
-    """Write one folder per individual, replacing only the individuals in ``sheet``.
+    """Write run sheets, replacing only the individuals in ``sheet``; returns the unnamed rows.
 
-    Rows without a target individual are not written but returned. With ``previous`` (the sheets
-    as they are), individuals whose rows have not changed are left alone, so their files stay old.
+    The usual layout has one folder per individual. ``SITE_LAYOUT`` keeps the folder count small
+    however many individuals there are; there ``previous`` (the sheets as they are) supplies the
+    other individuals of the sites that are rewritten. With ``only_changed``, individuals whose
+    rows equal the previous ones are left alone, so their files do not become newer.
     """
     named, unnamed = run_sheets.reject_unnamed(sheet)
-    columns = [*keys, *V.SHEET_COLUMNS]
+    keys, columns = list(V.SHEET_KEYS), [*V.SHEET_KEYS, *V.SHEET_COLUMNS]
     named = named.select(*columns)
-    if previous is not None:
+    if only_changed:
+        if previous is None:
+            raise ValueError("only_changed needs the previous sheets")
         changed = run_sheets.changed_individuals(named, previous.select(*columns), keys)
-        named = named.join(changed, list(keys), "left_semi").select(*columns)
+        named = named.join(changed, keys, "left_semi").select(*columns)
+    if previous is not None and "target_ind" not in layout:
+        sites = named.select(*layout).distinct()
+        individuals = named.select(*keys).distinct()
+        carried = previous.join(sites, list(layout), "left_semi").join(
+            individuals, keys, "left_anti"
+        )
+        named = named.unionByName(carried.select(*columns))
     part = F.floor((F.col("Lane") - 1) / SHEET_FILE_ROWS)
+    # Individuals spread over all tasks; a very large one over several, a run of lanes in each.
     (
         named.withColumn("_part", part)
         .repartition(*keys, "_part")
@@ -58,7 +75,7 @@ def write_run_sheets(
         .option("sep", "\t")
         .option("header", True)
         .option("nullValue", V.SHEET_MISSING)
-        .partitionBy(*keys)
+        .partitionBy(*layout)
         .csv(path)
     )
     return unnamed

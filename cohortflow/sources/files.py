@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cohortflow import fixed_values as V
+
 
 def scan_files(
     spark: SparkSession, root: str, pattern: str = "*", content: bool = False
@@ -23,9 +25,10 @@ def scan_files(
     return files.select(*columns, "content") if content else files.select(*columns)
 
 
-def numbered_lines(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Lines of text files with their 0-based position in each file, as ``path, <name>, line``.
+def numbered_lines(spark: SparkSession, path: str, name: str, per_file: bool = False) -> DataFrame:
+    """Lines of text files with their 0-based position, as ``path, <name>, line``.
 
+    Positions run on through the part files of a folder in name order, or start again in each file.
     A line's position is its place inside its file block plus the lines of the blocks before. A
     block is no larger than one read partition, so no task numbers more than that.
     """
@@ -36,9 +39,11 @@ def numbered_lines(spark: SparkSession, path: str, name: str) -> DataFrame:
         F.col("value").alias("line"),
     )
     blocks = lines.groupBy("path", "_block").agg(F.count(F.lit(1)).alias("_lines"))
-    earlier = (
-        Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # One row per file block; part numbers with more digits come later.
+    order = Window.orderBy(F.length("path"), "path", "_block")
+    if per_file:
+        order = Window.partitionBy("path").orderBy("_block")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
         "path", "_block", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before")
     )
@@ -49,10 +54,37 @@ def numbered_lines(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def read_geno(spark: SparkSession, path: str) -> DataFrame:
-    """Genotype matrix as ``snp_idx, line``; ``path`` is one file."""
+    """Genotype matrix as ``snp_idx, line``; ``path`` is a file or a folder of parts."""
     return numbered_lines(spark, path, "snp_idx").drop("path")
 
 
-def read_positioned(spark: SparkSession, path: str) -> DataFrame:
-    """Any line-based file as ``pos, line``."""
-    return numbered_lines(spark, path, "pos").drop("path")
+SNP_COLUMNS = {
+    "snp_id": "string",
+    "chrom": "string",
+    "genetic_pos": "double",
+    "pos": "bigint",
+    "ref": "string",
+    "alt": "string",
+}
+
+
+def read_snp(spark: SparkSession, path: str) -> DataFrame:
+    """SNP list separated by blanks or tabs, with the line position ``snp_idx`` of each SNP."""
+    lines = numbered_lines(spark, path, "snp_idx")
+    parts = F.split(F.trim("line"), r"\s+")
+    columns = [
+        F.get(parts, F.lit(place)).cast(kind).alias(name)
+        for place, (name, kind) in enumerate(SNP_COLUMNS.items())
+    ]
+    return lines.select("snp_idx", *columns)
+
+
+def read_positioned_ind(spark: SparkSession, path: str) -> DataFrame:
+    """Three-column sample index with the file position ``pos`` that genotype columns refer to."""
+    lines = numbered_lines(spark, path, "pos")
+    parts = F.split("line", "\t")
+    columns = [
+        F.get(parts, F.lit(place)).alias(name)
+        for place, name in enumerate(V.IND_COLUMNS["EIGENSTRAT"])
+    ]
+    return lines.select("pos", *columns)

@@ -53,16 +53,16 @@ def read_lims(
 
 
 _SHEET_TYPES = {"Lane": T.LongType(), "Colour_Chemistry": T.IntegerType()}
-SHEET_SCHEMA = T.StructType(
-    [T.StructField(name, _SHEET_TYPES.get(name, T.StringType())) for name in V.SHEET_COLUMNS]
-)
 
 
-def read_run_sheets(spark: SparkSession, path: str) -> DataFrame:
-    """Run sheets of all individuals; the folder names become the key columns, as text."""
-    keys = [T.StructField(key, T.StringType()) for key in V.SHEET_KEYS]
+def read_run_sheets(
+    spark: SparkSession, path: str, layout: Sequence[str] = V.SHEET_KEYS
+) -> DataFrame:
+    """Run sheets of all individuals; ``layout`` names the key columns held by folder names."""
+    inside = [c for c in (*V.SHEET_KEYS, *V.SHEET_COLUMNS) if c not in layout]
+    fields = [T.StructField(c, _SHEET_TYPES.get(c, T.StringType())) for c in (*inside, *layout)]
     return (
-        spark.read.schema(T.StructType([*SHEET_SCHEMA, *keys]))
+        spark.read.schema(T.StructType(fields))
         .option("sep", "\t")
         .option("header", True)
         .option("nullValue", V.SHEET_MISSING)
@@ -108,14 +108,3 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select(F.trim("value").alias("id"))
     return lines.filter(F.col("id") != "")
 
-
-SNP_SCHEMA = "snp_id string, chrom string, genetic_pos double, pos bigint, ref string, alt string"
-
-
-def read_snp(spark: SparkSession, path: str) -> DataFrame:
-    """SNP list separated by blanks or tabs."""
-    parts = F.split(F.trim("value"), r"\s+")
-    fields = T.StructType.fromDDL(SNP_SCHEMA)
-    return spark.read.text(path).select(
-        *[parts[i].cast(field.dataType).alias(field.name) for i, field in enumerate(fields)]
-    )
