@@ -2,37 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
 from cohortflow.operators.numbering import number_rows
 
-# Samples per text block. A SNP's calls are first joined per block, so no task holds more than one
-# block of single calls; whole lines are then put together from a few long strings.
-BLOCK = 4096
+# Samples per text block. Calls of a block are combined into fixed places by a plain aggregation,
+# map side first; only the resulting texts are gathered per line.
+BLOCK = 32
 
 
-def paste_genotypes(double: DataFrame, single: DataFrame) -> DataFrame:
+def paste_genotypes(double: DataFrame, single: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Line by line concatenation ``(snp_idx, line)``: double-stranded first, then single-stranded.
 
-    If one matrix is longer, the rest of its lines come alone (``unpaired_lines`` finds them).
+    ``keys`` (such as the package) allow many matrices at once. If one matrix is longer, the rest
+    of its lines come alone (``unpaired_lines`` finds them).
     """
-    left = double.select("snp_idx", F.col("line").alias("_double"))
-    right = single.select("snp_idx", F.col("line").alias("_single"))
-    joined = left.join(right, "snp_idx", "full_outer")
+    left = double.select(*keys, "snp_idx", F.col("line").alias("_double"))
+    right = single.select(*keys, "snp_idx", F.col("line").alias("_single"))
+    joined = left.join(right, [*keys, "snp_idx"], "full_outer")
     pasted = F.concat(F.coalesce("_double", F.lit("")), F.coalesce("_single", F.lit("")))
-    return joined.select("snp_idx", pasted.alias("line"))
+    return joined.select(*keys, "snp_idx", pasted.alias("line"))
 
 
-def unpaired_lines(double: DataFrame, single: DataFrame) -> DataFrame:
+def unpaired_lines(double: DataFrame, single: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Line numbers that only one of the two matrices has."""
-    sides = double.select("snp_idx", F.lit(1).alias("side")).union(
-        single.select("snp_idx", F.lit(2).alias("side"))
+    sides = double.select(*keys, "snp_idx", F.lit(1).alias("side")).union(
+        single.select(*keys, "snp_idx", F.lit(2).alias("side"))
+    )
+    found = sides.groupBy(*keys, "snp_idx").agg(
+        F.min("side").alias("low"), F.max("side").alias("high")
     )
-    found = sides.groupBy("snp_idx").agg(F.min("side").alias("low"), F.max("side").alias("high"))
     only = F.when(F.col("low") == 1, "double").otherwise("single")
-    return found.filter(F.col("low") == F.col("high")).select("snp_idx", only.alias("only_in"))
+    return found.filter(F.col("low") == F.col("high")).select(
+        *keys, "snp_idx", only.alias("only_in")
+    )
 
 
 def to_long(lines: DataFrame) -> DataFrame:
@@ -40,54 +47,44 @@ def to_long(lines: DataFrame) -> DataFrame:
     return lines.select("snp_idx", F.posexplode(F.split("line", "")).alias("pos", "call"))
 
 
-def _fill(entries: Column, place: str, text: str, gap: Column) -> Column:
-    """Join sorted ``entries``, putting ``gap`` once for every place left out before an entry."""
-
-    def with_gap(entry: Column, index: Column) -> Column:
-        previous = F.when(index == 0, F.lit(-1)).otherwise(
-            F.get(entries, index - 1)[place].cast("int")
-        )
-        left_out = (entry[place] - previous - 1).cast("int")
-        return F.concat(F.repeat(gap, left_out), entry[text])
-
-    return F.array_join(F.transform(entries, with_gap), "")
-
-
 def to_geno_lines(
     calls: DataFrame, n_samples: int | Column, missing: str = V.MISSING_CALL, block: int = BLOCK
 ) -> DataFrame:
     """Text line of each SNP from calls ``(snp_idx, pos, call)``; absent calls are ``missing``.
 
-    Should a sample have several calls at one SNP, the smallest is taken. Copies are combined
-    before the shuffle.
+    Calls are digits. Should a sample have several at one SNP, the smallest is taken; copies are
+    combined before the shuffle, so a line gathers one text per block and nothing else.
     """
     width = F.lit(n_samples) if isinstance(n_samples, int) else n_samples
-    single = calls.groupBy("snp_idx", "pos").agg(F.min("call").alias("call"))
-    placed = single.select(
-        "snp_idx",
-        F.floor(F.col("pos") / block).cast("int").alias("block"),
-        (F.col("pos") % block).cast("int").alias("offset"),
-        F.col("call").cast("string").alias("call"),
-    )
-    blocks = placed.groupBy("snp_idx", "block").agg(
-        F.array_sort(F.collect_list(F.struct("offset", "call"))).alias("entries")
-    )
-    texts = blocks.select(
-        "snp_idx",
-        "block",
-        F.rpad(_fill(F.col("entries"), "offset", "call", F.lit(missing)), block, missing).alias(
-            "text"
-        ),
+    offset = F.col("pos") % block
+    code = F.col("call").cast("int")
+    places = [F.min(F.when(offset == place, code)).alias(f"_{place}") for place in range(block)]
+    digits = [F.coalesce(F.col(f"_{place}").cast("string"), F.lit(missing)) for place in range(block)]
+    texts = (
+        calls.groupBy("snp_idx", F.floor(F.col("pos") / block).cast("int").alias("_block"))
+        .agg(*places)
+        .select("snp_idx", "_block", F.concat(*digits).alias("_text"))
     )
     lines = texts.groupBy("snp_idx").agg(
-        F.array_sort(F.collect_list(F.struct("block", "text"))).alias("parts")
+        F.array_sort(F.collect_list(F.struct("_block", "_text"))).alias("_texts")
     )
-    whole = _fill(F.col("parts"), "block", "text", F.lit(missing * block))
     return lines.select(
-        "snp_idx", F.rpad(whole, width.cast("int"), F.lit(missing)).alias("line")
+        "snp_idx",
+        F.rpad(_join_blocks(F.col("_texts"), missing * block), width.cast("int"), F.lit(missing))
+        .alias("line"),
     )
 
 
+def _join_blocks(texts: Column, empty: str) -> Column:
+    """Sorted block texts as one text, with ``empty`` for every block that is left out."""
+
+    def with_gap(text: Column, index: Column) -> Column:
+        previous = F.when(index == 0, F.lit(-1)).otherwise(F.get(texts, index - 1)["_block"])
+        return F.concat(F.repeat(F.lit(empty), text["_block"] - previous - 1), text["_text"])
+
+    return F.array_join(F.transform(texts, with_gap), "")
+
+
 def of_group(packages: DataFrame, group: str = "Unknown", column: str = "group") -> DataFrame:
     """Packages (or samples) with the group label a release is made of."""
     return packages.filter(F.col(column) == group)
@@ -109,8 +106,18 @@ def merged_snps(snps: DataFrame) -> DataFrame:
 
 
 def merged_samples(inds: DataFrame) -> DataFrame:
-    """Samples of all packages in package order, with ``pos`` from 0."""
-    unique = inds.dropDuplicates(["package_id", "sample_id"])
+    """Samples of all packages in package order, with ``pos`` from 0.
+
+    A sample listed twice in a package takes the smallest of its entries.
+    """
+    rest = [c for c in inds.columns if c not in ("package_id", "sample_id")]
+    unique = inds.select("package_id", "sample_id").distinct()
+    if rest:
+        unique = (
+            inds.groupBy("package_id", "sample_id")
+            .agg(F.min(F.struct(*rest)).alias("_rest"))
+            .select("package_id", "sample_id", *[F.col(f"_rest.{c}").alias(c) for c in rest])
+        )
     numbered = number_rows(unique, [], ["package_id", "sample_id"], "pos")
     return numbered.withColumn("pos", F.col("pos") - 1)
 

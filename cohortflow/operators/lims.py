@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
 from cohortflow.functions import values
+from cohortflow.session import broadcast_if_small, fixed_table
 
 
 def pipeline_names(spark: SparkSession) -> DataFrame:
     """Fixed lookup ``(analysis_type, analysis_id)``: 16 rows."""
     rows = [(code, name) for code, names in V.PIPELINE_NAMES.items() for name in names]
-    return spark.createDataFrame(rows, "analysis_type string, analysis_id string")
+    return fixed_table(spark, rows, "analysis_type string, analysis_id string")
 
 
 def not_deleted(analyses: DataFrame) -> DataFrame:
@@ -30,7 +31,7 @@ def of_analysis(df: DataFrame, analysis_type: str) -> DataFrame:
 def with_analysis_type(df: DataFrame) -> DataFrame:
     """Add the analysis type of each row's pipeline; rows of foreign pipelines go.
 
-    The lookup is an 16-row literal, so broadcasting it is safe at any data size.
+    The lookup has 16 fixed rows, so broadcasting it is safe at any data size.
     """
     return df.join(F.broadcast(pipeline_names(df.sparkSession)), "analysis_id")
 
@@ -129,7 +130,7 @@ def resolve_ids(df: DataFrame, lookups: Mapping[str, tuple[DataFrame, str, str]]
     resolved = df
     for column, (table, key, value) in lookups.items():
         names = table.select(F.col(key).alias(column), F.col(value).alias("_value"))
-        resolved = resolved.join(names, column, "left").drop(column)
+        resolved = resolved.join(broadcast_if_small(names), column, "left").drop(column)
         resolved = resolved.withColumnRenamed("_value", column)
     return resolved.select(*df.columns)
 
@@ -160,7 +161,7 @@ def infer_library_specs(
     strand = F.coalesce("_strand", F.lit("Unknown"))
     udg = F.coalesce("_udg", F.lit("Unknown"))
     return (
-        df.join(lookup, protocol, "left")
+        df.join(broadcast_if_small(lookup), protocol, "left")
         .withColumn("Strandedness", strand)
         .withColumn("UDG_Treatment", values.udg_fallback(strand, udg))
         .drop("_strand", "_udg")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.session import cut_lineage
+from cohortflow.session import written
 
 # Largest group a single task numbers by itself.
 GROUP_LIMIT = 2_000_000
@@ -27,19 +27,20 @@ def number_rows(
     keys: Sequence[str],
     order: Sequence[str],
     name: str,
-    sizes: DataFrame | None = None,
+    settle: bool = False,
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Number the rows of each group 1..n in ``order``; no keys means one group for all rows.
 
-    Rows must differ in keys and order (remove copies first). Group sizes are counted up front,
-    in ``sizes`` if that holds at least as many rows per key and is cheaper to count. Small groups
-    use a plain window. A group beyond ``limit`` is sorted across the cluster instead.
+    Rows must differ in keys and order (remove copies first). Group sizes are counted up front:
+    small groups use a plain window, a group beyond ``limit`` is sorted across the cluster instead.
+    The rows are read more than once, so ``settle`` writes down those that are costly to make.
     """
-    if largest_group(sizes if sizes is not None else df, keys) <= limit:
+    rows = written(df) if settle else df
+    if largest_group(rows, keys) <= limit:
         window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("long"))
-    return _number_sorted(df, keys, order, name)
+        return rows.withColumn(name, F.row_number().over(window).cast("long"))
+    return _number_sorted(rows, keys, order, name)
 
 
 def _number_sorted(
@@ -53,7 +54,7 @@ def _number_sorted(
     columns = [*keys, *order]
     ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
     placed = F.monotonically_increasing_id()
-    laid_out = cut_lineage(
+    laid_out = written(
         ranged.withColumn("_placed", placed)
         .withColumn("_slice", F.shiftright("_placed", _POSITION_BITS))
         .withColumn("_position", F.col("_placed").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
+from cohortflow.session import fixed_table
 
 
 def default_profiles(spark: SparkSession) -> DataFrame:
@@ -16,7 +17,7 @@ def default_profiles(spark: SparkSession) -> DataFrame:
         settings = {k: v for k, v in V.SHARED_PARAMETERS.items() if k not in absent}
         settings.update(V.TYPE_PARAMETERS.get(code, {}))
         rows.extend((code, key, value) for key, value in settings.items())
-    return spark.createDataFrame(rows, "profile string, key string, value string")
+    return fixed_table(spark, rows, "profile string, key string, value string")
 
 
 def profile_order(spark: SparkSession, base: tuple[str, ...] = V.BASE_PROFILES) -> DataFrame:
@@ -26,7 +27,7 @@ def profile_order(spark: SparkSession, base: tuple[str, ...] = V.BASE_PROFILES)
         for code in V.ANALYSIS_TYPES
         for place, profile in enumerate((*base, code))
     ]
-    return spark.createDataFrame(rows, "analysis_type string, profile string, precedence int")
+    return fixed_table(spark, rows, "analysis_type string, profile string, precedence int")
 
 
 def resolve_params(params: DataFrame, order: DataFrame) -> DataFrame:

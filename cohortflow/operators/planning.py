@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortflow import fixed_values as V
 from cohortflow.functions import ids
 from cohortflow.operators.numbering import GROUP_LIMIT, number_rows
+from cohortflow.session import fixed_table
 
 
 def newer_than(left: Column, right: Column) -> Column:
@@ -24,9 +25,8 @@ def recent(files: DataFrame, now: Column, hours: int = 24, mtime: str = "modific
 
 def discovery_folders(spark: SparkSession) -> DataFrame:
     """Fixed lookup ``(analysis_type, folder)`` of the result folder each type is found in."""
-    return spark.createDataFrame(
-        list(V.DISCOVERY_FOLDERS.items()), "analysis_type string, folder string"
-    )
+    rows = list(V.DISCOVERY_FOLDERS.items())
+    return fixed_table(spark, rows, "analysis_type string, folder string")
 
 
 def below(path: Column, root: str) -> Column:

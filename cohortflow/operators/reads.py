@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
 from cohortflow.operators.numbering import first_by_digest
+from cohortflow.session import broadcast_if_small
 
 
 def filter_reads(
@@ -24,6 +25,7 @@ def clip_reads(reads: DataFrame, specs: DataFrame, lengths: DataFrame) -> DataFr
 
     ``specs`` has ``library_id, analysis_type, strandedness, udg``; ``lengths`` comes from
     ``clip_lengths``. Combinations without a length are not cut. The start moves with the left cut.
+    A library may hold a large share of the reads: they are not shuffled if the libraries are few.
     """
     per_library = specs.join(
         lengths, ["analysis_type", "strandedness", "udg"], "left"
@@ -32,7 +34,7 @@ def clip_reads(reads: DataFrame, specs: DataFrame, lengths: DataFrame) -> DataFr
     right = F.coalesce("clip_right", F.lit(0))
     kept = F.greatest(F.length("seq") - left - right, F.lit(0))
     return (
-        reads.join(per_library, "library_id", "left")
+        reads.join(broadcast_if_small(per_library), "library_id", "left")
         .withColumn("seq", F.substr("seq", left + 1, kept))
         .withColumn("pos", F.col("pos") + left)
         .drop("clip_left", "clip_right")

@@ -41,11 +41,13 @@ def with_lane(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str] = LANE_ORDER,
-    sizes: DataFrame | None = None,
     limit: int = GROUP_LIMIT,
 ) -> DataFrame:
-    """Add ``Lane``, restarting at 1 for each key, in a total order."""
-    return number_rows(df, keys, order, "Lane", sizes=sizes, limit=limit)
+    """Add ``Lane``, restarting at 1 for each key, in a total order.
+
+    The joins that make the rows run once: their result is written to the shared folder first.
+    """
+    return number_rows(df, keys, order, "Lane", settle=True, limit=limit)
 
 
 def build_run_sheet(
@@ -70,8 +72,7 @@ def build_run_sheet(
         ),
     )
     distinct_rows = with_directory.select(*keys, "target_ind", *SOURCE_COLUMNS).distinct()
-    sizes = with_directory.select(*keys, "target_ind")
-    numbered = with_lane(distinct_rows, [*keys, "target_ind"], sizes=sizes, limit=limit)
+    numbered = with_lane(distinct_rows, [*keys, "target_ind"], limit=limit)
     specified = lims.infer_library_specs(numbered, protocols)
 
     directory = F.col("result_directory")

@@ -7,8 +7,10 @@ from pyspark.sql import types as T
 
 from cohortflow.functions import ids, values
 from cohortflow.operators import cohorts, lims, run_sheets
+from cohortflow.plans import prepare
 from cohortflow.queries import lab_tables as lab
 from cohortflow.queries.registry import query, table
+from cohortflow.session import fixed_table
 
 
 @query("lims_flat", f"WITH {lab.FLAT_SQL} SELECT * FROM flat")
@@ -165,7 +167,7 @@ def library_specs(spark, sf_dir):
         ("PROMO", "single", "half"),
         ("SMALL", "double", "Unknown"),
     ]
-    specs = spark.createDataFrame(rows, "protocol string, strandedness string, udg string")
+    specs = fixed_table(spark, rows, "protocol string, strandedness string, udg string")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     joined = lines.join(parts, lines.l_partkey == parts.p_partkey).drop("p_partkey")
@@ -209,17 +211,14 @@ sheet AS (
     FROM picked LEFT JOIN protocols ON picked.protocol = protocols.protocol)"""
 
 
-def sheet(spark, sf_dir, limit=run_sheets.GROUP_LIMIT, rename=False):
+def sheet(spark, sf_dir, **options):
     """Run sheets of all individuals touched by a run of the last year, all types at once."""
-    rows = cohorts.expand_cohorts(
-        lab.kept_rows(spark, sf_dir), lab.latest_year(spark, sf_dir), ["analysis_type"]
-    )
-    return run_sheets.build_run_sheet(
-        rows,
+    return prepare.prepare_run_sheets(
+        lab.lab_tables(spark, sf_dir),
+        lab.latest_year(spark, sf_dir),
         lab.protocols(spark),
         rebase=(f"{lab.OLD_ROOT}/", f"{lab.NEW_ROOT}/"),
-        rename=rename,
-        limit=limit,
+        **options,
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.operators import lims
 from cohortflow.queries.registry import table
+from cohortflow.session import fixed_table
 
 OLD_ROOT, NEW_ROOT = "/old", "/store"
 
@@ -193,7 +194,7 @@ def protocols(spark: SparkSession) -> DataFrame:
         ("3-MEDIUM", "single", "Unknown"),
         ("4-NOT SPECIFIED", "double", "Unknown"),
     ]
-    return spark.createDataFrame(rows, "protocol string, strandedness string, udg string")
+    return fixed_table(spark, rows, "protocol string, strandedness string, udg string")
 
 
 PROTOCOLS_SQL = """

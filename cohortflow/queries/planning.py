@@ -8,6 +8,7 @@ from cohortflow import fixed_values as V
 from cohortflow.operators import housekeeping, packages, parameters, planning, restriction
 from cohortflow.queries.lab_tables import text
 from cohortflow.queries.registry import query, table
+from cohortflow.session import fixed_table
 
 ROOT = "/results"
 FOLDERS = {
@@ -262,7 +263,7 @@ def processed_unique(spark, sf_dir):
                    WHERE event_type IN ('purchase', 'view')) ON code = kind GROUP BY 1""",
 )
 def processed_counts(spark, sf_dir):
-    types = spark.createDataFrame([(code,) for code in V.ANALYSIS_TYPES], "analysis_type string")
+    types = fixed_table(spark, [(code,) for code in V.ANALYSIS_TYPES], "analysis_type string")
     return housekeeping.processed_counts(report_files(spark, sf_dir), types)
 
 

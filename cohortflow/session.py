@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Largest lookup table that is sent to every executor.
+BROADCAST_ROWS = 200_000
+
 
 def local_session(cores: int | str = "*", app: str = "cohortflow") -> SparkSession:
     """Session for tests and local benchmarks; clusters bring their own."""
@@ -21,6 +27,10 @@ def local_session(cores: int | str = "*", app: str = "cohortflow") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        # Small local partitions would otherwise all be put into one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -47,7 +57,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of executors and are never recomputed."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, label: str = "rows") -> DataFrame:
+    """The rows as a table in the shared folder: made once, and safe from the loss of executors.
+
+    Later reads of it take only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(lookup: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The lookup table, marked for broadcast if counting proves that it has at most ``rows`` rows.
+
+    A larger one is left to an ordinary join. Meant for narrow tables that many rows look up, where
+    a shuffle by the few lookup keys would put most rows into a few tasks.
+    """
+    return F.broadcast(lookup) if lookup.limit(rows + 1).count() <= rows else lookup
+
+
+def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few fixed rows as a table whose size the optimizer knows."""
+    fields = T.StructType.fromDDL(schema).fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+        for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

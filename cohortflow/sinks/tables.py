@@ -13,10 +13,6 @@ from cohortflow.functions import ids, values
 from cohortflow.operators import run_sheets
 from cohortflow.sources.tables import check_format
 
-# Rows per file of one individual; a bigger sheet is split over several tasks and files.
-SHEET_FILE_ROWS = 1_000_000
-
-
 def stamp_version(df: DataFrame, version: str = __version__) -> DataFrame:
     """Add the version of the code that made the rows."""
     return df.withColumn("producer_version", F.lit(version))
@@ -63,13 +59,11 @@ def write_run_sheets(
             individuals, keys, "left_anti"
         )
         named = named.unionByName(carried.select(*columns))
-    part = F.floor((F.col("Lane") - 1) / SHEET_FILE_ROWS)
-    # Individuals spread over all tasks; a very large one over several, a run of lanes in each.
+    # Rebalancing puts a folder's rows together and splits those of a very large one over several
+    # tasks and files; lanes keep the order.
     (
-        named.withColumn("_part", part)
-        .repartition(*keys, "_part")
+        named.hint("rebalance", *[F.col(key) for key in layout])
         .sortWithinPartitions(*keys, "Lane")
-        .drop("_part")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("sep", "\t")
