@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,10 +78,7 @@ def broadcast_if_small(lookup: DataFrame, rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A few fixed rows as a table whose size the optimizer knows."""
-    fields = T.StructType.fromDDL(schema).fields
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
-        for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    """A few fixed rows as a local table, whose size the optimizer knows."""
+    names = T.StructType.fromDDL(schema).names
+    listed = pa.Table.from_pylist([dict(zip(names, row)) for row in rows])
+    return spark.createDataFrame(listed, schema)
