@@ -41,11 +41,8 @@ def read_qc_json(
     key, fields = QC_SCHEMAS[kind]
     if optional and not path_exists(spark, path):
         return spark.createDataFrame([], f"{key} string, {fields}")
-    reports = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .text(path)
+    reports = spark.read.text(
+        path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True
     )
     return explode_report(reports, F.col("value"), key, fields)
 
