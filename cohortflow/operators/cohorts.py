@@ -14,11 +14,12 @@ FULL = "full_individual_id"
 MAIN = "main_individual_id"
 
 
-def cohort_ids(rows: DataFrame, keys: Sequence[str] = (), full: str = FULL, main: str = MAIN):
+def cohort_ids(
+    rows: DataFrame, keys: Sequence[str] = (), full: str = FULL, main: str = MAIN
+) -> DataFrame:
     """Distinct full IDs and non-empty main IDs of ``rows`` (per ``keys``), in one ID column."""
-    fulls = rows.select(*keys, F.col(full).alias(full))
-    mains = rows.filter(F.col(main) != "").select(*keys, F.col(main).alias(full))
-    return fulls.union(mains).distinct()
+    both = F.array(F.col(full), F.when(F.col(main) != "", F.col(main)))
+    return rows.select(*keys, F.explode(F.array_compact(both)).alias(full)).distinct()
 
 
 def expand_cohort(flat: DataFrame, run_id: str, by: str = "full") -> DataFrame:

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortflow.session import written
+
 # Positions per bin: bounds the rows one window group can hold.
 BIN_WIDTH = 65_536
 
@@ -31,8 +33,12 @@ def interval_coverage(
     """
     axis = [*by, "chrom"]
     bins = [*axis, "_bin"]
-    points = _points(reads, intervals, axis).withColumn(
-        "_bin", F.floor(F.col("_pos") / bin_width).cast("long")
+    # Reads are looked at once; all that follows works on the far fewer positions.
+    points = written(
+        _points(reads, intervals, axis).withColumn(
+            "_bin", F.floor(F.col("_pos") / bin_width).cast("long")
+        ),
+        "points",
     )
 
     along = Window.partitionBy(*axis).orderBy("_bin")

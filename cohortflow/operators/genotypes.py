@@ -42,37 +42,39 @@ def unpaired_lines(double: DataFrame, single: DataFrame, keys: Sequence[str] = (
     )
 
 
-def to_long(lines: DataFrame) -> DataFrame:
-    """One row ``(snp_idx, pos, call)`` per character, ``pos`` counted from 0."""
-    return lines.select("snp_idx", F.posexplode(F.split("line", "")).alias("pos", "call"))
+def to_long(lines: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row ``(keys, snp_idx, pos, call)`` per character, ``pos`` counted from 0."""
+    return lines.select(*keys, "snp_idx", F.posexplode(F.split("line", "")).alias("pos", "call"))
 
 
 def to_geno_lines(
-    calls: DataFrame, n_samples: int | Column, missing: str = V.MISSING_CALL, block: int = BLOCK
+    calls: DataFrame,
+    n_samples: int | Column,
+    keys: Sequence[str] = (),
+    missing: str = V.MISSING_CALL,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """Text line of each SNP from calls ``(snp_idx, pos, call)``; absent calls are ``missing``.
+    """Text line of each SNP from calls ``(keys, snp_idx, pos, call)``; absent calls are ``missing``.
 
     Calls are digits. Should a sample have several at one SNP, the smallest is taken; copies are
     combined before the shuffle, so a line gathers one text per block and nothing else.
     """
     width = F.lit(n_samples) if isinstance(n_samples, int) else n_samples
+    line = [*keys, "snp_idx"]
     offset = F.col("pos") % block
     code = F.col("call").cast("int")
     places = [F.min(F.when(offset == place, code)).alias(f"_{place}") for place in range(block)]
     digits = [F.coalesce(F.col(f"_{place}").cast("string"), F.lit(missing)) for place in range(block)]
     texts = (
-        calls.groupBy("snp_idx", F.floor(F.col("pos") / block).cast("int").alias("_block"))
+        calls.groupBy(*line, F.floor(F.col("pos") / block).cast("int").alias("_block"))
         .agg(*places)
-        .select("snp_idx", "_block", F.concat(*digits).alias("_text"))
+        .select(*line, "_block", F.concat(*digits).alias("_text"))
     )
-    lines = texts.groupBy("snp_idx").agg(
+    lines = texts.groupBy(*line).agg(
         F.array_sort(F.collect_list(F.struct("_block", "_text"))).alias("_texts")
     )
-    return lines.select(
-        "snp_idx",
-        F.rpad(_join_blocks(F.col("_texts"), missing * block), width.cast("int"), F.lit(missing))
-        .alias("line"),
-    )
+    whole = _join_blocks(F.col("_texts"), missing * block)
+    return lines.select(*line, F.rpad(whole, width.cast("int"), F.lit(missing)).alias("line"))
 
 
 def _join_blocks(texts: Column, empty: str) -> Column:
@@ -139,7 +141,7 @@ def forge(
         .select("snp_idx", "pos", "call")
     )
     n_samples = sample_list.agg(F.count(F.lit(1))).scalar()
-    called = to_geno_lines(calls, n_samples, missing)
+    called = to_geno_lines(calls, n_samples, missing=missing)
     empty = F.rpad(F.lit(""), n_samples.cast("int"), F.lit(missing))
     lines = (
         snp_list.select("snp_idx")

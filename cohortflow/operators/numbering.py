@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortflow.session import written
+from cohortflow.session import broadcast_if_small, written
 
 # Largest group a single task numbers by itself.
 GROUP_LIMIT = 2_000_000
@@ -88,30 +88,42 @@ def _number_sorted(
 
 
 def first_by_digest(
-    df: DataFrame, keys: Sequence[str], digest: Column, n: int, prefix: int = 3
+    df: DataFrame, keys: Sequence[str], digest: Column, n: int, bucket_rows: int = 50_000
 ) -> DataFrame:
     """The ``n`` rows of each group with the smallest digests: an exact, repeatable sample.
 
-    Digests are spread evenly, so a histogram over their first hex digits finds the bucket in
-    which row ``n`` lies. Rows of lower buckets are kept as they are; only that one bucket, a
-    small share of the group, is ranked. ``digest`` must be unique within a group.
+    Digests are hex text spread evenly, unique within a group, and keys are not NULL. Each group
+    is cut into buckets of at most about ``bucket_rows`` by as many leading digits as its size
+    calls for. A histogram of the buckets shows the one in which row ``n`` lies; rows beyond it
+    are dropped where they are read, and ranks are counted within buckets only.
     """
-    stamped = df.withColumn("_digest", digest).withColumn(
-        "_bucket", F.substring("_digest", 1, prefix)
+    keys = list(keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    digits = F.ceil(F.log(F.col("_size") / bucket_rows) / F.log(F.lit(16.0)))
+    sized = counts.select(*keys, F.greatest(digits, F.lit(0)).cast("int").alias("_digits"))
+
+    def stamped(rows: DataFrame, lookup: DataFrame) -> DataFrame:
+        return (
+            rows.join(broadcast_if_small(lookup), keys)
+            .withColumn("_digest", digest)
+            .withColumn("_bucket", F.substr("_digest", F.lit(1), F.col("_digits")))
+        )
+
+    histogram = stamped(df, sized).groupBy(*keys, "_bucket").agg(
+        F.max("_digits").alias("_digits"), F.count(F.lit(1)).alias("_rows")
     )
-    histogram = stamped.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     running = Window.partitionBy(*keys).orderBy("_bucket")
     below = F.sum("_rows").over(running) - F.col("_rows")
-    kept = histogram.withColumn("_below", below).filter(F.col("_below") < n)
-    partial = kept.filter(F.col("_below") + F.col("_rows") > n)
-    whole = kept.filter(F.col("_below") + F.col("_rows") <= n)
-    bucket_keys = [*keys, "_bucket"]
-    taken = stamped.join(whole.select(*bucket_keys), bucket_keys, "left_semi")
-    rank = F.row_number().over(Window.partitionBy(*bucket_keys).orderBy("_digest"))
-    cut = (
-        stamped.join(partial.select(*bucket_keys, "_below"), bucket_keys)
+    kept = written(histogram.withColumn("_below", below).filter(F.col("_below") < n))
+    last = kept.groupBy(*keys).agg(
+        F.max("_digits").alias("_digits"), F.max("_bucket").alias("_last")
+    )
+    rank = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy("_digest"))
+    return (
+        stamped(df, last)
+        .filter(F.col("_bucket") <= F.col("_last"))
+        .join(kept.select(*keys, "_bucket", "_below"), [*keys, "_bucket"])
         .withColumn("_rank", rank)
         .filter(F.col("_rank") + F.col("_below") <= n)
-        .drop("_rank", "_below")
+        .select(*df.columns)
     )
-    return taken.unionByName(cut).select(*df.columns)

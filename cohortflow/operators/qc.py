@@ -31,31 +31,38 @@ def restrict_qc(
     return qc.join(listed, on, "left_semi")
 
 
-def sample_summary(sheets: DataFrame, capture: str = V.CAPTURE_TYPE) -> DataFrame:
-    """Per sample and strandedness: UDG treatment, library rows, capture labels, build.
-
-    Different treatments (a missing one counts as a treatment) give ``mixed``. Smallest, largest
-    and missing treatments are enough to see that, so no list of values is gathered.
-    """
+def _summary_parts() -> list[Column]:
+    """Smallest, largest and missing treatments show whether they differ; no list is gathered."""
     udg = F.col("UDG_Treatment")
-    grouped = sheets.groupBy("Sample_Name", "Strandedness").agg(
+    return [
         F.min(udg).alias("_low"),
         F.max(udg).alias("_high"),
         F.count(udg).alias("_known"),
         F.count(F.lit(1)).alias("Nr_Libraries"),
-    )
+    ]
+
+
+def _summary_columns(capture: str) -> dict[str, Column]:
     several = (F.col("_low") != F.col("_high")) | (
         (F.col("_known") > 0) & (F.col("_known") < F.col("Nr_Libraries"))
     )
     labels = F.repeat(F.lit(f"{capture};"), (F.col("Nr_Libraries") - 1).cast("int"))
-    return grouped.select(
-        "Sample_Name",
-        "Strandedness",
-        F.when(several, "mixed").otherwise(F.col("_low")).alias("UDG"),
-        "Nr_Libraries",
-        F.concat(labels, F.lit(capture)).alias("Capture_Type"),
-        values.library_built(F.col("Strandedness")).alias("Library_Built"),
-    )
+    return {
+        "UDG": F.when(several, "mixed").otherwise(F.col("_low")),
+        "Nr_Libraries": F.col("Nr_Libraries"),
+        "Capture_Type": F.concat(labels, F.lit(capture)),
+        "Library_Built": values.library_built(F.col("Strandedness")),
+    }
+
+
+def sample_summary(sheets: DataFrame, capture: str = V.CAPTURE_TYPE) -> DataFrame:
+    """Per sample and strandedness: UDG treatment, library rows, capture labels, build.
+
+    Different treatments (a missing one counts as a treatment) give ``mixed``.
+    """
+    grouped = sheets.groupBy("Sample_Name", "Strandedness").agg(*_summary_parts())
+    columns = [column.alias(name) for name, column in _summary_columns(capture).items()]
+    return grouped.select("Sample_Name", "Strandedness", *columns)
 
 
 def _left(sheets: DataFrame, table: DataFrame | None, key: str, columns: dict[str, str]):
@@ -120,13 +127,15 @@ def compile_across_libs(
     """Sample-level results from the library rows of ``compile_qc``.
 
     Contamination is weighted by SNPs and ignores libraries below the cutoff, damage is weighted
-    by reads, endogenous DNA is the largest value. The two text columns that list libraries hold
-    one entry per distinct library: that is the size of the field itself.
+    by reads, endogenous DNA is the largest value. Libraries of different strandedness are never
+    put together, as in ``sample_summary``. The two text columns that list libraries hold one
+    entry per distinct library: that is the size of the field itself.
     """
     snps = F.col("contamination_snps")
     estimate = usable(F.col("contamination"), snps, snp_cutoff)
     error = usable(F.col("contamination_err"), snps, snp_cutoff)
-    per_sample = libraries.groupBy("Sample_Name").agg(
+    per_sample = libraries.groupBy("Sample_Name", "Strandedness").agg(
+        *_summary_parts(),
         F.max("Genetic_Sex").alias("Genetic_Sex"),
         F.max("x_rate").alias("_x"),
         F.max("x_err").alias("_xe"),
@@ -163,27 +172,24 @@ def compile_across_libs(
         ),
     )
     names = F.transform(listed, lambda one: one["Library_ID"])
-    summary = sample_summary(libraries, capture)
-    return (
-        per_sample.join(summary, "Sample_Name")
-        .select(
-            "Sample_Name",
-            "Genetic_Sex",
-            sex_note.alias("Sex_Determination_Note"),
-            "Nr_SNPs",
-            "Endogenous",
-            "Contamination",
-            "Contamination_Err",
-            note.alias("Contamination_Note"),
-            F.when(F.col("Contamination").isNotNull(), "ANGSD").alias("Contamination_Meas"),
-            "Damage",
-            "UDG",
-            "Nr_Libraries",
-            ids.clean_library_names(names, anchored_names).alias("Library_Names"),
-            "Library_Built",
-            "Capture_Type",
-        )
-        .distinct()
+    summary = _summary_columns(capture)
+    has_estimate = F.col("Contamination").isNotNull()
+    return per_sample.select(
+        "Sample_Name",
+        "Genetic_Sex",
+        sex_note.alias("Sex_Determination_Note"),
+        "Nr_SNPs",
+        "Endogenous",
+        "Contamination",
+        "Contamination_Err",
+        note.alias("Contamination_Note"),
+        F.when(has_estimate, "ANGSD").alias("Contamination_Meas"),
+        "Damage",
+        summary["UDG"].alias("UDG"),
+        "Nr_Libraries",
+        ids.clean_library_names(names, anchored_names).alias("Library_Names"),
+        summary["Library_Built"].alias("Library_Built"),
+        summary["Capture_Type"].alias("Capture_Type"),
     )
 
 

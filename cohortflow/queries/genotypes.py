@@ -14,90 +14,103 @@ from cohortflow.queries.registry import query, table
 
 
 def calls(spark, sf_dir):
+    """Return flags are packages; open line items are double-stranded data, others single."""
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"
+        "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"
     )
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("l_returnflag").alias("package_id"),
+        F.when(F.col("l_linestatus") == "O", "double").otherwise("single").alias("strand"),
         F.col("l_partkey").alias("snp_idx"),
         F.col("s_nationkey").cast("long").alias("pos"),
         text(F.col("l_linenumber") % 3).alias("call"),
     )
 
 
-_CALLS_SQL = """calls AS (
-    SELECT l_returnflag AS package_id, l_partkey AS snp_idx, s_nationkey AS pos,
+def _calls_sql(source: str = "lineitem") -> str:
+    return f"""SELECT l_returnflag AS package_id, l_partkey AS snp_idx, s_nationkey AS pos,
            min(l_linenumber % 3) AS call
-    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL)"""
+    FROM {source} JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL"""
 
 
-def _line_sql(flag: str) -> str:
-    """Lines of one package as text: every SNP by sample place, missing calls as 9."""
-    return f"""SELECT snp_idx, string_agg(coalesce(cast(call AS varchar), '9'), '' ORDER BY pos) AS line
-        FROM (SELECT DISTINCT snp_idx FROM calls WHERE package_id = '{flag}') s
-        CROSS JOIN (SELECT n_nationkey AS pos FROM nation) n
-        LEFT JOIN (SELECT * FROM calls WHERE package_id = '{flag}') c USING (snp_idx, pos)
-        GROUP BY snp_idx"""
+_CALLS_SQL = f"calls AS ({_calls_sql()})"
 
 
-def package_lines(spark, sf_dir, flag):
-    of_package = calls(spark, sf_dir).filter(F.col("package_id") == flag)
-    samples = table(spark, sf_dir, "nation").agg(F.count(F.lit(1))).scalar()
-    return genotypes.to_geno_lines(of_package, samples)
+def _grid_sql(calls_table: str) -> str:
+    """Every place of every line of a package, missing calls as 9."""
+    return f"""SELECT package_id, snp_idx, pos, coalesce(cast(call AS varchar), '9') AS call
+        FROM (SELECT DISTINCT package_id, snp_idx FROM {calls_table})
+        CROSS JOIN (SELECT n_nationkey AS pos FROM nation)
+        LEFT JOIN {calls_table} USING (package_id, snp_idx, pos)"""
 
 
-@query("geno_lines", f"WITH {_CALLS_SQL} {_line_sql('A')}")
+def _lines_sql(calls_table: str) -> str:
+    return f"""SELECT package_id, snp_idx, string_agg(call, '' ORDER BY pos) AS line
+        FROM ({_grid_sql(calls_table)}) GROUP BY ALL"""
+
+
+def n_samples(spark, sf_dir):
+    return table(spark, sf_dir, "nation").agg(F.count(F.lit(1))).scalar()
+
+
+def package_lines(spark, sf_dir, **options):
+    return genotypes.to_geno_lines(
+        calls(spark, sf_dir), n_samples(spark, sf_dir), ["package_id"], **options
+    )
+
+
+@query("geno_lines", f"WITH {_CALLS_SQL} {_lines_sql('calls')}")
 def geno_lines(spark, sf_dir):
-    return package_lines(spark, sf_dir, "A")
+    return package_lines(spark, sf_dir)
 
 
-@query(
-    "geno_lines_blocks",
-    f"WITH {_CALLS_SQL} {_line_sql('A')}",
-)
+@query("geno_lines_blocks", f"WITH {_CALLS_SQL} {_lines_sql('calls')}")
 def geno_lines_blocks(spark, sf_dir):
     """The same lines put together from blocks of four samples."""
-    of_package = calls(spark, sf_dir).filter("package_id = 'A'")
-    samples = table(spark, sf_dir, "nation").agg(F.count(F.lit(1))).scalar()
-    return genotypes.to_geno_lines(of_package, samples, block=4)
+    return package_lines(spark, sf_dir, block=4)
 
 
-@query(
-    "geno_long",
-    f"""WITH {_CALLS_SQL}
-        SELECT snp_idx, pos, coalesce(cast(call AS varchar), '9') AS call
-        FROM (SELECT DISTINCT snp_idx FROM calls WHERE package_id = 'A') s
-        CROSS JOIN (SELECT n_nationkey AS pos FROM nation) n
-        LEFT JOIN (SELECT * FROM calls WHERE package_id = 'A') c USING (snp_idx, pos)""",
-)
+@query("geno_long", f"WITH {_CALLS_SQL} {_grid_sql('calls')}")
 def geno_long(spark, sf_dir):
-    return genotypes.to_long(package_lines(spark, sf_dir, "A"))
+    return genotypes.to_long(package_lines(spark, sf_dir), ["package_id"])
+
+
+def _strands(spark, sf_dir):
+    """Double- and single-stranded lines of all packages."""
+
+    def lines(strand):
+        of_strand = calls(spark, sf_dir).filter(F.col("strand") == strand)
+        return genotypes.to_geno_lines(of_strand, n_samples(spark, sf_dir), ["package_id"])
+
+    return lines("double"), lines("single")
 
 
-_PAIR_SQL = f"""{_CALLS_SQL}, double AS ({_line_sql("A")}), single AS ({_line_sql("R")})"""
+_STRANDS_SQL = f"""
+    double_items AS (SELECT * FROM lineitem WHERE l_linestatus = 'O'),
+    single_items AS (SELECT * FROM lineitem WHERE l_linestatus <> 'O'),
+    double_calls AS ({_calls_sql("double_items")}), single_calls AS ({_calls_sql("single_items")}),
+    d AS ({_lines_sql("double_calls")}), s AS ({_lines_sql("single_calls")})"""
 
 
 @query(
     "paste_geno",
-    f"""WITH {_PAIR_SQL}
-        SELECT snp_idx, coalesce(d.line, '') || coalesce(s.line, '') AS line
-        FROM double d FULL JOIN single s USING (snp_idx)""",
+    f"""WITH {_STRANDS_SQL}
+        SELECT package_id, snp_idx, coalesce(d.line, '') || coalesce(s.line, '') AS line
+        FROM d FULL JOIN s USING (package_id, snp_idx)""",
 )
 def paste_geno(spark, sf_dir):
-    double, single = package_lines(spark, sf_dir, "A"), package_lines(spark, sf_dir, "R")
-    return genotypes.paste_genotypes(double, single)
+    return genotypes.paste_genotypes(*_strands(spark, sf_dir), ["package_id"])
 
 
 @query(
     "unpaired_lines",
-    f"""WITH {_PAIR_SQL}
-        SELECT snp_idx, CASE WHEN s.line IS NULL THEN 'double' ELSE 'single' END AS only_in
-        FROM double d FULL JOIN single s USING (snp_idx) WHERE s.line IS NULL OR d.line IS NULL""",
+    f"""WITH {_STRANDS_SQL}
+        SELECT package_id, snp_idx, CASE WHEN s.line IS NULL THEN 'double' ELSE 'single' END AS only_in
+        FROM d FULL JOIN s USING (package_id, snp_idx) WHERE s.line IS NULL OR d.line IS NULL""",
 )
 def unpaired_lines(spark, sf_dir):
-    double, single = package_lines(spark, sf_dir, "A"), package_lines(spark, sf_dir, "R")
-    return genotypes.unpaired_lines(double, single)
+    return genotypes.unpaired_lines(*_strands(spark, sf_dir), ["package_id"])
 
 
 def forged(spark, sf_dir):

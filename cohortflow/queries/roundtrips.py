@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
-from cohortflow.operators import genotypes, housekeeping, packages
+from cohortflow.operators import housekeeping, packages
 from cohortflow.queries import genotypes as geno_queries
 from cohortflow.queries import lab, planning
 from cohortflow.queries.lab_tables import text
@@ -191,10 +191,10 @@ def rt_package_snps(spark, sf_dir):
            GROUP BY 1 HAVING bool_and(width = n))
        SELECT package_id, '1.0.0' AS version, 'Package creation' AS log_text FROM whole
        UNION
-       SELECT 'filled', '1.0.0', 'Package creation'""",
+       SELECT DISTINCT 'filled_' || l_returnflag, '1.0.0', 'Package creation' FROM lineitem""",
 )
 def publish(spark, sf_dir):
-    """Raw packages with gaps in their lines, and one with its gaps filled: only whole ones go live."""
+    """Packages with gaps in their lines, and the same with gaps filled: only whole ones go live."""
     single = geno_queries.calls(spark, sf_dir).select("package_id", "snp_idx", "pos", "call")
     raw_lines = (
         single.groupBy("package_id", "snp_idx", "pos")
@@ -202,14 +202,14 @@ def publish(spark, sf_dir):
         .groupBy("package_id", "snp_idx")
         .agg(F.array_join(F.collect_list("call"), "").alias("line"))
     )
-    filled = F.lit("filled").alias("package_id")
-    samples = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("pos"))
-    whole = genotypes.to_geno_lines(
-        single.filter("package_id = 'A'"), samples.agg(F.count(F.lit(1))).scalar()
-    )
+    filled = F.concat(F.lit("filled_"), F.col("package_id")).alias("package_id")
+    whole = geno_queries.package_lines(spark, sf_dir)
     lines = raw_lines.unionByName(whole.select(filled, "snp_idx", "line"))
     snps = lines.select("package_id", F.col("snp_idx").alias("snp_id"))
-    inds = single.select("package_id", "pos").distinct().unionByName(samples.select(filled, "pos"))
+    members = single.select("package_id", "pos").distinct()
+    places = F.explode(F.sequence(F.lit(0), geno_queries.n_samples(spark, sf_dir) - 1))
+    everyone = single.select("package_id").distinct().select(filled, places.alias("pos"))
+    inds = members.unionByName(everyone)
     checks = packages.validate_package(lines, snps, inds.withColumnRenamed("pos", "sample_id"))
     catalog = scratch_path(spark, "catalog")
     package_sink.create_catalog(spark, catalog)

@@ -61,11 +61,12 @@ def test_hot_key_is_spread_over_slices(spark, skewed):
     assert numbered.filter("key = 'hot'").agg(F.max("n")).first()[0] == 1000
 
 
+@pytest.mark.parametrize("bucket_rows", [3, 100, 50_000])
 @pytest.mark.parametrize("n", [1, 17, 400, 5000])
-def test_first_by_digest(spark, n):
+def test_first_by_digest(spark, n, bucket_rows):
     rows = [("hot" if i % 3 else f"k{i % 7}", i) for i in range(2000)]
     df = spark.createDataFrame(rows, "key string, id int")
-    taken = first_by_digest(df, ["key"], F.md5(F.col("id").cast("string")), n, prefix=1)
+    taken = first_by_digest(df, ["key"], F.md5(F.col("id").cast("string")), n, bucket_rows)
     groups = {}
     for key, i in rows:
         groups.setdefault(key, []).append((hashlib.md5(str(i).encode()).hexdigest(), i))
