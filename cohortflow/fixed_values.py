@@ -154,4 +154,4 @@ TYPE_WITHOUT = {
 }
 
 # Order in which profiles are laid over each other; the analysis type comes last.
-BASE_PROFILES = ("autorun", "local_paths")
+BASE_PROFILES = ("base", "local_paths")

@@ -41,9 +41,12 @@ def overwrite_join(
 def attach_lims(samples: DataFrame, lims: DataFrame, on: str = "individual") -> DataFrame:
     """Lab columns for each sample, by individual; both sides keep their unmatched rows.
 
-    The individual is used for matching only and is dropped.
+    The individual is used for matching only and is dropped. The two halves of the full join are
+    made apart, because a left join can be split where one individual has very many samples.
     """
-    return samples.join(lims, on, "full_outer").drop(on)
+    matched = samples.join(lims, on, "left")
+    without_sample = lims.join(samples.select(on).distinct(), on, "left_anti")
+    return matched.unionByName(without_sample, allowMissingColumns=True).drop(on)
 
 
 def with_individual(samples: DataFrame, key: str) -> DataFrame:

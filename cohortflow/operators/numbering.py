@@ -9,17 +9,22 @@ from pyspark.sql import functions as F
 
 from cohortflow.session import broadcast_if_small, written
 
-# Largest group a single task numbers by itself.
+# Largest group a single task numbers by itself, and rows of a slice where groups are larger.
 GROUP_LIMIT = 2_000_000
+SLICE_ROWS = 2_000_000
 
 # Bits of monotonically_increasing_id() that hold the row position inside a partition.
 _POSITION_BITS = 33
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the biggest group; counts are combined before the shuffle, one number comes back."""
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the biggest group and of all groups.
+
+    Counts are combined before the shuffle, and one row comes back.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.agg(F.max("rows")).first()[0] or 0
+    largest, total = counts.agg(F.max("rows"), F.sum("rows")).first()
+    return largest or 0, total or 0
 
 
 def number_rows(
@@ -37,14 +42,17 @@ def number_rows(
     The rows are read more than once, so ``settle`` writes down those that are costly to make.
     """
     rows = written(df) if settle else df
-    if largest_group(rows, keys) <= limit:
+    largest, total = group_sizes(rows, keys)
+    if largest <= limit:
         window = Window.partitionBy(*keys).orderBy(*order)
         return rows.withColumn(name, F.row_number().over(window).cast("long"))
-    return _number_sorted(rows, keys, order, name)
+    shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(shuffle_partitions, -(-total // SLICE_ROWS))
+    return _number_sorted(rows, keys, order, name, slices)
 
 
 def _number_sorted(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int
 ) -> DataFrame:
     """Number rows of any group size: a range sort, slice positions, and one offset per slice.
 
@@ -52,7 +60,7 @@ def _number_sorted(
     slice layout comes from sampling, so it is written down before it is used twice.
     """
     columns = [*keys, *order]
-    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    ranged = df.repartitionByRange(slices, *columns).sortWithinPartitions(*columns)
     placed = F.monotonically_increasing_id()
     laid_out = written(
         ranged.withColumn("_placed", placed)
@@ -60,10 +68,10 @@ def _number_sorted(
         .withColumn("_position", F.col("_placed").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
         .drop("_placed")
     )
-    # One row per slice, so the table is as small as the number of shuffle partitions.
-    slices = laid_out.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    # One row per slice: a table of ``slices`` rows at most.
+    sizes = laid_out.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select(
+    offsets = sizes.select(
         "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
     numbered = laid_out.join(F.broadcast(offsets), "_slice").withColumn(
@@ -100,7 +108,9 @@ def first_by_digest(
     keys = list(keys)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
     digits = F.ceil(F.log(F.col("_size") / bucket_rows) / F.log(F.lit(16.0)))
-    sized = counts.select(*keys, F.greatest(digits, F.lit(0)).cast("int").alias("_digits"))
+    sized = written(
+        counts.select(*keys, F.greatest(digits, F.lit(0)).cast("int").alias("_digits"))
+    )
 
     def stamped(rows: DataFrame, lookup: DataFrame) -> DataFrame:
         return (

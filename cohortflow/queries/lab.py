@@ -86,14 +86,14 @@ def cohort_ids(spark, sf_dir):
     return cohorts.cohort_ids(lab.flat(spark, sf_dir), ["run_id"])
 
 
-def _last_run(spark, sf_dir):
+def _first_run(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    return orders.agg(F.max(F.date_format("o_orderdate", "yyyyMM"))).scalar()
+    return orders.agg(F.min(F.date_format("o_orderdate", "yyyyMM"))).scalar()
 
 
 _EXPANDED_SQL = f"""WITH {lab.FLAT_SQL},
-    last AS (SELECT max(strftime(o_orderdate, '%Y%m')) AS run_id FROM orders),
-    hit AS (SELECT * FROM flat WHERE run_id = (SELECT run_id FROM last))"""
+    one AS (SELECT min(strftime(o_orderdate, '%Y%m')) AS run_id FROM orders),
+    hit AS (SELECT * FROM flat WHERE run_id = (SELECT run_id FROM one))"""
 
 
 @query(
@@ -104,7 +104,7 @@ _EXPANDED_SQL = f"""WITH {lab.FLAT_SQL},
             UNION SELECT main_individual_id FROM hit WHERE main_individual_id <> '')""",
 )
 def expand_cohort(spark, sf_dir):
-    return cohorts.expand_cohort(lab.flat(spark, sf_dir), _last_run(spark, sf_dir))
+    return cohorts.expand_cohort(lab.flat(spark, sf_dir), _first_run(spark, sf_dir))
 
 
 _TARGET_SQL = """coalesce(CASE WHEN main_individual_id = '' THEN full_individual_id
@@ -118,7 +118,7 @@ _TARGET_SQL = """coalesce(CASE WHEN main_individual_id = '' THEN full_individual
 )
 def expand_cohort_canonical(spark, sf_dir):
     flat = lab.flat(spark, sf_dir)
-    return cohorts.expand_cohort(flat, _last_run(spark, sf_dir), by="canonical")
+    return cohorts.expand_cohort(flat, _first_run(spark, sf_dir), by="canonical")
 
 
 @query(

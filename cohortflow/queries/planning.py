@@ -269,14 +269,15 @@ def processed_counts(spark, sf_dir):
 
 def _result_directories(spark, sf_dir):
     """Pages as result directories of hosts; the language stands for the analysis type."""
-    pages = table(spark, sf_dir, "pages")
-    return pages.select(
-        F.split_part("url", F.lit("/"), F.lit(3)).alias("individual"),
-        F.when(F.col("url").contains("/en/"), "TF")
-        .when(F.col("url").contains("/fr/"), "SG")
+    url = F.col("url")
+    name = F.when(url.contains("?"), "/work").when(url.contains("#"), "/pipeline_info")
+    return table(spark, sf_dir, "pages").select(
+        F.split_part(url, F.lit("/"), F.lit(3)).alias("individual"),
+        F.when(url.contains("/en/"), "TF")
+        .when(url.contains("/fr/"), "SG")
         .otherwise("XX")
         .alias("analysis_type"),
-        F.col("url").alias("path"),
+        F.concat(url, name.otherwise("/workflow")).alias("path"),
     )
 
 
@@ -289,7 +290,10 @@ def _listed(spark, sf_dir):
 _DIRECTORIES_SQL = """directories AS (
     SELECT split_part(url, '/', 3) AS individual,
            CASE WHEN url LIKE '%/en/%' THEN 'TF' WHEN url LIKE '%/fr/%' THEN 'SG' ELSE 'XX' END
-               AS analysis_type, url AS path FROM pages),
+               AS analysis_type,
+           url || CASE WHEN contains(url, '?') THEN '/work' WHEN contains(url, '#')
+                       THEN '/pipeline_info' ELSE '/workflow' END AS path
+    FROM pages),
 listed AS (SELECT split_part(url, '/', 3) AS id FROM pages WHERE length(html) > 1000)"""
 
 
@@ -298,23 +302,21 @@ listed AS (SELECT split_part(url, '/', 3) AS id FROM pages WHERE length(html) >
     f"""WITH {_DIRECTORIES_SQL}
         SELECT * FROM directories WHERE analysis_type <> 'XX'
           AND individual IN (SELECT id FROM listed)
-          AND NOT regexp_matches(path, '(^|[^A-Za-z0-9_])(m|ref|top)([^A-Za-z0-9_]|$)')""",
+          AND NOT regexp_matches(path, '(^|[^A-Za-z0-9_])(work|1240k\\.imputed|GTL_output|pipeline_info)'
+                                       || '([^A-Za-z0-9_]|$)')""",
 )
 def purge_plan(spark, sf_dir):
-    files = _result_directories(spark, sf_dir)
-    return housekeeping.purge_plan(_listed(spark, sf_dir), files, keep=("m", "ref", "top"))
+    return housekeeping.purge_plan(_listed(spark, sf_dir), _result_directories(spark, sf_dir))
 
 
 @query(
     "work_directories",
     f"""WITH {_DIRECTORIES_SQL}
         SELECT * FROM directories WHERE analysis_type <> 'XX'
-          AND individual IN (SELECT id FROM listed) AND str_split(path, '/')[-1] IN ('25#top', '685')""",
+          AND individual IN (SELECT id FROM listed) AND suffix(path, '/work')""",
 )
 def work_directories(spark, sf_dir):
-    files = _result_directories(spark, sf_dir)
-    names = ("25#top", "685")
-    return housekeeping.work_directories(_listed(spark, sf_dir), files, names=names)
+    return housekeeping.work_directories(_listed(spark, sf_dir), _result_directories(spark, sf_dir))
 
 
 def _catalog(spark, sf_dir):

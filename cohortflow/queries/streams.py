@@ -53,11 +53,12 @@ def stream_runs(spark, sf_dir):
 @query(
     "stream_scrub",
     """SELECT event_id, 'U' || user_id AS sample FROM events
-       WHERE user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')""",
+       WHERE user_id NOT IN (SELECT o_custkey FROM orders
+                             WHERE o_orderstatus = 'P' AND o_totalprice > 400000)""",
 )
 def stream_scrub(spark, sf_dir):
-    sensitive = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
-    marked = sensitive.select(F.concat(F.lit("U"), text("o_custkey"), F.lit(".A1")).alias("id"))
+    orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P' AND o_totalprice > 400000")
+    marked = orders.select(F.concat(F.lit("U"), text("o_custkey"), F.lit(".A1")).alias("id"))
     samples = event_stream(spark, sf_dir).select(
         "event_id", F.concat(F.lit("U"), text("user_id")).alias("sample")
     )

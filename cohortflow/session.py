@@ -31,6 +31,10 @@ def local_session(cores: int | str = "*", app: str = "cohortflow") -> SparkSessi
         .config("spark.ui.showConsoleProgress", "false")
         # Small local partitions would otherwise all be put into one task.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+        # Joins of more than tiny tables are broadcast on measured sizes only, not on estimates.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10m")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "32m")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
