@@ -22,7 +22,7 @@ def enforce_types(df: DataFrame, schema: T.StructType) -> DataFrame:
     wanted = {field.name: field.dataType for field in schema}
 
     def typed(name: str) -> Column:
-        if name not in wanted:
+        if name not in wanted or df.schema[name].dataType == wanted[name]:
             return F.col(name)
         if isinstance(wanted[name], T.BooleanType):
             return flag(F.col(name)).alias(name)

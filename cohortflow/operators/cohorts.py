@@ -46,14 +46,15 @@ def expand_cohorts(
 ) -> DataFrame:
     """Cohort expansion for many runs at once, linear in the rows.
 
-    ``runs`` holds one ``run_id`` per row; ``keys`` (such as the analysis type) keep cohorts apart.
+    ``runs`` holds one ``run_id`` per row; ``keys`` (such as the analysis type) keep cohorts apart. If
+    ``runs`` has key columns too, a run counts for those keys only.
     ``union`` returns the rows of an individual that any of the runs touches. ``last_run`` returns
     for each target individual what its last run alone would, as when runs are handled one after
     another and each rewrites the sheet. Rows are matched against distinct IDs only, so no row is
     multiplied by the number of runs.
     """
-    requested = runs.select("run_id").distinct()
-    of_runs = flat.join(requested, "run_id", "left_semi")
+    by = ["run_id", *[key for key in keys if key in runs.columns]]
+    of_runs = flat.join(runs.select(*by).distinct(), by, "left_semi")
     if policy == "union":
         return flat.join(cohort_ids(of_runs, keys), [*keys, FULL], "left_semi")
     if policy != "last_run":

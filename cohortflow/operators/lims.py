@@ -6,12 +6,21 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortflow import fixed_values as V
 from cohortflow.functions import values
 from cohortflow.session import broadcast_if_small, fixed_table
 
 
+# Columns of the flat result that are flags, however the database spells them.
+FLAGS = (
+    T.StructType()
+    .add("ethically_culturally_sensitive", T.BooleanType())
+    .add("exclude", T.BooleanType())
+)
+
+
 def pipeline_names(spark: SparkSession) -> DataFrame:
     """Fixed lookup ``(analysis_type, analysis_id)``: 16 rows."""
     rows = [(code, name) for code, names in V.PIPELINE_NAMES.items() for name in names]

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.functions import ids
+from cohortflow.functions import ids, values
 from cohortflow.operators import cohorts, lims, planning, restriction, run_sheets
 from cohortflow.operators.numbering import GROUP_LIMIT
 
@@ -19,7 +19,8 @@ def cohort_rows(
 
     ``runs`` has ``run_id``, and may name an ``analysis_type`` for each run.
     """
-    rows = lims.not_excluded(lims.consented(lims.lims_flat(tables)))
+    flat = values.enforce_types(lims.lims_flat(tables), lims.FLAGS)
+    rows = lims.not_excluded(lims.consented(flat))
     return cohorts.expand_cohorts(
         lims.with_analysis_type(rows), runs, ["analysis_type"], policy=policy
     )

@@ -14,7 +14,8 @@ from cohortflow.streaming import discovery, restriction
 
 def event_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # A pattern, because a stream source takes a folder of files but no single file by name.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
 def drain(stream, label):

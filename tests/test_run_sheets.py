@@ -221,6 +221,23 @@ def test_whitelist_and_restriction(spark):
     }
 
 
+def test_runs_of_one_analysis_type(spark):
+    """Run R1 was found for shotgun data only, so it prepares no other sheets."""
+    found = spark.createDataFrame([("SG", "R1"), ("TF", "R9")], "analysis_type string, run_id string")
+    made = prepare.prepare_run_sheets(frames(spark), found, protocols(spark))
+    assert {(r.analysis_type, r.target_ind) for r in made.collect()} == {("SG", "ABC008")}
+
+
+def test_flags_as_text(spark):
+    tables = frames(spark)
+    words = F.when(F.col("exclude"), "yes").when(~F.col("exclude"), "no")
+    spelled = tables["sequencing"].withColumn("exclude", words)
+    made = prepare.prepare_run_sheets(
+        {**tables, "sequencing": spelled}, runs(spark, "R1"), protocols(spark)
+    )
+    assert made.exceptAll(sheet(spark, "R1")).isEmpty() and made.count() == sheet(spark, "R1").count()
+
+
 def test_empty_run(spark):
     assert sheet(spark, "R999").isEmpty()
 
