@@ -68,8 +68,9 @@ def update_metadata(
     """
     updates = results.distinct()
     if lims is not None:
-        samples = with_individual(metadata.select(key), key)
-        lab = attach_lims(samples, lims).withColumnRenamed(key, "_sample")
+        # Only lab rows with a sample can match here, so the left half of attach_lims is enough.
+        samples = with_individual(metadata.select(F.col(key).alias("_sample")), "_sample")
+        lab = samples.join(lims, "individual", "left").drop("individual")
         updates = updates.join(lab, F.col("Sample_Name") == F.col("_sample"), "left").drop("_sample")
     return overwrite_join(metadata, updates, key, "Sample_Name", keep_left_when_null)
 

@@ -9,18 +9,25 @@ from cohortflow import fixed_values as V
 
 
 def scan_files(
-    spark: SparkSession, root: str, pattern: str = "*", content: bool = False
+    spark: SparkSession,
+    root: str,
+    pattern: str = "*",
+    content: bool = False,
+    modified_after: str | None = None,
 ) -> DataFrame:
     """Files below ``root`` whose name matches: ``path, modificationTime, length``.
 
     Content is only read where asked for. Files in folders whose name starts with a dot are skipped.
+    ``modified_after`` (``yyyy-MM-ddTHH:mm:ss``) drops older files while they are listed.
     """
-    files = (
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .load(root)
     )
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    files = reader.load(root)
     columns = ["path", "modificationTime", "length"]
     return files.select(*columns, "content") if content else files.select(*columns)
 

@@ -203,6 +203,9 @@ def test_file_states_and_checksums(spark, tmp_path):
     found = files.scan_files(spark, str(tmp_path), "*.geno")
     assert found.columns == ["path", "modificationTime", "length"]
     assert [(os.path.basename(r.path), r.length) for r in found.collect()] == [("one.geno", 5)]
+    os.utime(tmp_path / "TF" / "ABC" / "one.geno", (0, 1_600_000_000))
+    recent = files.scan_files(spark, str(tmp_path), modified_after="2021-01-01T00:00:00")
+    assert [os.path.basename(r.path) for r in recent.collect()] == ["one.txt"]
     sums = packages.checksums(files.scan_files(spark, str(tmp_path), "*.geno", content=True))
     assert sums.first().md5 == "5d41402abc4b2a76b9719d911017c592"
 

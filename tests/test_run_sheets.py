@@ -267,7 +267,7 @@ def test_flags_and_types(spark):
     df = spark.createDataFrame(
         [("Yes", "1", "2.5"), ("no", "x", ""), ("", None, None)], "f string, i string, d string"
     )
-    schema = T.StructType([]).add("f", "boolean").add("i", "int").add("d", "double")
+    schema = T.StructType([]).add("f", "boolean").add("i", "integer").add("d", "double")
     assert [tuple(r) for r in values.enforce_types(df, schema).collect()] == [
         (True, 1, 2.5),
         (False, None, None),
