@@ -17,7 +17,8 @@ def scan_files(
 ) -> DataFrame:
     """Files below ``root`` whose name matches: ``path, modificationTime, length``.
 
-    Content is only read where asked for. Files in folders whose name starts with a dot are skipped.
+    Content is only read where asked for. Files in folders whose name starts with a dot are skipped,
+    and so are files without any content, which Spark's file scan leaves out.
     ``modified_after`` (``yyyy-MM-ddTHH:mm:ss``) drops older files while they are listed.
     """
     reader = (

@@ -197,7 +197,8 @@ def test_genotype_files(spark, tmp_path):
 def test_file_states_and_checksums(spark, tmp_path):
     (tmp_path / "TF" / "ABC").mkdir(parents=True)
     (tmp_path / "TF" / "ABC" / "one.geno").write_bytes(b"hello")
-    (tmp_path / "TF" / "ABC" / "one.txt").write_bytes(b"")
+    (tmp_path / "TF" / "ABC" / "one.txt").write_bytes(b"t")
+    (tmp_path / "TF" / "ABC" / "empty.txt").write_bytes(b"")
     (tmp_path / ".hidden").mkdir()
     (tmp_path / ".hidden" / "two.geno").write_bytes(b"x")
     found = files.scan_files(spark, str(tmp_path), "*.geno")
