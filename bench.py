@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from cohortflow.queries import QUERIES
@@ -58,7 +59,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES")
     chosen = names.split(",") if names else HEADLINE
-    spark = local_session(os.environ.get("BENCH_CPUS", str(os.cpu_count())), "cohortflow-bench")
+    spark = local_session(
+        os.environ.get("BENCH_CPUS", str(os.cpu_count())), "cohortflow-bench", tempfile.mkdtemp(prefix="bench-")
+    )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name in chosen:

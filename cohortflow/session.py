@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -17,12 +16,13 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 BROADCAST_ROWS = 200_000
 
 
-def local_session(cores: int | str = "*", app: str = "cohortflow") -> SparkSession:
-    """Session for tests and local benchmarks; clusters bring their own."""
+def local_session(cores: int | str, app: str, scratch: str) -> SparkSession:
+    """Session for tests and local benchmarks, with ``scratch`` as its shared folder; clusters bring their own."""
     partitions = str(cores) if str(cores).isdigit() else "8"
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        .config(_CHECKPOINT_KEY, scratch)
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
@@ -41,17 +41,12 @@ def local_session(cores: int | str = "*", app: str = "cohortflow") -> SparkSessi
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
-
-    Only a local session that names none gets a temporary folder of its own.
-    """
+    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     named = spark.conf.get(_CHECKPOINT_KEY, None) or context.getConf().get(_CHECKPOINT_KEY)
     named = named or context.getCheckpointDir()
     if named is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="cohortflow-")
+        raise ValueError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named

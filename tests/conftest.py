@@ -4,8 +4,8 @@ from cohortflow.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "cohortflow-tests")
+def spark(tmp_path_factory):
+    session = local_session(8, "cohortflow-tests", str(tmp_path_factory.mktemp("scratch")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -3,7 +3,8 @@
 import pytest
 from oracle import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from cohortflow.queries import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,14 +15,14 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry_has_rows(spark):
     assert not entry(spark).isEmpty()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, connection, name):
-    frame = queries()[name](spark, SF_DIR)
-    assert differences(frame, connection, oracle_sql()[name]) is None
+    frame = QUERIES[name](spark, SF_DIR)
+    assert differences(frame, connection, SQL[name]) is None
