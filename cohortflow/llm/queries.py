@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortflow.llm import line_dedup, quality
+from cohortflow.llm import line_dedup, ngram_join, quality
 from cohortflow.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -46,3 +46,35 @@ def op8(spark, sf_dir):
         *("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"),
         *("lang", "surprise", "low", "high"),
     )
+
+
+@query(
+    "op6_ngram_jaccard",
+    r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM words)
+), sizes AS (
+  SELECT doc_id, count(s) AS n FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b USING (s)
+  WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reach AS (
+  SELECT doc_id AS d, doc_id AS r FROM documents
+  UNION
+  SELECT reach.d, links.b FROM reach JOIN links ON reach.r = links.a
+)
+SELECT sizes.doc_id, n AS n_shingles, min(r) AS component_id
+FROM sizes JOIN reach ON sizes.doc_id = d GROUP BY ALL
+""",
+)
+def op6(spark, sf_dir):
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
