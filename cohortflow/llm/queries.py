@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortflow.llm import line_dedup, ngram_join, quality
+from cohortflow.llm import line_dedup, ngram_join, quality, substring_dedup
 from cohortflow.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -78,3 +78,34 @@ FROM sizes JOIN reach ON sizes.doc_id = d GROUP BY ALL
 def op6(spark, sf_dir):
     found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query(
+    "op5_substring_dedup",
+    r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, p, array_to_string(w[p:p + 34], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM words)
+), starts AS (
+  SELECT doc_id, p FROM windows WHERE s IN (SELECT s FROM windows GROUP BY s HAVING count(*) > 1)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS k FROM starts
+), each AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM words
+), marked AS (
+  SELECT each.*, gone.k IS NOT NULL AS out FROM each LEFT JOIN gone USING (doc_id, k)
+), cut AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE out) AS n_removed,
+    string_agg(word, ' ' ORDER BY k) FILTER (WHERE NOT out) AS kept
+  FROM marked GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN cut USING (doc_id)
+""",
+)
+def op5(spark, sf_dir):
+    cut = substring_dedup.cut_passages(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
