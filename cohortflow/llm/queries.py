@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortflow.llm import line_dedup, ngram_join, quality, substring_dedup
+from cohortflow.llm import line_dedup, ngram_join, packing, quality, substring_dedup
 from cohortflow.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -109,3 +109,8 @@ FROM documents LEFT JOIN cut USING (doc_id)
 def op5(spark, sf_dir):
     cut = substring_dedup.cut_passages(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op7_packing")
+def op7(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
