@@ -69,16 +69,21 @@ class Words:
 
     def word_hashes(self, which: int = 0) -> np.ndarray:
         """One of two independent 64-bit hashes of each vocabulary word."""
-        if len(self.vocabulary) == 0:
-            return np.zeros(0, np.uint64)
-        listed = self.vocabulary.to_numpy(zero_copy_only=False)
-        return pd.util.hash_array(listed, hash_key=_KEYS[which], categorize=False)
+        return hash_texts(self.vocabulary, which)
 
     def hashes(self, which: int = 0) -> np.ndarray:
         """The hash of each word in turn."""
         return self.word_hashes(which)[self.ids]
 
 
+def hash_texts(texts: pa.Array, which: int = 0) -> np.ndarray:
+    """One of two independent 64-bit hashes of each text."""
+    if len(texts) == 0:
+        return np.zeros(0, np.uint64)
+    listed = texts.to_numpy(zero_copy_only=False)
+    return pd.util.hash_array(listed, hash_key=_KEYS[which], categorize=False)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     x = x.astype(np.uint64, copy=True)

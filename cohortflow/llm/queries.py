@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortflow.llm import line_dedup, ngram_join, packing, quality, substring_dedup
+from cohortflow.llm import line_dedup, mixing, ngram_join, packing, quality, substring_dedup
 from cohortflow.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -114,3 +114,14 @@ def op5(spark, sf_dir):
 @query("op7_packing")
 def op7(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+# Toxic documents go, poor ones become a twentieth of the tokens, the others stay.
+DOMAIN = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "good")
+WEIGHTS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
+
+
+@query("op2_mixing")
+def op2(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mixing.mix_to_targets(docs, labels, DOMAIN, WEIGHTS, "good").drop("row")
