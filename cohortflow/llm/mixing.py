@@ -69,9 +69,10 @@ def _domain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _features(texts: pa.Array, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A row per document: presence of the chosen words, roots of byte class shares, and a constant; and word counts."""
+    """A row per document, and its words: presence of the chosen words, roots of byte class shares, then the shares of
+    distinct words and of words equal to the one before, the size, and a constant."""
     holder, word, words = _presence(texts)
-    out = np.zeros((len(texts), len(chosen) + 65), np.float32)
+    out = np.zeros((len(texts), len(chosen) + 68), np.float32)
     if len(chosen) and len(word):
         at = np.minimum(np.searchsorted(chosen, word), len(chosen) - 1)
         hit = chosen[at] == word
@@ -80,6 +81,12 @@ def _features(texts: pa.Array, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarr
     owner = np.repeat(np.arange(len(texts)), np.diff(borders))
     shares = np.bincount(owner * 64 + CLASSES[data], minlength=len(texts) * 64).reshape(-1, 64)
     out[:, len(chosen) : len(chosen) + 64] = np.sqrt(shares / np.maximum(np.diff(borders), 1)[:, None])
+    size, owner = np.maximum(words.counts, 1), words.owner()
+    distinct = np.unique(owner * max(len(words.vocabulary), 1) + words.ids) // max(len(words.vocabulary), 1)
+    again = (words.ids[1:] == words.ids[:-1]) & (owner[1:] == owner[:-1])
+    out[:, -4] = np.bincount(distinct, minlength=len(texts)) / size
+    out[:, -3] = np.sqrt(np.bincount(owner[1:][again], minlength=len(texts)) / size)
+    out[:, -2] = np.log1p(words.counts) / 8
     out[:, -1] = 1
     return out, words.counts
 
@@ -105,7 +112,7 @@ class Classifier:
         return score / score.sum(axis=1, keepdims=True)
 
 
-def fit_softmax(x: np.ndarray, y: np.ndarray, kinds: int, steps: int = 300, decay: float = 1e-4) -> np.ndarray:
+def fit_softmax(x: np.ndarray, y: np.ndarray, kinds: int, steps: int = 600, decay: float = 2e-5) -> np.ndarray:
     """Weights of a softmax regression by accelerated gradient steps; each domain has the weight of its rows."""
     weights = np.zeros((x.shape[1], kinds), np.float32)
     ahead = weights.copy()
@@ -204,8 +211,11 @@ def _rate(steps: list[np.ndarray], kinds: int) -> Column:
     )
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, steps: int = STEPS) -> tuple[Column, np.ndarray]:
-    """The rate as a column over ``p0, p1, ...``, and the expected totals it gives. ``targets`` are tokens."""
+def fit_rates(members: DataFrame, targets: np.ndarray, sure: int = 0, steps: int = STEPS) -> tuple[Column, float]:
+    """The rate as a column over ``p0, p1, ...``, and the rate of a document that surely is of domain ``sure``.
+
+    ``targets`` are tokens of each domain.
+    """
     kinds = len(targets)
     rows = members.agg(
         *(F.sum(F.col("n_tokens") * F.col(f"p{i}") * F.col(f"p{j}")) for i in range(kinds) for j in range(kinds))
@@ -221,7 +231,10 @@ def fit_rates(members: DataFrame, targets: np.ndarray, steps: int = STEPS) -> tu
         ).first()
         totals = np.array([x or 0.0 for x in got])
         if len(moves) == steps or np.abs(totals - targets).max() <= TOLERANCE * max(targets.sum(), 1.0):
-            return rate, totals
+            certain = 1.0
+            for one in moves:
+                certain = max(0.0, certain - float(one[sure]))
+            return rate, certain
         moves.append(inverse @ (totals - targets))
 
 
@@ -239,8 +252,8 @@ def mix_to_targets(
     """``row, doc_id, n_tokens, domain, rate, copies`` and a posterior for each domain.
 
     ``domain`` is an expression over ``labels``. ``weights`` are the target shares of tokens; the size of the mixture is
-    such that domain ``anchor`` keeps its expected tokens. ``copies`` is the rate, rounded up or down by a hash of the
-    document so that expected totals stay.
+    such that a document which surely is of domain ``anchor`` has a rate of 1. ``copies`` is the rate, rounded up or
+    down by a hash of the document so that expected totals stay.
     """
     domains = sorted(weights)
     rows = labelled_rows(docs, labels, domain, domains, id_column, text_column, fit_rows)
@@ -249,7 +262,9 @@ def mix_to_targets(
     at = domains.index(anchor)
     kept = members.agg(F.sum(F.col("n_tokens") * F.col(f"p{at}"))).first()[0] or 0.0
     targets = np.array([weights[one] / weights[anchor] * kept for one in domains])
-    rate, _ = fit_rates(members, targets)
+    rate, sure = fit_rates(members, targets, at)
+    # The same factor for all rates leaves the shares as they are.
+    rate = rate / sure if sure > 0 else rate
     most = F.greatest(*(F.col(f"p{k}") for k in range(len(domains))))
     label = F.coalesce(*(F.when(F.col(f"p{k}") == most, F.lit(one)) for k, one in enumerate(domains)))
     chance = F.pmod(F.xxhash64(F.lit(seed), "row"), F.lit(1 << 30)) / float(1 << 30)
