@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortflow.llm import line_dedup, mixing, ngram_join, packing, quality, substring_dedup
+from cohortflow.llm import line_dedup, mixing, ngram_join, packing, quality, secrets, substring_dedup
 from cohortflow.llm.registry import QUERIES, SQL, query, table
+from cohortflow.session import scratch_path
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -125,3 +126,48 @@ WEIGHTS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
 def op2(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return mixing.mix_to_targets(docs, labels, DOMAIN, WEIGHTS, "good").drop("row")
+
+
+def _spans_sql(kind: str, rank: int, pattern: str, least: int, group: int, options: str = "s") -> str:
+    """Spans of one rule from the lengths of gaps and matches."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+SELECT doc_id, unnest(list_transform(
+    list_filter(range(1, len(g) + 1), lambda i: v[i] >= {least}),
+    lambda i: {{'start': list_sum(g[1:i]) + coalesce(list_sum(m[1:i - 1]), 0), 'rank': {rank}, 'kind': '{kind}',
+      'stop': list_sum(g[1:i]) + list_sum(m[1:i])}})) AS span
+FROM (SELECT doc_id, {', '.join(f"list_transform(regexp_extract_all(text, '(.*?)({quoted})', {k}, '{options}'), lambda x: length(x)) AS {n}" for n, k in (('g', 1), ('m', 2), ('v', group)))} FROM documents)
+"""
+
+
+def _secrets_sql() -> str:
+    parts = []
+    for rank, rule in enumerate(secrets.RULES, 1):
+        pattern, options = rule.pattern, "s"
+        if rule.kind == "assign":
+            pattern, options = pattern.replace("(?i:", "(?:").replace("password|passwd|secret|token|api_?key", "|".join(
+                "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+                for word in ("password", "passwd", "secret", "token", "api_?key"))), "s"
+        # RE2 allows at most 1000 repeats in a count.
+        pattern = pattern.replace("{8,4096}", "{8,}")
+        parts.append(_spans_sql(rule.kind, rank, pattern, rule.least, 3 if rule.grouped else 2, options))
+    spans = " UNION ALL ".join(parts)
+    listed = "list_transform({}, lambda x: x.kind || ':' || x.start || ':' || x.stop)"
+    base = "list_filter(spans, lambda x: x.rank <= 3)"
+    return f"""
+WITH found AS (SELECT doc_id, list_sort(list(span)) AS spans FROM ({spans}) GROUP BY doc_id),
+whole AS (SELECT documents.doc_id, coalesce(spans, []) AS spans FROM documents LEFT JOIN found USING (doc_id))
+SELECT doc_id,
+  CAST(len(list_filter(spans, lambda x: x.rank = 1)) AS BIGINT) AS n_assign,
+  CAST(len(list_filter(spans, lambda x: x.rank = 2)) AS BIGINT) AS n_access,
+  CAST(len(list_filter(spans, lambda x: x.rank = 3)) AS BIGINT) AS n_hex,
+  sha256(coalesce(array_to_string({listed.format(base)}, ','), '')) AS base_sha256,
+  coalesce(array_to_string({listed.format('spans')}, ','), '') AS spans
+FROM whole
+"""
+
+
+@query("op9_secret_scan", _secrets_sql())
+def op9(spark, sf_dir):
+    scanned = secrets.scan_versions(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
+    return secrets.report(scanned).withColumnRenamed("path", "doc_id")
