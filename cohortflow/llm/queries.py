@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortflow.llm import line_dedup, mixing, ngram_join, packing, quality, secrets, substring_dedup
+from cohortflow.llm import line_dedup, lm, mixing, ngram_join, packing, quality, secrets, substring_dedup
 from cohortflow.llm.registry import QUERIES, SQL, query, table
 from cohortflow.session import scratch_path
 
@@ -171,3 +171,9 @@ FROM whole
 def op9(spark, sf_dir):
     scanned = secrets.scan_versions(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
     return secrets.report(scanned).withColumnRenamed("path", "doc_id")
+
+
+@query("op10_lm_scores")
+def op10(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return lm.katz_scores(table(spark, sf_dir, "documents"), held_out)
