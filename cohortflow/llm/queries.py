@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortflow.llm import line_dedup, lm, mixing, ngram_join, packing, quality, secrets, substring_dedup
+from cohortflow.llm import (
+    ann,
+    line_dedup,
+    lm,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    secrets,
+    substring_dedup,
+    training_order,
+)
 from cohortflow.llm.registry import QUERIES, SQL, query, table
 from cohortflow.session import scratch_path
 
@@ -177,3 +188,18 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     return lm.katz_scores(table(spark, sf_dir, "documents"), held_out)
+
+
+@query("op3_ann_search")
+def op3(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORDER_KEY = 20240607
+
+
+@query("op4_training_order")
+def op4(spark, sf_dir):
+    folder = scratch_path(spark, "training-order")
+    count = training_order.write_training_order(table(spark, sf_dir, "documents"), folder, ORDER_KEY)
+    return training_order.read_training_order(spark, folder, count, ORDER_KEY).drop("ids")
