@@ -12,8 +12,8 @@ uses the words that tell the domains apart and the shares of classes of bytes. E
 
 Defined results: a missing text has no tokens and adds nothing to any total; its rate is that of its posterior.
 Labels without a domain, and labels of documents that are not there, are not used. A document with several labels
-is used with the smallest domain name. Repeated rows are separate documents with the same rate. With no labels
-for a wanted domain, or no labels at all, the call fails with a message, since no posterior can be given.
+is used with the smallest domain name. Repeated rows are separate documents with the same rate. A domain without
+labelled documents gets hardly any membership; without any labels all documents are of the anchor domain.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ LEAST_DOCUMENTS = 5
 STEPS = 60
 TOLERANCE = 1e-4
 _TRIM = ".,;:!?\"'()[]"
+# Features besides the presence of words.
+_EXTRA = 68
 
 
 def _vocabulary(texts: pa.Array) -> tuple[Words, np.ndarray]:
@@ -72,7 +74,7 @@ def _features(texts: pa.Array, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """A row per document, and its words: presence of the chosen words, roots of byte class shares, then the shares of
     distinct words and of words equal to the one before, the size, and a constant."""
     holder, word, words = _presence(texts)
-    out = np.zeros((len(texts), len(chosen) + 68), np.float32)
+    out = np.zeros((len(texts), len(chosen) + _EXTRA), np.float32)
     if len(chosen) and len(word):
         at = np.minimum(np.searchsorted(chosen, word), len(chosen) - 1)
         hit = chosen[at] == word
@@ -143,15 +145,19 @@ def labelled_rows(
     return texts.join(F.broadcast(some), "doc_id").select("domain", "text")
 
 
-def fit_classifier(rows: DataFrame, domains: list[str]) -> Classifier:
-    """``rows`` as by :func:`labelled_rows`."""
+def fit_classifier(rows: DataFrame, domains: list[str], anchor: str) -> Classifier:
+    """``rows`` as by :func:`labelled_rows`. With labels of one domain only, all documents count as of that domain, and
+    without any labels as of ``anchor``."""
     rows = written(rows, "labelled")
+    found = {one["domain"]: one["count"] for one in rows.groupBy("domain").count().collect()}
     kinds = len(domains)
-    sizes = np.zeros(kinds)
-    for one in rows.groupBy("domain").count().collect():
-        sizes[one["domain"]] = one["count"]
-    if (sizes == 0).any():
-        raise ValueError(f"no labelled document of domains {[d for d, n in zip(domains, sizes) if n == 0]}")
+    sizes = np.array([found.get(k, 0) for k in range(kinds)], float)
+    if (sizes > 0).sum() < 2:
+        sure = int(np.argmax(sizes)) if sizes.any() else domains.index(anchor)
+        weights = np.zeros((_EXTRA, kinds), np.float32)
+        weights[-1] = -1e4
+        weights[-1, sure] = 0
+        return Classifier(list(domains), np.zeros(0, np.uint64), weights)
     counts = map_arrow(rows, _domain_words, "domain int, word bigint, n bigint").groupBy("word").agg(
         *(F.sum(F.when(F.col("domain") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(kinds)),
         F.sum("n").alias("n"),
@@ -160,9 +166,12 @@ def fit_classifier(rows: DataFrame, domains: list[str]) -> Classifier:
     chosen: set[int] = set()
     for k in range(kinds):
         # How far a word's share in this domain lies from its share in the others, in standard errors.
-        inside, outside = F.col(f"n{k}") / float(sizes[k]), (F.col("n") - F.col(f"n{k}")) / float(max(sizes.sum() - sizes[k], 1))
+        if not sizes[k]:
+            continue
+        others = float(max(sizes.sum() - sizes[k], 1))
+        inside, outside = F.col(f"n{k}") / float(sizes[k]), (F.col("n") - F.col(f"n{k}")) / others
         share = F.col("n") / float(sizes.sum())
-        error = F.sqrt(share * (1 - share) * float(1 / sizes[k] + 1 / max(sizes.sum() - sizes[k], 1))) + 1e-9
+        error = F.sqrt(share * (1 - share) * float(1 / sizes[k] + 1 / others)) + 1e-9
         best = counts.select("word", F.abs((inside - outside) / error).alias("z")).orderBy(F.desc("z"), "word")
         chosen.update(r["word"] for r in best.limit(WORDS_PER_DOMAIN).collect())
     ordered = np.sort(np.array(sorted(chosen), np.int64).view(np.uint64))
@@ -244,6 +253,7 @@ def mix_to_targets(
     domain: Column,
     weights: Mapping[str, float],
     anchor: str,
+    labelled: DataFrame | None = None,
     id_column: str = "doc_id",
     text_column: str = "text",
     fit_rows: int = FIT_ROWS,
@@ -251,13 +261,15 @@ def mix_to_targets(
 ) -> DataFrame:
     """``row, doc_id, n_tokens, domain, rate, copies`` and a posterior for each domain.
 
-    ``domain`` is an expression over ``labels``. ``weights`` are the target shares of tokens; the size of the mixture is
+    ``domain`` is an expression over ``labels``, whose documents are looked up in ``labelled`` (``docs`` if not given).
+    ``weights`` are the target shares of tokens; the size of the mixture is
     such that a document which surely is of domain ``anchor`` has a rate of 1. ``copies`` is the rate, rounded up or
     down by a hash of the document so that expected totals stay.
     """
     domains = sorted(weights)
-    rows = labelled_rows(docs, labels, domain, domains, id_column, text_column, fit_rows)
-    model = fit_classifier(rows, domains)
+    source = docs if labelled is None else labelled
+    rows = labelled_rows(source, labels, domain, domains, id_column, text_column, fit_rows)
+    model = fit_classifier(rows, domains, anchor)
     members = written(posteriors(docs, model, id_column, text_column), "posteriors")
     at = domains.index(anchor)
     kept = members.agg(F.sum(F.col("n_tokens") * F.col(f"p{at}"))).first()[0] or 0.0

@@ -128,9 +128,9 @@ def op7(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-# Toxic documents go, poor ones become a twentieth of the tokens, the others stay.
+# Toxic documents go, poor ones become a fiftieth of the tokens, the others stay.
 DOMAIN = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "good")
-WEIGHTS = {"good": 0.95, "poor": 0.05, "toxic": 0.0}
+WEIGHTS = {"good": 0.98, "poor": 0.02, "toxic": 0.0}
 
 
 @query("op2_mixing")

@@ -1,10 +1,17 @@
-"""A corpus pipeline of five stages: quality rules, line dedup, near duplicates, mixing, packing."""
+"""A corpus pipeline of five stages: quality rules, line dedup, near duplicates, mixing, packing.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before kept. Documents leave when the quality
+rules reject them, when another document of their group of near copies stays, or when mixing gives them no copy.
+Lines that an earlier document holds leave the text. The last stage returns the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortflow.llm import line_dedup, quality
+from cohortflow.llm import line_dedup, mixing, ngram_join, packing, quality
+from cohortflow.llm.queries import DOMAIN, WEIGHTS
 from cohortflow.session import written
 
 
@@ -14,11 +21,34 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without lines that an earlier document holds."""
-    return line_dedup.drop_repeated_lines(docs)
+    """Every document, without lines that an earlier document holds; ``n_chars`` follows the text."""
+    return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest ID."""
+    return ngram_join.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target weights of their domains ask; labels are those of the source documents."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    sources = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return mixing.take_copies(docs, mixing.mix_to_targets(docs, labels, DOMAIN, WEIGHTS, "good", labelled=sources))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences that hold the sources in their proportions."""
+    return packing.pack(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("line_dedup", repeated_lines)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", repeated_lines),
+    ("ngram_jaccard", near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
 # SQL can express neither the perplexity model nor the packing.
 ORACLE_SQL = None
@@ -27,8 +57,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; the rows of one are written to the shared folder and read by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
