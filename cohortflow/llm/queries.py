@@ -129,14 +129,19 @@ def op7(spark, sf_dir):
 
 
 # Toxic documents go, poor ones become a fiftieth of the tokens, the others stay.
-DOMAIN = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "poor").when(F.col("quality") == 1, "good")
 WEIGHTS = {"good": 0.98, "poor": 0.02, "toxic": 0.0}
 
 
+def domain():
+    """The domain of a row of ``labels``."""
+    toxic, quality = F.col("toxic"), F.col("quality")
+    return F.when(toxic == 1, "toxic").when(quality == 0, "poor").when(quality == 1, "good")
+
+
 @query("op2_mixing")
 def op2(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return mixing.mix_to_targets(docs, labels, DOMAIN, WEIGHTS, "good").drop("row")
+    return mixing.mix_to_targets(docs, labels, domain(), WEIGHTS, "good").drop("row")
 
 
 def _spans_sql(kind: str, rank: int, pattern: str, least: int, group: int, options: str = "s") -> str:

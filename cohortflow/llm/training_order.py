@@ -89,16 +89,16 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, length: int) -> Iterator[
         yield rows(rest, len(rest))
 
 
-def _place(batches: Iterator[pa.RecordBatch], count: int, key: int) -> Iterator[pa.RecordBatch]:
+def _place(batches: Iterator[pa.RecordBatch], count: int, key: int, per_shard: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             slot = permute(batch.column("number").to_numpy(), count, key)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(slot // SHARD_RECORDS), batch.column("ids")], names=["slot", "shard", "ids"]
+                [pa.array(slot), pa.array(slot // per_shard), batch.column("ids")], names=["slot", "shard", "ids"]
             )
 
 
-def _records(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _records(batches: Iterator[pa.RecordBatch], length: int, per_shard: int, per_chunk: int) -> Iterator[pa.RecordBatch]:
     """Chunks of records of consecutive slots; rows come sorted by slot."""
     held: list[tuple[int, bytes]] = []
 
@@ -109,7 +109,7 @@ def _records(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         )
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([first // SHARD_RECORDS], pa.int64()),
+                pa.array([first // per_shard], pa.int64()),
                 pa.array([first], pa.int64()),
                 pa.array([len(held)], pa.int32()),
                 pa.array([data], pa.binary()),
@@ -119,7 +119,7 @@ def _records(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
     for batch in batches:
         for slot, ids in zip(batch.column("slot").to_pylist(), batch.column("ids").to_pylist()):
-            if held and slot // CHUNK_RECORDS != held[0][0] // CHUNK_RECORDS:
+            if held and slot // per_chunk != held[0][0] // per_chunk:
                 yield chunk()
                 held.clear()
             held.append((slot, ids))
@@ -134,8 +134,10 @@ def write_training_order(
     vocabulary: str | None = None,
     text_column: str = "text",
     length: int = LENGTH,
+    per_shard: int = SHARD_RECORDS,
+    per_chunk: int = CHUNK_RECORDS,
 ) -> int:
-    """Writes ``folder`` and returns the number of sequences.
+    """Writes ``folder`` and returns the number of sequences. ``per_chunk`` must divide ``per_shard``.
 
     The table holds ``shard, first_slot, n, records``: ``n`` records of consecutive slots from ``first_slot``. Each shard
     lies in one file, sorted.
@@ -153,16 +155,16 @@ def write_training_order(
     numbered = cut.join(broadcast_if_small(offsets), "part").select(
         (F.col("before") + F.col("place")).alias("number"), "ids"
     )
-    placed = map_arrow(numbered, _place, "slot bigint, shard bigint, ids binary", count, key)
-    shards = max(1, -(-count // SHARD_RECORDS))
+    placed = map_arrow(numbered, _place, "slot bigint, shard bigint, ids binary", count, key, per_shard)
+    shards = max(1, -(-count // per_shard))
     ranged = placed.repartitionByRange(shards, "shard").sortWithinPartitions("slot")
-    map_arrow(ranged, _records, "shard bigint, first_slot bigint, n int, records binary", length).write.option(
-        "compression", "none"
-    ).parquet(folder)
+    schema = "shard bigint, first_slot bigint, n int, records binary"
+    records = map_arrow(ranged, _records, schema, length, per_shard, per_chunk)
+    records.write.option("compression", "none").parquet(folder)
     return count
 
 
-def _describe(batches: Iterator[pa.RecordBatch], count: int, key: int, length: int) -> Iterator[pa.RecordBatch]:
+def _describe(batches: Iterator[pa.RecordBatch], count: int, key: int, length: int, per_shard: int) -> Iterator[pa.RecordBatch]:
     size = record_bytes(length)
     for batch in batches:
         for row in batch.to_pylist():
@@ -175,7 +177,7 @@ def _describe(batches: Iterator[pa.RecordBatch], count: int, key: int, length: i
                     pa.array(slot),
                     pa.array(permute(slot, count, key, back=True)),
                     pa.array(np.full(row["n"], row["shard"], np.int64)),
-                    pa.array(slot % SHARD_RECORDS * size),
+                    pa.array(slot % per_shard * size),
                     pa.array(n),
                     pa.array([zlib.crc32(ids[k, : n[k]].tobytes()) for k in range(row["n"])], pa.int64()),
                     pa.array([ids[k, : n[k]].tobytes() for k in range(row["n"])], pa.binary()),
@@ -184,11 +186,20 @@ def _describe(batches: Iterator[pa.RecordBatch], count: int, key: int, length: i
             )
 
 
-def read_training_order(spark, folder: str, count: int, key: int, first_slot: int = 0, length: int = LENGTH) -> DataFrame:
+def read_training_order(
+    spark,
+    folder: str,
+    count: int,
+    key: int,
+    first_slot: int = 0,
+    length: int = LENGTH,
+    per_shard: int = SHARD_RECORDS,
+    per_chunk: int = CHUNK_RECORDS,
+) -> DataFrame:
     """``slot, sequence_id, shard, offset, n_tokens, ids_crc32, ids`` from ``first_slot`` on.
 
     ``offset`` is the record's first byte in its shard; ``ids`` are little-endian 32-bit numbers.
     """
-    chunks = spark.read.parquet(folder).where(F.col("first_slot") >= first_slot // CHUNK_RECORDS * CHUNK_RECORDS)
+    chunks = spark.read.parquet(folder).where(F.col("first_slot") >= first_slot // per_chunk * per_chunk)
     schema = "slot bigint, sequence_id bigint, shard bigint, offset bigint, n_tokens bigint, ids_crc32 bigint, ids binary"
-    return map_arrow(chunks, _describe, schema, count, key, length).where(F.col("slot") >= first_slot)
+    return map_arrow(chunks, _describe, schema, count, key, length, per_shard).where(F.col("slot") >= first_slot)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.llm import line_dedup, mixing, ngram_join, packing, quality
-from cohortflow.llm.queries import DOMAIN, WEIGHTS
+from cohortflow.llm.queries import WEIGHTS, domain
 from cohortflow.session import written
 
 
@@ -34,7 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights of their domains ask; labels are those of the source documents."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     sources = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return mixing.take_copies(docs, mixing.mix_to_targets(docs, labels, DOMAIN, WEIGHTS, "good", labelled=sources))
+    return mixing.take_copies(docs, mixing.mix_to_targets(docs, labels, domain(), WEIGHTS, "good", labelled=sources))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
