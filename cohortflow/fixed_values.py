@@ -155,3 +155,18 @@ TYPE_WITHOUT = {
 
 # Order in which profiles are laid over each other; the analysis type comes last.
 BASE_PROFILES = ("base", "local_paths")
+
+# Command of one pending run.
+COMMAND = (
+    "cd {directory} ; {runner} -r {version} -profile {profiles},{analysis_type} -c {config} "
+    "--input {path} --outdir {outdir} -w {outdir}/temp -ansi-log false -resume {extra}"
+)
+
+# Wording of notes in the sample metadata.
+CONTAMINATION_NOTE = (
+    "Nr Snps (per library): ",
+    ". Estimate and error are weighted means of values per library."
+    " Libraries with fewer than {cutoff} were excluded.",
+)
+NO_CONTAMINATION_NOTE = "No results found."
+SEX_NOTE = "x-rate: %.3f +- %.3f, y-rate: %.3f +- %.3f"

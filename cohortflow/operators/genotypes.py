@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
 from cohortflow.operators.numbering import number_rows
+from cohortflow.session import broadcast_if_small
 
 # Samples per text block. Calls of a block are combined into fixed places by a plain aggregation,
 # map side first; only the resulting texts are gathered per line.
@@ -92,10 +93,24 @@ def of_group(packages: DataFrame, group: str = "Unknown", column: str = "group")
     return packages.filter(F.col(column) == group)
 
 
+def chromosome_rank(chrom: Column) -> Column:
+    """Place in genome order: numbered chromosomes by number, then X, Y, the mitochondrion, and others."""
+    name = F.upper(F.regexp_replace(chrom.cast("string"), "^(?i:chr)", ""))
+    number = name.try_cast("int")
+    return (
+        F.when(number.isNotNull(), number)
+        .when(name == "X", 1001)
+        .when(name == "Y", 1002)
+        .when(name.isin("MT", "M"), 1003)
+        .otherwise(1004)
+    )
+
+
 def merged_snps(snps: DataFrame) -> DataFrame:
     """Union of the SNP lists of all packages, in genome order, with ``snp_idx`` from 0.
 
-    A SNP that packages describe differently takes the smallest description.
+    A SNP that packages describe differently takes the smallest description; ``allele_conflicts`` says
+    what that does to calls.
     """
     described = ["chrom", "pos", "genetic_pos", "ref", "alt"]
     unique = (
@@ -103,8 +118,26 @@ def merged_snps(snps: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(*described)).alias("_d"))
         .select("snp_id", *[F.col(f"_d.{name}").alias(name) for name in described])
     )
-    numbered = number_rows(unique, [], ["chrom", "pos", "snp_id"], "snp_idx")
-    return numbered.withColumn("snp_idx", F.col("snp_idx") - 1)
+    ranked = unique.withColumn("_rank", chromosome_rank(F.col("chrom")))
+    numbered = number_rows(ranked, [], ["_rank", "chrom", "pos", "snp_id"], "snp_idx")
+    return numbered.withColumn("snp_idx", F.col("snp_idx") - 1).drop("_rank")
+
+
+def allele_conflicts(snps: DataFrame, snp_list: DataFrame) -> DataFrame:
+    """``package_id, snp_id, change`` where a package describes a SNP by other alleles than the merged list.
+
+    ``swap``: the two alleles are exchanged, so are the calls. ``drop``: they are others, so the calls
+    are missing. A package that lists a SNP twice counts with the change that keeps least.
+    """
+    merged = snp_list.select("snp_id", F.col("ref").alias("_ref"), F.col("alt").alias("_alt"))
+    same = F.col("ref").eqNullSafe(F.col("_ref")) & F.col("alt").eqNullSafe(F.col("_alt"))
+    swapped = F.col("ref").eqNullSafe(F.col("_alt")) & F.col("alt").eqNullSafe(F.col("_ref"))
+    return (
+        snps.join(merged, "snp_id")
+        .filter(~same)
+        .groupBy("package_id", "snp_id")
+        .agg(F.min(F.when(swapped, "swap").otherwise("drop")).alias("change"))
+    )
 
 
 def merged_samples(inds: DataFrame) -> DataFrame:
@@ -131,12 +164,21 @@ def forge(
 
     ``genos`` has ``package_id, snp_id, sample_id, call``, ``snps`` ``package_id`` and the SNP
     columns, ``inds`` ``package_id, sample_id`` and sample columns. Every SNP of any package is
-    kept, calls a package lacks are ``missing``; no SNP by sample product is built.
+    kept, calls a package lacks are ``missing``; no SNP by sample product is built. Calls follow the
+    alleles of the merged list (``allele_conflicts``).
     """
     snp_list = merged_snps(snps)
     sample_list = merged_samples(inds)
+    conflicts = broadcast_if_small(allele_conflicts(snps, snp_list))
+    call = F.col("call").cast("string")
+    opposite = F.when(call == "0", "2").when(call == "2", "0").otherwise(call)
+    turned = F.when(F.col("change") == "swap", opposite).when(F.col("change").isNull(), call)
+    positions = broadcast_if_small(sample_list.select("package_id", "sample_id", "pos"))
     calls = (
-        genos.join(sample_list.select("package_id", "sample_id", "pos"), ["package_id", "sample_id"])
+        genos.join(positions, ["package_id", "sample_id"])
+        .join(conflicts, ["package_id", "snp_id"], "left")
+        .filter(F.col("change").isNull() | (F.col("change") == "swap"))
+        .withColumn("call", turned)
         .join(snp_list.select("snp_id", "snp_idx"), "snp_id")
         .select("snp_idx", "pos", "call")
     )

@@ -54,6 +54,22 @@ def with_individual(samples: DataFrame, key: str) -> DataFrame:
     return samples.withColumn("individual", ids.individual_id(F.col(key)))
 
 
+def one_per_sample(results: DataFrame) -> DataFrame:
+    """One row per ``Sample_Name``: that of most libraries, of equal ones the largest row.
+
+    A sample whose libraries differ in strandedness has a row for each build; the metadata has room for one.
+    """
+    rest = [name for name in results.columns if name != "Sample_Name"]
+    if not rest:
+        return results.distinct()
+    first = [name for name in ("Nr_Libraries",) if name in rest]
+    ordered = [*first, *[name for name in rest if name not in first]]
+    chosen = results.groupBy("Sample_Name").agg(F.max(F.struct(*ordered)).alias("_one"))
+    return chosen.select(
+        *[F.col("_one")[name].alias(name) if name in rest else F.col(name) for name in results.columns]
+    )
+
+
 def update_metadata(
     metadata: DataFrame,
     results: DataFrame,
@@ -64,9 +80,9 @@ def update_metadata(
     """Metadata with fresh result columns, and lab columns where given.
 
     ``results`` is keyed by ``Sample_Name``, ``lims`` by ``individual``; ``key`` names the sample
-    column of the metadata.
+    column of the metadata, which stays unique: see :func:`one_per_sample`.
     """
-    updates = results.distinct()
+    updates = one_per_sample(results)
     if lims is not None:
         # Only lab rows with a sample can match here, so the left half of attach_lims is enough.
         samples = with_individual(metadata.select(F.col(key).alias("_sample")), "_sample")

@@ -17,6 +17,13 @@ SLICE_ROWS = 2_000_000
 _POSITION_BITS = 33
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys that may be NULL; key columns come from the left."""
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
+    condition = [left[key].eqNullSafe(renamed[f"_right_{key}"]) for key in keys]
+    return left.join(renamed, condition).drop(*[f"_right_{key}" for key in keys])
+
+
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     """Rows of the biggest group and of all groups.
 
@@ -38,12 +45,13 @@ def number_rows(
     """Number the rows of each group 1..n in ``order``; no keys means one group for all rows.
 
     Rows must differ in keys and order (remove copies first). Group sizes are counted up front:
-    small groups use a plain window, a group beyond ``limit`` is sorted across the cluster instead.
+    small groups use a plain window, a group beyond ``limit`` is sorted across the cluster instead, and
+    so are all rows if there are no keys.
     The rows are read more than once, so ``settle`` writes down those that are costly to make.
     """
     rows = written(df) if settle else df
     largest, total = group_sizes(rows, keys)
-    if largest <= limit:
+    if keys and largest <= limit:
         window = Window.partitionBy(*keys).orderBy(*order)
         return rows.withColumn(name, F.row_number().over(window).cast("long"))
     shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -74,7 +82,7 @@ def _number_sorted(
     offsets = sizes.select(
         "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
-    numbered = laid_out.join(F.broadcast(offsets), "_slice").withColumn(
+    numbered = laid_out.join(broadcast_if_small(offsets), "_slice").withColumn(
         name, F.col("_position") + F.col("_offset") + 1
     )
     if not keys:
@@ -100,7 +108,7 @@ def first_by_digest(
 ) -> DataFrame:
     """The ``n`` rows of each group with the smallest digests: an exact, repeatable sample.
 
-    Digests are hex text spread evenly, unique within a group, and keys are not NULL. Each group
+    Digests are hex text spread evenly, unique within a group; NULL keys make a group. Each group
     is cut into buckets of at most about ``bucket_rows`` by as many leading digits as its size
     calls for. A histogram of the buckets shows the one in which row ``n`` lies; rows beyond it
     are dropped where they are read, and ranks are counted within buckets only.
@@ -114,7 +122,7 @@ def first_by_digest(
 
     def stamped(rows: DataFrame, lookup: DataFrame) -> DataFrame:
         return (
-            rows.join(broadcast_if_small(lookup), keys)
+            null_safe_join(rows, broadcast_if_small(lookup), keys)
             .withColumn("_digest", digest)
             .withColumn("_bucket", F.substr("_digest", F.lit(1), F.col("_digits")))
         )
@@ -129,10 +137,9 @@ def first_by_digest(
         F.max("_digits").alias("_digits"), F.max("_bucket").alias("_last")
     )
     rank = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy("_digest"))
+    within = stamped(df, last).filter(F.col("_bucket") <= F.col("_last"))
     return (
-        stamped(df, last)
-        .filter(F.col("_bucket") <= F.col("_last"))
-        .join(kept.select(*keys, "_bucket", "_below"), [*keys, "_bucket"])
+        null_safe_join(within, kept.select(*keys, "_bucket", "_below"), [*keys, "_bucket"])
         .withColumn("_rank", rank)
         .filter(F.col("_rank") + F.col("_below") <= n)
         .select(*df.columns)

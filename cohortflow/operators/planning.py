@@ -82,17 +82,10 @@ def pending_runs(
     )
 
 
-# Command of one pending run; blanks are squeezed after filling in.
-COMMAND = (
-    "cd {directory} ; {runner} -r {version} -profile {profiles},{analysis_type} -c {config} "
-    "--input {path} --outdir {outdir} -w {outdir}/temp -ansi-log false -resume {extra}"
-)
-
-
-def queue_command(df: DataFrame, settings: dict[str, str], template: str = COMMAND) -> DataFrame:
+def queue_command(df: DataFrame, settings: dict[str, str], template: str = V.COMMAND) -> DataFrame:
     """Add ``command``: the template filled from the row's columns and the given settings.
 
-    A name in braces is a column of ``df`` if there is one, else a setting.
+    A name in braces is a column of ``df`` if there is one, else a setting. Blanks are squeezed after filling in.
     """
     pieces: list[Column] = []
     for text in template.split("{"):

@@ -38,18 +38,18 @@ def _summary_parts() -> list[Column]:
         F.min(udg).alias("_low"),
         F.max(udg).alias("_high"),
         F.count(udg).alias("_known"),
-        F.count(F.lit(1)).alias("Nr_Libraries"),
+        F.count(F.lit(1)).alias("_rows"),
     ]
 
 
-def _summary_columns(capture: str) -> dict[str, Column]:
+def _summary_columns(capture: str, libraries: Column) -> dict[str, Column]:
     several = (F.col("_low") != F.col("_high")) | (
-        (F.col("_known") > 0) & (F.col("_known") < F.col("Nr_Libraries"))
+        (F.col("_known") > 0) & (F.col("_known") < F.col("_rows"))
     )
-    labels = F.repeat(F.lit(f"{capture};"), (F.col("Nr_Libraries") - 1).cast("int"))
+    labels = F.repeat(F.lit(f"{capture};"), (libraries - 1).cast("int"))
     return {
         "UDG": F.when(several, "mixed").otherwise(F.col("_low")),
-        "Nr_Libraries": F.col("Nr_Libraries"),
+        "Nr_Libraries": libraries,
         "Capture_Type": F.concat(labels, F.lit(capture)),
         "Library_Built": values.library_built(F.col("Strandedness")),
     }
@@ -61,15 +61,21 @@ def sample_summary(sheets: DataFrame, capture: str = V.CAPTURE_TYPE) -> DataFram
     Different treatments (a missing one counts as a treatment) give ``mixed``.
     """
     grouped = sheets.groupBy("Sample_Name", "Strandedness").agg(*_summary_parts())
-    columns = [column.alias(name) for name, column in _summary_columns(capture).items()]
+    columns = [column.alias(name) for name, column in _summary_columns(capture, F.col("_rows")).items()]
     return grouped.select("Sample_Name", "Strandedness", *columns)
 
 
 def _left(sheets: DataFrame, table: DataFrame | None, key: str, columns: dict[str, str]):
-    """Left join, or NULL columns of the given types where there is no table."""
+    """Left join, or NULL columns of the given types where there is no table.
+
+    A key reported more than once counts with the largest of its rows, compared column by column.
+    """
     if table is None:
         return sheets.withColumns({name: F.lit(None).cast(t) for name, t in columns.items()})
-    return sheets.join(table.select(key, *columns), key, "left")
+    single = table.groupBy(key).agg(F.max(F.struct(*columns)).alias("_one"))
+    return sheets.join(single, key, "left").select(
+        *sheets.columns, *[F.col(f"_one.{name}").alias(name) for name in columns]
+    )
 
 
 def compile_qc(
@@ -155,16 +161,15 @@ def compile_across_libs(
     note = F.when(
         F.col("Contamination").isNotNull(),
         F.concat(
-            F.lit("Nr Snps (per library): "),
+            F.lit(V.CONTAMINATION_NOTE[0]),
             snp_list,
-            F.lit(". Estimate and error are weighted means of values per library."),
-            F.lit(f" Libraries with fewer than {snp_cutoff} were excluded."),
+            F.lit(V.CONTAMINATION_NOTE[1].format(cutoff=snp_cutoff)),
         ),
-    ).otherwise(F.lit("No results found."))
+    ).otherwise(F.lit(V.NO_CONTAMINATION_NOTE))
     sex_note = F.when(
         F.col("_x").isNotNull(),
         F.format_string(
-            "x-rate: %.3f +- %.3f, y-rate: %.3f +- %.3f",
+            V.SEX_NOTE,
             F.col("_x"),
             F.coalesce("_xe", F.lit(0.0)),
             F.col("_y"),
@@ -172,7 +177,8 @@ def compile_across_libs(
         ),
     )
     names = F.transform(listed, lambda one: one["Library_ID"])
-    summary = _summary_columns(capture)
+    # A library may come with several treatments; it is one library all the same.
+    summary = _summary_columns(capture, F.size(F.array_distinct(names)).cast("long"))
     has_estimate = F.col("Contamination").isNotNull()
     return per_sample.select(
         "Sample_Name",
@@ -186,7 +192,7 @@ def compile_across_libs(
         F.when(has_estimate, "ANGSD").alias("Contamination_Meas"),
         "Damage",
         summary["UDG"].alias("UDG"),
-        "Nr_Libraries",
+        summary["Nr_Libraries"].alias("Nr_Libraries"),
         ids.clean_library_names(names, anchored_names).alias("Library_Names"),
         summary["Library_Built"].alias("Library_Built"),
         summary["Capture_Type"].alias("Capture_Type"),
@@ -196,5 +202,10 @@ def compile_across_libs(
 def enrich_across_types(
     target: DataFrame, other: DataFrame, columns: tuple[str, ...], on: str = "individual"
 ) -> DataFrame:
-    """Give the samples of one analysis type values that another type measured for the individual."""
-    return target.join(other.select(on, *columns), on, "left")
+    """Give the samples of one analysis type values that another type measured for the individual.
+
+    Several measurements of an individual count with the largest value of each column, as for the
+    libraries of a sample.
+    """
+    largest = other.groupBy(on).agg(*[F.max(column).alias(column) for column in columns])
+    return target.join(largest, on, "left")

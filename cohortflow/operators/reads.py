@@ -25,16 +25,25 @@ def clip_reads(reads: DataFrame, specs: DataFrame, lengths: DataFrame) -> DataFr
 
     ``specs`` has ``library_id, analysis_type, strandedness, udg``; ``lengths`` comes from
     ``clip_lengths``. Combinations without a length are not cut. The start moves with the left cut.
+    Reads with an ``analysis_type`` are matched on it too; without one, a library whose types ask for
+    different cuts makes the job fail, since no read could be cut rightly.
     A library may hold a large share of the reads: they are not shuffled if the libraries are few.
     """
-    per_library = specs.join(
-        lengths, ["analysis_type", "strandedness", "udg"], "left"
-    ).select("library_id", "clip_left", "clip_right")
+    on = ["library_id", *(["analysis_type"] if "analysis_type" in reads.columns else [])]
+    cut = F.struct(F.coalesce("clip_left", F.lit(0)), F.coalesce("clip_right", F.lit(0)))
+    several = F.raise_error(F.concat(F.lit("several clip lengths for library "), F.col("library_id")))
+    per_library = (
+        specs.join(lengths, ["analysis_type", "strandedness", "udg"], "left")
+        .groupBy(*on)
+        .agg(F.min(cut).alias("_low"), F.max(cut).alias("_high"))
+        .select(*on, F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(several).alias("_cut"))
+        .select(*on, F.col("_cut.col1").alias("clip_left"), F.col("_cut.col2").alias("clip_right"))
+    )
     left = F.coalesce("clip_left", F.lit(0))
     right = F.coalesce("clip_right", F.lit(0))
     kept = F.greatest(F.length("seq") - left - right, F.lit(0))
     return (
-        reads.join(broadcast_if_small(per_library), "library_id", "left")
+        reads.join(broadcast_if_small(per_library), on, "left")
         .withColumn("seq", F.substr("seq", left + 1, kept))
         .withColumn("pos", F.col("pos") + left)
         .drop("clip_left", "clip_right")
@@ -42,9 +51,12 @@ def clip_reads(reads: DataFrame, specs: DataFrame, lengths: DataFrame) -> DataFr
 
 
 def downsample(
-    reads: DataFrame, n: int = 100_000, seed: str = "0", keys: Sequence[str] = ("library_id",)
+    reads: DataFrame, n: int, seed: str = "0", keys: Sequence[str] = ("library_id",)
 ) -> DataFrame:
-    """At most ``n`` reads per library, the same ones each time; read IDs are unique per library."""
+    """At most ``n`` reads per library, the same ones each time; read IDs are unique per library.
+
+    Reads without a library are a library of their own.
+    """
     digest = F.md5(F.concat(F.col("read_id").cast("string"), F.lit(f"|{seed}")))
     return first_by_digest(reads, list(keys), digest, n)
 
@@ -81,15 +93,22 @@ def pseudo_haploid(
         joined = joined.filter(congruent)
     digest = F.md5(F.concat(F.col("read_id").cast("string"), F.lit(f"|{seed}")))
     call = (
-        F.when(F.col("base") == F.col("ref"), "2")
-        .when(F.col("base") == F.col("alt"), "0")
-        .otherwise(V.MISSING_CALL)
+        F.when(F.col("base") == F.col("ref"), 2).when(F.col("base") == F.col("alt"), 0).otherwise(1)
     )
-    drawn = F.min(F.struct(digest.alias("digest"), "base", call.alias("call")))
+    # 54 bits of the digest, then the base and the call, in one number: its minimum is kept by a hash
+    # aggregation, which a minimum over text would not be.
+    drawn = F.conv(F.substr(digest, F.lit(1), F.lit(14)), 16, 10).cast("long")
+    packed = F.shiftleft(F.shiftright(drawn, 2), 9) + F.ascii("base") * 4 + call
+    code = F.col("_d") % 4
     return (
         joined.groupBy("sample_id", "snp_id")
-        .agg(drawn.alias("_d"))
-        .select("sample_id", "snp_id", F.col("_d.base").alias("base"), F.col("_d.call").alias("call"))
+        .agg(F.min(packed).alias("_d"))
+        .select(
+            "sample_id",
+            "snp_id",
+            F.char(F.shiftright("_d", 2) % 128).alias("base"),
+            F.when(code == 2, "2").when(code == 0, "0").otherwise(V.MISSING_CALL).alias("call"),
+        )
     )
 
 

@@ -10,8 +10,8 @@ from cohortflow.functions import ids
 
 
 def restricted_individuals(sensitive: DataFrame, column: str = "id") -> DataFrame:
-    """Distinct individuals of a list of sensitive sequencing IDs."""
-    return sensitive.select(ids.before_first_dot(F.col(column)).alias("individual")).distinct()
+    """Distinct individuals of a list of sensitive sequencing IDs, by the rule of :func:`scrub`."""
+    return sensitive.select(ids.individual_id(F.col(column)).alias("individual")).distinct()
 
 
 def scrub(df: DataFrame, sensitive: DataFrame, on: str, column: str = "id") -> DataFrame:
@@ -37,10 +37,12 @@ def scrub_audit(
     ``files`` has ``individual``, ``analysis_type`` and ``stage``. Starting from what exists gives
     the same rows as trying each individual with each type and stage, without the combinations.
     """
-    restricted = restricted_individuals(sensitive, column)
+    restricted = restricted_individuals(sensitive, column).withColumnRenamed("individual", "_individual")
     return (
         files.filter(F.col("analysis_type").isin(*types))
         .select("individual", "analysis_type", "stage")
         .distinct()
-        .join(restricted, "individual", "left_semi")
+        .withColumn("_individual", ids.individual_id(F.col("individual")))
+        .join(restricted, "_individual", "left_semi")
+        .select("individual", "analysis_type", "stage")
     )

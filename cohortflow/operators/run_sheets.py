@@ -115,6 +115,16 @@ def whitelisted(sheet: DataFrame, listed: DataFrame, on: str = "target_ind") ->
     return sheet.join(listed.select(F.col("id").alias(on)), on, "left_semi")
 
 
+def matching(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on key columns; missing and empty keys, which folder names cannot tell apart, match."""
+
+    def key(side: DataFrame, name: str):
+        return F.coalesce(side[name], F.lit(""))
+
+    condition = [key(left, name) == key(right, name) for name in keys]
+    return left.join(right, condition, how)
+
+
 def reject_unnamed(sheet: DataFrame, on: str = "target_ind") -> tuple[DataFrame, DataFrame]:
     """Rows with a target individual, and the rows that have none."""
     return sheet.filter(F.col(on).isNotNull()), sheet.filter(F.col(on).isNull())

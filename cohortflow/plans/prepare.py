@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortflow import fixed_values as V
 from cohortflow.functions import ids, values
 from cohortflow.operators import cohorts, lims, planning, restriction, run_sheets
 from cohortflow.operators.numbering import GROUP_LIMIT
@@ -42,14 +43,17 @@ def prepare_run_sheets(
     ``sensitive`` lists restricted sequencing IDs and ``whitelist`` target individuals, one ``id``
     per row. Both are applied to whole individuals, so the lanes of the others do not change.
     """
-    sheet = run_sheets.build_run_sheet(
-        cohort_rows(tables, runs, policy), protocols, rebase=rebase, rename=rename, limit=limit
-    )
-    if sensitive is not None:
-        sheet = restriction.scrub(sheet, sensitive, "target_ind")
-    if whitelist is not None:
-        sheet = run_sheets.whitelisted(sheet, whitelist)
-    return sheet
+    rows = cohort_rows(tables, runs, policy)
+    # Before anything is numbered or written down, so that no restricted row reaches the shared folder.
+    target = ids.canonical_id(F.col(cohorts.FULL), F.col(cohorts.MAIN))
+    if sensitive is not None or whitelist is not None:
+        rows = rows.withColumn("target_ind", target)
+        if sensitive is not None:
+            rows = restriction.scrub(rows, sensitive, "target_ind")
+        if whitelist is not None:
+            rows = run_sheets.whitelisted(rows, whitelist)
+        rows = rows.drop("target_ind")
+    return run_sheets.build_run_sheet(rows, protocols, rebase=rebase, rename=rename, limit=limit)
 
 
 def sheet_files(files: DataFrame, root: str) -> DataFrame:
@@ -71,6 +75,33 @@ def sheet_files(files: DataFrame, root: str) -> DataFrame:
     )
 
 
+def sheet_individuals(sheets: DataFrame, changed: DataFrame) -> DataFrame:
+    """Inputs of :func:`plan_queue` in any layout: the individuals that sheet rows name, and when each changed.
+
+    ``sheets`` are rows as read back, ``changed`` has the sheet keys, ``path`` and ``modificationTime``: what
+    a caller keeps of each write (``written_at``). File names are not used, so it does not matter how
+    many individuals share a file.
+    """
+    keys = list(V.SHEET_KEYS)
+    named = sheets.select(*keys).distinct()
+    newest = changed.groupBy(*keys).agg(
+        F.max("modificationTime").alias("modificationTime"), F.min("path").alias("path")
+    )
+    return named.join(newest, keys).select(
+        "analysis_type", "site_id", F.col("target_ind").alias("individual"), "path", "modificationTime"
+    )
+
+
+def written_at(sheet: DataFrame, path: str, moment: Column) -> DataFrame:
+    """Which individuals a write of ``sheet`` to ``path`` touched, and when."""
+    return (
+        sheet.filter(F.col("target_ind").isNotNull())
+        .select(*V.SHEET_KEYS)
+        .distinct()
+        .withColumns({"path": F.lit(path), "modificationTime": moment})
+    )
+
+
 def plan_queue(
     sheets: DataFrame,
     reports: DataFrame,

@@ -6,6 +6,7 @@ from cohortflow.queries import (  # noqa: F401  (importing a module registers it
     metadata,
     planning,
     reads,
+    reports,
     roundtrips,
     streams,
 )

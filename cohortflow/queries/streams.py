@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import functions as F
 
 from cohortflow.queries import planning
@@ -18,6 +20,22 @@ def event_stream(spark, sf_dir):
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
+def event_batches(spark, sf_dir):
+    """The events in several files, one batch each: the last ones first, then the rest, then all once more."""
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "arrivals")
+    late = F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")
+    for part in (events.filter(late), events.filter(~late), events):
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def feed(stream, write: Callable, path: str) -> None:
+    """Give each batch of a stream to ``write`` until all that has arrived is done."""
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/state")
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
 def drain(stream, label):
     """Run a stream over all that has arrived and read what it wrote."""
     spark = stream.sparkSession
@@ -42,12 +60,13 @@ def drain(stream, label):
 def stream_runs(spark, sf_dir):
     name = F.concat(text("event_id"), F.when(F.col("value") < 5, ".bam.bai").otherwise(".bam"))
     folder = planning.case("event_type", FOLDERS)
-    listing = event_stream(spark, sf_dir).select(
+    listing = event_batches(spark, sf_dir).select(
         F.concat_ws("/", F.lit(ROOT), folder, text("user_id"), name).alias("path"),
         F.col("ts").alias("modificationTime"),
     )
-    runs = discovery.stream_new_runs(discovery.arrivals_from_files(listing, ROOT))
-    found = drain(runs, "runs").select("folder", "run_id").distinct()
+    path = scratch_path(spark, "runs")
+    feed(discovery.arrivals_from_files(listing, ROOT), discovery.report_runs(f"{path}/rows"), path)
+    found = spark.read.parquet(f"{path}/rows").select("folder", "run_id")
     return discovery.with_types(found).select("analysis_type", "run_id")
 
 
@@ -64,3 +83,32 @@ def stream_scrub(spark, sf_dir):
         "event_id", F.concat(F.lit("U"), text("user_id")).alias("sample")
     )
     return drain(restriction.scrub_stream(samples, marked, "sample"), "scrubbed")
+
+
+@query(
+    "stream_scrub_late",
+    """SELECT event_id, 'U' || user_id AS sample FROM events
+       WHERE NOT (user_id % 3 = 0) AND NOT (user_id % 3 = 1 AND ts < TIMESTAMP '2024-01-20')
+       UNION ALL
+       SELECT event_id, 'U' || user_id FROM events WHERE NOT (user_id % 3 IN (0, 1))""",
+)
+def stream_scrub_late(spark, sf_dir):
+    """Marks that come between the batches: a third of the users before the first, another before the second."""
+    path = scratch_path(spark, "scrubbed-late")
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    listed = F.concat(F.lit("U"), text("user_id"), F.lit("_ss.A0101")).alias("id")
+
+    def mark(rest):
+        users.filter(F.col("user_id") % 3 == rest).select(listed).write.mode("append").parquet(f"{path}/marks")
+
+    mark(0)
+    scrubbed = restriction.scrub_batches(lambda: spark.read.parquet(f"{path}/marks"), "sample", f"{path}/rows")
+
+    def write(batch, number):
+        if number == 1:
+            mark(1)
+        scrubbed(batch, number)
+
+    samples = event_batches(spark, sf_dir).select("event_id", F.concat(F.lit("U"), text("user_id")).alias("sample"))
+    feed(samples, write, path)
+    return spark.read.parquet(f"{path}/rows").select("event_id", "sample")

@@ -11,7 +11,10 @@ from cohortflow import __version__
 from cohortflow import fixed_values as V
 from cohortflow.functions import ids, values
 from cohortflow.operators import run_sheets
-from cohortflow.sources.tables import check_format
+from cohortflow.session import written
+from cohortflow.sources.results import path_exists
+from cohortflow.sources.tables import check_format, read_run_sheets
+
 
 def stamp_version(df: DataFrame, version: str = __version__) -> DataFrame:
     """Add the version of the code that made the rows."""
@@ -40,9 +43,10 @@ def write_run_sheets(
     """Write run sheets, replacing only the individuals in ``sheet``; returns the unnamed rows.
 
     The usual layout has one folder per individual. ``SITE_LAYOUT`` keeps the folder count small
-    however many individuals there are; there ``previous`` (the sheets as they are) supplies the
-    other individuals of the sites that are rewritten. With ``only_changed``, individuals whose
-    rows equal the previous ones are left alone, so their files do not become newer.
+    however many individuals there are; there the other individuals of the sites that are
+    rewritten are carried over from ``previous``, the sheets as they are, which is read from
+    ``path`` if not given. With ``only_changed``, individuals whose rows equal the previous ones
+    are left alone, so their files do not become newer.
     """
     named, unnamed = run_sheets.reject_unnamed(sheet)
     keys, columns = list(V.SHEET_KEYS), [*V.SHEET_KEYS, *V.SHEET_COLUMNS]
@@ -52,13 +56,18 @@ def write_run_sheets(
             raise ValueError("only_changed needs the previous sheets")
         changed = run_sheets.changed_individuals(named, previous.select(*columns), keys)
         named = named.join(changed, keys, "left_semi").select(*columns)
-    if previous is not None and "target_ind" not in layout:
-        sites = named.select(*layout).distinct()
-        individuals = named.select(*keys).distinct()
-        carried = previous.join(sites, list(layout), "left_semi").join(
-            individuals, keys, "left_anti"
-        )
-        named = named.unionByName(carried.select(*columns))
+    spark = sheet.sparkSession
+    if "target_ind" not in layout:
+        if previous is None and path_exists(spark, path):
+            previous = read_run_sheets(spark, path, layout)
+        if previous is not None:
+            # The new rows are read twice from here on, and the old ones lie where they are replaced.
+            named = written(named, "sheets")
+            sites = named.select(*layout).distinct()
+            individuals = named.select(*keys).distinct()
+            inside = run_sheets.matching(previous.select(*columns), sites, layout, "left_semi")
+            carried = run_sheets.matching(inside, individuals, keys, "left_anti")
+            named = named.unionByName(written(carried, "carried"))
     # Rebalancing puts a folder's rows together and splits those of a very large one over several
     # tasks and files; lanes keep the order.
     (

@@ -27,6 +27,12 @@ def explode_report(df: DataFrame, report: Column, key: str, fields: str) -> Data
     )
 
 
+def _unreadable(report: Column, fields: str) -> Column:
+    """True for text that is no JSON object, or one with an entry that is no object of the given kind."""
+    entries = F.from_json(report, f"map<string, struct<{_struct_fields(fields)}>>")
+    return entries.isNull() | F.exists(F.map_values(entries), lambda entry: entry.isNull())
+
+
 def _struct_fields(fields: str) -> str:
     return ", ".join(":".join(field.split()) for field in fields.split(","))
 
@@ -36,15 +42,29 @@ def read_qc_json(
 ) -> DataFrame:
     """All reports of one kind under ``path`` (a file, a folder, or a glob), stacked.
 
-    Fields a report lacks are NULL. With ``optional`` a folder that does not exist gives no rows.
+    Fields a report lacks are NULL. With ``optional`` a folder that does not exist gives no rows. A report that
+    cannot be read makes the job fail and is named; ``unreadable_reports`` lists all such reports. A file of zero
+    length has no row at all in Spark's text source and gives none here.
     """
     key, fields = QC_SCHEMAS[kind]
     if optional and not path_exists(spark, path):
         return spark.createDataFrame([], f"{key} string, {fields}")
-    reports = spark.read.text(
-        path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True
-    )
-    return explode_report(reports, F.col("value"), key, fields)
+    reports = _report_texts(spark, path, pattern)
+    broken = F.raise_error(F.concat(F.lit("unreadable report "), F.col("path")))
+    value = F.when(_unreadable(F.col("value"), fields), broken).otherwise(F.col("value"))
+    return explode_report(reports, value, key, fields)
+
+
+def unreadable_reports(spark: SparkSession, path: str, kind: str, pattern: str = "*.json") -> DataFrame:
+    """``path`` of each report of one kind that :func:`read_qc_json` cannot read."""
+    _, fields = QC_SCHEMAS[kind]
+    reports = _report_texts(spark, path, pattern)
+    return reports.filter(_unreadable(F.col("value"), fields)).select("path")
+
+
+def _report_texts(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    texts = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True)
+    return texts.select("value", F.col("_metadata.file_path").alias("path"))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -58,28 +58,38 @@ _SHEET_TYPES = {"Lane": T.LongType(), "Colour_Chemistry": T.IntegerType()}
 def read_run_sheets(
     spark: SparkSession, path: str, layout: Sequence[str] = V.SHEET_KEYS
 ) -> DataFrame:
-    """Run sheets of all individuals; ``layout`` names the key columns held by folder names."""
+    """Run sheets of all individuals; ``layout`` names the key columns held by folder names.
+
+    A file whose header names other columns, or the same ones in another order, makes the read fail.
+    """
     inside = [c for c in (*V.SHEET_KEYS, *V.SHEET_COLUMNS) if c not in layout]
     fields = [T.StructField(c, _SHEET_TYPES.get(c, T.StringType())) for c in (*inside, *layout)]
-    return (
+    sheets = (
         spark.read.schema(T.StructType(fields))
         .option("sep", "\t")
         .option("header", True)
+        .option("enforceSchema", False)
         .option("nullValue", V.SHEET_MISSING)
         .csv(path)
         .select(*V.SHEET_KEYS, *V.SHEET_COLUMNS)
     )
+    # An ID that does not start with a letter has an empty site, which comes back as a missing folder name.
+    return sheets.withColumn("site_id", F.coalesce("site_id", F.lit("")))
 
 
 def read_metadata(
     spark: SparkSession, path: str, columns: Sequence[str], types: T.StructType | None = None
 ) -> DataFrame:
-    """Sample metadata: text columns in file order, ``n/a`` as missing; ``types`` casts some."""
+    """Sample metadata: text columns in file order, ``n/a`` as missing; ``types`` casts some.
+
+    A file whose header differs from ``columns`` makes the read fail.
+    """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     text = (
         spark.read.schema(schema)
         .option("sep", "\t")
         .option("header", True)
+        .option("enforceSchema", False)
         .option("nullValue", V.METADATA_MISSING)
         .csv(path)
     )

@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions import ids
 from cohortflow.operators.planning import below, discovery_folders
+from cohortflow.sources.results import path_exists
 
 
-def stream_new_runs(
-    arrivals: DataFrame, watermark: str = "24 hours", keys: tuple[str, ...] = ("folder", "run_id")
-) -> DataFrame:
-    """One row per run from a stream of file arrivals ``(keys, modificationTime)``.
+def report_runs(path: str, keys: tuple[str, ...] = ("folder", "run_id")) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch`` over file arrivals: appends each run to the table at ``path`` when it is first seen.
 
-    A run is remembered until the watermark passes it, so the state does not grow for ever.
+    No event time is involved, so late files and files with old times count. The table of reported runs is the
+    memory: runs are few, and the files of a batch are reduced to runs before they are compared with it. Each batch
+    has a folder of its own, so a batch that is run again replaces its rows.
     """
-    return (
-        arrivals.withColumn("modificationTime", F.col("modificationTime").cast("timestamp"))
-        .withWatermark("modificationTime", watermark)
-        .dropDuplicatesWithinWatermark(list(keys))
-    )
+
+    def report(batch: DataFrame, number: int) -> None:
+        runs = batch.select(*keys).distinct()
+        if path_exists(batch.sparkSession, path):
+            reported = batch.sparkSession.read.parquet(path).filter(F.col("batch") < number)
+            runs = runs.join(reported.select(*keys), list(keys), "left_anti")
+        runs.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return report
 
 
 def arrivals_from_files(files: DataFrame, root: str, pattern: str = r"\.bam$") -> DataFrame:

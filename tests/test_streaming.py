@@ -23,8 +23,9 @@ def test_runs_are_reported_once_over_restarts(spark, tmp_path):
 
     def drain():
         files = spark.readStream.schema(SCHEMA).parquet(source)
-        runs = discovery.stream_new_runs(discovery.arrivals_from_files(files, "/r"))
-        run(runs, out, state)
+        arrivals = discovery.arrivals_from_files(files, "/r")
+        writer = arrivals.writeStream.foreachBatch(discovery.report_runs(out))
+        writer.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
         found = spark.read.parquet(out)
         return sorted((r.folder, r.run_id) for r in found.collect())
 
@@ -32,7 +33,12 @@ def test_runs_are_reported_once_over_restarts(spark, tmp_path):
     assert drain() == [("Human_1240k", "2A")]
     arrive(("/r/Human_1240k/2A/z.bam", 3), ("/r/Human_Y/2B/x.bam", 3))
     assert drain() == [("Human_1240k", "2A"), ("Human_Y", "2B")]
-    typed = discovery.with_types(spark.read.parquet(out)).select("analysis_type", "run_id")
+    # Old times after new ones, and a run seen long ago.
+    arrive(("/r/Human_Y/2D/x.bam", -24 * 30), ("/r/Human_Y/2E/x.bam", 24 * 30))
+    assert drain()[-2:] == [("Human_Y", "2D"), ("Human_Y", "2E")]
+    arrive(("/r/Human_1240k/2A/late.bam", 24 * 60), ("/r/Human_Y/2D/y.bam", 24 * 60))
+    assert len(drain()) == 4
+    typed = discovery.with_types(spark.read.parquet(out).filter("run_id < '2C'")).select("analysis_type", "run_id")
     assert {tuple(r) for r in typed.collect()} == {("TF", "2A"), ("TM", "2A"), ("YC", "2B")}
 
 
@@ -43,3 +49,22 @@ def test_restricted_rows_leave_the_stream(spark, tmp_path):
     stream = spark.readStream.schema("sample string").parquet(source)
     run(restriction.scrub_stream(stream, sensitive, "sample"), out, state)
     assert [r.sample for r in spark.read.parquet(out).collect()] == ["B"]
+
+
+def test_marks_count_from_the_next_batch_on(spark, tmp_path):
+    source, out, state, marks = (str(tmp_path / name) for name in ("in", "out", "state", "marks"))
+
+    def drain():
+        stream = spark.readStream.schema("sample string").parquet(source)
+        write = restriction.scrub_batches(lambda: spark.read.parquet(marks), "sample", out)
+        writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", state)
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return sorted(r.sample for r in spark.read.parquet(out).select("sample").collect())
+
+    rows = spark.createDataFrame([("A",), ("B_ss",), ("C",)], "sample string")
+    spark.createDataFrame([("A_ss.1",)], "id string").write.parquet(marks)
+    rows.write.parquet(source)
+    assert drain() == ["B_ss", "C"]
+    spark.createDataFrame([("B.1",)], "id string").write.mode("append").parquet(marks)
+    rows.write.mode("append").parquet(source)
+    assert drain() == ["B_ss", "C", "C"]
