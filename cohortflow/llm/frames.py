@@ -3,22 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.llm.arrays import batch_of, mix, signed
+from cohortflow.llm.arrays import batch_of
 from cohortflow.session import broadcast_if_small, written
 
-__all__ = ["broadcast_if_small", "components", "map_arrow", "repeated", "row_hash", "with_rows", "written"]
+__all__ = [
+    "broadcast_if_small",
+    "components",
+    "few_rows_at_once",
+    "map_arrow",
+    "occurrences",
+    "repeated",
+    "row_hash",
+    "with_rows",
+    "written",
+]
 
-# Partition key, the value looked for, who holds it, where, and how often it is known to occur.
-OCCURRENCES = pa.schema(
-    [("part", pa.int64()), ("key", pa.int64()), ("row", pa.int64()), ("pos", pa.int32()), ("n", pa.int32())]
-)
-OCCURRENCES_DDL = "part bigint, key bigint, row bigint, pos int, n int"
+# The value looked for, who holds it and where. A place with KNOWN added is known to be repeated; -1 marks a repeated value.
+OCCURRENCES = pa.schema([("key", pa.int64()), ("row", pa.int64()), ("pos", pa.int32())])
+OCCURRENCES_DDL = "key bigint, row bigint, pos int"
+KNOWN = 1 << 30
 
 
 def map_arrow(df: DataFrame, function: Callable, schema: str, *args) -> DataFrame:
@@ -30,6 +40,18 @@ def map_arrow(df: DataFrame, function: Callable, schema: str, *args) -> DataFram
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def few_rows_at_once(spark: SparkSession, rows: int = 2):
+    """For jobs whose rows hold blocks of some megabytes: only ``rows`` of them go to Python together."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def row_hash(*columns: str) -> Column:
     """Names a row by its content: equal rows share a name, so repeated rows need no number."""
     return F.xxhash64(*columns)
@@ -45,36 +67,38 @@ def occurrences(key: np.ndarray, row: np.ndarray, pos: np.ndarray) -> Iterator[p
     """Rows for :func:`repeated`.
 
     What occurs once here goes to the partition of its key. What occurs several times here is known to
-    be repeated: one marker tells the key's partition, and the occurrences spread over all partitions.
+    be repeated: one marker tells the key's partition, and the occurrences travel by their row.
     So a key sends at most one row per slice to its own partition, however frequent it is.
     """
     if len(key) == 0:
         return
     order = np.argsort(key)
-    key, row, pos = key[order], row[order], pos[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    ordered = key[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     size = np.diff(np.append(first, len(key)))
-    many = np.repeat(size > 1, size)
-    part = np.where(many, signed(mix(row.astype(np.uint64) + mix(pos.astype(np.uint64)))), key)
-    yield batch_of(OCCURRENCES, part, key, row, pos.astype(np.int32), np.where(many, 2, 1).astype(np.int32))
-    marks = key[first[size > 1]]
+    many = np.empty(len(key), bool)
+    many[order] = np.repeat(size > 1, size)
+    # Rows stay in their order: neighbours of one row compress well.
+    yield batch_of(OCCURRENCES, np.where(many, row, key), row, np.where(many, pos + KNOWN, pos).astype(np.int32))
+    marks = ordered[first[size > 1]]
     if len(marks):
-        none = np.full(len(marks), -1)
-        yield batch_of(OCCURRENCES, marks, marks, none, none.astype(np.int32), np.full(len(marks), 2, np.int32))
+        yield batch_of(OCCURRENCES, marks, np.zeros(len(marks), np.int64), np.full(len(marks), -1, np.int32))
 
 
 def _keep_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by ``part, key``: those whose key occurs more than once, markers left out."""
+    """From rows sorted by ``key``: those known to be repeated, and those whose key comes again or is marked."""
     rest = None
     out = pa.schema([("row", pa.int64()), ("pos", pa.int32())])
 
-    def settled(part, key, row, pos, n):
+    def settled(key, row, pos):
         if len(key) == 0:
             return None
-        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (part[1:] != part[:-1])]))
-        total = np.add.reduceat(n.astype(np.int64), first)
-        keep = np.repeat(total > 1, np.diff(np.append(first, len(key)))) & (pos >= 0)
-        return batch_of(out, row[keep], pos[keep])
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        known = pos >= KNOWN
+        weight = np.where(pos < 0, 2, np.where(known, 0, 1))
+        total = np.add.reduceat(weight, first)
+        keep = known | (np.repeat(total > 1, np.diff(np.append(first, len(key)))) & (pos >= 0))
+        return batch_of(out, row[keep], pos[keep] & ~np.int32(KNOWN))
 
     for batch in batches:
         now = [batch.column(name).to_numpy(zero_copy_only=False) for name in OCCURRENCES.names]
@@ -82,8 +106,7 @@ def _keep_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             now = [np.concatenate(two) for two in zip(rest, now)]
         if len(now[0]) == 0:
             continue
-        last = (now[0] != now[0][-1]) | (now[1] != now[1][-1])
-        open_from = int(np.flatnonzero(last)[-1]) + 1 if last.any() else 0
+        open_from = int(np.searchsorted(now[0], now[0][-1]))
         rest = [one[open_from:] for one in now]
         done = settled(*(one[:open_from] for one in now))
         if done is not None:
@@ -97,10 +120,10 @@ def _keep_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def repeated(found: DataFrame) -> DataFrame:
     """``row, pos`` of every occurrence whose key occurs at least twice.
 
-    ``found`` holds rows made by :func:`occurrences`. One shuffle; the group of a key is read in sorted
-    order, so memory does not depend on its size.
+    ``found`` holds rows made by :func:`occurrences`. One shuffle; keys are read in sorted order, so memory does not depend on
+    how many rows share one.
     """
-    dealt = found.repartition("part").sortWithinPartitions("part", "key")
+    dealt = found.repartition("key").sortWithinPartitions("key")
     return map_arrow(dealt, _keep_repeated, "row bigint, pos int")
 
 
