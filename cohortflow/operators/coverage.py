@@ -33,7 +33,8 @@ def interval_coverage(
     """
     axis = [*by, "chrom"]
     bins = [*axis, "_bin"]
-    # Reads are looked at once; all that follows works on the far fewer positions.
+    # Reads are looked at once; all that follows works on the far fewer positions. The totals at the
+    # borders asked for are looked up twice, so they are written down as well.
     points = written(
         _points(reads, intervals, axis).withColumn(
             "_bin", F.floor(F.col("_pos") / bin_width).cast("long")
@@ -78,7 +79,7 @@ def interval_coverage(
         F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_covered_before"),
         F.coalesce(F.sum("_h").over(earlier), F.lit(0)).alias("_bases_before"),
     )
-    totals = (
+    totals = written(
         stretches.withColumn("_covers", F.coalesce(F.sum("_covers").over(before), F.lit(0)))
         .withColumn("_holds", F.coalesce(F.sum("_holds").over(before), F.lit(0)))
         .filter("_asked")
@@ -90,7 +91,8 @@ def interval_coverage(
             F.col("_reads_ended").alias("_ended_up_to"),
             (F.col("_covered_before") + F.col("_covers")).alias("_covered"),
             (F.col("_bases_before") + F.col("_holds")).alias("_bases"),
-        )
+        ),
+        "totals",
     )
 
     at_start = totals.select(
