@@ -156,6 +156,23 @@ TYPE_WITHOUT = {
 # Order in which profiles are laid over each other; the analysis type comes last.
 BASE_PROFILES = ("base", "local_paths")
 
+# What the base profile sets for all types.
+BASE_PARAMETERS = {"publish_dir_mode": "link"}
+
+# Files whose place a site has to give, and those that single types replace.
+SITE_PATHS = (
+    "fasta",
+    "fasta_index",
+    "bwa_index",
+    "seq_dict",
+    "snpcapture_bed",
+    "pileupcaller_bedfile",
+    "pileupcaller_snpfile",
+    "sexdeterrmine_bedfile",
+    "anno_file",
+)
+TYPE_SITE_PATHS = {"YC": ("snpcapture_bed", "anno_file"), "IM": ("snpcapture_bed", "anno_file")}
+
 # Command of one pending run.
 COMMAND = (
     "cd {directory} ; {runner} -r {version} -profile {profiles},{analysis_type} -c {config} "

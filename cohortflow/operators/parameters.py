@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,13 +11,27 @@ from cohortflow import fixed_values as V
 from cohortflow.session import fixed_table
 
 
-def default_profiles(spark: SparkSession) -> DataFrame:
-    """The parameter rows ``(profile, key, value)`` of every analysis type."""
-    rows = []
+def default_profiles(
+    spark: SparkSession,
+    paths: Mapping[str, str] | None = None,
+    type_paths: Mapping[str, Mapping[str, str]] | None = None,
+) -> DataFrame:
+    """The parameter rows ``(profile, key, value)`` of the base profiles and of every analysis type.
+
+    Where files lie differs from site to site: ``paths`` gives them by key (``V.SITE_PATHS``), and
+    ``type_paths`` those that single analysis types use instead (``V.TYPE_SITE_PATHS``).
+    """
+    base, site = V.BASE_PROFILES
+    rows = [(base, key, value) for key, value in V.BASE_PARAMETERS.items()]
+    for key, value in (paths or {}).items():
+        if key not in V.SITE_PATHS:
+            raise ValueError(f"unknown path {key!r}; must be one of {', '.join(V.SITE_PATHS)}")
+        rows.append((site, key, value))
     for code in V.ANALYSIS_TYPES:
         absent = V.TYPE_WITHOUT.get(code, ())
         settings = {k: v for k, v in V.SHARED_PARAMETERS.items() if k not in absent}
         settings.update(V.TYPE_PARAMETERS.get(code, {}))
+        settings.update((type_paths or {}).get(code, {}))
         rows.extend((code, key, value) for key, value in settings.items())
     return fixed_table(spark, rows, "profile string, key string, value string")
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortflow import __version__
 from cohortflow import fixed_values as V
 from cohortflow.functions import ids, values
 from cohortflow.operators import cohorts, lims, planning, restriction, run_sheets
 from cohortflow.operators.numbering import GROUP_LIMIT
+from cohortflow.session import written
+from cohortflow.sinks.tables import SITE_LAYOUT, report_empty, write_run_sheets, write_versions
 
 
 def cohort_rows(
@@ -56,6 +59,23 @@ def prepare_run_sheets(
     return run_sheets.build_run_sheet(rows, protocols, rebase=rebase, rename=rename, limit=limit)
 
 
+def publish_run_sheets(
+    sheet: DataFrame,
+    path: str,
+    versions: str,
+    layout: Sequence[str] = SITE_LAYOUT,
+    version: str = __version__,
+) -> bool:
+    """Write the sheets and the versions that made them; False, with a message, if there is nothing to write."""
+    sheet = written(sheet, "sheet")
+    named, _ = run_sheets.reject_unnamed(sheet)
+    if report_empty(named, "No new rows for any run sheet."):
+        return False
+    write_run_sheets(named, path, layout=layout)
+    write_versions(named, versions, version)
+    return True
+
+
 def sheet_files(files: DataFrame, root: str) -> DataFrame:
     """Run sheet files below ``root`` as ``analysis_type, site_id, individual`` and their paths.
 

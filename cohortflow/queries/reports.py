@@ -160,3 +160,20 @@ def rt_sheet_queue(spark, sf_dir):
     settings = {"runner": "run", "version": "1", "profiles": "p", "config": "c", "extra": ""}
     queue = prepare.plan_queue(inputs, reports, "/out", settings)
     return queue.select("task_id", "analysis_type", "site_id", "individual")
+
+
+@query(
+    "rt_versions",
+    f"""{_NUMBERED_SQL}
+        SELECT DISTINCT analysis_type, site_id, target_ind,
+               CASE WHEN target_ind LIKE '%1' OR target_ind LIKE '9%7' OR target_ind LIKE '9%23'
+                    THEN '2' ELSE '1' END AS producer_version FROM numbered""",
+)
+def rt_versions(spark, sf_dir):
+    """Sheets published by one version, some of them by the next, and an empty set that is not written."""
+    path, versions = scratch_path(spark, "sheets"), scratch_path(spark, "versions")
+    sheet = _numbered_sheet(spark, sf_dir)
+    prepare.publish_run_sheets(sheet, path, versions, version="1")
+    prepare.publish_run_sheets(_changed(sheet), path, versions, version="2")
+    prepare.publish_run_sheets(sheet.limit(0), path, versions, version="3")
+    return sink.latest_versions(spark, versions)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow import __version__
@@ -85,9 +85,17 @@ def write_run_sheets(
 
 
 def write_versions(sheet: DataFrame, path: str, version: str = __version__) -> None:
-    """Write the producer version of each individual's sheet next to it, as a small table."""
-    written = sheet.select(*V.SHEET_KEYS).distinct()
-    stamp_version(written, version).write.mode("append").parquet(path)
+    """Append the producer version of each individual's sheet, and when it was written, to a small table."""
+    individuals = sheet.select(*V.SHEET_KEYS).distinct()
+    stamped = stamp_version(individuals, version).withColumn("written_at", F.current_timestamp())
+    stamped.write.mode("append").parquet(path)
+
+
+def latest_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The producer version of each individual's newest sheet."""
+    newest = F.max(F.struct("written_at", "producer_version")).alias("_newest")
+    versions = spark.read.parquet(path).groupBy(*V.SHEET_KEYS).agg(newest)
+    return versions.select(*V.SHEET_KEYS, F.col("_newest.producer_version").alias("producer_version"))
 
 
 def write_debug(df: DataFrame, path: str) -> None:

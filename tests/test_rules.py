@@ -9,7 +9,7 @@ from test_files import sheet
 from test_run_sheets import ROWS, frames, protocols, runs
 
 from cohortflow import fixed_values as V
-from cohortflow.operators import genotypes, metadata, qc, reads, restriction
+from cohortflow.operators import genotypes, metadata, parameters, qc, reads, restriction
 from cohortflow.operators.numbering import first_by_digest
 from cohortflow.plans import prepare
 from cohortflow.session import shared_dir
@@ -163,6 +163,19 @@ def test_reads_of_a_library_under_two_types_stay_single(spark):
     assert reads.clip_reads(typed.drop("analysis_type"), specs, same).count() == 2
 
 
+def test_profiles_lie_over_each_other(spark):
+    rows = parameters.default_profiles(
+        spark, {"fasta": "/f", "snpcapture_bed": "/all"}, {"YC": {"snpcapture_bed": "/y", "anno_file": "/ya"}}
+    )
+    found = {(r.analysis_type, r.key): r.value for r in parameters.resolve_params(rows, parameters.profile_order(spark)).collect()}
+    assert found["TF", "publish_dir_mode"] == V.BASE_PARAMETERS["publish_dir_mode"]
+    assert (found["TF", "snpcapture_bed"], found["YC", "snpcapture_bed"]) == ("/all", "/y")
+    # An explicit "no value" of a type beats the path of the site.
+    assert found["SG", "snpcapture_bed"] is None and found["SG", "fasta"] == "/f"
+    with pytest.raises(ValueError):
+        parameters.default_profiles(spark, {"nowhere": "/x"})
+
+
 def test_rows_without_a_key_are_sampled_too(spark):
     rows = spark.createDataFrame([("a", k) for k in range(30)] + [(None, k) for k in range(30)], "k string, v int")
     digest = F.md5(F.col("v").cast("string"))
