@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -101,11 +103,18 @@ def sync_index(index: DataFrame, metadata: DataFrame, key: str) -> DataFrame:
     return overwrite_join(index, source, "Sample_Name")
 
 
-def concat_indexes(double: DataFrame, single: DataFrame) -> DataFrame:
+def concat_indexes(double: DataFrame, single: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Double-stranded samples first, then single-stranded ones; ``pos`` is the file order.
 
-    Both inputs carry ``pos`` counted from 0. The shift of the second is one aggregated number.
+    Both inputs carry ``pos`` counted from 0. The shift of the second is one aggregated number, or
+    with ``keys`` (such as the package) one for each of many indexes.
     """
+    if keys:
+        shifts = double.groupBy(*keys).agg(F.count(F.lit(1)).alias("_shift"))
+        shifted = single.join(shifts, list(keys), "left").withColumn(
+            "pos", F.col("pos") + F.coalesce("_shift", F.lit(0))
+        )
+        return double.unionByName(shifted.select(*double.columns))
     shift = double.agg(F.count(F.lit(1))).scalar()
     moved = single.withColumn("pos", F.col("pos") + shift)
     return double.unionByName(moved.select(*double.columns))

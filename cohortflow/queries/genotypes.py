@@ -176,6 +176,12 @@ def forge_samples(spark, sf_dir):
     return forged(spark, sf_dir)[2].select("package_id", "sample_id", "pos")
 
 
+def in_order():
+    """The calls of a short line, one after the other."""
+    placed = F.array_sort(F.collect_list(F.struct("pos", "call")))
+    return F.array_join(F.transform(placed, lambda one: one["call"]), "")
+
+
 @query(
     "validate",
     f"""WITH {_CALLS_SQL},
@@ -203,7 +209,7 @@ def validate(spark, sf_dir):
         F.min("call").alias("call")
     )
     lines = single.groupBy("package_id", "snp_idx").agg(
-        F.array_join(F.collect_list("call"), "").alias("line")
+        in_order().alias("line")
     )
     snps = (
         table(spark, sf_dir, "lineitem")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
@@ -500,6 +501,32 @@ def concat_index(spark, sf_dir):
     return metadata.concat_indexes(double, single)
 
 
+@query(
+    "concat_index_keyed",
+    """WITH placed AS (
+           SELECT c_nationkey AS package_id, c_name AS sample,
+                  row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS pos FROM customer),
+       more AS (
+           SELECT s_nationkey AS package_id, s_name AS sample,
+                  row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS pos FROM supplier)
+       SELECT * FROM placed
+       UNION ALL SELECT package_id, sample, pos + (SELECT count(*) FROM placed p WHERE p.package_id = more.package_id)
+       FROM more""",
+)
+def concat_index_keyed(spark, sf_dir):
+    """One index per nation: its customers, then its suppliers."""
+
+    def index(name, nation, key, sample):
+        place = F.row_number().over(Window.partitionBy(nation).orderBy(key)) - 1
+        return table(spark, sf_dir, name).select(
+            F.col(nation).alias("package_id"), F.col(sample).alias("sample"), place.cast("long").alias("pos")
+        )
+
+    double = index("customer", "c_nationkey", "c_custkey", "c_name")
+    single = index("supplier", "s_nationkey", "s_suppkey", "s_name")
+    return metadata.concat_indexes(double, single, ["package_id"])
+
+
 @query(
     "json_qc",
     """SELECT event_id, 'k' AS sample, cast(json_extract(props, '$.k') AS bigint) AS covered_snps

@@ -153,9 +153,8 @@ def rt_snapshot(spark, sf_dir):
     return spark.read.parquet(f"{root}/counts")
 
 
-@query("rt_package", SQL["forge"])
-def rt_package(spark, sf_dir):
-    """A merged data set as text files; lines read back have the position they were written at."""
+def _written_package(spark, sf_dir):
+    """A merged data set as text files."""
     path = scratch_path(spark, "package")
     lines, snps, inds = geno_queries.forged(spark, sf_dir)
     index = inds.select(
@@ -165,7 +164,37 @@ def rt_package(spark, sf_dir):
         F.col("group").alias("Population"),
     )
     package_sink.write_package(lines, snps, index, index.drop("pos"), path)
-    return files.read_geno(spark, f"{path}/geno")
+    return path
+
+
+@query("rt_package", SQL["forge"])
+def rt_package(spark, sf_dir):
+    """Lines read back have the position they were written at."""
+    return files.read_geno(spark, f"{_written_package(spark, sf_dir)}/geno")
+
+
+@query(
+    "rt_package_ind",
+    """SELECT row_number() OVER (ORDER BY flag, n_nationkey) - 1 AS pos,
+              'N' || lpad(cast(n_nationkey AS varchar), 2, '0') AS "Sample_Name", 'U' AS "Genetic_Sex",
+              'Unknown' AS "Population"
+       FROM nation, (VALUES ('A'), ('N'), ('R')) f(flag)""",
+)
+def rt_package_ind(spark, sf_dir):
+    """The sample index of a written package, positions counted from the lines."""
+    path = _written_package(spark, sf_dir)
+    return files.read_positioned_ind(spark, f"{path}/ind").select("pos", "Sample_Name", "Genetic_Sex", "Population")
+
+
+@query(
+    "rt_package_metadata",
+    """SELECT 'N' || lpad(cast(n_nationkey AS varchar), 2, '0') AS "Sample_Name", 'U' AS "Genetic_Sex",
+              'Unknown' AS "Population"
+       FROM nation, (VALUES ('A'), ('N'), ('R')) f(flag)""",
+)
+def rt_package_metadata(spark, sf_dir):
+    path = _written_package(spark, sf_dir)
+    return tables.read_metadata(spark, f"{path}/metadata", ["Sample_Name", "Genetic_Sex", "Population"])
 
 
 @query(
@@ -200,7 +229,7 @@ def publish(spark, sf_dir):
         single.groupBy("package_id", "snp_idx", "pos")
         .agg(F.min("call").alias("call"))
         .groupBy("package_id", "snp_idx")
-        .agg(F.array_join(F.collect_list("call"), "").alias("line"))
+        .agg(geno_queries.in_order().alias("line"))
     )
     filled = F.concat(F.lit("filled_"), F.col("package_id")).alias("package_id")
     whole = geno_queries.package_lines(spark, sf_dir)
