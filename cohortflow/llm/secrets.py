@@ -23,25 +23,29 @@ from cohortflow.llm.frames import written
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` may hold one group, ``measured``: a match counts if that group (else the match) has ``least`` characters."""
+    """A match of ``pattern`` counts if its one group (if ``grouped``, else all of it) has ``least`` characters.
+
+    ``quick`` is a pattern that every text with such a match holds, if there is one that is found faster.
+    """
 
     kind: str
     pattern: str
     least: int = 1
     grouped: bool = False
     version: int = 1
+    quick: str | None = None
 
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 
 BASE = (
     Rule("assign", ASSIGN, least=6, grouped=True),
-    Rule("access", r"AKIA[A-Z0-9]+", least=20),
-    Rule("hex", r"[0-9a-f]+", least=24),
+    Rule("access", r"AKIA[A-Z0-9]+", least=20, quick=r"AKIA[A-Z0-9]{16}"),
+    Rule("hex", r"[0-9a-f]+", least=24, quick=r"[0-9a-f]{24}"),
 )
 MORE = (
     Rule("private", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
-    Rule("forge", r"gh[pousr]_[A-Za-z0-9]+", least=40),
+    Rule("forge", r"gh[pousr]_[A-Za-z0-9]+", least=40, quick=r"gh[pousr]_[A-Za-z0-9]{36}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,4096}\.eyJ[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]{8,4096}"),
 )
 RULES = BASE + MORE
@@ -50,15 +54,6 @@ _SCANNED = "blob string, kind string, version int"
 _FOUND = "blob string, kind string, version int, start long, end long"
 
 
-def _quick(rule: Rule) -> str:
-    """A pattern that every text with a match long enough holds."""
-    if rule.grouped or rule.least == 1:
-        return rule.pattern
-    head, last = rule.pattern[:-1], rule.pattern.rindex("[")
-    fixed = len(rule.pattern[:last].replace("[pousr]", "p")) if last else 0
-    return f"{head}{{{rule.least - fixed},}}"
-
-
 def _matches(rule: Rule):
     """Lengths of the gap before, of the match and of its measured part, for each match of a rule in ``text``.
 
@@ -83,10 +78,10 @@ def _matches(rule: Rule):
     lengths = F.arrays_zip(
         group(1).alias("gap"), group(2).alias("match"), group(3 if rule.grouped else 2).alias("value")
     )
-    wanted = F.array_contains("kinds", rule.kind) & F.col("text").rlike(_quick(rule))
+    wanted = F.array_contains("kinds", rule.kind) & F.col("text").rlike(rule.quick or rule.pattern)
+    nothing = F.array(row({"gap": F.lit(0), "match": F.lit(0), "value": F.lit(0)}, F.lit(0)))
     # Without a match there is nothing to list; the quick look saves the slower passes.
-    return F.coalesce(F.when(wanted, F.transform(lengths, row)), F.filter(F.array(row(
-        {"gap": F.lit(0), "match": F.lit(0), "value": F.lit(0)}, F.lit(0))), lambda one: F.lit(False)))
+    return F.when(wanted, F.transform(lengths, row)).otherwise(F.filter(nothing, lambda one: F.lit(False)))
 
 
 def _scan(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
