@@ -31,25 +31,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm.arrays import Words, hash_texts, mix, ranges, slices
-from cohortflow.llm.frames import map_arrow, written
+from cohortflow.llm.frames import few_rows_at_once, map_arrow, written
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 # Counts up to this are discounted.
 DISCOUNTED = 5
 # Contexts with more than this part of a partition's even share are dealt by the next word.
 HOT_SHARE = 4
+# Lowest bytes of the hash of a pair's second word that are not sent: 56 bits tell the words after one context apart.
+LEFT_OUT = 1
 
 
-def pack(array: np.ndarray) -> bytes:
-    """An array as compressed bytes, all first bytes before all second ones, so that like stands by like."""
-    planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), array.dtype.itemsize).T
+def pack(array: np.ndarray, left_out: int = 0) -> bytes:
+    """An array as compressed bytes, all first bytes before all second ones, so that like stands by like.
+
+    ``left_out`` lowest bytes of each number are not stored.
+    """
+    planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), array.dtype.itemsize).T[left_out:]
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
-def unpack(data: bytes, dtype) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+def unpack(data: bytes, dtype, left_out: int = 0) -> np.ndarray:
     size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(dtype)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(size - left_out, -1)
+    out = np.zeros((planes.shape[1], size), np.uint8)
+    out[:, left_out:] = planes.T
+    return out.reshape(-1).view(dtype)
 
 
 def narrow(array: np.ndarray) -> np.ndarray:
@@ -98,21 +105,30 @@ def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Block:
+    """The words of a block's documents in turn, each with the one before it, as places in ``vocabulary``."""
+
     def __init__(self, row: dict):
         self.held_out = np.array([bool(x) for x in row["held_out"]], bool)
         self.sizes = unpack(row["sizes"], np.uint32).astype(np.int64)
         self.vocabulary = unpack(row["vocabulary"], np.uint64)
-        self.ids = unpack(row["ids"], np.uint32).astype(np.int64)
-        borders = np.concatenate([[0], np.cumsum(self.sizes + 2)])
-        self.word = np.ones(len(self.ids), bool)
-        self.word[borders[:-1]] = False
-        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes + 1)
-        self.tokens = self.ids[self.word]
-        self.before = self.ids[np.flatnonzero(self.word) - 1]
-        self.train = ~self.held_out[self.owner]
+        ids = unpack(row["ids"], np.uint32).astype(np.int32)
+        word = np.ones(len(ids), bool)
+        word[np.cumsum(self.sizes + 2) - self.sizes - 2] = False
+        self.owner = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes + 1)
+        self.tokens = ids[word]
+        self.before = ids[np.flatnonzero(word) - 1]
+
+    def train(self) -> np.ndarray:
+        return ~self.held_out[self.owner]
 
     def word_counts(self) -> np.ndarray:
-        return np.bincount(self.tokens[self.train], minlength=len(self.vocabulary))
+        return np.bincount(self.tokens[self.train()], minlength=len(self.vocabulary))
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """One row at a time: each holds a block."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
 
 
 def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -122,7 +138,7 @@ def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 def _ask_words(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             block = Block(row)
             counts = block.word_counts()
             cuts = np.searchsorted(_part(block.vocabulary, parts), np.arange(parts + 1))
@@ -161,31 +177,35 @@ def _add_words(table: pa.Table) -> pa.Table:
 class Pairs:
     """Distinct pairs of a block in the order of context and word, and where each of its tokens falls among them."""
 
-    def __init__(self, block: Block, answers: list[dict], n_tokens: int, n_words: int, parts: int):
+    def __init__(self, block: Block, answers: list[dict], n_tokens: int, parts: int):
         size = len(block.vocabulary)
         self.known = np.concatenate([unpack_counts(one["counts"]) for one in sorted(answers, key=lambda a: a["part"])])
-        self.simple = (self.known + 1) / (n_tokens + n_words + 1)
-        self.key, self.place = np.unique(block.before * size + block.tokens, return_inverse=True)
-        self.context, self.next = self.key // size, self.key % size
-        self.seen = np.bincount(self.place[block.train], minlength=len(self.key))
+        key, place = np.unique(block.before.astype(np.int64) * size + block.tokens, return_inverse=True)
+        self.place = place.astype(np.int32)
+        self.context, self.next = (key // size).astype(np.int32), (key % size).astype(np.int32)
+        del key, place
+        self.seen = np.bincount(self.place[block.train()], minlength=len(self.context)).astype(np.int32)
         # How often a context starts a pair: as a word, but for the start, which is no word.
-        start = np.searchsorted(block.vocabulary, START)
         self.hot = self.known * parts * HOT_SHARE > n_tokens
-        self.hot[start] = True
-        hot = self.hot[self.context]
-        by_next = mix(block.vocabulary[self.next] ^ block.vocabulary[self.context])
-        self.part = np.where(hot, _part(by_next, parts), _part(block.vocabulary, parts)[self.context])
-        self.order = np.argsort(self.part, kind="stable")
-        self.cuts = np.searchsorted(self.part[self.order], np.arange(parts + 1))
+        self.hot[np.searchsorted(block.vocabulary, START)] = True
+        part = _part(block.vocabulary, parts)[self.context].astype(np.int32)
+        hot = np.flatnonzero(self.hot[self.context])
+        by_next = mix(block.vocabulary[self.next[hot]] ^ block.vocabulary[self.context[hot]])
+        part[hot] = _part(by_next, parts)
+        self.order = np.argsort(part, kind="stable").astype(np.int32)
+        self.cuts = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
 
+    def of_part(self, part: int) -> np.ndarray:
+        return self.order[self.cuts[part] : self.cuts[part + 1]]
 
-def _ask_pairs(batches: Iterator[pa.RecordBatch], n_tokens: int, n_words: int, parts: int) -> Iterator[pa.RecordBatch]:
+
+def _ask_pairs(batches: Iterator[pa.RecordBatch], n_tokens: int, parts: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             block = Block(row)
-            pairs = Pairs(block, row["answers"], n_tokens, n_words, parts)
+            pairs = Pairs(block, row["answers"], n_tokens, parts)
             for p in range(parts):
-                mine = pairs.order[pairs.cuts[p] : pairs.cuts[p + 1]]
+                mine = pairs.of_part(p)
                 if len(mine) == 0:
                     continue
                 context, run = np.unique(pairs.context[mine], return_counts=True)
@@ -196,7 +216,7 @@ def _ask_pairs(batches: Iterator[pa.RecordBatch], n_tokens: int, n_words: int, p
                         pa.array([pack(block.vocabulary[context])], pa.binary()),
                         pa.array([pack(pairs.hot[context].astype(np.uint8))], pa.binary()),
                         pa.array([pack_counts(run)], pa.binary()),
-                        pa.array([pack(block.vocabulary[pairs.next[mine]])], pa.binary()),
+                        pa.array([pack(block.vocabulary[pairs.next[mine]], LEFT_OUT)], pa.binary()),
                         pa.array([pack_counts(pairs.seen[mine])], pa.binary()),
                         pa.array([pack_counts(pairs.known[pairs.next[mine]])], pa.binary()),
                     ],
@@ -204,11 +224,12 @@ def _ask_pairs(batches: Iterator[pa.RecordBatch], n_tokens: int, n_words: int, p
                 )
 
 
-# Per context: pairs seen 1 to DISCOUNTED times, all pairs, and what its seen words have in the order below.
+# Per context, whole numbers: pairs seen 1 to DISCOUNTED times, all pairs, and the sum of one more than the counts of its
+# seen words, which is their share in the order below but for the common divisor.
 _STATS = DISCOUNTED + 2
 
 
-def _add_pairs(table: pa.Table, n_tokens: int, n_words: int) -> pa.Table:
+def _add_pairs(table: pa.Table) -> pa.Table:
     """Counts of a partition's pairs over all blocks, and sums of its contexts, in each block's order."""
     rows = table.to_pylist()
     lists = [unpack(r["contexts"], np.uint64) for r in rows]
@@ -218,7 +239,7 @@ def _add_pairs(table: pa.Table, n_tokens: int, n_words: int) -> pa.Table:
     hot = np.zeros(len(context), bool)
     hot[context_place] = np.concatenate([unpack(r["hot"], np.uint8) for r in rows]) > 0
     holder = np.repeat(context_place, np.concatenate(runs))
-    words = np.concatenate([unpack(r["words"], np.uint64) for r in rows])
+    words = np.concatenate([unpack(r["words"], np.uint64, LEFT_OUT) for r in rows])
     counts = np.concatenate([unpack_counts(r["counts"]) for r in rows])
     known = np.concatenate([unpack_counts(r["known"]) for r in rows])
     order = np.lexsort((words, holder))
@@ -226,10 +247,10 @@ def _add_pairs(table: pa.Table, n_tokens: int, n_words: int) -> pa.Table:
     new[1:] = (words[order][1:] != words[order][:-1]) | (holder[order][1:] != holder[order][:-1])
     first = np.flatnonzero(new)
     total = np.add.reduceat(counts[order], first)
-    of, lower = holder[order][first], (known[order][first] + 1) / (n_tokens + n_words + 1)
+    of, lower = holder[order][first], known[order][first] + 1
     back = np.empty(len(order), np.int64)
     back[order] = np.cumsum(new) - 1
-    stats = np.zeros((len(context), _STATS))
+    stats = np.zeros((len(context), _STATS), np.int64)
     for r in range(1, DISCOUNTED + 1):
         stats[:, r - 1] = np.bincount(of[total == r], minlength=len(context))
     stats[:, DISCOUNTED] = np.bincount(of, total, len(context))
@@ -244,7 +265,7 @@ def _add_pairs(table: pa.Table, n_tokens: int, n_words: int) -> pa.Table:
             "counts": pa.array([pack_counts(total[back[e - n : e]]) for n, e in zip(sizes, ends)], pa.binary()),
             "stats": pa.array(
                 [
-                    pack(stats[context_place[e - len(x) : e]].astype(np.float64).reshape(-1))
+                    pack_counts(stats[context_place[e - len(x) : e]].T.reshape(-1))
                     for x, e in zip(lists, list_ends)
                 ],
                 pa.binary(),
@@ -255,7 +276,7 @@ def _add_pairs(table: pa.Table, n_tokens: int, n_words: int) -> pa.Table:
                     [{"context": int(context[f].view(np.int64)), "stats": stats[f].tolist()} for f in few] if k == 0 else []
                     for k in range(len(rows))
                 ],
-                pa.list_(pa.struct([("context", pa.int64()), ("stats", pa.list_(pa.float64()))])),
+                pa.list_(pa.struct([("context", pa.int64()), ("stats", pa.list_(pa.int64()))])),
             ),
         }
     )
@@ -276,45 +297,48 @@ def discounts(times: np.ndarray) -> np.ndarray:
     return out
 
 
-def backoff(stats: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def backoff(stats: np.ndarray, factors: np.ndarray, divide: int) -> tuple[np.ndarray, np.ndarray]:
     """The divisor and the backoff weight of each context; a context never seen has divisor 0 and weight 1.
 
-    A context whose seen words would keep everything gets one more in its divisor, so that unseen words keep a share.
+    ``divide`` is the common divisor of the order below. A context whose seen words would keep everything gets one more
+    in its divisor, so that unseen words keep a share.
     """
     r = np.arange(1, DISCOUNTED + 1)
-    count = stats[:, DISCOUNTED]
-    low = stats[:, :DISCOUNTED]
-    kept = (low * (r * factors[1:])).sum(axis=1) + count - (low * r).sum(axis=1)
-    divisor = np.where((count > 0) & (count - kept < 1e-9 * np.maximum(count, 1)), count + 1, count)
-    left = (divisor - kept) / np.maximum(divisor, 1)
-    weight = np.where(count > 0, left / np.maximum(1 - stats[:, DISCOUNTED + 1], 1e-300), 1.0)
+    count, low = stats[:, DISCOUNTED], stats[:, :DISCOUNTED]
+    # What the seen words give up, added up on its own: it may be tiny beside the count.
+    given = low @ (r * (1 - factors[1:]))
+    full = (count > 0) & (given <= 0)
+    divisor = count + full
+    left = (given + full) / np.maximum(divisor, 1)
+    weight = np.where(count > 0, left * divide / np.maximum(divide - stats[:, DISCOUNTED + 1], 1), 1.0)
     return divisor, weight
 
 
 def _score(batches: Iterator[pa.RecordBatch], n_tokens: int, n_words: int, parts: int, shared) -> Iterator[pa.RecordBatch]:
     factors, hot_keys, hot_stats = shared.value
+    divide = n_tokens + n_words + 1
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             block = Block(row)
-            pairs = Pairs(block, row["answers"], n_tokens, n_words, parts)
+            pairs = Pairs(block, row["answers"], n_tokens, parts)
             answers = {one["part"]: one for one in row["pair_answers"]}
-            count = np.zeros(len(pairs.key), np.int64)
-            stats = np.zeros((len(block.vocabulary), _STATS))
+            simple = np.log10((pairs.known + 1) / divide)
+            logs = np.empty(len(pairs.context))
             for p in range(parts):
-                mine = pairs.order[pairs.cuts[p] : pairs.cuts[p + 1]]
-                if len(mine):
-                    count[mine] = unpack_counts(answers[p]["counts"])
-                    context = np.unique(pairs.context[mine])
-                    stats[context] = unpack(answers[p]["stats"], np.float64).reshape(-1, _STATS)
-            if len(hot_keys):
-                at = np.minimum(np.searchsorted(hot_keys, block.vocabulary), len(hot_keys) - 1)
-                is_hot = hot_keys[at] == block.vocabulary
-                stats[is_hot] = hot_stats[at[is_hot]]
-            divisor, weight = backoff(stats, factors)
-            factor = np.where(count <= DISCOUNTED, factors[np.minimum(count, DISCOUNTED)], 1.0)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                direct = factor * count / divisor[pairs.context]
-            chance = np.where(count > 0, direct, weight[pairs.context] * pairs.simple[pairs.next])
+                mine = pairs.of_part(p)
+                if len(mine) == 0:
+                    continue
+                count = unpack_counts(answers[p]["counts"])
+                context, place = np.unique(pairs.context[mine], return_inverse=True)
+                stats = unpack_counts(answers[p]["stats"]).reshape(_STATS, -1).T.copy()
+                few = np.flatnonzero(pairs.hot[context])
+                if len(few):
+                    stats[few] = hot_stats[np.searchsorted(hot_keys, block.vocabulary[context[few]])]
+                divisor, weight = backoff(stats, factors, divide)
+                factor = np.where(count <= DISCOUNTED, factors[np.minimum(count, DISCOUNTED)], 1.0)
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    direct = np.log10(factor * count / divisor[place])
+                logs[mine] = np.where(count > 0, direct, np.log10(weight)[place] + simple[pairs.next[mine]])
             docs = len(block.sizes)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -323,8 +347,8 @@ def _score(batches: Iterator[pa.RecordBatch], n_tokens: int, n_words: int, parts
                     pa.array(block.sizes + 1),
                     pa.array(np.bincount(block.owner, pairs.known[block.tokens] > 0, docs).astype(np.int64)),
                     pa.array(np.full(docs, n_tokens, np.int64)),
-                    pa.array(np.bincount(block.owner, np.log10(pairs.simple)[block.tokens], docs)),
-                    pa.array(np.bincount(block.owner, np.log10(chance)[pairs.place], docs)),
+                    pa.array(np.bincount(block.owner, simple[block.tokens], docs)),
+                    pa.array(np.bincount(block.owner, logs[pairs.place], docs)),
                 ],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
@@ -335,6 +359,49 @@ def _asked(blocks: DataFrame, answers: DataFrame, name: str, *columns: str) -> D
     return blocks.join(listed.hint("shuffle_merge"), "block")
 
 
+def _scores(blocks: DataFrame, parts: int) -> DataFrame:
+    spark = blocks.sparkSession
+    words = map_arrow(blocks, _ask_words, "part int, block bigint, keys binary, counts binary", parts)
+    answers = written(
+        words.groupBy("part").applyInArrow(
+            _add_words, "block bigint, part int, counts binary, n_tokens bigint, n_words bigint"
+        ),
+        "word-counts",
+    )
+    totals = answers.agg(F.sum("n_tokens"), F.sum("n_words")).first()
+    n_tokens, n_words = int(totals[0] or 0), int(totals[1] or 0)
+
+    with_words = _asked(blocks, answers, "answers", "counts")
+    pairs = map_arrow(
+        with_words,
+        _ask_pairs,
+        "part int, block bigint, contexts binary, hot binary, runs binary, words binary, counts binary, known binary",
+        n_tokens,
+        parts,
+    )
+    pair_answers = written(
+        pairs.groupBy("part").applyInArrow(
+            _add_pairs,
+            "block bigint, part int, counts binary, stats binary, times array<bigint>, "
+            "hot array<struct<context: bigint, stats: array<bigint>>>",
+        ),
+        "pair-counts",
+    )
+    times = pair_answers.select(F.posexplode("times").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n"))
+    found = {row["r"]: row["n"] for row in times.collect()}
+    factors = discounts(np.array([found.get(r, 0) for r in range(DISCOUNTED + 1)]))
+    # Fewer than HOT_SHARE contexts per partition can be this frequent.
+    hot = pair_answers.select(F.inline("hot")).groupBy("context").agg(
+        *(F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(_STATS))
+    )
+    few = sorted((int(np.int64(r["context"]).view(np.uint64)), [r[f"s{k}"] for k in range(_STATS)]) for r in hot.collect())
+    keys = np.array([one[0] for one in few], np.uint64)
+    shared = spark.sparkContext.broadcast((factors, keys, np.array([one[1] for one in few], np.int64).reshape(-1, _STATS)))
+    ready = _asked(with_words, pair_answers, "pair_answers", "counts", "stats")
+    out = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    return written(map_arrow(ready, _score, out, n_tokens, n_words, parts, shared), "scores")
+
+
 def katz_scores(
     docs: DataFrame, held_out: Column | None = None, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -353,45 +420,7 @@ def katz_scores(
     map_arrow(picked, _store, schema).write.bucketBy(parts, "block").format("parquet").saveAsTable(name)
     blocks = spark.table(name)
     try:
-        words = map_arrow(blocks, _ask_words, "part int, block bigint, keys binary, counts binary", parts)
-        answers = written(
-            words.groupBy("part").applyInArrow(
-                _add_words, "block bigint, part int, counts binary, n_tokens bigint, n_words bigint"
-            ),
-            "word-counts",
-        )
-        totals = answers.agg(F.sum("n_tokens"), F.sum("n_words")).first()
-        n_tokens, n_words = int(totals[0] or 0), int(totals[1] or 0)
-
-        with_words = _asked(blocks, answers, "answers", "counts")
-        pairs = map_arrow(
-            with_words,
-            _ask_pairs,
-            "part int, block bigint, contexts binary, hot binary, runs binary, words binary, counts binary, known binary",
-            n_tokens,
-            n_words,
-            parts,
-        )
-        pair_answers = written(
-            pairs.groupBy("part").applyInArrow(
-                lambda table: _add_pairs(table, n_tokens, n_words),
-                "block bigint, part int, counts binary, stats binary, times array<bigint>, "
-                "hot array<struct<context: bigint, stats: array<double>>>",
-            ),
-            "pair-counts",
-        )
-        times = pair_answers.select(F.posexplode("times").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n"))
-        found = {row["r"]: row["n"] for row in times.collect()}
-        factors = discounts(np.array([found.get(r, 0) for r in range(DISCOUNTED + 1)]))
-        # Fewer than HOT_SHARE contexts per partition can be this frequent.
-        hot = pair_answers.select(F.inline("hot")).groupBy("context").agg(
-            *(F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(_STATS))
-        )
-        few = sorted((int(np.int64(r["context"]).view(np.uint64)), [r[f"s{k}"] for k in range(_STATS)]) for r in hot.collect())
-        keys = np.array([one[0] for one in few], np.uint64)
-        shared = spark.sparkContext.broadcast((factors, keys, np.array([one[1] for one in few]).reshape(-1, _STATS)))
-        ready = _asked(with_words, pair_answers, "pair_answers", "counts", "stats")
-        out = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-        return written(map_arrow(ready, _score, out, n_tokens, n_words, parts, shared), "scores")
+        with few_rows_at_once(spark):
+            return _scores(blocks, parts)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -152,8 +152,8 @@ def test_katz_contexts_sum_to_one():
 
 def test_katz_backoff_of_stats():
     factors = lm.discounts(np.array([50, 20, 10, 6, 4, 3]))
-    stats = np.array([[0, 0, 0, 0, 0, 0, 0], [2, 1, 0, 0, 0, 10, 0.3], [0, 0, 0, 0, 0, 9, 0.5]], float)
-    divisor, weight = lm.backoff(stats, factors)
+    stats = np.array([[0, 0, 0, 0, 0, 0, 0], [2, 1, 0, 0, 0, 10, 30], [0, 0, 0, 0, 0, 9, 50]])
+    divisor, weight = lm.backoff(stats, factors, 100)
     assert divisor.tolist() == [0, 10, 10] and weight[0] == 1
     assert math.isclose(weight[2], (1 / 10) / 0.5)
 
@@ -168,6 +168,7 @@ def test_katz_of_nothing(spark, no_docs):
 def test_packed_arrays():
     for array in (np.zeros(0, np.uint64), np.arange(1000, dtype=np.uint64) * 2**40, np.array([3], np.uint32)):
         assert (lm.unpack(lm.pack(array), array.dtype) == array).all()
+        assert (lm.unpack(lm.pack(array, 1), array.dtype, 1) == array // 256 * 256).all()
     assert lm.unpack_counts(lm.pack_counts(np.array([1, 1 << 40]))).tolist() == [1, 1 << 40]
 
 
