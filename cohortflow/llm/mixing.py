@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.arrays import SLICE_BYTES, Words, batch_of, hash_texts, signed, slices
+from cohortflow.llm.arrays import Words, batch_of, hash_texts, signed, slices
 from cohortflow.llm.frames import map_arrow, with_rows, written
 from cohortflow.llm.quality import CLASSES, _bytes_of
 
@@ -47,19 +47,19 @@ def _vocabulary(texts: pa.Array) -> tuple[Words, np.ndarray]:
     return words, hash_texts(pc.utf8_trim(words.vocabulary, _TRIM))
 
 
-def _presence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Words]:
+def _presence(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (document, word) pairs."""
     words, hashes = _vocabulary(texts)
     owner = words.owner()
     unique, dense = np.unique(hashes, return_inverse=True) if len(hashes) else (hashes, np.zeros(0, int))
     pair = np.unique(owner * max(len(unique), 1) + dense[words.ids]) if len(owner) else np.zeros(0, np.int64)
-    return pair // max(len(unique), 1), unique[pair % max(len(unique), 1)], words
+    return pair // max(len(unique), 1), unique[pair % max(len(unique), 1)]
 
 
 def _domain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("domain", pa.int32()), ("word", pa.int64()), ("n", pa.int64())])
     for batch in slices(batches, "text"):
-        holder, word, _ = _presence(batch.column("text"))
+        holder, word = _presence(batch.column("text"))
         domain = batch.column("domain").to_numpy().astype(np.int64)[holder]
         order = np.lexsort((word, domain))
         domain, word = domain[order], word[order]
@@ -73,12 +73,13 @@ def _domain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _features(texts: pa.Array, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A row per document, and its words: presence of the chosen words, roots of byte class shares, then the shares of
     distinct words and of words equal to the one before, the size, and a constant."""
-    holder, word, words = _presence(texts)
+    words, hashes = _vocabulary(texts)
     out = np.zeros((len(texts), len(chosen) + _EXTRA), np.float32)
-    if len(chosen) and len(word):
-        at = np.minimum(np.searchsorted(chosen, word), len(chosen) - 1)
-        hit = chosen[at] == word
-        out[holder[hit], at[hit]] = 1
+    if len(chosen) and len(words):
+        # Chosen words are looked up once per vocabulary word; few words of a text are among them.
+        at = np.minimum(np.searchsorted(chosen, hashes), len(chosen) - 1)
+        hit = np.flatnonzero((chosen[at] == hashes)[words.ids])
+        out[words.owner()[hit], at[words.ids[hit]]] = 1
     data, borders = _bytes_of(texts)
     owner = np.repeat(np.arange(len(texts)), np.diff(borders))
     shares = np.bincount(owner * 64 + CLASSES[data], minlength=len(texts) * 64).reshape(-1, 64)
@@ -184,7 +185,7 @@ def fit_classifier(rows: DataFrame, domains: list[str], anchor: str) -> Classifi
 
 def _posteriors(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     model = model.value
-    for batch in slices(batches, "text", SLICE_BYTES // 2):
+    for batch in slices(batches, "text"):
         features, tokens = _features(batch.column("text"), model.chosen)
         found = model.posterior(features)
         yield pa.RecordBatch.from_arrays(
@@ -233,13 +234,17 @@ def fit_rates(members: DataFrame, targets: np.ndarray, sure: int = 0, steps: int
     scale = max(np.trace(gram), 1.0)
     inverse = np.linalg.inv(gram / scale + 1e-9 * np.eye(kinds)) / scale
     moves: list[np.ndarray] = []
+    totals = None
     while True:
         rate = _rate(moves, kinds)
         got = members.select(
             *(F.sum(rate * F.col("n_tokens") * F.col(f"p{k}")).alias(f"s{k}") for k in range(kinds))
         ).first()
-        totals = np.array([x or 0.0 for x in got])
-        if len(moves) == steps or np.abs(totals - targets).max() <= TOLERANCE * max(targets.sum(), 1.0):
+        before, totals = totals, np.array([x or 0.0 for x in got])
+        near = TOLERANCE * max(targets.sum(), 1.0)
+        # Targets that no nonnegative rates reach are approached until a step changes nothing.
+        settled = before is not None and np.abs(totals - before).max() <= near / 10
+        if len(moves) == steps or settled or np.abs(totals - targets).max() <= near:
             certain = 1.0
             for one in moves:
                 certain = max(0.0, certain - float(one[sure]))
