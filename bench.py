@@ -14,7 +14,7 @@ import tempfile
 import time
 
 from cohortflow.queries import QUERIES
-from cohortflow.session import local_session
+from cohortflow.session import clear_scratch, local_session
 
 # Queries that stand for the stages of the work, from lab tables to release.
 HEADLINE = (
@@ -69,6 +69,7 @@ def main() -> None:
         times = [timed(QUERIES[name], spark, sf_dir) for _ in range(runs)]
         seconds[name] = round(statistics.median(times), 3)
         print(f"{name}: {seconds[name]}", file=sys.stderr)
+    clear_scratch(spark)
     spark.stop()
     print(
         json.dumps(

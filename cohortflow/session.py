@@ -52,9 +52,20 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own folder below the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/cohortflow-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder; nothing is ever written there twice."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's folder; nothing is ever written there twice."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written down; results not yet read or saved elsewhere are lost."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def written(df: DataFrame, label: str = "rows") -> DataFrame:

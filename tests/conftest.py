@@ -1,6 +1,6 @@
 import pytest
 
-from cohortflow.session import local_session
+from cohortflow.session import clear_scratch, local_session
 
 
 @pytest.fixture(scope="session")
@@ -8,4 +8,5 @@ def spark(tmp_path_factory):
     session = local_session(8, "cohortflow-tests", str(tmp_path_factory.mktemp("scratch")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()

@@ -12,7 +12,7 @@ from cohortflow import fixed_values as V
 from cohortflow.operators import genotypes, metadata, parameters, qc, reads, restriction
 from cohortflow.operators.numbering import first_by_digest
 from cohortflow.plans import prepare
-from cohortflow.session import shared_dir
+from cohortflow.session import clear_scratch, scratch_root, shared_dir, written
 from cohortflow.sinks import tables as sink
 from cohortflow.sources import results, tables
 
@@ -62,17 +62,26 @@ def test_listed_ids_lose_their_suffix_too(spark):
 
 
 def test_no_restricted_row_is_written_down(spark):
-    before = set(glob.glob(f"{shared_dir(spark)}/*"))
+    before = set(glob.glob(f"{scratch_root(spark)}/*"))
     listed = spark.createDataFrame([("ABC001.A0101",), ("ABC002.A0101",)], "id string")
     made = prepare.prepare_run_sheets(frames(spark, ROWS), runs(spark, "R1"), protocols(spark), listed)
     found = {r.target_ind for r in made.collect()}
     assert found and "ABC001" not in found
-    for path in set(glob.glob(f"{shared_dir(spark)}/*")) - before:
+    after = set(glob.glob(f"{scratch_root(spark)}/*"))
+    assert after - before
+    for path in after - before:
         kept = spark.read.parquet(path)
         if "target_ind" in kept.columns:
             assert kept.filter("target_ind IN ('ABC001', 'ABC002')").isEmpty()
 
 
+def test_scratch_is_the_applications_own_and_can_be_cleared(spark):
+    written(spark.range(3), "gone")
+    assert scratch_root(spark).startswith(shared_dir(spark)) and glob.glob(f"{scratch_root(spark)}/gone-*")
+    clear_scratch(spark)
+    assert not os.path.exists(scratch_root(spark))
+
+
 def test_genome_order_of_text_chromosomes(spark):
     names = ["MT", "10", "2", "chr1", "X", "22", "Y", "9", "GL1"]
     snps = spark.createDataFrame(
