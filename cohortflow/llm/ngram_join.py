@@ -11,10 +11,9 @@ a set with ``m`` parts that hold anything shares at least ``m - k`` signatures w
   ``c`` repeated signatures of either set, so only these are compared. Frequent passages are thus left aside
   without losing a pair, and no signature is capped.
 
-Sets are nodes, so equal sets are one node. Candidates are verified on the sets themselves. Members of a
-signature group are compared with a few pivots first; pairs already linked, and pairs whose distances to
-the pivot differ by more than the allowed distance (a metric), need no comparison. What is left doubles
-the pivots until no pair is open.
+Sets are nodes, so equal sets are one node. Each set is verified against one other through its most shared signature
+first, which connects most of a large group. Groups that this leaves unconnected are compared exactly, block of sets
+against block, leaving out blocks of one component; no pair is emitted but the links that connect something.
 
 Defined results: words are runs of non-blank characters, A-Z lower-cased; fewer words than ``size`` make one
 n-gram; without words a document has no n-grams and no links. Rows with one ID take part one by one and
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow.llm.arrays import SLICE_BYTES, Words, batch_of, inside, mix, ranges, rolling, signed, slices
-from cohortflow.llm.frames import broadcast_if_small, components, map_arrow, with_rows, written
+from cohortflow.llm.frames import broadcast_if_small, components, few_rows_at_once, map_arrow, with_rows, written
 
 SIZE = 5
 THRESHOLD = Fraction(3, 4)
@@ -43,6 +42,8 @@ DENSITY = 0.42
 # Sets in one slice from which a signature counts as very frequent.
 FREQUENT = 64
 _MANY = 1 << 30
+# N-grams in a block of sets that are compared with another block at once.
+BLOCK = 100_000
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +59,10 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
         ]
         grams = np.concatenate([grams, np.array(whole, np.uint64)])
         holder = np.concatenate([holder, short])
-    order = np.lexsort((grams, holder))
+    order = np.argsort(grams)
+    # Few texts at a time: places of 16 bits sort by radix.
+    small = holder[order].astype(np.uint16) if len(texts) < 1 << 16 else holder[order]
+    order = order[np.argsort(small, kind="stable")]
     grams, holder = grams[order], holder[order]
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]) | (holder[1:] != holder[:-1])
@@ -107,95 +111,103 @@ def signatures(
         differ = (n + partner) * (q - p) // (q + p)
         parts = np.where(largest <= SINGLE, 0, np.maximum(np.ceil(DENSITY * largest), largest * 2 * (q - p) // (q + p) + 2))
         parts = parts.astype(np.int64)
+        label = mix(band.astype(np.uint64) + np.uint64(1))
         holder = np.repeat(np.arange(len(n)), n)
-        use = fits[holder]
-        holder, gram = holder[use], grams[use]
-        many = parts[holder].astype(np.uint64)
-        scrambled = mix(gram)
-        part = np.where(many > 0, scrambled % np.maximum(many, 1), scrambled)
-        order = np.lexsort((part, holder))
-        holder, part, scrambled = holder[order], part[order], mix(scrambled[order] + np.uint64(0xA0761D6478BD642F))
-        first = np.ones(len(holder), bool)
-        first[1:] = (holder[1:] != holder[:-1]) | (part[1:] != part[:-1])
-        first = np.flatnonzero(first)
-        if len(first) == 0:
-            continue
-        content = np.add.reduceat(scrambled, first)
-        holder, part = holder[first], part[first]
-        filled = np.bincount(holder, minlength=len(n))
+        filled = np.zeros(len(n), np.int64)
+        scrambled = mix(grams)
+        # Small sets: each n-gram is a part.
+        alone = fits[holder] & (parts[holder] == 0)
+        who = holder[alone]
+        filled += np.bincount(who, minlength=len(n))
+        found = [(mix(mix(scrambled[alone] + np.uint64(1)) + mix(scrambled[alone] + label[who])), who)]
+        # Others: the sum of what lies in each part, parts of all sets in one row.
+        cut = np.where(fits, parts, 0)
+        base = np.concatenate([[0], np.cumsum(cut)])
+        shared = cut[holder] > 0
+        who = holder[shared]
+        part = (scrambled[shared] % cut[who].astype(np.uint64)).astype(np.int64)
+        content = np.zeros(base[-1], np.uint64)
+        np.add.at(content, base[who] + part, mix(scrambled[shared] + np.uint64(0xA0761D6478BD642F)))
+        holds = np.zeros(base[-1], bool)
+        holds[base[who] + part] = True
+        at = np.flatnonzero(holds)
+        who = np.repeat(np.arange(len(n)), cut)[at]
+        filled += np.bincount(who, minlength=len(n))
+        found.append((mix(content[at] + mix((at - base[who]).astype(np.uint64) + label[who])), who))
         least = filled - differ
-        label = mix(band.astype(np.uint64) + np.uint64(1))[holder]
-        out[0].append(mix(content + mix(part + label)))
-        out[1].append(holder)
         # A set that might share nothing but empty parts names these as well.
         for i in np.flatnonzero(fits & (least < 1) & (parts > 0)):
-            empty = np.setdiff1d(np.arange(parts[i], dtype=np.uint64), part[holder == i])
-            out[0].append(mix(mix(empty + mix(band[i : i + 1].astype(np.uint64) + np.uint64(1)))))
-            out[1].append(np.full(len(empty), i))
+            empty = np.flatnonzero(~holds[base[i] : base[i + 1]]).astype(np.uint64)
+            found.append((mix(mix(empty + label[i])), np.full(len(empty), i)))
             least[i] = parts[i] - differ[i]
-        added = sum(map(len, out[1])) - sum(map(len, out[2]))
-        out[2].append(np.full(added, side))
-        owners = np.concatenate(out[1])[-added:]
-        out[3].append(np.maximum(least, 1)[owners])
+        least = np.maximum(least, 1)
+        for sig, who in found:
+            for one, values in zip(out, (sig, who, np.full(len(who), side), least[who])):
+                one.append(values)
     return tuple(np.concatenate(one) if one else np.zeros(0, np.int64) for one in out)
 
 
-# A signature, the set that has it, the side and least number of it, and how many sets are known to have it.
-_SIGNATURES = pa.schema(
-    [("part", pa.int64()), ("sig", pa.int64()), ("node", pa.int64()), ("least", pa.int32()), ("n", pa.int32())]
-)
+# A signature, a set that has it, and twice the least number shared plus the side; FREQUENT_BIT is added for signatures that
+# are very frequent in a slice, and -1 marks such a signature itself.
+_SIGNATURES = pa.schema([("sig", pa.int64()), ("node", pa.int64()), ("info", pa.int32())])
+_FREQUENT_BIT = 1 << 30
 
 
 def _sign(batches: Iterator[pa.RecordBatch], size: int, threshold: Fraction) -> Iterator[pa.RecordBatch]:
-    """Signatures of each set once per slice. Of a very frequent one, the sets go to scattered partitions and
-    only a marker goes to the partition of the signature."""
+    """Signatures of each set once per slice, sets in a row, and a marker for each very frequent signature."""
     for batch in slices(batches, "text", SLICE_BYTES // 2):
         grams, borders = shingle_sets(batch.column("text"), size)
         node = set_ids(grams, borders)
-        first = np.unique(node, return_index=True)[1]
         keep = np.zeros(len(node), bool)
-        keep[first] = True
+        keep[np.unique(node, return_index=True)[1]] = True
         n = np.diff(borders)
         chosen = ranges(borders[:-1][keep], n[keep])
         node, grams, borders = node[keep], grams[chosen], np.concatenate([[0], np.cumsum(n[keep])])
         sig, owner, side, least = signatures(grams, borders, threshold)
         if len(sig) == 0:
             continue
-        order = np.argsort(sig)
-        sig, owner, least = signed(sig[order]), owner[order], (least * 2 + side)[order]
-        start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-        size_of = np.diff(np.append(start, len(sig)))
-        often = np.repeat(size_of >= FREQUENT, size_of)
-        part = np.where(often, signed(mix(sig.astype(np.uint64) + mix(node[owner].astype(np.uint64)))), sig)
-        weight = np.where(often, _MANY, 1).astype(np.int32)
-        yield batch_of(_SIGNATURES, part, sig, node[owner], least.astype(np.int32), weight)
-        marks = sig[start[size_of >= FREQUENT]]
-        if len(marks):
-            none = np.full(len(marks), -1, np.int32)
-            yield batch_of(_SIGNATURES, marks, marks, np.zeros(len(marks), np.int64), none, np.full(len(marks), _MANY, np.int32))
+        order = np.argsort(owner.astype(np.uint16) if len(node) < 1 << 16 else owner, kind="stable")
+        sig, owner, info = signed(sig[order]), owner[order], (least * 2 + side)[order].astype(np.int32)
+        ordered = np.sort(sig)
+        start = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        often = ordered[start[np.diff(np.append(start, len(ordered))) >= FREQUENT]]
+        if len(often):
+            at = np.minimum(np.searchsorted(often, sig), len(often) - 1)
+            info = np.where(often[at] == sig, info | _FREQUENT_BIT, info).astype(np.int32)
+            yield batch_of(_SIGNATURES, often, np.zeros(len(often), np.int64), np.full(len(often), -1, np.int32))
+        yield batch_of(_SIGNATURES, sig, node[owner], info)
 
 
 def _keep_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by ``part, sig, node``: distinct sets of signatures that several sets have."""
+    """From rows sorted by ``sig``: distinct sets of signatures that several sets have."""
     schema = pa.schema([("sig", pa.int64()), ("node", pa.int64()), ("least", pa.int32()), ("weight", pa.int32())])
     rest = None
 
-    def settled(part, sig, node, least, n):
+    def settled(sig, node, info):
+        if len(sig) == 0:
+            return None
+        start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        size = np.diff(np.append(start, len(sig)))
+        # Most signatures belong to one set; only the others are looked at, and those known to be frequent.
+        many = np.repeat(size > 1, size) | (info >= _FREQUENT_BIT)
+        sig, node, info = sig[many], node[many], info[many]
         if len(sig) == 0:
             return None
-        new = np.ones(len(sig), bool)
-        new[1:] = (part[1:] != part[:-1]) | (sig[1:] != sig[:-1])
-        mark = least < 0
+        mark = (info < 0) | (info >= _FREQUENT_BIT)
+        order = np.lexsort((info < 0, node, sig))
+        sig, node, info, mark = sig[order], node[order], info[order], mark[order]
+        new = np.concatenate([[True], sig[1:] != sig[:-1]])
         distinct = new.copy()
-        distinct[1:] |= (node[1:] != node[:-1]) | (mark[1:] != mark[:-1])
-        distinct &= ~mark
+        distinct[1:] |= (node[1:] != node[:-1]) | ((info[1:] < 0) != (info[:-1] < 0))
+        distinct &= info >= 0
         first = np.flatnonzero(new)
-        count = np.add.reduceat(distinct.astype(np.int64), first)
-        most = np.maximum.reduceat(n, first)
         size = np.diff(np.append(first, len(sig)))
-        weight = np.repeat(np.where(most >= _MANY, _MANY, count), size)
+        count = np.add.reduceat(distinct.astype(np.int64), first)
+        frequent = np.logical_or.reduceat(mark, first)
+        weight = np.repeat(np.where(frequent, _MANY, count), size)
         keep = distinct & (weight > 1)
-        return batch_of(schema, sig[keep], node[keep], least[keep], weight[keep].astype(np.int32))
+        least = info[keep] & ~np.int32(_FREQUENT_BIT)
+        return batch_of(schema, sig[keep], node[keep], least, weight[keep].astype(np.int32))
 
     for batch in batches:
         now = [batch.column(name).to_numpy(zero_copy_only=False) for name in _SIGNATURES.names]
@@ -203,8 +215,7 @@ def _keep_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             now = [np.concatenate(two) for two in zip(rest, now)]
         if len(now[0]) == 0:
             continue
-        other = (now[0] != now[0][-1]) | (now[1] != now[1][-1])
-        open_from = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+        open_from = int(np.searchsorted(now[0], now[0][-1]))
         rest = [one[open_from:] for one in now]
         done = settled(*(one[:open_from] for one in now))
         if done is not None:
@@ -216,11 +227,11 @@ def _keep_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _members(rows: DataFrame, size: int, threshold: Fraction) -> DataFrame:
-    """``sig, node``: the signatures by which sets must be compared."""
-    signed_sets = map_arrow(
-        rows.select("text"), _sign, "part bigint, sig bigint, node bigint, least int, n int", size, threshold
-    )
-    dealt = signed_sets.repartition("part").sortWithinPartitions("part", "sig", "node", "least")
+    """``sig, node, weight``: the signatures by which sets must be compared, and how many sets have them."""
+    found = map_arrow(rows.select("text"), _sign, "sig bigint, node bigint, info int", size, threshold)
+    # Sets of a very frequent signature are dealt by set; its markers go to the partition of the signature.
+    place = F.when(F.col("info") >= _FREQUENT_BIT, F.xxhash64("sig", "node")).otherwise(F.col("sig"))
+    dealt = found.repartition(place).sortWithinPartitions("sig")
     shared = map_arrow(dealt, _keep_shared, "sig bigint, node bigint, least int, weight int")
     # A frequent signature can reach several partitions, and with it a set can come more than once.
     shared = shared.groupBy("node", "least", "sig").agg(F.max("weight").alias("weight"))
@@ -228,11 +239,12 @@ def _members(rows: DataFrame, size: int, threshold: Fraction) -> DataFrame:
     ranked = shared.select(
         "sig",
         "node",
+        "weight",
         F.expr("least div 2").alias("needed"),
         F.count("*").over(of_set).alias("found"),
         F.row_number().over(of_set.orderBy("weight", "sig")).alias("place"),
     )
-    return ranked.where("found >= needed and place <= found - needed + 1").select("sig", "node")
+    return ranked.where("found >= needed and place <= found - needed + 1").select("sig", "node", "weight")
 
 
 def _list_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -256,39 +268,132 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _links(members: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame | None:
-    """``a, b`` of verified pairs that connect all sets which similar pairs connect."""
-    p, q = threshold.numerator, threshold.denominator
-    groups = Window.partitionBy("sig")
-    found = None
-    pivots = 1
+def _still_open(members: DataFrame, group_of: DataFrame) -> DataFrame:
+    """``sig, node, component`` of signature groups whose sets are not yet all connected."""
+    placed = members.join(group_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = placed.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(several.where("low <> high"), "sig").select("sig", "node", "component")
+
+
+def _connected(near: np.ndarray) -> np.ndarray:
+    """The smallest row or column number that each row, then each column, of a matrix of links reaches."""
+    rows, columns = near.shape
+    label = np.arange(rows + columns)
     while True:
-        ordered = members.withColumn("place", F.row_number().over(groups.orderBy("node")))
-        first = ordered.where(F.col("place") <= pivots).select("sig", F.col("node").alias("a"), F.col("place").alias("pa"))
-        pairs = ordered.join(first, "sig").where("place > pa").select("a", F.col("node").alias("b")).distinct()
-        checked = written(_verify(pairs, sets), "verified")
-        linked = checked.where(q * F.col("common") >= p * F.col("total")).select("a", "b")
-        found = linked if found is None else found.unionByName(linked)
-        group_of = components(found)
-        # Open groups: without the pivots, and split where the distance to the first pivot leaps.
-        pivot = ordered.where("place = 1").select("sig", F.col("node").alias("a"))
-        rest = ordered.where(F.col("place") > pivots).select("sig", "node").join(pivot, "sig")
-        near = rest.join(checked.withColumnRenamed("b", "node"), ["a", "node"]).join(group_of, "node", "left")
-        away = near.select(
-            "sig",
-            "node",
-            F.coalesce("component", "node").alias("component"),
-            (1 - F.col("common") / F.col("total")).alias("away"),
-        )
-        by_distance = groups.orderBy("away", "node")
-        leap = (F.col("away") - F.lag("away").over(by_distance) > float(1 - threshold) + 1e-9).cast("int")
-        split = away.withColumn("leap", F.coalesce(leap, F.lit(0))).withColumn("run", F.sum("leap").over(by_distance))
-        split = split.select(F.xxhash64("sig", "run").alias("sig"), "node", "component")
-        several = split.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        members = written(split.join(several.where("low <> high"), "sig").select("sig", "node"), "open")
-        if members.isEmpty():
-            return group_of
-        pivots *= 2
+        top, side = label[:rows], label[rows:]
+        to_top = np.where(near, side[None, :], rows + columns).min(axis=1, initial=rows + columns)
+        new_top = np.minimum(top, to_top)
+        to_side = np.where(near, new_top[:, None], rows + columns).min(axis=0, initial=rows + columns)
+        new = np.concatenate([new_top, np.minimum(side, to_side)])
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _compare(batches: Iterator[pa.RecordBatch], threshold: Fraction) -> Iterator[pa.RecordBatch]:
+    """Links that connect what similar pairs between two blocks connect: at most one per set."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    p, q = threshold.numerator, threshold.denominator
+    for batch in batches:
+        for k in range(batch.num_rows):
+            nodes, grams, sizes = [], [], []
+            for side in ("left", "right"):
+                members = batch.column(side).slice(k, 1).flatten()
+                nodes.append(members.field("node").to_numpy())
+                lists = members.field("grams")
+                sizes.append(np.diff(np.asarray(lists.offsets).astype(np.int64)))
+                grams.append(lists.flatten().to_numpy())
+            both, place, n = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+            # Only n-grams that come twice can be common; they are renumbered from 0.
+            number = np.cumsum(n > 1) - 1
+            width = int((n > 1).sum())
+            common = np.zeros((len(nodes[0]), len(nodes[1])), np.float32)
+            cut = len(grams[0])
+            sides = []
+            for found, size in ((place[:cut], sizes[0]), (place[cut:], sizes[1])):
+                owner = np.repeat(np.arange(len(size)), size)
+                use = n[found] > 1
+                sides.append((owner[use], number[found[use]], len(size)))
+            for begin in range(0, width, 4096):
+                dense = []
+                for owner, column, rows in sides:
+                    here = (column >= begin) & (column < begin + 4096)
+                    block = np.zeros((rows, min(4096, width - begin)), np.float32)
+                    block[owner[here], column[here] - begin] = 1
+                    dense.append(block)
+                common += dense[0] @ dense[1].T
+            common = np.rint(common).astype(np.int64)
+            near = common * q >= p * (sizes[0][:, None] + sizes[1][None, :] - common)
+            label = _connected(near)
+            every = np.concatenate(nodes)
+            link = label != np.arange(len(label))
+            yield batch_of(schema, every[link], every[label[link]])
+
+
+def _block_links(open_members: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
+    """Links between the sets of open groups, block against block.
+
+    Sets that open groups connect are a cluster. A cluster is dealt into blocks of about ``BLOCK`` n-grams; components
+    that fill a block have blocks of their own, which are not compared with each other. The rows that move are pairs of
+    blocks, and at most one link per set comes back from each.
+    """
+    pivot = open_members.groupBy("sig").agg(F.min("node").alias("a"))
+    star = open_members.join(pivot, "sig").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    clusters = components(star).withColumnRenamed("component", "cluster")
+    # The number of n-grams decides how many blocks there are.
+    placed = (
+        open_members.select("node", "component")
+        .distinct()
+        .join(clusters, "node")
+        .join(sets.select("node", F.size("grams").alias("n")), "node")
+    )
+    size = placed.groupBy("cluster", "component").agg(F.sum("n").alias("held"))
+    pure = F.when(F.col("held") >= BLOCK, F.col("component"))
+    parts = size.select("cluster", "component", pure.alias("pure"), "held")
+    whole = parts.groupBy("cluster", "pure").agg(F.ceil(F.sum("held") / BLOCK).alias("blocks"))
+    where = parts.alias("p").join(
+        whole.alias("w"),
+        (F.col("p.cluster") == F.col("w.cluster")) & F.col("p.pure").eqNullSafe(F.col("w.pure")),
+    ).select("p.cluster", "p.component", "p.pure", "w.blocks")
+    block = F.xxhash64("cluster", "pure", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = placed.join(where, ["cluster", "component"]).select("node", "cluster", "pure", block.alias("block"))
+    blocks = written(
+        dealt.join(sets, "node")
+        .groupBy("cluster", "pure", "block")
+        .agg(F.collect_list(F.struct("node", "grams")).alias("members")),
+        "blocks",
+    )
+    names = blocks.select("cluster", "pure", "block")
+    other = names.select("cluster", F.col("pure").alias("pure2"), F.col("block").alias("block2"))
+    pairs = names.join(other, "cluster").where("block <= block2 and (pure is null or pure2 is null or pure <> pure2)")
+    both = (
+        pairs.select("block", "block2")
+        .join(blocks.select("block", F.col("members").alias("left")), "block")
+        .join(blocks.select(F.col("block").alias("block2"), F.col("members").alias("right")), "block2")
+    )
+    # Pairs of blocks are units of work; they are dealt out evenly.
+    spread = both.select("block", "block2", "left", "right").repartition("block", "block2")
+    return map_arrow(spread.select("left", "right"), _compare, "a bigint, b bigint", threshold)
+
+
+def _links(members: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
+    """``node, component``: sets connected by similar pairs that share a signature."""
+    # First each set by its most shared signature alone: most of a large group is connected by one pair per set.
+    by_weight = Window.partitionBy("node").orderBy(F.desc("weight"), "sig")
+    heavy = members.withColumn("place", F.row_number().over(by_weight)).where("place = 1").select("sig", "node")
+    pivot = heavy.groupBy("sig").agg(F.min("node").alias("a"))
+    pairs = heavy.join(pivot, "sig").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    checked = _verify(pairs, sets)
+    similar = threshold.denominator * F.col("common") >= threshold.numerator * F.col("total")
+    links = written(checked.where(similar).select("a", "b"), "links")
+    group_of = written(components(links), "groups")
+    open_members = written(_still_open(members.select("sig", "node"), group_of), "open")
+    if open_members.isEmpty():
+        return group_of
+    with few_rows_at_once(open_members.sparkSession, 4):
+        more = written(_block_links(open_members, sets, threshold), "links")
+    known = group_of.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return written(components(known.unionByName(more)), "groups")
 
 
 def near_duplicates(
@@ -305,7 +410,7 @@ def near_duplicates(
     )
     members = written(_members(rows, size, threshold), "signatures")
     groups = members.groupBy("sig").agg(F.count("*").alias("n")).where("n > 1")
-    members = members.join(groups, "sig").select("sig", "node")
+    members = members.join(groups, "sig").select("sig", "node", "weight")
     nodes = members.select("node").distinct()
     holders = named.join(nodes, "node").groupBy("node").agg(F.min("row").alias("row")).select("row")
     texts = rows.join(broadcast_if_small(holders.distinct()), "row").select("text")
