@@ -68,13 +68,13 @@ def clear_scratch(spark: SparkSession) -> None:
     root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
-def written(df: DataFrame, label: str = "rows") -> DataFrame:
+def written(df: DataFrame, label: str = "rows", compression: str = "snappy") -> DataFrame:
     """The rows as a table in the shared folder: made once, and safe from the loss of executors.
 
     Later reads of it take only the columns they need.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
