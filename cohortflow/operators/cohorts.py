@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.functions import ids
 from cohortflow.operators import lims
+from cohortflow.session import written
 
 FULL = "full_individual_id"
 MAIN = "main_individual_id"
@@ -51,8 +52,11 @@ def expand_cohorts(
     ``union`` returns the rows of an individual that any of the runs touches. ``last_run`` returns
     for each target individual what its last run alone would, as when runs are handled one after
     another and each rewrites the sheet. Rows are matched against distinct IDs only, so no row is
-    multiplied by the number of runs.
+    multiplied by the number of runs. ``last_run`` looks at the rows from three sides, so the joins that
+    make them run once and their result is written to the shared folder.
     """
+    if policy == "last_run":
+        flat = written(flat, "flat")
     by = ["run_id", *[key for key in keys if key in runs.columns]]
     of_runs = flat.join(runs.select(*by).distinct(), by, "left_semi")
     if policy == "union":

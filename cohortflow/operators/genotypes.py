@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
 from cohortflow.operators.numbering import number_rows
-from cohortflow.session import broadcast_if_small
+from cohortflow.session import broadcast_if_small, written
 
 # Samples per text block. Calls of a block are combined into fixed places by a plain aggregation,
 # map side first; only the resulting texts are gathered per line.
@@ -169,7 +169,7 @@ def forge(
     """
     snp_list = merged_snps(snps)
     sample_list = merged_samples(inds)
-    conflicts = broadcast_if_small(allele_conflicts(snps, snp_list))
+    conflicts = broadcast_if_small(written(allele_conflicts(snps, snp_list), "conflicts"))
     call = F.col("call").cast("string")
     opposite = F.when(call == "0", "2").when(call == "2", "0").otherwise(call)
     turned = F.when(F.col("change") == "swap", opposite).when(F.col("change").isNull(), call)

@@ -12,6 +12,8 @@ from cohortflow.session import broadcast_if_small, written
 # Largest group a single task numbers by itself, and rows of a slice where groups are larger.
 GROUP_LIMIT = 2_000_000
 SLICE_ROWS = 2_000_000
+# Most rows that are numbered in one task where there are no keys.
+SINGLE_TASK_ROWS = 20_000
 
 # Bits of monotonically_increasing_id() that hold the row position inside a partition.
 _POSITION_BITS = 33
@@ -45,13 +47,13 @@ def number_rows(
     """Number the rows of each group 1..n in ``order``; no keys means one group for all rows.
 
     Rows must differ in keys and order (remove copies first). Group sizes are counted up front:
-    small groups use a plain window, a group beyond ``limit`` is sorted across the cluster instead, and
-    so are all rows if there are no keys.
+    small groups use a plain window, a group beyond ``limit`` (``SINGLE_TASK_ROWS`` if there are no keys) is
+    sorted across the cluster instead.
     The rows are read more than once, so ``settle`` writes down those that are costly to make.
     """
     rows = written(df) if settle else df
     largest, total = group_sizes(rows, keys)
-    if keys and largest <= limit:
+    if largest <= (limit if keys else min(limit, SINGLE_TASK_ROWS)):
         window = Window.partitionBy(*keys).orderBy(*order)
         return rows.withColumn(name, F.row_number().over(window).cast("long"))
     shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
