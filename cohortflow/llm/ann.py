@@ -207,7 +207,7 @@ def _search(batches: Iterator[pa.RecordBatch], layout, k: int) -> Iterator[pa.Re
     layout = layout.value
     size = layout.rotation.shape[0]
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
             ids = np.frombuffer(row["ids"], np.int64)
             columns = np.frombuffer(row["columns"], np.float32).reshape(size, -1)
             exact = np.frombuffer(row["exact"], np.float64).reshape(len(ids), -1)
