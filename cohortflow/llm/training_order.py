@@ -6,7 +6,7 @@ sort key, a table or a shuffle buffer, and can be inverted. Range partitions by
 consecutive slots one after the other. A trainer reads shards in order and resumes at any slot: its shard and
 its place in the shard follow by division.
 
-A record is ``RECORD`` bytes: the number of ids, then ``length`` ids of 16 bits, unused ones 0. Documents follow each
+A record is of ``record_bytes`` bytes: the number of ids, then ``length`` ids of 16 bits, unused ones 0. Documents follow each
 other in a task's stream and are cut every ``length`` ids, so that only the last record of a task is short.
 
 Defined results: a missing or empty text is its closing id; repeated rows are written each time; an empty table gives no
@@ -146,6 +146,7 @@ def write_training_order(
     cut = written(
         map_arrow(texts, _cut, "part int, place bigint, ids binary", vocabulary or default_vocabulary(), length),
         "sequences",
+        compression="zstd",
     )
     by_task = cut.groupBy("part").agg(F.count("*").alias("n"))
     # One row per task of the first job.
@@ -160,7 +161,7 @@ def write_training_order(
     ranged = placed.repartitionByRange(shards, "shard").sortWithinPartitions("slot")
     schema = "shard bigint, first_slot bigint, n int, records binary"
     records = map_arrow(ranged, _records, schema, length, per_shard, per_chunk)
-    records.write.option("compression", "none").parquet(folder)
+    records.write.option("compression", "zstd").parquet(folder)
     return count
 
 
