@@ -263,7 +263,8 @@ def test_publishing_keeps_the_old_version_on_failure(spark, tmp_path):
 
 def test_scratch_paths_come_from_the_session(spark):
     folder = shared_dir(spark)
-    assert scratch_path(spark, "x").startswith(f"{folder.rstrip('/')}/x-")
+    own = f"{folder.rstrip('/')}/cohortflow-{spark.sparkContext.applicationId}"
+    assert scratch_path(spark, "x").startswith(f"{own}/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert written(spark.range(3)).count() == 3
 
