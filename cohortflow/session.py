@@ -23,6 +23,7 @@ def local_session(cores: int | str, app: str, scratch: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config(_CHECKPOINT_KEY, scratch)
+        .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
