@@ -7,8 +7,9 @@ candidate is dropped as soon as a hypothesis test on its partial distance says t
 of the best so far. Those that pass all columns are scored exactly, in double precision, on the original vectors.
 
 The centroids are fitted on at most ``sample`` vectors (those with the smallest hash of their ID), and the number of
-lists to probe is the one that covers the nearest of a few sampled vectors among them; every vector is indexed. Lists are split into blocks of about ``BLOCK`` vectors and probing queries are dealt to each block, so a list
-that holds a third of all vectors is many units of work.
+lists to probe is the one that covers the nearest of a few sampled vectors among them; every vector is indexed. Lists
+are split into blocks of about ``BLOCK`` vectors and probing queries are dealt to each block, so a list that holds a
+third of all vectors is many units of work.
 
 Defined results: vectors that are missing, zero, or hold missing or non-finite numbers take no part, nor do rows
 without an ID, nor vectors of another size than the most frequent one (of equally frequent ones the largest).

@@ -144,29 +144,36 @@ def op2(spark, sf_dir):
     return mixing.mix_to_targets(docs, labels, domain(), WEIGHTS, "good").drop("row")
 
 
-def _spans_sql(kind: str, rank: int, pattern: str, least: int, group: int, options: str = "s") -> str:
+def _spans_sql(kind: str, rank: int, pattern: str, least: int, group: int) -> str:
     """Spans of one rule from the lengths of gaps and matches."""
     quoted = pattern.replace("'", "''")
+
+    def lengths_of(k: int) -> str:
+        found = f"regexp_extract_all(text, '(.*?)({quoted})', {k}, 's')"
+        return f"list_transform({found}, lambda x: length(x))"
+
+    lengths = f"{lengths_of(1)} AS g, {lengths_of(2)} AS m, {lengths_of(group)} AS v"
     return f"""
 SELECT doc_id, unnest(list_transform(
     list_filter(range(1, len(g) + 1), lambda i: v[i] >= {least}),
     lambda i: {{'start': list_sum(g[1:i]) + coalesce(list_sum(m[1:i - 1]), 0), 'rank': {rank}, 'kind': '{kind}',
       'stop': list_sum(g[1:i]) + list_sum(m[1:i])}})) AS span
-FROM (SELECT doc_id, {', '.join(f"list_transform(regexp_extract_all(text, '(.*?)({quoted})', {k}, '{options}'), lambda x: length(x)) AS {n}" for n, k in (('g', 1), ('m', 2), ('v', group)))} FROM documents)
+FROM (SELECT doc_id, {lengths} FROM documents)
 """
 
 
 def _secrets_sql() -> str:
     parts = []
     for rank, rule in enumerate(secrets.RULES, 1):
-        pattern, options = rule.pattern, "s"
+        pattern = rule.pattern
         if rule.kind == "assign":
-            pattern, options = pattern.replace("(?i:", "(?:").replace("password|passwd|secret|token|api_?key", "|".join(
-                "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
-                for word in ("password", "passwd", "secret", "token", "api_?key"))), "s"
-        # RE2 allows at most 1000 repeats in a count.
+            # Either case spelled out: ignoring case would let other letters than A-Z match there.
+            words = pattern[len("(?i:") : pattern.index(")")]
+            either = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in words)
+            pattern = f"(?:{either}{pattern[pattern.index(')'):]}"
+        # At most 1000 repeats can be counted there.
         pattern = pattern.replace("{8,4096}", "{8,}")
-        parts.append(_spans_sql(rule.kind, rank, pattern, rule.least, 3 if rule.grouped else 2, options))
+        parts.append(_spans_sql(rule.kind, rank, pattern, rule.least, 3 if rule.grouped else 2))
     spans = " UNION ALL ".join(parts)
     listed = "list_transform({}, lambda x: x.kind || ':' || x.start || ':' || x.stop)"
     base = "list_filter(spans, lambda x: x.rank <= 3)"

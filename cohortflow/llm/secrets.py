@@ -92,9 +92,8 @@ def _scan(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     so_far = Window.partitionBy("blob", "copy", "kind").orderBy("place")
     so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ended = each.withColumn("end", F.sum(F.col("gap") + F.col("match")).over(so_far))
-    return ended.where("counts").select(
-        "blob", "kind", "version", (F.col("end") - F.col("match")).cast("long").alias("start"), F.col("end").cast("long")
-    )
+    start = (F.col("end") - F.col("match")).cast("long").alias("start")
+    return ended.where("counts").select("blob", "kind", "version", start, F.col("end").cast("long"))
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
