@@ -25,15 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.llm.arrays import Words, hash_texts, mix, ranges, slices
+from cohortflow.llm.arrays import Words, hash_texts, mix, pack, ranges, slices, unpack
 from cohortflow.llm.frames import few_rows_at_once, map_arrow, written
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 # Counts up to this are discounted.
 DISCOUNTED = 5
 # Contexts with more than this part of a partition's even share are dealt by the next word.
@@ -42,23 +41,6 @@ HOT_SHARE = 4
 LEFT_OUT = 1
 
 
-def pack(array: np.ndarray, left_out: int = 0) -> bytes:
-    """An array as compressed bytes, all first bytes before all second ones, so that like stands by like.
-
-    ``left_out`` lowest bytes of each number are not stored.
-    """
-    planes = np.ascontiguousarray(array).view(np.uint8).reshape(len(array), array.dtype.itemsize).T[left_out:]
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def unpack(data: bytes, dtype, left_out: int = 0) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(size - left_out, -1)
-    out = np.zeros((planes.shape[1], size), np.uint8)
-    out[:, left_out:] = planes.T
-    return out.reshape(-1).view(dtype)
-
-
 def narrow(array: np.ndarray) -> np.ndarray:
     """Unsigned 32-bit numbers where all fit; counts seldom do not."""
     return array.astype(np.uint32) if len(array) == 0 or array.max() < 1 << 32 else array.astype(np.uint64)
@@ -238,17 +220,20 @@ def _add_pairs(table: pa.Table) -> pa.Table:
     context, context_place = np.unique(np.concatenate(lists), return_inverse=True)
     hot = np.zeros(len(context), bool)
     hot[context_place] = np.concatenate([unpack(r["hot"], np.uint8) for r in rows]) > 0
+    context_place = context_place.astype(np.int32)
     holder = np.repeat(context_place, np.concatenate(runs))
     words = np.concatenate([unpack(r["words"], np.uint64, LEFT_OUT) for r in rows])
     counts = np.concatenate([unpack_counts(r["counts"]) for r in rows])
     known = np.concatenate([unpack_counts(r["known"]) for r in rows])
     order = np.lexsort((words, holder))
+    words, holder = words[order], holder[order]
     new = np.ones(len(order), bool)
-    new[1:] = (words[order][1:] != words[order][:-1]) | (holder[order][1:] != holder[order][:-1])
+    new[1:] = (words[1:] != words[:-1]) | (holder[1:] != holder[:-1])
     first = np.flatnonzero(new)
     total = np.add.reduceat(counts[order], first)
-    of, lower = holder[order][first], known[order][first] + 1
-    back = np.empty(len(order), np.int64)
+    of, lower = holder[first], known[order[first]] + 1
+    del words, holder, counts, known
+    back = np.empty(len(order), np.int32)
     back[order] = np.cumsum(new) - 1
     stats = np.zeros((len(context), _STATS), np.int64)
     for r in range(1, DISCOUNTED + 1):
@@ -410,14 +395,16 @@ def katz_scores(
     The model learns from the documents that are not ``held_out`` (an expression over ``doc_id``).
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A task unpacks one count partition at a time, so these are half as large as the shuffle's.
+    parts = 2 * buckets
     held_out = F.lit(False) if held_out is None else held_out
     picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     picked = picked.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
     schema = "block bigint, doc_ids array<bigint>, held_out array<boolean>, sizes binary, vocabulary binary, ids binary"
     # Stored in buckets by block, so that joining answers to blocks moves the answers only.
     name = f"katz_blocks_{uuid.uuid4().hex}"
-    map_arrow(picked, _store, schema).write.bucketBy(parts, "block").format("parquet").saveAsTable(name)
+    map_arrow(picked, _store, schema).write.bucketBy(buckets, "block").format("parquet").saveAsTable(name)
     blocks = spark.table(name)
     try:
         with few_rows_at_once(spark):
