@@ -76,6 +76,25 @@ def test_odd_texts_fall_outside_their_language(spark):
     assert kept == set(range(120))
 
 
+def test_junk_shapes_fall_outside_and_good_texts_of_any_length_stay(spark):
+    rng = random.Random(5)
+    parts = ["the", "and", "er", "in", "tion", "ou", "st", "re"]
+
+    def word():
+        return "".join(rng.choices(parts, k=rng.randrange(1, 4)))
+
+    good = [" ".join(word() for _ in range(n)) for n in (50, 60, 80, 120, 200, 400, 1500, 6000) for _ in range(40)]
+    # Each shape in a part of the text's words; the others are as in good texts.
+    junk = [
+        " ".join(word().upper() + "!!" if k < 120 else word() for k in range(1500)),
+        " ".join(word() + rng.choice(["***", "$$$", "&&&"]) * (k % 15 == 0) for k in range(1500)),
+        " ".join(word() + " |" * (k % 20 == 0) for k in range(1500)),
+    ]
+    texts = [(k, t, "en") for k, t in enumerate(good + junk)]
+    kept = {r.doc_id for r in quality.keep_good(spark.createDataFrame(texts, "doc_id bigint, text string, lang string")).collect()}
+    assert kept == set(range(len(good)))
+
+
 def test_kept_documents_keep_all_columns(messy_docs, no_docs):
     assert quality.keep_good(messy_docs).columns == messy_docs.columns
     assert quality.keep_good(no_docs).count() == 0
