@@ -223,6 +223,16 @@ def test_secrets(spark, messy):
     assert found == expected
 
 
+def test_tokens_of_any_length_are_found_whole(spark):
+    head, body, sign = "eyJ" + "h" * 5000, "eyJ" + "b" * 6000, "s" * 20_000
+    token = f"{head}.{body}.{sign}"
+    rows = [(1, f"é {token} end"), (2, f"eyJhbGciOiJI.eyJzdWIiOiIx.{sign}"), (3, f"AeyJ{token}, {token}"), (4, "eyJ" * 40_000)]
+    found = secrets.scan_versions(spark.createDataFrame(rows, "doc_id bigint, text string"), scratch_path(spark, "ledger"))
+    spans = {r.path: [(s.start, s.end) for s in r.found or [] if s.kind == "jwt"] for r in found.collect()}
+    size = len(token)
+    assert spans == {1: [(2, 2 + size)], 2: [(0, 26 + len(sign))], 3: [(1, 4 + size), (6 + size, 6 + 2 * size)], 4: []}
+
+
 def test_ledger_scans_only_what_is_new(spark):
     ledger = scratch_path(spark, "ledger")
     first = spark.createDataFrame([(1, "token=abcdef1"), (2, "token=abcdef1"), (3, "nothing")], "doc_id bigint, text string")
