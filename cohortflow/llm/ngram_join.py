@@ -135,11 +135,11 @@ def signatures(
         filled += np.bincount(who, minlength=len(n))
         found.append((mix(content[at] + mix((at - base[who]).astype(np.uint64) + label[who])), who))
         least = filled - differ
-        # A set that might share nothing but empty parts names these as well.
+        # A set that might share nothing but empty parts names these as well. A partner that shares others need not name
+        # them, so one shared signature is all that such a set can ask for.
         for i in np.flatnonzero(fits & (least < 1) & (parts > 0)):
             empty = np.flatnonzero(~holds[base[i] : base[i + 1]]).astype(np.uint64)
             found.append((mix(mix(empty + label[i])), np.full(len(empty), i)))
-            least[i] = parts[i] - differ[i]
         least = np.maximum(least, 1)
         for sig, who in found:
             for one, values in zip(out, (sig, who, np.full(len(who), side), least[who])):

@@ -1,16 +1,19 @@
 """Line and substring dedup, near duplicates and secrets against brute force."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cohortflow.llm import line_dedup, ngram_join, secrets, substring_dedup
+from cohortflow.llm.arrays import mix
 from cohortflow.session import scratch_path
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -166,6 +169,20 @@ def test_similar_sets_share_as_many_signatures_as_claimed():
             assert shared >= max(least[owner == 0].min(), 1) or shared >= 1
 
 
+def test_sets_with_many_empty_parts_are_still_paired(spark):
+    listed = [f"v{k}" for k in range(4000)]
+    grams, _ = ngram_join.shingle_sets(pa.array(listed), 1)
+    assert len(grams) == len(listed)
+    parts = max(math.ceil(ngram_join.DENSITY * 127), 38)
+    of = [int(x) for x in mix(grams) % np.uint64(parts)]
+    crowded = [w for w, p in zip(listed, of) if p < 10][:127]
+    spread = [next(w for w, p in zip(listed, of) if p == part) for part in range(10, 45)]
+    # 127 n-grams in 10 parts, and the same with n-grams of 35 other parts: similarity 127 / 162.
+    texts = [(0, " ".join(crowded)), (1, " ".join(crowded + spread))]
+    found = ngram_join.near_duplicates(spark.createDataFrame(texts, "doc_id bigint, text string"), size=1)
+    assert {r.component_id for r in found.collect()} == {0}
+
+
 def test_large_group_of_near_copies_is_not_paired_off(spark):
     base = [f"b{k}" for k in range(80)]
     rows = [(k, " ".join([*base[: k % 70], f"own{k}", *base[k % 70 + 1 :]])) for k in range(300)]
