@@ -11,6 +11,7 @@ from cohortflow.llm import (
     mixing,
     ngram_join,
     packing,
+    phrases,
     quality,
     secrets,
     substring_dedup,
@@ -215,3 +216,46 @@ def op4(spark, sf_dir):
     folder = scratch_path(spark, "training-order")
     count = training_order.write_training_order(table(spark, sf_dir, "documents"), folder, ORDER_KEY)
     return training_order.read_training_order(spark, folder, count, ORDER_KEY).drop("ids")
+
+
+def _phrases_sql(least: int = 10, longest: int = 3, keep: int = 2000, cover_percent: int = 50) -> str:
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {k} AS k, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: w[i:i + {k - 1}])) AS g FROM words"
+        for k in range(1, longest + 1)
+    )
+    return rf"""
+WITH words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, '{phrases.UNKNOWN}') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), '{line_dedup.UPPER}', '{line_dedup.LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)
+), sizes AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), f AS (
+  SELECT lang, k, g, count(*) AS a FROM ({grams}) GROUP BY ALL HAVING count(*) >= {least}
+), cuts AS (
+  SELECT lang, k, g, a, unnest(range(1, k)) AS c FROM f WHERE k > 1
+), scored AS (
+  SELECT cuts.*, x.a AS l, y.a AS r,
+    (1000000::HUGEINT * cuts.a::HUGEINT * cuts.a::HUGEINT // (x.a::HUGEINT * y.a::HUGEINT))::BIGINT AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = cuts.g[1:c] JOIN f y ON y.lang = cuts.lang AND y.g = cuts.g[c + 1:]
+), weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1
+), inner_parts AS (
+  SELECT lang, a, unnest(flatten(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2),
+    lambda i: g[i:i + m - 1])))) AS g FROM f
+), covered AS (
+  SELECT lang, g, max(a) AS most FROM inner_parts GROUP BY ALL
+), left_over AS (
+  SELECT weakest.* FROM weakest LEFT JOIN covered USING (lang, g) WHERE most IS NULL OR 100 * most < {cover_percent} * a
+), ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase FROM left_over
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM ranked JOIN sizes USING (lang) QUALIFY rank <= {keep}
+"""
+
+
+@query("op11_phrase_mining", _phrases_sql())
+def op11(spark, sf_dir):
+    return phrases.mine_phrases(table(spark, sf_dir, "documents"))
