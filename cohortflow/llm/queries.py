@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortflow.llm import (
+    alignment,
     ann,
     line_dedup,
     lm,
@@ -259,3 +260,8 @@ FROM ranked JOIN sizes USING (lang) QUALIFY rank <= {keep}
 @query("op11_phrase_mining", _phrases_sql())
 def op11(spark, sf_dir):
     return phrases.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_alignment")
+def op12(spark, sf_dir):
+    return alignment.align_tokens(table(spark, sf_dir, "documents"))

@@ -29,7 +29,7 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _byte_alphabet() -> dict[str, int]:
+def byte_alphabet() -> dict[str, int]:
     """The printable character that byte-level vocabularies write for each byte, and the byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -47,7 +47,7 @@ def encoder(path: str):
     with open(path, encoding="utf-8") as file:
         stored = json.load(file)
     specials = [one["content"] for one in stored.get("added_tokens", ())]
-    alphabet = _byte_alphabet()
+    alphabet = byte_alphabet()
     ranks = {
         bytes(alphabet[c] for c in token): number
         for token, number in stored["model"]["vocab"].items()
