@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohortflow.llm import (
     alignment,
     ann,
+    languages,
     line_dedup,
     lm,
     mixing,
@@ -265,3 +266,9 @@ def op11(spark, sf_dir):
 @query("op12_token_alignment")
 def op12(spark, sf_dir):
     return alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
+@query("op13_language_id")
+def op13(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    return languages.identify(table(spark, sf_dir, "documents"), held_out)
