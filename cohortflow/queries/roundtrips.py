@@ -5,6 +5,9 @@ Everything goes to a fresh folder below the shared one that the session names.
 
 from __future__ import annotations
 
+import os
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
@@ -259,3 +262,59 @@ def file_scan(spark, sf_dir):
     found = files.scan_files(spark, root, "*.txt").filter("length > 0")
     folder = F.substring_index(F.split_part("path", F.lit("event_type="), F.lit(2)), "/", 1)
     return found.select(folder.alias("folder")).distinct()
+
+
+def _place_files(batches, root):
+    """For each row an own file of the given size and time; nothing depends on which task writes it."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            path = os.path.join(root, row["folder"], row["name"])
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            with open(path, "wb") as file:
+                file.write(b"x" * row["length"])
+            os.utime(path, (row["changed"], row["changed"]))
+        yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+
+_FILES_SQL = """SELECT 'site' || c_nationkey || CASE WHEN c_custkey % 3 = 0 THEN '/deep/er' ELSE '' END AS folder,
+                       'ind' || c_custkey || CASE WHEN c_custkey % 7 = 0 THEN '.log' ELSE '.geno' END AS name,
+                       c_custkey % 4 AS length, 1600000000 + c_custkey AS changed FROM customer"""
+
+
+def _listed(spark, sf_dir, pattern, **options):
+    """Files of many sites, a quarter of them empty, written down and listed."""
+    root = scratch_path(spark, "states")
+    customers = table(spark, sf_dir, "customer")
+    deeper = F.when(F.col("c_custkey") % 3 == 0, "/deep/er").otherwise("")
+    ending = F.when(F.col("c_custkey") % 7 == 0, ".log").otherwise(".geno")
+    wanted = customers.select(
+        F.concat(F.lit("site"), text("c_nationkey"), deeper).alias("folder"),
+        F.concat(F.lit("ind"), text("c_custkey"), ending).alias("name"),
+        (F.col("c_custkey") % 4).cast("long").alias("length"),
+        (F.col("c_custkey") + 1600000000).cast("long").alias("changed"),
+    )
+    local = root.removeprefix("file:")
+    wanted.repartition("folder").mapInArrow(lambda rows: _place_files(rows, local), "n bigint").agg(F.sum("n")).collect()
+    found = files.scan_files(spark, root, pattern, **options)
+    inner = F.split_part("path", F.lit(f"{root.rsplit('/', 1)[1]}/"), F.lit(2))
+    return found.select(
+        F.regexp_replace(inner, "/[^/]*$", "").alias("folder"),
+        F.regexp_extract(inner, "[^/]*$", 0).alias("name"),
+        "length",
+        F.unix_timestamp("modificationTime").alias("changed"),
+    )
+
+
+@query("file_states", _FILES_SQL)
+def file_states(spark, sf_dir):
+    """Names, sizes and times of all files, empty ones too, as they were written."""
+    return _listed(spark, sf_dir, "*")
+
+
+@query(
+    "file_states_recent",
+    f"SELECT * FROM ({_FILES_SQL}) WHERE name LIKE '%.geno' AND changed > 1600000100",
+)
+def file_states_recent(spark, sf_dir):
+    """Of one kind of name, and changed after a moment."""
+    return _listed(spark, sf_dir, "*.geno", modified_after="2020-09-13T12:28:20")

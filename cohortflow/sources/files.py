@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
+from cohortflow.sources.listing import list_files, reachable
 
 
 def scan_files(
@@ -17,10 +18,13 @@ def scan_files(
 ) -> DataFrame:
     """Files below ``root`` whose name matches: ``path, modificationTime, length``.
 
-    Content is only read where asked for. Files in folders whose name starts with a dot are skipped,
-    and so are files without any content, which Spark's file scan leaves out.
-    ``modified_after`` (``yyyy-MM-ddTHH:mm:ss``) drops older files while they are listed.
+    Folders are listed on executors, and files without any content count (:mod:`cohortflow.sources.listing`). Where only
+    Spark's own file systems reach the path, and where ``content`` is asked for, Spark's file scan is used,
+    which leaves empty files out. Files and folders whose name starts with a dot or an underscore are skipped.
+    ``modified_after`` (``yyyy-MM-ddTHH:mm:ss``, UTC) drops older files while they are listed.
     """
+    if not content and reachable(root):
+        return list_files(spark, root, pattern, modified_after)
     reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)

@@ -3,6 +3,7 @@
 import json
 import os
 import time
+from datetime import UTC
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from cohortflow.plans import prepare
 from cohortflow.session import broadcast_if_small, scratch_path, shared_dir, written
 from cohortflow.sinks import packages as package_sink
 from cohortflow.sinks import tables as sink
-from cohortflow.sources import files, results, tables
+from cohortflow.sources import files, listing, results, tables
 
 COLUMNS = (
     "analysis_type string, site_id string, target_ind string, Sample_Name string, Library_ID string, "
@@ -211,6 +212,45 @@ def test_file_states_and_checksums(spark, tmp_path):
     assert sums.first().md5 == "5d41402abc4b2a76b9719d911017c592"
 
 
+def test_listing_sees_every_file(spark, tmp_path):
+    expected = {}
+    for k in range(60):
+        folder = tmp_path / f"s{k % 7}" / ("a/b/c" if k % 3 else "")
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"f{k}.txt").write_bytes(b"y" * (k % 3))
+        os.utime(folder / f"f{k}.txt", (0, 1_500_000_000 + k))
+        expected[f"file:{folder / f'f{k}.txt'}"] = (k % 3, 1_500_000_000 + k)
+    (tmp_path / "top.txt").write_bytes(b"")
+    os.utime(tmp_path / "top.txt", (0, 1_500_000_000))
+    expected[f"file:{tmp_path / 'top.txt'}"] = (0, 1_500_000_000)
+    (tmp_path / "s1" / "_hidden").mkdir()
+    (tmp_path / "s1" / "_hidden" / "x.txt").write_bytes(b"z")
+    (tmp_path / "empty folder").mkdir()
+    # However far the planner opens folders itself, and however the root is spelled.
+    for folders in (1, 2, 9, 500):
+        for root in (str(tmp_path), f"file://{tmp_path}/", f"file:{tmp_path}"):
+            found = listing.list_files(spark, root, folders=folders).collect()
+            assert len(found) == len(expected)
+            assert {r.path: (r.length, int(r.modificationTime.replace(tzinfo=UTC).timestamp())) for r in found} == expected
+    assert listing.list_files(spark, str(tmp_path / "empty folder")).count() == 0
+    assert listing.list_files(spark, str(tmp_path / "nowhere")).count() == 0
+
+
+def test_listing_is_shared_out(tmp_path):
+    for k in range(40):
+        (tmp_path / f"s{k}" / "inner").mkdir(parents=True)
+    files, path, _ = listing.file_system(str(tmp_path))
+    few = listing.shares(files, path, 8)
+    assert sorted(few)[0] == (str(tmp_path), False) and sum(below for _, below in few) == 40
+    many = listing.shares(files, path, 10_000)
+    # Nothing is left to open.
+    assert len(many) == 81 and not any(below for _, below in many)
+    reader = listing.FileListingReader({"path": str(tmp_path), "folders": "8"})
+    dealt = [folder for part in reader.partitions() for folder in part.folders]
+    assert len(reader.partitions()) == 8 and sorted(dealt) == sorted(few)
+    assert not listing.reachable("viewfs://store/x")
+
+
 def test_sheet_files_and_queue(spark, tmp_path):
     root = str(tmp_path / "in")
     sink.write_run_sheets(sheet(spark, "ABC001", "DEF001"), root)
