@@ -46,6 +46,8 @@ from cohortflow.llm.frames import broadcast_if_small, few_rows_at_once, map_arro
 BLOCK_BYTES = 8 << 20
 # Texts that a task holds while it fills the blocks of several languages.
 HELD_BYTES = 3 * BLOCK_BYTES
+# Slices of a ranking that one task brings together.
+FAN_IN = 4
 UNKNOWN = "und"
 BLANKS = b" \t"
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -357,13 +359,20 @@ def weakest_cut(scale: int = 1_000_000) -> Column:
 
 
 def best_of_each(df: DataFrame, group: str, order: list[Column], keep: int, salt: Column) -> DataFrame:
-    """The first ``keep`` rows of each group, as ``rank`` from 1: first of each salted slice, then of what is left."""
+    """The first ``keep`` rows of each group, as ``rank`` from 1.
+
+    They are the first of the first ones of salted slices, ``FAN_IN`` of which are brought together at a time, so no task ranks
+    more than ``FAN_IN * keep`` rows of a group after the first step.
+    """
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = df.withColumn("slice", F.pmod(salt, F.lit(slices)))
-    some = sliced.withColumn("rank", F.row_number().over(Window.partitionBy(group, "slice").orderBy(*order)))
-    rest = some.where(F.col("rank") <= keep).drop("slice", "rank")
-    ranked = rest.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    return ranked.where(F.col("rank") <= keep)
+    rest = df.withColumn("salt", F.pmod(salt, F.lit(slices)))
+    while True:
+        rest = rest.withColumn("slice", F.col("salt") % slices)
+        ranked = rest.withColumn("rank", F.row_number().over(Window.partitionBy(group, "slice").orderBy(*order)))
+        ranked = ranked.where(F.col("rank") <= keep).drop("slice")
+        if slices == 1:
+            return ranked.drop("salt")
+        rest, slices = ranked.drop("rank"), -(-slices // FAN_IN)
 
 
 def mine_phrases(
