@@ -43,9 +43,9 @@ from cohortflow.llm.asking import (
 )
 from cohortflow.llm.frames import broadcast_if_small, few_rows_at_once, map_arrow, written
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 # Texts that a task holds while it fills the blocks of several languages.
-HELD_BYTES = 3 * BLOCK_BYTES
+HELD_BYTES = 2 * BLOCK_BYTES
 # Slices of a ranking that one task brings together.
 FAN_IN = 4
 UNKNOWN = "und"
@@ -72,9 +72,10 @@ def pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     heads = borders[:-1][np.diff(borders) > 0]
     begins[heads] = inside[heads]
     starts = np.flatnonzero(begins)
+    small = np.int32 if len(data) < 1 << 31 else np.int64
     # Texts and breaks before a word tell its piece.
-    piece = np.cumsum(kinds == 2)[starts] + np.searchsorted(borders, starts, side="right")
-    offsets = np.append(np.cumsum(inside)[starts] - 1, np.count_nonzero(inside)).astype(np.int64)
+    piece = np.cumsum(kinds == 2, dtype=small)[starts] + np.searchsorted(borders, starts, side="right")
+    offsets = np.append(np.cumsum(inside, dtype=small)[starts] - 1, np.count_nonzero(inside)).astype(np.int64)
     flat = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
     )
@@ -214,7 +215,7 @@ class Relation:
 
     def __init__(self, row: dict, parts: int):
         self.row, self.parts = row, parts
-        self.ids = unpack(row["ids"], np.uint32).astype(np.int64)
+        self.ids = unpack(row["ids"], np.uint32).astype(np.int32)
         sizes = unpack_numbers(row["sizes"])
         self.piece_ends = np.zeros(len(self.ids), bool)
         self.piece_ends[np.cumsum(sizes) - 1] = True
@@ -239,7 +240,7 @@ class Relation:
             owned[mine] = np.unpackbits(unpack(one["owns"], np.uint8), count=len(mine))
             frequent = mine[total[mine] > 0]
             name[frequent] = (level << _LEVEL) | (p << _PART) | unpack(one["ranks"], np.uint32).astype(np.int64)
-        group = np.full(len(self.ids), -1, np.int64)
+        group = np.full(len(self.ids), -1, np.int32)
         keep = total[place] > 0
         group[keep if at is None else at[keep]] = place[keep]
         for held, one in zip((self.total, self.name, self.owned, self.group, self.first), (total, name, owned, group, first)):
@@ -258,8 +259,9 @@ class Relation:
             both &= ~self.piece_ends[:-1]
         at = np.flatnonzero(both)
         size = len(self.total[-1])
-        keys, first, place = np.unique(group[at] * size + group[at + 1], return_index=True, return_inverse=True)
-        return at, np.stack([keys // max(size, 1), keys % max(size, 1)]), place, at[first]
+        keys = group[at].astype(np.int64) * size + group[at + 1]
+        keys, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        return at, np.stack([keys // max(size, 1), keys % max(size, 1)]), place.astype(np.int32), at[first]
 
     def key_hashes(self, keys: np.ndarray) -> np.ndarray:
         name = self.name[-1]
