@@ -1,8 +1,14 @@
-"""Genotype matrices: long form, text lines, pasting, and merging of packages."""
+"""Genotype matrices: long form, packed blocks, text lines, pasting, and merging of packages.
+
+A packed block holds the calls of some neighbouring samples at one SNP as bits of one number, one bit per call a sample may have. Blocks are
+combined by a bitwise or, which Spark does before the shuffle; copies of a call do no harm, and exchanging the alleles of a
+whole block is three bit operations.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +17,47 @@ from cohortflow import fixed_values as V
 from cohortflow.operators.numbering import number_rows
 from cohortflow.session import broadcast_if_small, written
 
-# Samples per text block. Calls of a block are combined into fixed places by a plain aggregation,
-# map side first; only the resulting texts are gathered per line.
-BLOCK = 32
+# Bits per sample, and samples per packed block.
+_BITS = len(V.GENOTYPE_CALLS)
+BLOCK = 63 // _BITS
+
+
+def packed_call(pos: Column, call: Column, block: int = BLOCK) -> Column:
+    """The bit of a call in its sample's block; NULL for what is no call."""
+    code = F.instr(F.lit("".join(V.GENOTYPE_CALLS)), call) - 1
+    known = (F.length(call) == 1) & (code >= 0)
+    shift = (pos % block * _BITS + code).cast("int")
+    return F.when(known, F.call_function("shiftleft", F.lit(1).cast("long"), shift))
+
+
+def block_text(bits: Column, missing: str = V.MISSING_CALL, block: int = BLOCK) -> Column:
+    """The calls of a packed block; of several calls of one sample the first of ``GENOTYPE_CALLS``."""
+    chosen = [V.GENOTYPE_CALLS[(k & -k).bit_length() - 1] if k else missing for k in range(1 << _BITS)]
+    letters, mask = F.lit("".join(chosen)), F.lit((1 << _BITS) - 1).cast("long")
+    one = [F.shiftright(bits, place * _BITS).bitwiseAND(mask).cast("int") + 1 for place in range(block)]
+    return F.concat(*[F.substring(letters, place, F.lit(1)) for place in one])
+
+
+def _mask(bits: int, block: int) -> Column:
+    """The same bits of each sample of a block."""
+    return F.lit(sum(bits << (place * _BITS) for place in range(block))).cast("long")
+
+
+def exchanged(bits: Column, block: int = BLOCK) -> Column:
+    """A packed block with the two alleles exchanged: ``0`` becomes ``2`` and ``2`` becomes ``0``.
+
+    Of several calls of one sample only the first of ``GENOTYPE_CALLS`` is left before.
+    """
+    later = [F.shiftleft(bits.bitwiseAND(_mask((1 << (_BITS - far)) - 1, block)), far) for far in range(1, _BITS)]
+    single = bits.bitwiseAND(F.bitwise_not(reduce(Column.bitwiseOR, later)))
+    first, second = V.GENOTYPE_CALLS.index("0"), V.GENOTYPE_CALLS.index("2")
+    low = _mask(1 << first, block)
+    rest = _mask(((1 << _BITS) - 1) & ~(1 << first) & ~(1 << second), block)
+    return (
+        F.shiftleft(single.bitwiseAND(low), second - first)
+        .bitwiseOR(F.shiftright(single, second - first).bitwiseAND(low))
+        .bitwiseOR(single.bitwiseAND(rest))
+    )
 
 
 def paste_genotypes(double: DataFrame, single: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -57,22 +101,23 @@ def to_geno_lines(
 ) -> DataFrame:
     """Text line of each SNP from calls ``(keys, snp_idx, pos, call)``; absent calls are ``missing``.
 
-    Calls are digits. Should a sample have several at one SNP, the smallest is taken; copies are
-    combined before the shuffle, so a line gathers one text per block and nothing else.
+    Should a sample have several calls at one SNP, the smallest is taken; what is no genotype call is missing. Calls are packed
+    and copies combined before the shuffle, so a line gathers one number per block and nothing else.
     """
+    line, block = [*keys, "snp_idx"], min(block, BLOCK)
+    place = F.floor(F.col("pos") / block).cast("int").alias("_block")
+    packed = calls.groupBy(*line, place).agg(F.bit_or(packed_call(F.col("pos"), F.col("call"), block)).alias("_bits"))
+    return _lines_of_blocks(packed, line, n_samples, missing, block)
+
+
+def _lines_of_blocks(
+    packed: DataFrame, line: Sequence[str], n_samples: int | Column, missing: str, block: int = BLOCK
+) -> DataFrame:
+    """Text lines from packed blocks ``(line, _block, _bits)``; a line without any block is all ``missing``."""
     width = F.lit(n_samples) if isinstance(n_samples, int) else n_samples
-    line = [*keys, "snp_idx"]
-    offset = F.col("pos") % block
-    code = F.col("call").cast("int")
-    places = [F.min(F.when(offset == place, code)).alias(f"_{place}") for place in range(block)]
-    digits = [F.coalesce(F.col(f"_{place}").cast("string"), F.lit(missing)) for place in range(block)]
-    texts = (
-        calls.groupBy(*line, F.floor(F.col("pos") / block).cast("int").alias("_block"))
-        .agg(*places)
-        .select(*line, "_block", F.concat(*digits).alias("_text"))
-    )
-    lines = texts.groupBy(*line).agg(
-        F.array_sort(F.collect_list(F.struct("_block", "_text"))).alias("_texts")
+    text = F.struct("_block", block_text(F.coalesce("_bits", F.lit(0).cast("long")), missing, block).alias("_text"))
+    lines = packed.groupBy(*line).agg(
+        F.array_sort(F.collect_list(F.when(F.col("_block").isNotNull(), text))).alias("_texts")
     )
     whole = _join_blocks(F.col("_texts"), missing * block)
     return lines.select(*line, F.rpad(whole, width.cast("int"), F.lit(missing)).alias("line"))
@@ -167,27 +212,93 @@ def forge(
     kept, calls a package lacks are ``missing``; no SNP by sample product is built. Calls follow the
     alleles of the merged list (``allele_conflicts``).
     """
-    snp_list = merged_snps(snps)
-    sample_list = merged_samples(inds)
-    conflicts = broadcast_if_small(written(allele_conflicts(snps, snp_list), "conflicts"))
-    call = F.col("call").cast("string")
-    opposite = F.when(call == "0", "2").when(call == "2", "0").otherwise(call)
-    turned = F.when(F.col("change") == "swap", opposite).when(F.col("change").isNull(), call)
+    snp_list = written(merged_snps(snps), "snps")
+    sample_list = written(merged_samples(inds), "samples")
     positions = broadcast_if_small(sample_list.select("package_id", "sample_id", "pos"))
-    calls = (
+    bit = packed_call(F.col("pos"), F.col("call").cast("string"))
+    packed = (
         genos.join(positions, ["package_id", "sample_id"])
-        .join(conflicts, ["package_id", "snp_id"], "left")
+        .groupBy("package_id", "snp_id", F.floor(F.col("pos") / BLOCK).cast("int").alias("_block"))
+        .agg(F.bit_or(bit).alias("_bits"))
+    )
+    bits = F.when(F.col("change") == "swap", exchanged(F.col("_bits"))).otherwise(F.col("_bits"))
+    turned = (
+        packed.join(allele_conflicts(snps, snp_list), ["package_id", "snp_id"], "left")
         .filter(F.col("change").isNull() | (F.col("change") == "swap"))
-        .withColumn("call", turned)
-        .join(snp_list.select("snp_id", "snp_idx"), "snp_id")
-        .select("snp_idx", "pos", "call")
+        .select("snp_id", "_block", bits.alias("_bits"))
     )
-    n_samples = sample_list.agg(F.count(F.lit(1))).scalar()
-    called = to_geno_lines(calls, n_samples, missing=missing)
-    empty = F.rpad(F.lit(""), n_samples.cast("int"), F.lit(missing))
-    lines = (
-        snp_list.select("snp_idx")
-        .join(called, "snp_idx", "left")
-        .select("snp_idx", F.coalesce("line", empty).alias("line"))
+    # Blocks at the border of two packages have calls of both. SNPs that no package has called keep their line.
+    merged = (
+        snp_list.select("snp_id", "snp_idx")
+        .join(turned, "snp_id", "left")
+        .groupBy("snp_id", "snp_idx", "_block")
+        .agg(F.bit_or("_bits").alias("_bits"))
     )
+    n_samples = sample_list.agg(F.count(F.lit(1))).scalar()
+    lines = _lines_of_blocks(merged, ["snp_id", "snp_idx"], n_samples, missing).drop("snp_id")
     return lines, snp_list, sample_list
+
+
+def forge_lines(
+    lines: DataFrame, snps: DataFrame, inds: DataFrame, missing: str = V.MISSING_CALL
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Merge packages that are text matrices, line by line, without taking lines apart.
+
+    ``lines`` has ``package_id, snp_idx, line``, ``snps`` ``package_id, snp_idx`` and the SNP columns, ``inds``
+    ``package_id, pos, sample_id`` and sample columns. Samples keep the order of their package, packages come in order of
+    their ID, so a merged line is the lines of the packages one after the other. Only the samples that ``inds`` lists are taken
+    over: a line of a package of which some are left out is cut to the others. Alleles are treated as by ``forge``;
+    of a SNP that a package lists twice the line with the smallest position counts.
+    """
+    snp_list = written(merged_snps(snps.drop("snp_idx")), "snps")
+    rest = [c for c in inds.columns if c not in ("package_id", "pos")]
+    unique = inds.groupBy("package_id", "pos").agg(F.min(F.struct(*rest)).alias("_rest"))
+    ordered = written(number_rows(unique, [], ["package_id", "pos"], "_place"), "samples")
+    sample_list = ordered.select(
+        "package_id", (F.col("_place") - 1).alias("pos"), *[F.col(f"_rest.{c}").alias(c) for c in rest]
+    )
+    # One row per package, with the places of its samples.
+    members = written(
+        ordered.groupBy("package_id").agg(
+            (F.min("_place") - 1).alias("_from"),
+            F.count(F.lit(1)).alias("_width"),
+            F.array_sort(F.collect_list("pos")).alias("_kept"),
+        ),
+        "members",
+    )
+    wanted = snps.join(members.select("package_id"), "package_id", "left_semi")
+    listed = wanted.groupBy("package_id", "snp_id").agg(F.min("snp_idx").alias("_line"))
+    changes = allele_conflicts(wanted, snp_list)
+    taken = listed.join(changes, ["package_id", "snp_id"], "left").filter(
+        F.col("change").isNull() | (F.col("change") == "swap")
+    )
+    source = lines.select("package_id", F.col("snp_idx").alias("_line"), "line")
+    whole = F.col("_kept")[F.col("_width").cast("int") - 1] == F.col("_width") - 1
+    cut = F.array_join(F.transform("_kept", lambda at: F.substring("line", at.cast("int") + 1, F.lit(1))), "")
+    text = F.when(whole, F.rpad("line", F.col("_width").cast("int"), F.lit(missing))).otherwise(cut)
+    text = F.when(F.col("change") == "swap", F.translate(text, "02", "20")).otherwise(text)
+    pieces = (
+        taken.join(source, ["package_id", "_line"])
+        .join(broadcast_if_small(members), "package_id")
+        .select("snp_id", F.struct("_from", "_width", text.alias("_text")).alias("_piece"))
+    )
+    gathered = (
+        snp_list.select("snp_id", "snp_idx")
+        .join(pieces, "snp_id", "left")
+        .groupBy("snp_id", "snp_idx")
+        .agg(F.array_sort(F.collect_list("_piece")).alias("_pieces"))
+    )
+    n_samples = sample_list.agg(F.count(F.lit(1))).scalar().cast("int")
+    merged = F.rpad(_join_pieces(F.col("_pieces"), missing), n_samples, F.lit(missing))
+    return gathered.select("snp_idx", merged.alias("line")), snp_list, sample_list
+
+
+def _join_pieces(pieces: Column, missing: str) -> Column:
+    """Sorted texts of packages as one, with ``missing`` for the samples of packages in between."""
+
+    def with_gap(piece: Column, index: Column) -> Column:
+        previous = F.get(pieces, index - 1)
+        end = F.when(index == 0, F.lit(0)).otherwise(previous["_from"] + previous["_width"])
+        return F.concat(F.repeat(F.lit(missing), (piece["_from"] - end).cast("int")), piece["_text"])
+
+    return F.array_join(F.transform(pieces, with_gap), "")

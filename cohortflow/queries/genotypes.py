@@ -176,6 +176,102 @@ def forge_samples(spark, sf_dir):
     return forged(spark, sf_dir)[2].select("package_id", "sample_id", "pos")
 
 
+# A package outside the group; exchanged alleles and other alleles in some SNPs of some packages; and chromosomes as text, whose
+# order is that of the genome. Package R lists only some of the parts.
+_CHROM = "CASE p_size % 5 WHEN 0 THEN 'X' WHEN 1 THEN 'chr2' WHEN 2 THEN '11' WHEN 3 THEN 'MT' ELSE 'Y' END"
+_RANK = "CASE p_size % 5 WHEN 0 THEN 1001 WHEN 1 THEN 2 WHEN 2 THEN 11 WHEN 3 THEN 1003 ELSE 1002 END"
+_CHANGE = """CASE WHEN flag = 'N' AND p_partkey % 4 = 0 THEN 'swap' WHEN flag = 'R' AND p_partkey % 9 = 0 THEN 'drop' END"""
+_MIXED_SQL = f"""WITH {_CALLS_SQL},
+    flags AS (SELECT flag FROM (VALUES ('A'), ('N'), ('R'), ('Z')) f(flag)),
+    snps AS (SELECT p_partkey, row_number() OVER (ORDER BY {_RANK}, {_CHROM}, p_partkey) - 1 AS snp_idx,
+                    {_CHROM} AS chrom FROM part),
+    samples AS (SELECT flag, n_nationkey FROM nation, flags WHERE flag <> 'Z' AND NOT (flag = 'A' AND n_nationkey % 5 = 0)),
+    turned AS (
+        SELECT flag, p_partkey, pos, CASE WHEN {_CHANGE} = 'swap' THEN 2 - call ELSE call END AS call
+        FROM calls JOIN part ON snp_idx = p_partkey JOIN flags ON package_id = flag
+        WHERE {_CHANGE} IS DISTINCT FROM 'drop' AND NOT (flag = 'R' AND p_partkey % 10 = 7)),
+    lines AS (
+        SELECT s.snp_idx, string_agg(coalesce(cast(c.call AS varchar), '9'), '' ORDER BY samples.flag, n_nationkey) AS line
+        FROM snps s CROSS JOIN samples
+        LEFT JOIN turned c ON c.flag = samples.flag AND c.p_partkey = s.p_partkey AND c.pos = n_nationkey
+        GROUP BY 1)"""
+
+
+def mixed_packages(spark, sf_dir):
+    """SNP lists and samples of four packages, one of them of another group."""
+    flags = F.explode(F.array(*map(F.lit, "ANRZ")))
+    key, flag = F.col("p_partkey"), F.col("package_id")
+    swapped, other = (flag == "N") & (key % 4 == 0), (flag == "R") & (key % 9 == 0)
+    snps = table(spark, sf_dir, "part").select(flags.alias("package_id"), "p_partkey", "p_size")
+    snps = snps.filter(~((flag == "R") & (key % 10 == 7))).select(
+        "package_id",
+        key.alias("snp_idx"),
+        F.concat(F.lit("rs"), text("p_partkey")).alias("snp_id"),
+        F.element_at(F.array(*map(F.lit, ("X", "chr2", "11", "MT", "Y"))), F.col("p_size") % 5 + 1).alias("chrom"),
+        F.lit(0.0).alias("genetic_pos"),
+        key.alias("pos"),
+        F.when(swapped, "G").otherwise("A").alias("ref"),
+        F.when(swapped, "A").when(other, "T").otherwise("G").alias("alt"),
+    )
+    inds = table(spark, sf_dir, "nation").select(
+        flags.alias("package_id"),
+        F.col("n_nationkey").cast("long").alias("pos"),
+        F.concat(F.lit("N"), F.lpad(text("n_nationkey"), 2, "0")).alias("sample_id"),
+    )
+    # Of package A some samples are no members, and all of Z are of another group.
+    chosen = inds.withColumn("group", F.when(F.col("package_id") == "Z", "Elsewhere").otherwise("Unknown"))
+    return snps, chosen.filter(~((F.col("package_id") == "A") & (F.col("pos") % 5 == 0)))
+
+
+@query(
+    "forge_mixed",
+    f"{_MIXED_SQL} SELECT 'rs' || p_partkey AS snp_id, chrom, snp_idx, line FROM lines JOIN snps USING (snp_idx)",
+)
+def forge_mixed(spark, sf_dir):
+    """Calls of packages that differ in alleles, SNPs and samples; only those of the group are merged."""
+    snps, inds = mixed_packages(spark, sf_dir)
+    inds = genotypes.of_group(inds)
+    members = inds.select("package_id").distinct()
+    genos = calls(spark, sf_dir).select(
+        "package_id",
+        F.concat(F.lit("rs"), text("snp_idx")).alias("snp_id"),
+        F.concat(F.lit("N"), F.lpad(text("pos"), 2, "0")).alias("sample_id"),
+        "call",
+    )
+    # A package has no calls of SNPs that it does not list.
+    genos = genos.join(snps.select("package_id", "snp_id"), ["package_id", "snp_id"], "left_semi")
+    snps = snps.drop("snp_idx").join(members, "package_id", "left_semi")
+    lines, snp_list, _ = genotypes.forge(genos, snps, inds.drop("pos"))
+    return lines.join(snp_list, "snp_idx").select("snp_id", "chrom", "snp_idx", "line")
+
+
+def _mixed_lines(spark, sf_dir):
+    snps, inds = mixed_packages(spark, sf_dir)
+    # Package Z has the lines of A, which must not be seen.
+    own = package_lines(spark, sf_dir)
+    other = own.filter("package_id = 'A'").withColumn("package_id", F.lit("Z"))
+    return genotypes.forge_lines(own.unionByName(other), snps, genotypes.of_group(inds))
+
+
+@query(
+    "forge_lines",
+    f"{_MIXED_SQL} SELECT 'rs' || p_partkey AS snp_id, chrom, snp_idx, line FROM lines JOIN snps USING (snp_idx)",
+)
+def forge_lines(spark, sf_dir):
+    """The same from text matrices, whose lines are put together whole."""
+    lines, snp_list, _ = _mixed_lines(spark, sf_dir)
+    return lines.join(snp_list, "snp_idx").select("snp_id", "chrom", "snp_idx", "line")
+
+
+@query(
+    "forge_lines_samples",
+    f"""{_MIXED_SQL} SELECT flag AS package_id, 'N' || lpad(cast(n_nationkey AS varchar), 2, '0') AS sample_id,
+               row_number() OVER (ORDER BY flag, n_nationkey) - 1 AS pos, 'Unknown' AS "group" FROM samples""",
+)
+def forge_lines_samples(spark, sf_dir):
+    return _mixed_lines(spark, sf_dir)[2].select("package_id", "sample_id", "pos", "group")
+
+
 def in_order():
     """The calls of a short line, one after the other."""
     placed = F.array_sort(F.collect_list(F.struct("pos", "call")))
