@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortflow import fixed_values as V
+from cohortflow.session import written
+from cohortflow.sources.listing import file_system, walk
 
 CHECKS = (
     "snps_match_lines",
@@ -79,6 +86,94 @@ def checksums(files: DataFrame) -> DataFrame:
     return files.select("path", "length", F.md5("content").alias("md5"))
 
 
+# Bytes that one task reads of a file, and at a time.
+DIGEST_BLOCK = 64 << 20
+_READ = 4 << 20
+
+
+def _hash_blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digests = []
+        for path, length, number in zip(*(batch.column(name).to_pylist() for name in ("path", "length", "_block"))):
+            files, inner, _ = file_system(path)
+            found, at, end = hashlib.md5(usedforsecurity=False), number * block, min((number + 1) * block, length)
+            with files.open_input_file(inner) as file:
+                while at < end:
+                    data = file.read_at(min(_READ, end - at), at)
+                    if not data:
+                        raise OSError(f"{path} is shorter than it was listed")
+                    found.update(data)
+                    at += len(data)
+            digests.append(found.hexdigest())
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(name) for name in batch.schema.names), pa.array(digests, pa.string())],
+            names=[*batch.schema.names, "_md5"],
+        )
+
+
+def tree_digests(files: DataFrame, block: int = DIGEST_BLOCK) -> DataFrame:
+    """``n_blocks`` and ``md5`` of each listed file (``path, length`` and other columns), read in blocks by many tasks.
+
+    A file of one block has the MD5 of its content. One of several has the MD5 of their MD5s and, after a dash, their number, as
+    object stores write it. So no task reads, and no cell holds, more than a block of a file.
+    """
+    columns = files.columns
+    last = F.greatest(F.ceil(F.col("length") / block) - 1, F.lit(0)).cast("long")
+    blocks = files.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last))).repartition("path", "_block")
+    schema = T.StructType([*blocks.schema, T.StructField("_md5", T.StringType())])
+    hashed = blocks.mapInArrow(lambda batches: _hash_blocks(batches, block), schema)
+    listed = hashed.groupBy(*columns).agg(F.array_sort(F.collect_list(F.struct("_block", "_md5"))).alias("_all"))
+    joined = F.md5(F.unhex(F.array_join(F.transform("_all", lambda one: one["_md5"]), "")))
+    whole = F.when(F.size("_all") == 1, F.col("_all")[0]["_md5"]).otherwise(
+        F.concat(joined, F.lit("-"), F.size("_all").cast("string"))
+    )
+    return listed.select(*columns, F.size("_all").cast("long").alias("n_blocks"), whole.alias("md5"))
+
+
+def manifest(staged: DataFrame, block: int = DIGEST_BLOCK) -> DataFrame:
+    """``package_id, name, length, n_blocks, md5`` of every file below the folders of staged packages ``(package_id, path)``."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for package, root in zip(batch.column("package_id").to_pylist(), batch.column("path").to_pylist()):
+                files, inner, prefix = file_system(root)
+                found = list(walk(files, inner, True))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([package] * len(found), pa.string()),
+                        pa.array([one.path[len(inner) :].lstrip("/") for one in found], pa.string()),
+                        pa.array([f"{prefix}{one.path}" for one in found], pa.string()),
+                        pa.array([one.size for one in found], pa.int64()),
+                    ],
+                    names=["package_id", "name", "path", "length"],
+                )
+
+    files = staged.select("package_id", "path").repartition("package_id").mapInArrow(
+        listed, "package_id string, name string, path string, length bigint"
+    )
+    return written(tree_digests(files, block).drop("path"), "manifest")
+
+
+def package_digests(files: DataFrame) -> DataFrame:
+    """``package_id, digest``: one digest of the names and digests of a package's files."""
+    entry = F.concat_ws(" ", "md5", "name")
+    return files.groupBy("package_id").agg(
+        F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", entry.alias("e")))), lambda x: x["e"]), "\n").cast("binary")).alias("digest")
+    )
+
+
+def changed_files(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``package_id, name, change`` between two manifests: ``added``, ``removed`` or ``changed`` files."""
+    keys = ["package_id", "name"]
+    old = before.select(*keys, F.struct("length", "md5").alias("_old"))
+    new = after.select(*keys, F.struct("length", "md5").alias("_new"))
+    change = (
+        F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed")
+        .when(F.col("_old") != F.col("_new"), "changed")
+    )
+    return old.join(new, keys, "full_outer").select(*keys, change.alias("change")).where("change is not null")
+
+
 def version_text(version: Column) -> Column:
     return F.concat_ws(".", *[version[part].cast("string") for part in ("major", "minor", "patch")])
 

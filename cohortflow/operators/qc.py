@@ -209,3 +209,19 @@ def enrich_across_types(
     """
     largest = other.groupBy(on).agg(*[F.max(column).alias(column) for column in columns])
     return target.join(largest, on, "left")
+
+
+def fill_across_types(
+    samples: DataFrame, other: DataFrame, columns: tuple[str, ...], key: str = "Sample_Name", library: str = "Library_ID"
+) -> DataFrame:
+    """Samples whose own libraries have no value take the one that another analysis type has for the individual.
+
+    ``other`` is keyed by library; samples and libraries are matched by the individual in their IDs.
+    """
+    measured = other.select(ids.individual_id(F.col(library)).alias("individual"), *columns)
+    named = samples.withColumn("individual", ids.individual_id(F.col(key)))
+    wanted = named.select("individual").distinct()
+    found = enrich_across_types(wanted, measured, columns).withColumnsRenamed({c: f"_{c}" for c in columns})
+    joined = named.join(found, "individual", "left")
+    filled = {c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in columns}
+    return joined.withColumns(filled).select(*samples.columns)

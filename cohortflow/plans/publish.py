@@ -21,6 +21,7 @@ def refresh_metadata(
     damage: DataFrame | None = None,
     endogenous: DataFrame | None = None,
     lab: DataFrame | None = None,
+    shotgun: DataFrame | None = None,
     snp_cutoff: int = V.CONTAMINATION_SNP_CUTOFF,
     ploidy: str | None = V.GENOTYPE_PLOIDY,
 ) -> DataFrame:
@@ -28,13 +29,16 @@ def refresh_metadata(
 
     ``sheets`` are the run sheet rows of the genotyped analysis type; ``sexdet`` is keyed by file
     and kept only where a sheet lists the file. ``damage`` and ``endogenous`` usually come from the
-    shotgun results of the same libraries.
+    shotgun results of the same libraries; ``shotgun`` (``Library_ID, Endogenous, Damage``) holds those of other libraries, which
+    serve samples of the same individual that have no value of their own.
     """
     named = qc.merged_read_names(sheets)
     samples = named.select(F.col("merged_file").alias("file"), "Sample_Name").distinct()
     determined = qc.restrict_qc(sexdet, named).join(samples, "file").drop("file")
     libraries = qc.compile_qc(named, determined, snpcov, nuccont, damage, endogenous)
     results = qc.compile_across_libs(libraries, snp_cutoff)
+    if shotgun is not None:
+        results = qc.fill_across_types(results, shotgun, ("Endogenous", "Damage"))
     fresh = metadata.update_metadata(existing, results, lab, key)
     if ploidy is not None and "Genotype_Ploidy" in fresh.columns:
         fresh = values.fill_ploidy(fresh, ploidy)
@@ -67,14 +71,17 @@ def publish_packages(
     log_text: str = "Update genotypes",
     stamp: Column | None = None,
 ) -> DataFrame:
-    """Check staged packages, publish the good ones, and return the check rows.
+    """Check staged packages, publish the good ones with a manifest of their files, and return the check rows.
 
     Packages of restricted individuals are left out as well if ``sensitive`` is given.
     """
     checks = packages.validate_package(lines, snps, inds)
     if sensitive is not None:
         staged = restriction.scrub(staged, sensitive, "package_id")
-    sink.publish_if_valid(staged, checks, catalog_path, log_text=log_text, stamp=stamp)
+    good = staged.join(packages.valid_packages(checks), "package_id", "left_semi")
+    sink.publish_if_valid(
+        staged, checks, catalog_path, log_text=log_text, stamp=stamp, manifest=packages.manifest(good)
+    )
     return checks
 
 
@@ -90,14 +97,16 @@ def make_release(
 ) -> None:
     """Merge the packages of a group into one data set and write it to a new path.
 
-    ``inds`` has ``package_id, sample_id, sex, group``. In the release, the group label of samples
+    ``inds`` has ``package_id, sample_id, sex, group``. ``genos`` are calls, or the text lines ``package_id, snp_idx, line`` of
+    the packages, with ``snp_idx`` in ``snps`` and ``pos`` in ``inds``. In the release, the group label of samples
     and metadata comes from the sample ID.
     """
     chosen = genotypes.of_group(inds, group)
     if sensitive is not None:
         chosen = restriction.scrub(chosen, sensitive, "sample_id")
     members = chosen.select("package_id").distinct()
-    lines, snp_list, samples = genotypes.forge(
+    merge = genotypes.forge_lines if "line" in genos.columns else genotypes.forge
+    lines, snp_list, samples = merge(
         genos.join(members, "package_id", "left_semi"),
         snps.join(members, "package_id", "left_semi"),
         chosen,

@@ -17,6 +17,7 @@ from cohortflow.queries import lab, planning
 from cohortflow.queries.lab_tables import text
 from cohortflow.queries.registry import SQL, query, table
 from cohortflow.session import scratch_path
+from cohortflow.sinks import commits
 from cohortflow.sinks import packages as package_sink
 from cohortflow.sinks import tables as sink
 from cohortflow.sources import files, tables
@@ -156,6 +157,24 @@ def rt_snapshot(spark, sf_dir):
     return spark.read.parquet(f"{root}/counts")
 
 
+@query(
+    "rt_snapshot_lists",
+    f"""SELECT 'processed' AS list, * FROM ({SQL["processed"]})
+        UNION ALL SELECT 'unique', NULL, individual FROM ({SQL["processed_unique"]})""",
+)
+def rt_snapshot_lists(spark, sf_dir):
+    """The list of processed individuals and its unique form, read back from a dated snapshot."""
+    root = scratch_path(spark, "stats")
+    processed = housekeeping.processed_individuals(planning.report_files(spark, sf_dir))
+    sink.write_snapshot(processed, planning.processed_counts(spark, sf_dir), root, F.lit("S1"))
+    whole = spark.read.parquet(f"{root}/processed").where("snapshot = 'S1'")
+    unique = spark.read.parquet(f"{root}/unique").where("snapshot = 'S1'")
+    columns = [F.col(name) for name in ("list", "analysis_type", "individual")]
+    whole = whole.withColumn("list", F.lit("processed")).select(*columns)
+    unique = unique.withColumns({"list": F.lit("unique"), "analysis_type": F.lit(None).cast("string")})
+    return whole.unionByName(unique.select(*columns))
+
+
 def _written_package(spark, sf_dir):
     """A merged data set as text files."""
     path = scratch_path(spark, "package")
@@ -253,6 +272,84 @@ def publish(spark, sf_dir):
     return live.select("package_id", "version", "log_text")
 
 
+@query(
+    "publish_interleaved",
+    """SELECT 'P' || c_custkey AS package_id, '1.0.0' AS version, 'first' AS log_text FROM customer
+       UNION ALL SELECT 'P' || c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '2.0.0' ELSE '1.0.0' END, 'second'
+       FROM customer WHERE c_custkey % 2 = 0
+       UNION ALL SELECT 'P' || c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '2.1.0' ELSE '1.1.0' END, 'third'
+       FROM customer WHERE c_custkey % 3 = 0""",
+)
+def publish_interleaved(spark, sf_dir):
+    """Three publishers that all begin from the same commit: no version of a package is given twice."""
+    catalog = scratch_path(spark, "catalog")
+    package_sink.create_catalog(spark, catalog)
+    everything = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("P"), text("c_custkey")).alias("package_id"), F.col("c_custkey").alias("key")
+    )
+    staged = everything.select("package_id", F.concat(F.lit("/staged/"), F.col("package_id")).alias("path"), "key")
+    base = commits.latest(spark, catalog)
+    good = everything.select("package_id", F.lit(True).alias("ok"))
+    package_sink.publish_if_valid(staged.drop("key"), good, catalog, log_text="first", base=base)
+    second = staged.where("key % 2 = 0").drop("key")
+    package_sink.publish_if_valid(second, good, catalog, log_text="second", base=base)
+    package_sink.merge_catalog(spark, catalog)
+    package_sink.append_changelog(catalog, everything.where("key % 3 = 0"), "Minor", "third", base=base)
+    return package_sink.read_catalog(spark, catalog).select("package_id", "version", "log_text")
+
+
+_BLOCK = 1500
+_TREE_SQL = f"""SELECT doc_id, source, encode(coalesce(text, '')) AS body,
+        greatest(cast(ceil(octet_length(encode(coalesce(text, ''))) / {_BLOCK}.0) AS BIGINT), 1) AS n_blocks
+    FROM documents"""
+_FILE_SQL = f"""SELECT source AS package_id, 'doc' || doc_id || '.txt' AS name, octet_length(body) AS length, n_blocks,
+        CASE n_blocks WHEN 1 THEN md5(body) ELSE md5(unhex(array_to_string(list_transform(range(0, n_blocks),
+            lambda i: md5(body[{_BLOCK} * i + 1:{_BLOCK} * (i + 1)])), ''))) || '-' || n_blocks END AS md5
+    FROM ({_TREE_SQL})"""
+
+
+def _write_texts(batches, root):
+    """Each document as a file in the folder of its source."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            folder = os.path.join(root, row["source"])
+            os.makedirs(folder, exist_ok=True)
+            with open(os.path.join(folder, f"doc{row['doc_id']}.txt"), "wb") as file:
+                file.write((row["text"] or "").encode())
+        yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+
+def _published_texts(spark, sf_dir):
+    """Documents as files of packages, one per source, published with their manifest; the path of the catalog."""
+    root = scratch_path(spark, "texts").removeprefix("file:")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs.mapInArrow(lambda rows: _write_texts(rows, root), "n bigint").agg(F.sum("n")).collect()
+    sources = docs.select(F.col("source").alias("package_id")).distinct()
+    staged = sources.select("package_id", F.concat(F.lit(f"{root}/"), F.col("package_id")).alias("path"))
+    catalog = scratch_path(spark, "catalog")
+    package_sink.create_catalog(spark, catalog)
+    package_sink.publish_if_valid(
+        staged, sources.withColumn("ok", F.lit(True)), catalog, manifest=packages.manifest(staged, _BLOCK)
+    )
+    return catalog
+
+
+@query("manifest_files", f"SELECT *, '1.0.0' AS version FROM ({_FILE_SQL})")
+def manifest_files(spark, sf_dir):
+    """Every file of every published package, hashed in blocks by several tasks."""
+    return package_sink.read_manifest(spark, _published_texts(spark, sf_dir))
+
+
+@query(
+    "manifest_digests",
+    f"""SELECT package_id, '1.0.0' AS version, md5(string_agg(md5 || ' ' || name, chr(10) ORDER BY name)) AS digest
+        FROM ({_FILE_SQL}) GROUP BY 1""",
+)
+def manifest_digests(spark, sf_dir):
+    """One digest per published package, kept in the catalog."""
+    return package_sink.read_catalog(spark, _published_texts(spark, sf_dir)).select("package_id", "version", "digest")
+
+
 @query("file_scan", "SELECT DISTINCT event_type AS folder FROM events")
 def file_scan(spark, sf_dir):
     """Folders that hold non-empty files, found by listing what was written."""

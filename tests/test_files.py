@@ -1,8 +1,10 @@
 """Readers and writers on real files."""
 
+import hashlib
 import json
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC
 
 import pytest
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from cohortflow.operators import packages
 from cohortflow.plans import prepare
 from cohortflow.session import broadcast_if_small, scratch_path, shared_dir, written
+from cohortflow.sinks import commits
 from cohortflow.sinks import packages as package_sink
 from cohortflow.sinks import tables as sink
 from cohortflow.sources import files, listing, results, tables
@@ -207,7 +210,8 @@ def test_file_states_and_checksums(spark, tmp_path):
     assert [(os.path.basename(r.path), r.length) for r in found.collect()] == [("one.geno", 5)]
     os.utime(tmp_path / "TF" / "ABC" / "one.geno", (0, 1_600_000_000))
     recent = files.scan_files(spark, str(tmp_path), modified_after="2021-01-01T00:00:00")
-    assert [os.path.basename(r.path) for r in recent.collect()] == ["one.txt"]
+    # Empty files count: existence is what plans ask for.
+    assert sorted((os.path.basename(r.path), r.length) for r in recent.collect()) == [("empty.txt", 0), ("one.txt", 1)]
     sums = packages.checksums(files.scan_files(spark, str(tmp_path), "*.geno", content=True))
     assert sums.first().md5 == "5d41402abc4b2a76b9719d911017c592"
 
@@ -301,6 +305,70 @@ def test_publishing_keeps_the_old_version_on_failure(spark, tmp_path):
     assert [r.log_text for r in logs.collect()] == ["Update genotypes", "Update genotypes", "Added checksums"]
 
 
+def test_publishers_at_the_same_time_get_different_versions(spark, tmp_path):
+    catalog = str(tmp_path / "catalog")
+    package_sink.create_catalog(spark, catalog)
+    with pytest.raises(FileExistsError):
+        package_sink.create_catalog(spark, catalog)
+    staged = spark.createDataFrame([("a", "/s/a")], "package_id string, path string")
+    checks = spark.createDataFrame([("a", True)], "package_id string, ok boolean")
+
+    def publish(k):
+        return package_sink.publish_if_valid(staged, checks, catalog, log_text=f"by {k}", base=0)
+
+    with ThreadPoolExecutor(5) as pool:
+        numbers = list(pool.map(publish, range(5)))
+    assert sorted(numbers) == [1, 2, 3, 4, 5]
+    rows = package_sink.read_catalog(spark, catalog).collect()
+    assert sorted(r.version for r in rows) == [f"{k}.0.0" for k in range(1, 6)]
+    assert {r.log_text for r in rows} == {f"by {k}" for k in range(5)}
+    assert package_sink.read_catalog(spark, catalog, 2).count() == 2
+    # Merging changes no row, and later commits follow it.
+    assert package_sink.merge_catalog(spark, catalog) == 6
+    assert sorted(r.version for r in package_sink.read_catalog(spark, catalog).collect()) == sorted(r.version for r in rows)
+    assert len(commits._live(spark, catalog, None)) == 1
+    assert publish(9) == 7 and package_sink.read_catalog(spark, catalog).count() == 6
+
+
+def test_a_file_is_created_by_one_writer_only(spark, tmp_path):
+    path = str(tmp_path / "deep" / "x.json")
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda k: commits.create_if_absent(spark, path, str(k)), range(8)))
+    assert made.count(True) == 1
+    assert open(path, encoding="utf-8").read() == str(made.index(True))
+    assert os.listdir(tmp_path / "deep") == ["x.json"]
+
+
+def test_manifests_are_stored_with_versions(spark, tmp_path):
+    for name, data in (("one/geno", b"x" * 25), ("one/inner/snp", b""), ("two/geno", b"hello")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    catalog = str(tmp_path / "catalog")
+    package_sink.create_catalog(spark, catalog)
+    staged = spark.createDataFrame([(p, str(tmp_path / p)) for p in ("one", "two")], "package_id string, path string")
+    checks = spark.createDataFrame([("one", True), ("two", True)], "package_id string, ok boolean")
+    first = packages.manifest(staged, block=10)
+    package_sink.publish_if_valid(staged, checks, catalog, manifest=first)
+
+    def md5(data):
+        return hashlib.md5(data)
+
+    parts = b"".join(md5(b"x" * n).digest() for n in (10, 10, 5))
+    files_ = {(r.package_id, r.name): (r.version, r.length, r.n_blocks, r.md5) for r in package_sink.read_manifest(spark, catalog).collect()}
+    assert files_ == {
+        ("one", "geno"): ("1.0.0", 25, 3, f"{md5(parts).hexdigest()}-3"),
+        ("one", "inner/snp"): ("1.0.0", 0, 1, md5(b"").hexdigest()),
+        ("two", "geno"): ("1.0.0", 5, 1, md5(b"hello").hexdigest()),
+    }
+    digests = {r.package_id: r.digest for r in package_sink.read_catalog(spark, catalog).collect()}
+    assert digests["two"] == md5(f"{md5(b'hello').hexdigest()} geno".encode()).hexdigest()
+    (tmp_path / "two" / "geno").write_bytes(b"hullo")
+    (tmp_path / "two" / "new").write_bytes(b"1")
+    (tmp_path / "one" / "inner" / "snp").unlink()
+    changes = packages.changed_files(first, packages.manifest(staged, block=10)).collect()
+    assert {tuple(r) for r in changes} == {("two", "geno", "changed"), ("two", "new", "added"), ("one", "inner/snp", "removed")}
+
+
 def test_scratch_paths_come_from_the_session(spark):
     folder = shared_dir(spark)
     own = f"{folder.rstrip('/')}/cohortflow-{spark.sparkContext.applicationId}"

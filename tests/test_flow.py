@@ -77,6 +77,17 @@ def test_metadata_of_all_samples(spark, lab_rows):
     assert {r.Contamination for name, r in rows.items() if name != "ZZZ001"} == {0.25}
     assert {r.Genotype_Ploidy for r in rows.values()} == {"haploid"}
 
+    # Shotgun libraries of the same individuals, some of them measured twice.
+    shotgun = spark.createDataFrame(
+        [("ABC001.A0301", 0.2, 0.1), ("ABC001.A0302", 0.4, None), ("QQQ001.A0301", 0.9, 0.9)],
+        "Library_ID string, Endogenous double, Damage double",
+    )
+    filled = publish.refresh_metadata(existing, sheets, sexdet, snpcov, nuccont, "sample", lab=lab, shotgun=shotgun)
+    assert filled.columns == fresh.columns
+    found = {r["sample"]: (r.Endogenous, r.Damage) for r in filled.collect()}
+    assert found["ABC001"] == (0.4, 0.1)
+    assert {v for name, v in found.items() if not name.startswith("ABC001")} == {(None, None)}
+
 
 def test_packages_and_release(spark, tmp_path):
     schema = "package_id string, snp_idx long, line string"
@@ -128,6 +139,11 @@ def test_packages_and_release(spark, tmp_path):
     written = tables.read_metadata(spark, f"{path}/metadata", ["sample", "Group_Name"])
     assert {tuple(r) for r in written.collect()} == {("ABC001", "ABC"), ("ABC001_ss", "ABC"), ("DEF001", "DEF")}
     assert genotypes.to_long(files.read_geno(spark, f"{path}/geno")).count() == 6
+    # The same from the lines of the packages, without taking them apart.
+    placed = snps.withColumn("snp_idx", F.when(F.col("snp_id") == "rs1", 0).otherwise(1).cast("long"))
+    whole = str(tmp_path / "whole")
+    publish.make_release(lines, placed, inds, meta, "sample", whole)
+    assert [r.line for r in files.read_geno(spark, f"{whole}/geno").orderBy("snp_idx").collect()] == ["092", "200"]
     scrubbed = str(tmp_path / "scrubbed")
     publish.make_release(genos, snps, inds.drop("pos"), meta, "sample", scrubbed, sensitive=sensitive)
     left = files.read_positioned_ind(spark, f"{scrubbed}/ind")
