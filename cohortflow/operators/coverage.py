@@ -3,8 +3,8 @@
 Reads that overlap ``[s, e)`` are those that start before ``e`` less those that end at or before
 ``s``. Covered positions and covered bases are differences of running totals in the same way. So
 an interval needs the running totals at its two ends, and nothing grows with the number of
-overlaps. Totals run inside bins of the coordinate axis, with one row per bin to link them: no
-task sees more than one bin of distinct positions, however many reads pile up there.
+overlaps. Totals run inside bins of the coordinate axis, with one row per bin to link them
+(:func:`cohortflow.operators.scans.with_offsets`): no task sees more than one bin of distinct positions, however many reads pile up there.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortflow.operators.scans import with_offsets
 from cohortflow.session import written
 
 # Positions per bin: bounds the rows one window group can hold.
@@ -33,66 +34,66 @@ def interval_coverage(
     """
     axis = [*by, "chrom"]
     bins = [*axis, "_bin"]
-    # Reads are looked at once; all that follows works on the far fewer positions. The totals at the
-    # borders asked for are looked up twice, so they are written down as well.
-    points = written(
-        _points(reads, intervals, axis).withColumn(
-            "_bin", F.floor(F.col("_pos") / bin_width).cast("long")
-        ),
-        "points",
-    )
-
-    along = Window.partitionBy(*axis).orderBy("_bin")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    per_bin = points.groupBy(*bins).agg(
-        F.sum("_starts").alias("_s"),
-        F.sum("_ends").alias("_e"),
-        F.min("_pos").alias("_first"),
-    )
-    linked = per_bin.select(
-        *bins,
-        F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_started"),
-        F.coalesce(F.sum("_e").over(earlier), F.lit(0)).alias("_ended"),
-        F.lead("_first").over(along).alias("_next_first"),
-    )
+    points = _points(reads, intervals, axis).withColumn("_bin", F.floor(F.col("_pos") / bin_width).cast("long"))
 
+    # Inside a bin all is counted from its first position and from a depth of zero. Depth is never negative, so
+    # positions without reads are those of the lowest local depth, if any.
     inside = Window.partitionBy(*bins).orderBy("_pos")
     up_to = inside.rowsBetween(Window.unboundedPreceding, 0)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    started = F.col("_started") + F.sum("_starts").over(up_to)
-    ended = F.col("_ended") + F.sum("_ends").over(up_to)
-    following = F.coalesce(F.lead("_pos").over(inside), F.col("_next_first"), F.col("_pos"))
-    stretches = (
-        points.join(linked, bins)
-        .withColumn("_reads_started", started)
-        .withColumn("_reads_ended", ended)
-        .withColumn("_stretch", following - F.col("_pos"))
-        .withColumn("_depth", F.col("_reads_started") - F.col("_reads_ended"))
-        .withColumn("_covers", F.when(F.col("_depth") > 0, F.col("_stretch")).otherwise(0))
-        .withColumn("_holds", F.col("_depth") * F.col("_stretch"))
-    )
-    bin_totals = stretches.groupBy(*bins).agg(
-        F.sum("_covers").alias("_c"), F.sum("_holds").alias("_h")
+    whole = Window.partitionBy(*bins)
+    local = (
+        points.withColumns(
+            {
+                "_started": F.sum("_starts").over(up_to),
+                "_ended": F.sum("_ends").over(up_to),
+                "_stretch": F.lead("_pos").over(inside) - F.col("_pos"),
+                "_first": F.min("_pos").over(whole),
+            }
+        )
+        .withColumn("_depth", F.col("_started") - F.col("_ended"))
+        .withColumn("_lowest", F.min(F.when(F.col("_stretch").isNotNull(), F.col("_depth"))).over(whole))
+        .withColumn("_at_lowest", F.when(F.col("_depth") == F.col("_lowest"), F.col("_stretch")).otherwise(0))
+        .withColumns(
+            {
+                "_held": F.coalesce(F.sum(F.col("_depth") * F.col("_stretch")).over(before), F.lit(0)),
+                "_bare": F.coalesce(F.sum("_at_lowest").over(before), F.lit(0)),
+            }
+        )
     )
-    carried = bin_totals.select(
+    # Reads are looked at once. What is asked for, and the last position of each bin, which tells all about the bin,
+    # is written down: far fewer rows than positions.
+    kept = written(local.filter(F.col("_asked") | F.col("_stretch").isNull()), "coverage")
+    ends = kept.filter(F.col("_stretch").isNull())
+    depth = F.col("_before_s") - F.col("_before_e")
+    next_first = F.lead("_first").over(Window.partitionBy(*axis).orderBy("_bin"))
+    entered = with_offsets(ends, axis, "_bin", {"_before_s": "_started", "_before_e": "_ended"}).select(
         *bins,
-        F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_covered_before"),
-        F.coalesce(F.sum("_h").over(earlier), F.lit(0)).alias("_bases_before"),
+        depth.alias("_depth_in"),
+        F.col("_before_s"),
+        F.col("_before_e"),
+        F.when(depth + F.col("_lowest") == 0, F.lit(1)).otherwise(0).alias("_has_bare"),
+        (F.col("_pos") - F.col("_first")).alias("_span"),
+        (F.coalesce(next_first, F.col("_pos")) - F.col("_pos")).alias("_gap"),
+        (depth + F.col("_depth")).alias("_depth_out"),
+        "_held",
+        "_bare",
     )
-    totals = written(
-        stretches.withColumn("_covers", F.coalesce(F.sum("_covers").over(before), F.lit(0)))
-        .withColumn("_holds", F.coalesce(F.sum("_holds").over(before), F.lit(0)))
-        .filter("_asked")
+    covers = F.col("_span") - F.col("_has_bare") * F.col("_bare") + F.when(F.col("_depth_out") > 0, F.col("_gap")).otherwise(0)
+    holds = F.col("_depth_in") * F.col("_span") + F.col("_held") + F.col("_depth_out") * F.col("_gap")
+    carried = with_offsets(entered, axis, "_bin", {"_covered_in": covers, "_bases_in": holds}).drop("_held", "_bare")
+    reached = F.col("_pos") - F.col("_first")
+    totals = (
+        kept.filter("_asked")
         .join(carried, bins)
         .select(
             *axis,
             "_pos",
-            (F.col("_reads_started") - F.col("_starts")).alias("_started_before"),
-            F.col("_reads_ended").alias("_ended_up_to"),
-            (F.col("_covered_before") + F.col("_covers")).alias("_covered"),
-            (F.col("_bases_before") + F.col("_holds")).alias("_bases"),
-        ),
-        "totals",
+            (F.col("_before_s") + F.col("_started") - F.col("_starts")).alias("_started_before"),
+            (F.col("_before_e") + F.col("_ended")).alias("_ended_up_to"),
+            (F.col("_covered_in") + reached - F.col("_has_bare") * F.col("_bare")).alias("_covered"),
+            (F.col("_bases_in") + F.col("_depth_in") * reached + F.col("_held")).alias("_bases"),
+        )
     )
 
     at_start = totals.select(

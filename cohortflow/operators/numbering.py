@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortflow.operators.scans import with_offsets
 from cohortflow.session import broadcast_if_small, written
 
 # Largest group a single task numbers by itself, and rows of a slice where groups are larger.
@@ -80,10 +81,7 @@ def _number_sorted(
     )
     # One row per slice: a table of ``slices`` rows at most.
     sizes = laid_out.groupBy("_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
+    offsets = with_offsets(sizes, [], "_slice", {"_offset": "_rows"}).drop("_rows")
     numbered = laid_out.join(broadcast_if_small(offsets), "_slice").withColumn(
         name, F.col("_position") + F.col("_offset") + 1
     )

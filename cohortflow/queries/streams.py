@@ -20,14 +20,17 @@ def event_stream(spark, sf_dir):
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
-def event_batches(spark, sf_dir):
-    """The events in several files, one batch each: the last ones first, then the rest, then all once more."""
+def event_arrivals(spark, sf_dir, drain: Callable) -> None:
+    """Let the events arrive in three goes: the last ones first, then the rest, then all once more.
+
+    After each go ``drain`` is given the stream of all files and the number of the go, and runs it to the end of what is there.
+    """
     events = table(spark, sf_dir, "events")
     path = scratch_path(spark, "arrivals")
     late = F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz")
-    for part in (events.filter(late), events.filter(~late), events):
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    for number, part in enumerate((events.filter(late), events.filter(~late), events)):
+        part.write.mode("append").parquet(path)
+        drain(spark.readStream.schema(events.schema).parquet(path), number)
 
 
 def feed(stream, write: Callable, path: str) -> None:
@@ -60,13 +63,18 @@ def drain(stream, label):
 def stream_runs(spark, sf_dir):
     name = F.concat(text("event_id"), F.when(F.col("value") < 5, ".bam.bai").otherwise(".bam"))
     folder = planning.case("event_type", FOLDERS)
-    listing = event_batches(spark, sf_dir).select(
-        F.concat_ws("/", F.lit(ROOT), folder, text("user_id"), name).alias("path"),
-        F.col("ts").alias("modificationTime"),
-    )
     path = scratch_path(spark, "runs")
-    feed(discovery.arrivals_from_files(listing, ROOT), discovery.report_runs(f"{path}/rows"), path)
-    found = spark.read.parquet(f"{path}/rows").select("folder", "run_id")
+
+    def drain(stream, number):
+        listing = stream.select(
+            F.concat_ws("/", F.lit(ROOT), folder, text("user_id"), name).alias("path"),
+            F.col("ts").alias("modificationTime"),
+        )
+        runs = discovery.runs_once(discovery.arrivals_from_files(listing, ROOT))
+        discovery.report_runs(runs, f"{path}/rows", f"{path}/state").awaitTermination()
+
+    event_arrivals(spark, sf_dir, drain)
+    found = spark.read.schema("folder string, run_id string").parquet(f"{path}/rows")
     return discovery.with_types(found).select("analysis_type", "run_id")
 
 
@@ -93,7 +101,7 @@ def stream_scrub(spark, sf_dir):
        SELECT event_id, 'U' || user_id FROM events WHERE NOT (user_id % 3 IN (0, 1))""",
 )
 def stream_scrub_late(spark, sf_dir):
-    """Marks that come between the batches: a third of the users before the first, another before the second."""
+    """Marks that come between the goes: a third of the users before the first, another before the second."""
     path = scratch_path(spark, "scrubbed-late")
     users = table(spark, sf_dir, "events").select("user_id").distinct()
     listed = F.concat(F.lit("U"), text("user_id"), F.lit("_ss.A0101")).alias("id")
@@ -104,11 +112,11 @@ def stream_scrub_late(spark, sf_dir):
     mark(0)
     scrubbed = restriction.scrub_batches(lambda: spark.read.parquet(f"{path}/marks"), "sample", f"{path}/rows")
 
-    def write(batch, number):
+    def drain(stream, number):
         if number == 1:
             mark(1)
-        scrubbed(batch, number)
+        samples = stream.select("event_id", F.concat(F.lit("U"), text("user_id")).alias("sample"))
+        feed(samples, scrubbed, path)
 
-    samples = event_batches(spark, sf_dir).select("event_id", F.concat(F.lit("U"), text("user_id")).alias("sample"))
-    feed(samples, write, path)
+    event_arrivals(spark, sf_dir, drain)
     return spark.read.parquet(f"{path}/rows").select("event_id", "sample")

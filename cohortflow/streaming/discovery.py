@@ -2,32 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from cohortflow.functions import ids
 from cohortflow.operators.planning import below, discovery_folders
-from cohortflow.sources.results import path_exists
 
 
-def report_runs(path: str, keys: tuple[str, ...] = ("folder", "run_id")) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch`` over file arrivals: appends each run to the table at ``path`` when it is first seen.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def runs_once(arrivals: DataFrame, keys: tuple[str, ...] = ("folder", "run_id")) -> DataFrame:
+    """Each run of a stream of file arrivals, when it is first seen.
 
-    No event time is involved, so late files and files with old times count. The table of reported runs is the
-    memory: runs are few, and the files of a batch are reduced to runs before they are compared with it. Each batch
-    has a folder of its own, so a batch that is run again replaces its rows.
+    The runs seen are the state of the stream, by key in its checkpoint. No event time is involved, so late
+    files and files with old times count, and a run is never reported again, however late its files.
     """
+    return arrivals.select(*keys).dropDuplicates(list(keys))
 
-    def report(batch: DataFrame, number: int) -> None:
-        runs = batch.select(*keys).distinct()
-        if path_exists(batch.sparkSession, path):
-            reported = batch.sparkSession.read.parquet(path).filter(F.col("batch") < number)
-            runs = runs.join(reported.select(*keys), list(keys), "left_anti")
-        runs.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return report
+def report_runs(runs: DataFrame, path: str, state: str) -> StreamingQuery:
+    """Append the runs to the table at ``path``, whose log of files replaces listing its folder; all that has arrived at a time.
+
+    The state store keeps what does not fit in memory on disk, and its changes in the checkpoint folder ``state``.
+    """
+    spark = runs.sparkSession
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        # The query keeps the settings it was started with.
+        writer = runs.writeStream.format("parquet").option("path", path).option("checkpointLocation", state)
+        return writer.trigger(availableNow=True).start()
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def arrivals_from_files(files: DataFrame, root: str, pattern: str = r"\.bam$") -> DataFrame:

@@ -24,8 +24,7 @@ def test_runs_are_reported_once_over_restarts(spark, tmp_path):
     def drain():
         files = spark.readStream.schema(SCHEMA).parquet(source)
         arrivals = discovery.arrivals_from_files(files, "/r")
-        writer = arrivals.writeStream.foreachBatch(discovery.report_runs(out))
-        writer.option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+        discovery.report_runs(discovery.runs_once(arrivals), out, state).awaitTermination()
         found = spark.read.parquet(out)
         return sorted((r.folder, r.run_id) for r in found.collect())
 
@@ -42,6 +41,25 @@ def test_runs_are_reported_once_over_restarts(spark, tmp_path):
     assert {tuple(r) for r in typed.collect()} == {("TF", "2A"), ("TM", "2A"), ("YC", "2B")}
 
 
+def test_reported_runs_need_no_folder_per_batch(spark, tmp_path):
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    rows = [(f"/r/Human_1240k/2{k % 7}/x{k}.bam", START) for k in range(24)]
+    for row in rows:
+        spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    query = discovery.report_runs(discovery.runs_once(discovery.arrivals_from_files(stream, "/r")), out, state)
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 24
+    found = [r.run_id for r in spark.read.parquet(out).collect()]
+    assert sorted(found) == [f"2{k}" for k in range(7)]
+    # One folder with files, and the log of them, which is merged every ten batches.
+    folders = [one.name for one in (tmp_path / "out").iterdir() if one.is_dir()]
+    assert folders == ["_spark_metadata"]
+    assert [one.name for one in (tmp_path / "out" / "_spark_metadata").iterdir() if one.name.endswith(".compact")]
+    assert "rocksdb" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass").lower()
+    assert list((tmp_path / "state" / "state").rglob("*.zip")) or list((tmp_path / "state" / "state").rglob("*.changelog"))
+
+
 def test_restricted_rows_leave_the_stream(spark, tmp_path):
     source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
     spark.createDataFrame([("A_ss",), ("A",), ("B",)], "sample string").write.parquet(source)
