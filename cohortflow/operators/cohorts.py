@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.functions import ids
 from cohortflow.operators import lims
-from cohortflow.session import written
+from cohortflow.session import broadcast_if_small, written
 
 FULL = "full_individual_id"
 MAIN = "main_individual_id"
@@ -23,6 +23,40 @@ def cohort_ids(
     return rows.select(*keys, F.explode(F.array_compact(both)).alias(full)).distinct()
 
 
+# From a sequencing up to its individual: each table, and the column that names the one above.
+_ANCESTORS = (("capture", "library"), ("library", "extract"), ("extract", "sample"), ("sample", "individual"))
+
+
+def flat_of_runs(
+    tables: Mapping[str, DataFrame],
+    runs: DataFrame,
+    by: str = "full",
+    analysis_type: str | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda flat: flat,
+) -> DataFrame:
+    """The flat lab rows of all individuals that the runs (``run_id``) may touch, made once and written down.
+
+    Which individuals these are is looked up first, from the runs' sequencings upwards through narrow columns. The ten-table join then
+    begins with these individuals only, so the big tables below are read once and give few rows. Individuals whose
+    analyses are all deleted may be among them; :func:`expand_cohort` and :func:`expand_cohorts` work on the
+    result as on all flat rows. ``keep`` drops rows that must not be written down.
+    """
+    keys = tables["sequencing"].join(runs.select("run_id").distinct(), "run_id", "left_semi").select("capture")
+    for name, above in _ANCESTORS:
+        keys = tables[name].join(keys.select(F.col(name).alias("id")), "id", "left_semi").select(above)
+    people = tables["individual"]
+    touched = people.join(keys.select(F.col("individual").alias("id")), "id", "left_semi").select(FULL, MAIN)
+    touched = written(touched, "touched")
+    if by == "full":
+        found = broadcast_if_small(cohort_ids(touched))
+        people = people.join(found, FULL, "left_semi")
+    else:
+        target = ids.canonical_id(F.col(FULL), F.col(MAIN), null_main_is_missing=True)
+        found = broadcast_if_small(touched.select(target.alias("_target")).distinct())
+        people = people.withColumn("_target", target).join(found, "_target", "left_semi").drop("_target")
+    return written(keep(lims.lims_flat({**tables, "individual": people}, analysis_type)), "flat")
+
+
 def expand_cohort(flat: DataFrame, run_id: str, by: str = "full") -> DataFrame:
     """Every row, of any run, of every individual that ``run_id`` touches.
 
@@ -44,6 +78,7 @@ def expand_cohorts(
     runs: DataFrame,
     keys: Sequence[str] = (),
     policy: str = "union",
+    settled: bool = False,
 ) -> DataFrame:
     """Cohort expansion for many runs at once, linear in the rows.
 
@@ -53,9 +88,9 @@ def expand_cohorts(
     for each target individual what its last run alone would, as when runs are handled one after
     another and each rewrites the sheet. Rows are matched against distinct IDs only, so no row is
     multiplied by the number of runs. ``last_run`` looks at the rows from three sides, so the joins that
-    make them run once and their result is written to the shared folder.
+    make them run once and their result is written to the shared folder, unless they are ``settled`` there already.
     """
-    if policy == "last_run":
+    if policy == "last_run" and not settled:
         flat = written(flat, "flat")
     by = ["run_id", *[key for key in keys if key in runs.columns]]
     of_runs = flat.join(runs.select(*by).distinct(), by, "left_semi")

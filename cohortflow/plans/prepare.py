@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,17 +17,23 @@ from cohortflow.sinks.tables import SITE_LAYOUT, report_empty, write_run_sheets,
 
 
 def cohort_rows(
-    tables: Mapping[str, DataFrame], runs: DataFrame, policy: str = "union"
+    tables: Mapping[str, DataFrame],
+    runs: DataFrame,
+    policy: str = "union",
+    keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """Consented, not excluded rows of every individual the runs touch, per analysis type.
 
-    ``runs`` has ``run_id``, and may name an ``analysis_type`` for each run.
+    ``runs`` has ``run_id``, and may name an ``analysis_type`` for each run. What ``keep`` drops is not written down, and
+    brings no other individual in.
     """
-    flat = values.enforce_types(lims.lims_flat(tables), lims.FLAGS)
-    rows = lims.not_excluded(lims.consented(flat))
-    return cohorts.expand_cohorts(
-        lims.with_analysis_type(rows), runs, ["analysis_type"], policy=policy
-    )
+
+    def usable(flat: DataFrame) -> DataFrame:
+        rows = lims.not_excluded(lims.consented(values.enforce_types(flat, lims.FLAGS)))
+        return keep(lims.with_analysis_type(rows))
+
+    flat = cohorts.flat_of_runs(tables, runs, keep=usable)
+    return cohorts.expand_cohorts(flat, runs, ["analysis_type"], policy=policy, settled=True)
 
 
 def prepare_run_sheets(
@@ -46,16 +52,17 @@ def prepare_run_sheets(
     ``sensitive`` lists restricted sequencing IDs and ``whitelist`` target individuals, one ``id``
     per row. Both are applied to whole individuals, so the lanes of the others do not change.
     """
-    rows = cohort_rows(tables, runs, policy)
-    # Before anything is numbered or written down, so that no restricted row reaches the shared folder.
     target = ids.canonical_id(F.col(cohorts.FULL), F.col(cohorts.MAIN))
-    if sensitive is not None or whitelist is not None:
-        rows = rows.withColumn("target_ind", target)
-        if sensitive is not None:
-            rows = restriction.scrub(rows, sensitive, "target_ind")
-        if whitelist is not None:
-            rows = run_sheets.whitelisted(rows, whitelist)
-        rows = rows.drop("target_ind")
+
+    # Before anything is numbered or written down, so that no restricted row reaches the shared folder.
+    def unrestricted(rows: DataFrame) -> DataFrame:
+        if sensitive is None:
+            return rows
+        return restriction.scrub(rows.withColumn("target_ind", target), sensitive, "target_ind").drop("target_ind")
+
+    rows = cohort_rows(tables, runs, policy, unrestricted)
+    if whitelist is not None:
+        rows = run_sheets.whitelisted(rows.withColumn("target_ind", target), whitelist).drop("target_ind")
     return run_sheets.build_run_sheet(rows, protocols, rebase=rebase, rename=rename, limit=limit)
 
 

@@ -88,7 +88,14 @@ def cohort_ids(spark, sf_dir):
 
 def _first_run(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    return orders.agg(F.min(F.date_format("o_orderdate", "yyyyMM"))).scalar()
+    return orders.agg(F.min(F.date_format("o_orderdate", "yyyyMM")).alias("run_id"))
+
+
+def _expanded(spark, sf_dir, by):
+    """Rows of all individuals that the first run touches."""
+    run = _first_run(spark, sf_dir)
+    flat = cohorts.flat_of_runs(lab.lab_tables(spark, sf_dir), run, by)
+    return cohorts.expand_cohort(flat, run.scalar(), by)
 
 
 _EXPANDED_SQL = f"""WITH {lab.FLAT_SQL},
@@ -104,7 +111,7 @@ _EXPANDED_SQL = f"""WITH {lab.FLAT_SQL},
             UNION SELECT main_individual_id FROM hit WHERE main_individual_id <> '')""",
 )
 def expand_cohort(spark, sf_dir):
-    return cohorts.expand_cohort(lab.flat(spark, sf_dir), _first_run(spark, sf_dir))
+    return _expanded(spark, sf_dir, "full")
 
 
 _TARGET_SQL = """coalesce(CASE WHEN main_individual_id = '' THEN full_individual_id
@@ -117,8 +124,7 @@ _TARGET_SQL = """coalesce(CASE WHEN main_individual_id = '' THEN full_individual
         SELECT * FROM flat WHERE {_TARGET_SQL} IN (SELECT {_TARGET_SQL} FROM hit)""",
 )
 def expand_cohort_canonical(spark, sf_dir):
-    flat = lab.flat(spark, sf_dir)
-    return cohorts.expand_cohort(flat, _first_run(spark, sf_dir), by="canonical")
+    return _expanded(spark, sf_dir, "canonical")
 
 
 @query(
@@ -143,9 +149,8 @@ def expand_cohort_canonical(spark, sf_dir):
                       AND t.full_individual_id = k.full_individual_id""",
 )
 def expand_cohorts_last_run(spark, sf_dir):
-    rows = lab.kept_rows(spark, sf_dir)
     runs = lab.latest_year(spark, sf_dir)
-    return cohorts.expand_cohorts(rows, runs, ["analysis_type"], policy="last_run")
+    return prepare.cohort_rows(lab.lab_tables(spark, sf_dir), runs, policy="last_run")
 
 
 @query(
