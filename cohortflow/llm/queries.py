@@ -216,8 +216,8 @@ ORDER_KEY = 20240607
 @query("op4_training_order")
 def op4(spark, sf_dir):
     folder = scratch_path(spark, "training-order")
-    count = training_order.write_training_order(table(spark, sf_dir, "documents"), folder, ORDER_KEY)
-    return training_order.read_training_order(spark, folder, count, ORDER_KEY).drop("ids")
+    count, shards = training_order.write_training_order(table(spark, sf_dir, "documents"), folder, ORDER_KEY)
+    return training_order.read_training_order(shards, count, ORDER_KEY).drop("ids")
 
 
 def _phrases_sql(least: int = 10, longest: int = 3, keep: int = 2000, cover_percent: int = 50) -> str:

@@ -1,5 +1,6 @@
 """Packing and training order: every id in exactly one place, and back again."""
 
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -116,13 +117,42 @@ def test_slots_are_a_permutation(count):
         assert abs(np.corrcoef(numbers, slots)[0, 1]) < 0.2
 
 
+def plain_slot(number, count, key):
+    """The slot of one number, by plain integers: rounds on two halves, again until it is below the count."""
+
+    def scramble(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 % 2**64
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB % 2**64
+        return x ^ (x >> 31)
+
+    half = 1
+    while 4**half < count:
+        half += 1
+    while True:
+        left, right = divmod(number, 2**half)
+        for turn in range(1, 7):
+            round_key = scramble((turn * 0x9E3779B97F4A7C15 % 2**64) ^ key)
+            left, right = right, left ^ (scramble(right ^ round_key) % 2**half)
+        number = left * 2**half + right
+        if number < count:
+            return number
+
+
+@pytest.mark.parametrize("count", [1, 2, 5, 64, 65, 1000])
+def test_slots_follow_from_the_key(count):
+    expected = [plain_slot(n, count, 20240607) for n in range(count)]
+    assert training_order.permute(np.arange(count), count, 20240607).tolist() == expected
+
+
 def test_training_order(spark, public, messy, messy_docs):
-    sizes = {"length": 32, "per_shard": 64, "per_chunk": 16}
+    sizes = {"length": 32, "per_shard": 64}
     folder = scratch_path(spark, "order")
-    count = training_order.write_training_order(messy_docs, folder, 5, **sizes)
-    rows = training_order.read_training_order(spark, folder, count, 5, **sizes).orderBy("slot").collect()
+    count, shards = training_order.write_training_order(messy_docs, folder, 5, **sizes)
+    rows = training_order.read_training_order(shards, count, 5, at_once=10, **sizes).orderBy("slot").collect()
     assert [r.slot for r in rows] == list(range(count))
-    assert sorted(r.sequence_id for r in rows) == list(range(count))
+    assert [plain_slot(r.sequence_id, count, 5) for r in rows] == list(range(count))
     assert all(r.ids_crc32 == zlib.crc32(r.ids) and len(r.ids) == 4 * r.n_tokens for r in rows)
     assert sum(r.n_tokens < 32 for r in rows) <= messy_docs.rdd.getNumPartitions()
     # Put back in their own order, the sequences of a task are its documents one after the other.
@@ -131,17 +161,37 @@ def test_training_order(spark, public, messy, messy_docs):
     assert found == Counter(
         (*public.encode(t or "", add_special_tokens=False).ids, 0) for _, t, *_ in messy if "\x00" not in (t or "")
     )
-    late = training_order.read_training_order(spark, folder, count, 5, first_slot=count // 2, **sizes)
+    late = training_order.read_training_order(shards, count, 5, first_slot=count // 2, at_once=7, **sizes)
     assert sorted(r.slot for r in late.collect()) == list(range(count // 2, count))
-    chunks = spark.read.parquet(folder)
-    per_file = chunks.groupBy("shard").agg(F.countDistinct(F.col("_metadata.file_path")).alias("n")).collect()
-    assert all(r.n == 1 for r in per_file)
+
+
+def test_records_lie_at_their_offsets(spark, messy_docs):
+    """Raw files of whole records: any slot is read by one seek, without Spark."""
+    folder = scratch_path(spark, "order")
+    count, shards = training_order.write_training_order(messy_docs, folder, 5, length=32, per_shard=64)
+    local = folder.removeprefix("file:")
+    listed = sorted(shards.collect())
+    assert sorted(os.listdir(local)) == [os.path.basename(r.path) for r in listed]
+    assert [(r.shard, r.n) for r in listed] == [(k, min(64, count - 64 * k)) for k in range(-(-count // 64))]
+    assert all(os.path.getsize(r.path.removeprefix("file:")) == r.n * 68 for r in listed)
+    paths = {r.shard: r.path.removeprefix("file:") for r in listed}
+    for row in training_order.read_training_order(shards, count, 5, length=32, per_shard=64).collect():
+        ids = np.frombuffer(row.ids, "<u4")
+        with open(paths[row.shard], "rb") as file:
+            file.seek(row.offset)
+            record = file.read(68)
+        assert int.from_bytes(record[:4], "little") == row.n_tokens
+        assert np.frombuffer(record, "<u2", row.n_tokens, 4).tolist() == ids.tolist()
+        assert not any(record[4 + 2 * row.n_tokens :])
+        if row.slot % 37 == 0:
+            assert training_order.read_record(folder, row.slot, 32, 64).tolist() == ids.tolist()
 
 
 def test_training_order_of_nothing(spark, no_docs):
     folder = scratch_path(spark, "order")
-    assert training_order.write_training_order(no_docs, folder, 5) == 0
-    assert training_order.read_training_order(spark, folder, 0, 5).count() == 0
+    count, shards = training_order.write_training_order(no_docs, folder, 5)
+    assert count == 0 and shards.count() == 0
+    assert training_order.read_training_order(shards, 0, 5).count() == 0
 
 
 def test_token_table_counts_from_the_start_of_its_task(messy_docs):
