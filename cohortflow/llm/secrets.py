@@ -44,13 +44,17 @@ JWT_QUICK = (
     r"(?<![A-Za-z0-9_-])(?>[A-Za-z0-9_-]*?eyJ)[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8}"
 )
 
+PRIVATE_BEGIN = r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+# The key as well: to its closing line, or to the end of a text that has none.
+PRIVATE = PRIVATE_BEGIN + r"(?s:.*?)(?:-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----|\z)"
+
 BASE = (
     Rule("assign", ASSIGN, least=6, grouped=True),
     Rule("access", r"AKIA[A-Z0-9]+", least=20, quick=r"AKIA[A-Z0-9]{16}"),
     Rule("hex", r"[0-9a-f]+", least=24, quick=r"[0-9a-f]{24}"),
 )
 MORE = (
-    Rule("private", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private", PRIVATE, version=2, quick=PRIVATE_BEGIN),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]+", least=40, quick=r"gh[pousr]_[A-Za-z0-9]{36}"),
     Rule("jwt", JWT, version=2, quick=JWT_QUICK),
 )

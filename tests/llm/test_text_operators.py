@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cohortflow.llm import line_dedup, ngram_join, secrets, substring_dedup
+from cohortflow.llm import frames, line_dedup, ngram_join, secrets, substring_dedup
 from cohortflow.llm.arrays import mix
 from cohortflow.session import scratch_path
 
@@ -217,7 +217,7 @@ SECRETS = [
 def spans_brute(text, rules):
     out = []
     for rank, rule in enumerate(rules, 1):
-        pattern = rule.pattern
+        pattern = rule.pattern.replace(r"\z", r"\Z")
         flags = 0
         if rule.kind == "assign":
             pattern, flags = re.sub(r"\(\?i:(.*?)\)", r"(?i:\1)", pattern), 0
@@ -250,6 +250,19 @@ def test_tokens_of_any_length_are_found_whole(spark):
     assert spans == {1: [(2, 2 + size)], 2: [(0, 26 + len(sign))], 3: [(1, 4 + size), (6 + size, 6 + 2 * size)], 4: []}
 
 
+def test_private_keys_are_found_whole(spark):
+    body = "\n".join("MIIE" + "ab+/" * 15 for _ in range(2000))
+    rsa = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    pgp = f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: 2\n\n{body}\n=abcd\n-----END PGP PRIVATE KEY BLOCK-----"
+    cut = f"-----BEGIN PRIVATE KEY-----\n{body}\n"
+    public = f"-----BEGIN PUBLIC KEY-----\n{body}\n-----END PUBLIC KEY-----"
+    rows = [(1, f"é {rsa} x {pgp}\n"), (2, f"a\n{cut}"), (3, public), (4, "PRIVATE KEY-----")]
+    found = secrets.scan_versions(spark.createDataFrame(rows, "doc_id bigint, text string"), scratch_path(spark, "ledger"))
+    spans = {r.path: [(s.start, s.end) for s in r.found or [] if s.kind == "private"] for r in found.collect()}
+    second = 2 + len(rsa) + 3
+    assert spans == {1: [(2, 2 + len(rsa)), (second, second + len(pgp))], 2: [(2, 2 + len(cut))], 3: [], 4: []}
+
+
 def test_ledger_scans_only_what_is_new(spark):
     ledger = scratch_path(spark, "ledger")
     first = spark.createDataFrame([(1, "token=abcdef1"), (2, "token=abcdef1"), (3, "nothing")], "doc_id bigint, text string")
@@ -275,3 +288,19 @@ def test_native_plans_run_no_python(messy_docs):
     plan = line_dedup.apply_bitmaps(messy_docs, line_dedup.keep_bitmaps(messy_docs))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", text)
+
+
+def test_secret_scans_run_no_python(spark, messy_docs, monkeypatch):
+    """Every plan that a scan writes or returns."""
+    plans = []
+
+    def noted(df, *args):
+        plans.append(df)
+        return frames.written(df, *args)
+
+    monkeypatch.setattr(secrets, "written", noted)
+    scanned = secrets.scan_versions(messy_docs, scratch_path(spark, "ledger"))
+    texts = messy_docs.selectExpr("sha2(text, 256) as blob", "array('assign') as kinds", "text")
+    for plan in [*plans, secrets._scan(texts, secrets.RULES), secrets.report(scanned)]:
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Arrow|Pandas", text)
