@@ -156,3 +156,12 @@ def changed_individuals(
         .distinct()
     )
     return differing.join(new.select(*keys).distinct(), list(keys), "left_semi")
+
+
+def sheet_digests(sheet: DataFrame, keys: Sequence[str] = V.SHEET_KEYS) -> DataFrame:
+    """``keys, digest``: one digest of all rows of each individual, whatever their order."""
+    rest = [c for c in sheet.columns if c not in keys]
+    # Missing values and empty text differ, and so do values that meet at other borders.
+    row = F.md5(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in rest]), {"ignoreNullFields": "false"}))
+    rows = F.array_sort(F.collect_list(row))
+    return sheet.groupBy(*keys).agg(F.md5(F.array_join(rows, ",")).alias("digest"))

@@ -133,6 +133,21 @@ def rt_run_sheet_only_changed(spark, sf_dir):
     return tables.read_run_sheets(spark, path, sink.SITE_LAYOUT)
 
 
+@query("rt_run_sheet_digests", _UPDATED_SQL)
+def rt_run_sheet_digests(spark, sf_dir):
+    """The same by the stored digests of the sheets: what was written before is not read to be compared."""
+    path, digests = scratch_path(spark, "sheets"), scratch_path(spark, "digests")
+    sheet = _numbered_sheet(spark, sf_dir)
+    sink.write_run_sheets(sheet, path, layout=sink.SITE_LAYOUT, digests=digests)
+    changed = _changed(sheet)
+    both = sheet.join(changed.select("analysis_type", "target_ind").distinct(), ["analysis_type", "target_ind"], "left_anti")
+    again = both.select(*sheet.columns).unionByName(changed)
+    for _ in range(2):
+        sink.write_run_sheets(again, path, only_changed=True, layout=sink.SITE_LAYOUT, digests=digests)
+        sink.merge_digests(spark, digests)
+    return tables.read_run_sheets(spark, path, sink.SITE_LAYOUT)
+
+
 @query(
     "rt_sheet_queue",
     f"""{_NUMBERED_SQL}

@@ -12,6 +12,7 @@ from cohortflow import fixed_values as V
 from cohortflow.functions import ids, values
 from cohortflow.operators import run_sheets
 from cohortflow.session import written
+from cohortflow.sinks import commits
 from cohortflow.sources.results import path_exists
 from cohortflow.sources.tables import check_format, read_run_sheets
 
@@ -39,6 +40,7 @@ def write_run_sheets(
     previous: DataFrame | None = None,
     only_changed: bool = False,
     layout: Sequence[str] = V.SHEET_KEYS,
+    digests: str | None = None,
 ) -> DataFrame:
     """Write run sheets, replacing only the individuals in ``sheet``; returns the unnamed rows.
 
@@ -46,17 +48,27 @@ def write_run_sheets(
     however many individuals there are; there the other individuals of the sites that are
     rewritten are carried over from ``previous``, the sheets as they are, which is read from
     ``path`` if not given. With ``only_changed``, individuals whose rows equal the previous ones
-    are left alone, so their files do not become newer.
+    are left alone, so their files do not become newer. ``digests`` is a table of the digest of each sheet as it was last
+    written (:mod:`cohortflow.sinks.commits`, made if missing); with it no old sheet is read to find those that differ.
+    A write that stops before the digests are stored is simply repeated.
     """
     named, unnamed = run_sheets.reject_unnamed(sheet)
     keys, columns = list(V.SHEET_KEYS), [*V.SHEET_KEYS, *V.SHEET_COLUMNS]
     named = named.select(*columns)
-    if only_changed:
+    spark = sheet.sparkSession
+    if digests is not None:
+        fresh = written(run_sheets.sheet_digests(named, keys), "digests")
+        stored = read_digests(spark, digests)
+        if only_changed:
+            fresh = written(fresh.join(stored, [*keys, "digest"], "left_anti"), "changed")
+            named = named.join(fresh.select(*keys), keys, "left_semi").select(*columns)
+            if fresh.isEmpty():
+                return unnamed
+    elif only_changed:
         if previous is None:
-            raise ValueError("only_changed needs the previous sheets")
+            raise ValueError("only_changed needs the previous sheets or their digests")
         changed = run_sheets.changed_individuals(named, previous.select(*columns), keys)
         named = named.join(changed, keys, "left_semi").select(*columns)
-    spark = sheet.sparkSession
     if "target_ind" not in layout:
         if previous is None and path_exists(spark, path):
             previous = read_run_sheets(spark, path, layout)
@@ -81,9 +93,32 @@ def write_run_sheets(
         .partitionBy(*layout)
         .csv(path)
     )
+    if digests is not None:
+        commits.add(spark, digests, lambda base: {"digests": fresh.withColumn("written", F.lit(base + 1).cast("long"))})
     return unnamed
 
 
+_DIGESTS = ", ".join([*(f"{key} string" for key in V.SHEET_KEYS), "digest string", "written bigint"])
+
+
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
+    """The digest of each individual's sheet as it was last written; the table is made if there is none."""
+    if not path_exists(spark, f"{path}/commits"):
+        commits.create(spark, path)
+    rows = commits.read(spark, path, "digests", _DIGESTS)
+    return rows.groupBy(*V.SHEET_KEYS).agg(F.max_by("digest", "written").alias("digest"))
+
+
+def merge_digests(spark: SparkSession, path: str) -> int:
+    """Keep one digest per individual, so that later reads start from there."""
+    return commits.add(
+        spark,
+        path,
+        lambda base: {"digests": read_digests(spark, path).withColumn("written", F.lit(base + 1).cast("long"))},
+        whole=True,
+    )
+
+
 def write_versions(sheet: DataFrame, path: str, version: str = __version__) -> None:
     """Append the producer version of each individual's sheet, and when it was written, to a small table."""
     individuals = sheet.select(*V.SHEET_KEYS).distinct()

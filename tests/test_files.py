@@ -216,6 +216,30 @@ def test_file_states_and_checksums(spark, tmp_path):
     assert sums.first().md5 == "5d41402abc4b2a76b9719d911017c592"
 
 
+def test_unchanged_sheets_are_known_by_their_digest(spark, tmp_path, monkeypatch):
+    path, digests = str(tmp_path / "sheets"), str(tmp_path / "digests")
+
+    def unread(*args):
+        raise AssertionError("old sheets were read")
+
+    monkeypatch.setattr(sink, "read_run_sheets", unread)
+    first = sheet(spark, "ABC001", "ABC002")
+    sink.write_run_sheets(first, path, digests=digests)
+    before = {f: os.stat(f).st_mtime_ns for f in (str(p) for p in (tmp_path / "sheets").rglob("*.csv"))}
+    # Rows in another order are the same sheet.
+    sink.write_run_sheets(first.orderBy("Lane").repartition(1), path, only_changed=True, digests=digests)
+    assert {f: os.stat(f).st_mtime_ns for f in before} == before
+    mixed = sheet(spark, "ABC001").unionByName(sheet(spark, "ABC002", "ABC003", organism="dog"))
+    sink.write_run_sheets(mixed, path, only_changed=True, digests=digests)
+    after = {str(p) for p in (tmp_path / "sheets").rglob("*.csv")}
+    assert [f for f in before if "ABC001" in f] == [f for f in after if "ABC001" in f]
+    assert not {f for f in before if "ABC002" in f} & after and any("ABC003" in f for f in after)
+    assert sink.read_digests(spark, digests).count() == 3
+    sink.merge_digests(spark, digests)
+    sink.write_run_sheets(mixed, path, only_changed=True, digests=digests)
+    assert {str(p) for p in (tmp_path / "sheets").rglob("*.csv")} == after
+
+
 def test_listing_sees_every_file(spark, tmp_path):
     expected = {}
     for k in range(60):
