@@ -119,7 +119,10 @@ def tree_digests(files: DataFrame, block: int = DIGEST_BLOCK) -> DataFrame:
     """
     columns = files.columns
     last = F.greatest(F.ceil(F.col("length") / block) - 1, F.lit(0)).cast("long")
-    blocks = files.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last))).repartition("path", "_block")
+    # A fixed number of partitions: rows this short would otherwise be put into one task, which would read all files.
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = files.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    blocks = blocks.repartition(tasks, "path", "_block")
     schema = T.StructType([*blocks.schema, T.StructField("_md5", T.StringType())])
     hashed = blocks.mapInArrow(lambda batches: _hash_blocks(batches, block), schema)
     listed = hashed.groupBy(*columns).agg(F.array_sort(F.collect_list(F.struct("_block", "_md5"))).alias("_all"))
@@ -148,7 +151,8 @@ def manifest(staged: DataFrame, block: int = DIGEST_BLOCK) -> DataFrame:
                     names=["package_id", "name", "path", "length"],
                 )
 
-    files = staged.select("package_id", "path").repartition("package_id").mapInArrow(
+    tasks = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = staged.select("package_id", "path").repartition(tasks, "package_id").mapInArrow(
         listed, "package_id string, name string, path string, length bigint"
     )
     return written(tree_digests(files, block).drop("path"), "manifest")
