@@ -250,7 +250,8 @@ def read_training_order(
     """
     wanted = shards.where(F.col("shard") >= first_slot // per_shard)
     schema = "slot bigint, sequence_id bigint, shard bigint, offset bigint, n_tokens bigint, ids_crc32 bigint, ids binary"
-    dealt = wanted.repartition("shard")
+    # A row is a whole file to read, so rows are not to be put together because they are short.
+    dealt = wanted.repartition(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard")
     return map_arrow(dealt, _describe, schema, count, key, length, per_shard, first_slot, at_once)
 
 
