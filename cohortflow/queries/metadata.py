@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
 from cohortflow.functions import ids, values
 from cohortflow.operators import metadata, qc
+from cohortflow.operators.numbering import number_rows
 from cohortflow.queries.lab_tables import text
 from cohortflow.queries.registry import query, table
 from cohortflow.sources.results import explode_report
@@ -517,10 +517,9 @@ def concat_index_keyed(spark, sf_dir):
     """One index per nation: its customers, then its suppliers."""
 
     def index(name, nation, key, sample):
-        place = F.row_number().over(Window.partitionBy(nation).orderBy(key)) - 1
-        return table(spark, sf_dir, name).select(
-            F.col(nation).alias("package_id"), F.col(sample).alias("sample"), place.cast("long").alias("pos")
-        )
+        rows = table(spark, sf_dir, name).select(F.col(nation).alias("package_id"), F.col(sample).alias("sample"), key)
+        placed = number_rows(rows, ["package_id"], [key], "pos")
+        return placed.select("package_id", "sample", (F.col("pos") - 1).alias("pos"))
 
     double = index("customer", "c_nationkey", "c_custkey", "c_name")
     single = index("supplier", "s_nationkey", "s_suppkey", "s_name")

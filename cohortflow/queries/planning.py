@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
 from cohortflow.operators import housekeeping, packages, parameters, planning, restriction
+from cohortflow.plans import changes
 from cohortflow.queries.lab_tables import text
 from cohortflow.queries.registry import query, table
-from cohortflow.session import fixed_table
+from cohortflow.session import fixed_table, scratch_path
 
 ROOT = "/results"
 FOLDERS = {
@@ -91,6 +92,55 @@ def pending_runs(spark, sf_dir):
     return _pending(spark, sf_dir).select("individual")
 
 
+def _day_files(spark, sf_dir):
+    """Events as files of an individual: clicks are inputs, purchases are reports."""
+    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "purchase"))
+    return events.select(
+        F.concat(text("user_id"), F.date_format("ts", "'D'dd")).alias("individual"),
+        F.concat_ws("/", F.lit(ROOT), "event_type", text("event_id")).alias("path"),
+        F.col("ts").cast("timestamp").alias("modificationTime"),
+        F.lit(1).cast("long").alias("length"),
+        F.col("event_type").alias("kind"),
+    )
+
+
+def _due(files):
+    inputs, reports = files.filter("kind = 'click'"), files.filter("kind = 'purchase'")
+    newest = inputs.groupBy("individual").agg(F.max("modificationTime").alias("modificationTime"))
+    return planning.pending_runs(newest, reports, ["individual"]).select("individual")
+
+
+@query("pending_changes", f"WITH {_PENDING_SQL} SELECT individual FROM pending")
+def pending_changes(spark, sf_dir):
+    """Pending individuals kept up to date over four passes: some files, others, all of them, and the same once more."""
+    files, store = _day_files(spark, sf_dir), scratch_path(spark, "pending")
+    third = F.pmod(F.xxhash64("path"), F.lit(3))
+    passes = (files.filter(third != 0), files.filter(third != 1), files, files)
+    for listing in passes:
+        found = changes.refresh(spark, store, listing, ["individual"], _due, "individual string")
+    return found
+
+
+@query(
+    "file_changes",
+    f"""WITH files AS (SELECT {_DAY} AS individual, '{ROOT}/' || event_type || '/' || event_id AS path, event_id, value
+                   FROM events WHERE event_type IN ('click', 'purchase')),
+        old AS (SELECT individual, path, 1 AS length FROM files WHERE event_id % 4 <> 0),
+        new AS (SELECT individual, path, CASE WHEN value < 5 THEN 2 ELSE 1 END AS length FROM files WHERE event_id % 4 <> 1)
+        SELECT individual, path, CASE WHEN old.length IS NULL THEN 'added' WHEN new.length IS NULL THEN 'removed'
+                                      ELSE 'changed' END AS change
+        FROM old FULL JOIN new USING (individual, path) WHERE old.length IS DISTINCT FROM new.length""",
+)
+def file_changes(spark, sf_dir):
+    """Files that came, went or got another size between two listings."""
+    files = _day_files(spark, sf_dir)
+    number = F.element_at(F.split("path", "/"), -1).cast("long")
+    values = table(spark, sf_dir, "events").select(F.col("event_id").alias("number"), "value")
+    sized = files.withColumn("number", number).join(values, "number")
+    grown = sized.withColumn("length", F.when(F.col("value") < 5, 2).otherwise(1).cast("long"))
+    return changes.file_changes(files.filter(number % 4 != 0), grown.filter("number % 4 <> 1"), ["individual"])
+
+
 SETTINGS = {
     "runner": "run",
     "version": "2.5.0",

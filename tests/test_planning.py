@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from cohortflow import fixed_values as V
 from cohortflow.functions import ids
 from cohortflow.operators import housekeeping, packages, parameters, planning, restriction
+from cohortflow.plans import changes
+from cohortflow.sinks import commits
 
 NOW = datetime(2024, 5, 1, 12)
 FILE = "path string, modificationTime timestamp"
@@ -212,3 +214,33 @@ def test_stamps_and_path_parts(spark):
         ids.base_name(F.col("p"), ".txt"),
     ).first()
     assert tuple(row) == ("240309_0705", "a", "b", None, "c", "c.tsv")
+
+
+LISTING = "individual string, path string, modificationTime timestamp, length bigint"
+
+
+def test_plans_follow_from_what_changed(spark, tmp_path):
+    store, seen = str(tmp_path / "store"), []
+
+    def plan(files):
+        rows = files.groupBy("individual").agg(F.count("*").alias("n"), F.sum("length").alias("size"))
+        seen.append(sorted(r.individual or "" for r in rows.collect()))
+        return rows
+
+    def refresh(*rows):
+        listing = spark.createDataFrame([(i, p, NOW, n) for i, p, n in rows], LISTING)
+        found = changes.refresh(spark, store, listing, ["individual"], plan, "individual string, n bigint, size bigint")
+        return sorted((tuple(r) for r in found.collect()), key=str)
+
+    first = [("a", "/a/1", 1), ("a", "/a/2", 0), ("b", "/b/1", 5), (None, "/x", 7)]
+    assert refresh(*first) == [("a", 2, 1), ("b", 1, 5), (None, 1, 7)]
+    assert refresh(*reversed(first)) == [("a", 2, 1), ("b", 1, 5), (None, 1, 7)]
+    # Nothing changed, so nothing was planned and nothing stored.
+    assert seen == [["", "a", "b"]] and commits.latest(spark, store) == 1
+    assert refresh(("a", "/a/1", 1), ("a", "/a/2", 3), ("c", "/c/1", 1), (None, "/x", 7)) == [("a", 2, 4), ("c", 1, 1), (None, 1, 7)]
+    assert seen[1:] == [["a", "c"]]
+    # A file that now belongs to another individual changes both.
+    assert refresh(("c", "/a/1", 1), ("a", "/a/2", 3), ("c", "/c/1", 1), (None, "/x", 7)) == [("a", 1, 3), ("c", 2, 2), (None, 1, 7)]
+    assert seen[2:] == [["a", "c"]]
+    assert refresh() == []
+    assert refresh(("d", "/d", 1)) == [("d", 1, 1)]
