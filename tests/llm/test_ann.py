@@ -69,6 +69,39 @@ def test_ties_and_rows_that_take_no_part(spark):
         assert [i for i, _ in got[q]] == [i for i, _ in truth[q]]
 
 
+@pytest.mark.parametrize("clusters", [40, 400])
+def test_lists_inside_coarse_lists(spark, monkeypatch, clusters):
+    """More lists than the sample can give centroids for."""
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    rng = np.random.default_rng(3)
+    data = rng.standard_normal((clusters, 16))[rng.integers(0, clusters, 4000)] + 0.15 * rng.standard_normal((4000, 16))
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(data.astype(np.float32))]
+    fitted = ann.fit_layout(ann.written(ann.clean(frame(spark, rows))), sample=200)
+    assert fitted.coarse is not None and len(fitted.centroids) >= 28 and (np.diff(fitted.owner) >= 0).all()
+    points = fitted.rotated(data)
+    lists = fitted.lists(points)
+    coarse = ((points[:, None] - fitted.coarse[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert (fitted.owner[lists] == coarse).all()
+    monkeypatch.setattr(ann, "fit_layout", lambda rows: fitted)
+    got = found_by(ann.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0))
+    truth = exact(rows, range(0, 4000, 20), ann.K)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in truth[q]}) for q in truth)
+    assert hits / (ann.K * len(truth)) > 0.9
+
+
+def test_rows_with_one_id_are_all_searched(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k // 2, [float(x) for x in v]) for k, v in enumerate(rng.standard_normal((120, 5)).astype(np.float32))]
+    rows += [rows[0], rows[0]]
+    result = ann.nearest(frame(spark, rows), F.col("vec_id") % 10 == 0, k=200).collect()
+    data = np.array([v for _, v in rows], np.float32).astype(float)
+    expected = []
+    for j, (q, _) in enumerate(rows):
+        if q % 10 == 0:
+            expected += [(q, i, round(float(s), 9)) for k, ((i, _), s) in enumerate(zip(rows, data @ data[j])) if k != j]
+    assert sorted((r.query_id, r.vec_id, round(r.score, 9)) for r in result) == sorted(expected)
+
+
 def test_fewer_candidates_than_asked_for(spark):
     rows = [(k, [float(k), 1.0]) for k in range(1, 8)]
     got = found_by(ann.nearest(frame(spark, rows), F.col("vec_id") <= 2))
