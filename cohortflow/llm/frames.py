@@ -17,6 +17,7 @@ __all__ = [
     "broadcast_if_small",
     "components",
     "few_rows_at_once",
+    "join_groups",
     "map_arrow",
     "occurrences",
     "repeated",
@@ -127,12 +128,25 @@ def repeated(found: DataFrame) -> DataFrame:
     return map_arrow(dealt, _keep_repeated, "row bigint, pos int")
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, total: int, how: str = "inner") -> DataFrame:
+    """Join rows with ``groups``, which has one row per key and the number ``n`` of its rows.
+
+    Keys with more rows than an even share of a partition, of which there are fewer than partitions, are broadcast, so their rows
+    stay where they are; the others meet their key as usual. ``groups`` is read more than once.
+    """
+    share = max(1, total // int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot = F.broadcast(groups.where(F.col("n") > share))
+    rest = rows.join(hot.select(key), key, "left_anti").join(groups.where(F.col("n") <= share), key, how)
+    return rows.join(hot, key).unionByName(rest).drop("n")
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component``: the smallest node reachable over ``links``; nodes without a link are left out.
 
     Alternates large-star and small-star steps (Kiveris et al., "Connected components in MapReduce and
     beyond") until nothing changes. Each step reads the one before from a table in the shared folder, and a
-    node keeps one link to its smallest neighbour, so a large group becomes a star after a few steps.
+    node keeps one link to its smallest neighbour, so a large group becomes a star after a few steps. The links of the
+    middle of such a star are not gathered (:func:`join_groups`).
     """
     edges = written(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links"
@@ -140,8 +154,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state = None
     while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        low = written(low.select("u", F.least("u", "m").alias("m"), "n"), "lowest")
+        total = low.agg(F.sum("n")).first()[0] or 0
+        large = join_groups(both.where("v > u"), low, "u", total).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow.llm.arrays import SLICE_BYTES, Words, batch_of, inside, mix, ranges, rolling, signed, slices
-from cohortflow.llm.frames import broadcast_if_small, components, few_rows_at_once, map_arrow, with_rows, written
+from cohortflow.llm.frames import broadcast_if_small, components, few_rows_at_once, join_groups, map_arrow, with_rows, written
 
 SIZE = 5
 THRESHOLD = Fraction(3, 4)
@@ -417,8 +417,10 @@ def near_duplicates(
     sets = written(map_arrow(texts, _list_sets, "node bigint, grams array<bigint>", size).dropDuplicates(["node"]), "grams")
     group_of = _links(members, sets, threshold)
     whole = named.join(group_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = whole.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return whole.join(smallest, "component", "left").select(
+    smallest = whole.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+    smallest = written(smallest, "smallest")
+    total = smallest.agg(F.sum("n")).first()[0] or 0
+    return join_groups(whole, smallest, "component", total, "left").select(
         "row", "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
