@@ -1,8 +1,8 @@
 """A corpus pipeline of five stages: quality rules, line dedup, near duplicates, mixing, packing.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before kept. Documents leave when the quality
-rules reject them, when another document of their group of near copies stays, or when mixing gives them no copy.
-Lines that an earlier document holds leave the text. The last stage returns the pieces of the packed sequences.
+rules reject them, when earlier documents hold all their lines, when another document of their group of near copies stays, or
+when mixing gives them no copy. Lines that an earlier document holds leave the text. The last stage returns the pieces of the packed sequences.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without lines that an earlier document holds; ``n_chars`` follows the text."""
-    return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Documents without lines that an earlier document holds, if any words are left; ``n_chars`` follows the text."""
+    left = line_dedup.drop_repeated_lines(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return left.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
