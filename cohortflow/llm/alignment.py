@@ -42,7 +42,7 @@ from cohortflow.llm.asking import (
     with_answers,
 )
 from cohortflow.llm.frames import few_rows_at_once, map_arrow, written
-from cohortflow.llm.tokens import byte_alphabet, default_vocabulary
+from cohortflow.llm.tokens import byte_alphabet, default_vocabulary, stretches
 
 BLOCK_BYTES = 6 << 20
 BLANK = "▁"
@@ -130,24 +130,6 @@ def tokenizer_pair(path_a: str, path_b: str) -> Pair:
     return Pair(encode_a, encode_b, Side.of(listed_a), Side.of(listed_b), identity_map(listed_a, listed_b))
 
 
-def stretches(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The distinct stretches of blank and text, each occurrence as a place among them, and their number per text."""
-    blank, nothing = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
-    whole = pc.binary_join_element_wise(nothing, texts.cast(pa.large_string()), blank)
-    borders = np.frombuffer(whole.buffers()[1], np.int64)[: len(whole) + 1]
-    data = np.frombuffer(whole.buffers()[2], np.uint8) if len(whole) else np.zeros(0, np.uint8)
-    data = data[: borders[-1]]
-    cut = data == 32
-    cut[1:] &= (data[:-1] > 32) & (data[:-1] < 127)
-    cut[borders[:-1]] = True
-    starts = np.flatnonzero(cut)
-    flat = pa.LargeStringArray.from_buffers(
-        len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)
-    )
-    coded = flat.dictionary_encode()
-    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.diff(np.searchsorted(starts, borders))
-
-
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.fromiter(map(len, lists), np.int64, len(lists))
     return np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum())), counts

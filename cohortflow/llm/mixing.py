@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from cohortflow.llm.arrays import Words, batch_of, hash_texts, signed, slices
 from cohortflow.llm.frames import map_arrow, with_rows, written
 from cohortflow.llm.quality import CLASSES, _bytes_of
+from cohortflow.llm.tokens import default_vocabulary, token_counts
 
 FIT_ROWS = 10_000
 WORDS_PER_DOMAIN = 200
@@ -70,8 +71,8 @@ def _domain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch_of(schema, domain[first].astype(np.int32), signed(word[first]), n)
 
 
-def _features(texts: pa.Array, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A row per document, and its words: presence of the chosen words, roots of byte class shares, then the shares of
+def _features(texts: pa.Array, chosen: np.ndarray) -> np.ndarray:
+    """A row per document: presence of the chosen words, roots of byte class shares, then the shares of
     distinct words and of words equal to the one before, the size, and a constant."""
     words, hashes = _vocabulary(texts)
     out = np.zeros((len(texts), len(chosen) + _EXTRA), np.float32)
@@ -91,13 +92,13 @@ def _features(texts: pa.Array, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarr
     out[:, -3] = np.sqrt(np.bincount(owner[1:][again], minlength=len(texts)) / size)
     out[:, -2] = np.log1p(words.counts) / 8
     out[:, -1] = 1
-    return out, words.counts
+    return out
 
 
 def _fit_rows(batches: Iterator[pa.RecordBatch], chosen: np.ndarray) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("domain", pa.int32()), ("features", pa.binary())])
     for batch in slices(batches, "text"):
-        found, _ = _features(batch.column("text"), chosen)
+        found = _features(batch.column("text"), chosen)
         packed = [one.astype(np.float16).tobytes() for one in found]
         yield batch_of(schema, batch.column("domain"), pa.array(packed, pa.binary()))
 
@@ -183,11 +184,11 @@ def fit_classifier(rows: DataFrame, domains: list[str], anchor: str) -> Classifi
     return Classifier(list(domains), ordered, fit_softmax(x[order].astype(np.float32), y, kinds))
 
 
-def _posteriors(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+def _posteriors(batches: Iterator[pa.RecordBatch], model, vocabulary: str) -> Iterator[pa.RecordBatch]:
     model = model.value
     for batch in slices(batches, "text"):
-        features, tokens = _features(batch.column("text"), model.chosen)
-        found = model.posterior(features)
+        found = model.posterior(_features(batch.column("text"), model.chosen))
+        tokens = token_counts(batch.column("text"), vocabulary)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row"),
@@ -199,12 +200,14 @@ def _posteriors(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordB
         )
 
 
-def posteriors(docs: DataFrame, model: Classifier, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``row, doc_id, n_tokens, p0, p1, ...``: words and the posterior of each domain in the model's order."""
+def posteriors(
+    docs: DataFrame, model: Classifier, id_column: str = "doc_id", text_column: str = "text", vocabulary: str | None = None
+) -> DataFrame:
+    """``row, doc_id, n_tokens, p0, p1, ...``: token ids and the posterior of each domain in the model's order."""
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
     columns = ", ".join(f"p{k} double" for k in range(len(model.domains)))
     schema = f"row bigint, doc_id bigint, n_tokens bigint, {columns}"
-    return map_arrow(with_rows(docs, id_column, text_column), _posteriors, schema, broadcast)
+    return map_arrow(with_rows(docs, id_column, text_column), _posteriors, schema, broadcast, vocabulary or default_vocabulary())
 
 
 def _rate(steps: list[np.ndarray], kinds: int) -> Column:
@@ -221,10 +224,14 @@ def _rate(steps: list[np.ndarray], kinds: int) -> Column:
     )
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, sure: int = 0, steps: int = STEPS) -> tuple[Column, float]:
-    """The rate as a column over ``p0, p1, ...``, and the rate of a document that surely is of domain ``sure``.
+def fit_rates(
+    members: DataFrame, targets: np.ndarray, sure: int = 0, steps: int = STEPS
+) -> tuple[Column, float, np.ndarray]:
+    """The rate as a column over ``p0, p1, ...``, the rate of a document that surely is of domain ``sure``, and the expected
+    tokens of each domain at these rates.
 
-    ``targets`` are tokens of each domain.
+    ``targets`` are tokens of each domain. Targets that no nonnegative rates reach are missed, and so are targets that
+    ``steps`` steps do not reach.
     """
     kinds = len(targets)
     rows = members.agg(
@@ -248,7 +255,7 @@ def fit_rates(members: DataFrame, targets: np.ndarray, sure: int = 0, steps: int
             certain = 1.0
             for one in moves:
                 certain = max(0.0, certain - float(one[sure]))
-            return rate, certain
+            return rate, certain, totals
         moves.append(inverse @ (totals - targets))
 
 
@@ -263,23 +270,27 @@ def mix_to_targets(
     text_column: str = "text",
     fit_rows: int = FIT_ROWS,
     seed: int = 1,
+    vocabulary: str | None = None,
 ) -> DataFrame:
-    """``row, doc_id, n_tokens, domain, rate, copies`` and a posterior for each domain.
+    """``row, doc_id, n_tokens, domain, rate, copies``, a posterior for each domain, and ``missed``.
 
     ``domain`` is an expression over ``labels``, whose documents are looked up in ``labelled`` (``docs`` if not given).
     ``weights`` are the target shares of tokens; the size of the mixture is
     such that a document which surely is of domain ``anchor`` has a rate of 1. ``copies`` is the rate, rounded up or
-    down by a hash of the document so that expected totals stay.
+    down by a hash of the document so that expected totals stay. ``missed`` says, in every row, how far the expected share of
+    tokens of some domain is from its target at most. Tokens are ids of ``vocabulary``.
     """
     domains = sorted(weights)
     source = docs if labelled is None else labelled
     rows = labelled_rows(source, labels, domain, domains, id_column, text_column, fit_rows)
     model = fit_classifier(rows, domains, anchor)
-    members = written(posteriors(docs, model, id_column, text_column), "posteriors")
+    members = written(posteriors(docs, model, id_column, text_column, vocabulary), "posteriors")
     at = domains.index(anchor)
     kept = members.agg(F.sum(F.col("n_tokens") * F.col(f"p{at}"))).first()[0] or 0.0
     targets = np.array([weights[one] / weights[anchor] * kept for one in domains])
-    rate, sure = fit_rates(members, targets, at)
+    rate, sure, totals = fit_rates(members, targets, at)
+    shares = totals / totals.sum() if totals.sum() > 0 else np.zeros(len(domains))
+    missed = float(np.abs(shares - targets / targets.sum()).max()) if targets.sum() > 0 else 0.0
     # The same factor for all rates leaves the shares as they are.
     rate = rate / sure if sure > 0 else rate
     most = F.greatest(*(F.col(f"p{k}") for k in range(len(domains))))
@@ -293,6 +304,7 @@ def mix_to_targets(
         "rate",
         F.floor(F.col("rate") + chance).cast("int").alias("copies"),
         *(F.col(f"p{k}").alias(f"p_{one}") for k, one in enumerate(domains)),
+        F.lit(missed).alias("missed"),
     )
 
 

@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,6 +64,38 @@ def encoder(path: str):
     return encode
 
 
+def stretches(texts: pa.Array, lead: str = " ") -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct stretches of ``lead`` and text, each occurrence as a place among them, and their number per text.
+
+    Texts are cut before blanks that follow a visible ASCII character: the pattern of the vocabulary never matches over such a
+    border, so a text's ids are those of its stretches in turn.
+    """
+    front, nothing = pa.scalar(lead, pa.large_string()), pa.scalar("", pa.large_string())
+    whole = pc.binary_join_element_wise(nothing, texts.cast(pa.large_string()), front)
+    borders = np.frombuffer(whole.buffers()[1], np.int64)[: len(whole) + 1]
+    data = whole.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[: borders[-1]] if data is not None else np.zeros(0, np.uint8)
+    cut = data == 32
+    cut[1:] &= (data[:-1] > 32) & (data[:-1] < 127)
+    cut[borders[:-1][np.diff(borders) > 0]] = True
+    starts = np.flatnonzero(cut)
+    flat = pa.LargeStringArray.from_buffers(
+        len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))
+    )
+    coded = flat.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.diff(np.searchsorted(starts, borders))
+
+
+def token_counts(texts: pa.Array, path: str) -> np.ndarray:
+    """The number of ids of each text; each distinct stretch is encoded once. A missing text has none."""
+    units, place, per_text = stretches(pc.fill_null(texts, ""), "")
+    encode = encoder(path)
+    sizes = np.fromiter((len(encode(one)) for one in units.to_pylist()), np.int64, len(units))
+    ends = np.cumsum(per_text)
+    running = np.concatenate([[0], np.cumsum(sizes[place])])
+    return running[ends] - running[ends - per_text]
+
+
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     encode = encoder(path)
     part = TaskContext.get().partitionId()

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from cohortflow.llm import alignment
 from cohortflow.llm.alignment import default_pieces
-from cohortflow.llm.tokens import byte_alphabet, default_vocabulary
+from cohortflow.llm.tokens import byte_alphabet, default_vocabulary, stretches
 
 ODD = [
     "a ", " ", "  ", " lead", "a  b   c", "tab\there \t there", "line\n\n  next", "don't they'll  'tis", "x▁y", "café au lait",
@@ -89,7 +89,7 @@ def test_stretches_encode_as_the_whole_text(libraries, messy):
     alphabet = list(" \t\n.,'abcAB12é漢▁=") + ["  ", " the", "n't"]
     texts = ODD + [t for _, t, *_ in messy if t] + ["".join(rng.choices(alphabet, k=rng.randrange(1, 60))) for _ in range(1500)]
     pair = alignment.tokenizer_pair(default_vocabulary(), default_pieces())
-    units, ids, per_text = alignment.stretches(pa.array(texts))
+    units, ids, per_text = stretches(pa.array(texts))
     listed = units.to_pylist()
     found_a, found_b = pair.encode_a(listed), pair.encode_b(listed)
     cuts = np.concatenate([[0], np.cumsum(per_text)])

@@ -56,6 +56,89 @@ def test_model_sums_to_one_after_every_context():
         assert math.isclose(model.probability(every).sum(), 1, rel_tol=1e-9)
 
 
+class PlainKneserNey:
+    """Interpolated modified Kneser-Ney over classes of bytes, by n-gram in dictionaries."""
+
+    def __init__(self, texts):
+        self.counts = [None, Counter(), Counter(), Counter(), Counter()]
+        for text in texts:
+            classes = [0, 0, 0, *(int(quality.CLASSES[b]) for b in (text or "").encode())]
+            self.counts[4].update(tuple(classes[k : k + 4]) for k in range(len(classes) - 3))
+        for order in (3, 2, 1):
+            # Lower orders count in how many longer n-grams they are the end.
+            self.counts[order] = Counter(gram[1:] for gram in self.counts[order + 1])
+        self.discounts = [None]
+        for order in range(1, 5):
+            n = [0, *(sum(c == k for c in self.counts[order].values()) for k in range(1, 5))]
+            cut = [0.0, 0.5, 0.5, 0.5]
+            if n[1] and n[2]:
+                y = n[1] / (n[1] + 2 * n[2])
+                for k in (1, 2, 3):
+                    if n[k] and n[k + 1]:
+                        cut[k] = min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k - 0.05)
+            self.discounts.append(cut)
+
+    def probability(self, gram):
+        if not gram:
+            return 1 / 63
+        counts, cut = self.counts[len(gram)], self.discounts[len(gram)]
+        after = [c for g, c in counts.items() if g[:-1] == gram[:-1]]
+        lower = self.probability(gram[1:])
+        if not after:
+            return lower
+        given = sum(cut[min(c, 3)] for c in after) / sum(after)
+        c = counts.get(gram, 0)
+        return (c - cut[min(c, 3)] if c else 0.0) / sum(after) + given * lower
+
+
+def packed(gram):
+    out = 0
+    for one in gram:
+        out = out << quality.BITS | one
+    return out
+
+
+def test_model_is_modified_kneser_ney():
+    rng = random.Random(7)
+    texts = ["".join(rng.choices("aab cD1.é\n", k=rng.randrange(0, 60))) for _ in range(25)] + [None, ""]
+    grams, _ = quality._grams(pa.array(texts))
+    model, plain = quality.build_model(*np.unique(grams, return_counts=True)), PlainKneserNey(texts)
+    asked = list(plain.counts[4]) + [tuple(rng.randrange(0, 64) for _ in range(3)) + (rng.randrange(1, 64),) for _ in range(150)]
+    asked += [gram[:3] + (rng.randrange(1, 64),) for gram in list(plain.counts[4])[:100]]
+    found = model.probability(np.array([packed(g) for g in asked], np.uint32))
+    assert np.allclose(found, [plain.probability(g) for g in asked], rtol=1e-9)
+
+
+def test_bands_are_median_and_deviation_by_number_of_words(spark):
+    """Surprise, bands and verdicts of every document, from the plain model and sorted values."""
+    rng = random.Random(12)
+    parts = {"en": ["the", "and", "er", "in"], "de": ["der", "ung", "ein", "sch"]}
+    rows = []
+    for k in range(36):
+        lang = ["en", "de"][k % 2]
+        text = " ".join("".join(rng.choices(parts[lang], k=rng.randrange(1, 4))) for _ in range(rng.randrange(30, 90)))
+        rows.append((k, text.upper() if k in (8, 9) else text, lang))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    found = {r.doc_id: r for r in quality.verdicts(frame).collect()}
+    grams, borders = quality._grams(pa.array([t for _, t, _ in rows]))
+    model, _ = quality.build_model(*np.unique(grams, return_counts=True)), None
+    surprise = {k: -np.log(model.probability(grams[borders[k] : borders[k + 1]])).mean() for k in range(len(rows))}
+    for lang in ("en", "de"):
+        base = [k for k, t, other in rows if other == lang and not features_brute(t)[-1]]
+        assert len(base) > 5
+        middle = np.median([surprise[k] for k in base])
+        unit = 1.4826 * np.median([abs(surprise[k] - middle) * math.sqrt(len(rows[k][1].split())) for k in base])
+        for k in (k for k, _, other in rows if other == lang):
+            assert found[k].surprise == pytest.approx(surprise[k], abs=1e-5)
+            half = max(unit / math.sqrt(len(rows[k][1].split())), quality.LEAST_DEVIATION) * quality.WIDTH
+            half *= 1 + quality.SMALL / math.sqrt(len(base))
+            low, high = middle - half, middle + half
+            assert found[k].low == pytest.approx(low, abs=0.02 * half + 2e-3)
+            assert found[k].high == pytest.approx(high, abs=0.02 * half + 2e-3)
+            near = min(abs(surprise[k] - low), abs(surprise[k] - high)) < 0.02 * half + 2e-3
+            assert near or found[k].kept == (k in base and low <= surprise[k] <= high)
+
+
 def test_model_counts_whole_texts(spark):
     texts = ["ab" * 40_000 + "xyz", None, "", "q"]
     docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
@@ -247,10 +330,55 @@ def test_rates_stay_nonnegative_and_fit(spark):
         [(int(a), *map(float, b)) for a, b in zip(n, p)], "n_tokens bigint, p0 double, p1 double, p2 double"
     )
     targets = np.array([0.7, 0.2, 0.1]) * float(n.sum())
-    rate, _ = mixing.fit_rates(frame, targets)
+    rate, _, totals = mixing.fit_rates(frame, targets)
     got = np.array([r[0] for r in frame.select(rate).collect()])
     assert (got >= 0).all()
-    assert np.allclose((got * n) @ p, targets, rtol=1e-2)
+    assert np.allclose((got * n) @ p, targets, rtol=1e-2) and np.allclose((got * n) @ p, totals)
+
+
+@pytest.mark.parametrize("targets", [(0.6, 0.3, 0.1), (0.05, 0.05, 0.9)])
+def test_rates_miss_no_more_than_least_squares_must(spark, targets):
+    """Against nonnegative least squares one document at a time, also where no rates reach the targets."""
+    rng = np.random.default_rng(9)
+    p = rng.dirichlet([1.5, 1.5, 0.4], 80)
+    p[:, 2] = np.minimum(p[:, 2], 0.5)
+    p /= p.sum(axis=1, keepdims=True)
+    n = rng.integers(1, 300, 80).astype(float)
+    wanted = np.array(targets) * n.sum()
+    frame = spark.createDataFrame(
+        [(int(a), *map(float, b)) for a, b in zip(n, p)], "n_tokens bigint, p0 double, p1 double, p2 double"
+    )
+    _, _, totals = mixing.fit_rates(frame, wanted)
+    white = np.linalg.inv(np.linalg.cholesky((p * n[:, None]).T @ p))
+    a, b = (p * n[:, None]) @ white.T, white @ wanted
+    rate, miss = np.ones(80), a.sum(axis=0) - b
+    for _ in range(1000):
+        for i in range(80):
+            new = max(0.0, rate[i] - a[i] @ miss / (a[i] @ a[i]))
+            miss += (new - rate[i]) * a[i]
+            rate[i] = new
+    # Where the targets are out of reach, steps end once they hardly change the totals.
+    assert np.linalg.norm(white @ (totals - wanted)) <= np.linalg.norm(miss) * 1.06 + 2e-3 * np.linalg.norm(b)
+
+
+def test_copies_follow_the_rates(labelled):
+    docs, labels = labelled
+    rows = mixing.mix_to_targets(docs, labels, domain(), {"good": 0.55, "poor": 0.35, "toxic": 0.1}, "good").collect()
+    part = np.array([r.rate - math.floor(r.rate) for r in rows])
+    off = sum(r.copies for r in rows) - sum(r.rate for r in rows)
+    assert abs(off) <= 4 * math.sqrt((part * (1 - part)).sum()) + 1
+    assert len({r.missed for r in rows}) == 1 and rows[0].missed < 0.01
+    # Nobody has enough of what is not there.
+    none = mixing.mix_to_targets(docs.where("rate = 'good'"), labels, domain(), {"good": 0.5, "poor": 0.5, "toxic": 0.0}, "good")
+    assert none.first().missed > 0.1
+
+
+def test_mixing_columns_may_clash(messy, messy_docs, labelled):
+    _, labels = labelled
+    named = messy_docs.withColumnRenamed("n_chars", "rate").withColumnRenamed("lang", "p_good").withColumn("n_tokens", F.lit("x"))
+    mixed = mixing.mix_to_targets(named, labels, domain(), {"good": 0.9, "poor": 0.1, "toxic": 0.0}, "good")
+    assert mixed.count() == len(messy)
+    assert mixing.take_copies(named, mixed).columns == named.columns
 
 
 def test_mixing_without_labels_or_documents(labelled, no_docs):

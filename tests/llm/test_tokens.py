@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -28,6 +29,15 @@ def test_ids_are_those_of_the_vocabulary(public, messy):
         assert encode(text) == public.encode(text, add_special_tokens=False).ids
 
 
+def test_token_counts_are_those_of_whole_texts(public, messy):
+    rng = random.Random(4)
+    odd = ["<|endoftext|> in <|endoftext|>", " lead", "a  b \n\n c", "it's  ok", "数字 ١٢٣", "", None, "é é", " "]
+    odd += ["".join(rng.choices(" \t\nab.'é漢1", k=rng.randrange(1, 40))) for _ in range(800)]
+    texts = odd + [t for _, t, *_ in messy]
+    expected = [len(public.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    assert tokens.token_counts(pa.array(texts), default_vocabulary()).tolist() == expected
+
+
 @pytest.mark.parametrize(
     "targets", [None, {"a": 0.25, "b": 0.25, "c": 0.25, "": 0.25}, {"a": 0.9, "b": 0.1, "c": 0.0}]
 )
