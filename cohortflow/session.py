@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -88,6 +91,17 @@ def broadcast_if_small(lookup: DataFrame, rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(lookup) if lookup.limit(rows + 1).count() <= rows else lookup
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster where it is not installed.
+
+    Listing files, hashing them, and the operators for training data run Python there.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # Served to executors by the driver, so its own folder will do.
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "cohortflow"), "zip", root, "cohortflow")
+    spark.sparkContext.addPyFile(archive)
+
+
 def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A few fixed rows as a local table, whose size the optimizer knows."""
     names = T.StructType.fromDDL(schema).names
