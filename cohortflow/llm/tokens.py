@@ -86,11 +86,37 @@ def stretches(texts: pa.Array, lead: str = " ") -> tuple[pa.Array, np.ndarray, n
     return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.diff(np.searchsorted(starts, borders))
 
 
+@lru_cache(maxsize=2)
+def id_lengths(path: str) -> np.ndarray:
+    """The number of bytes of each id; 0 for special tokens."""
+    with open(path, encoding="utf-8") as file:
+        stored = json.load(file)
+    specials = {one["content"] for one in stored.get("added_tokens", ())}
+    listed = stored["model"]["vocab"]
+    out = np.zeros(max(listed.values()) + 1, np.int64)
+    for token, number in listed.items():
+        # Each character stands for a byte.
+        out[number] = 0 if token in specials else len(token)
+    return out
+
+
 def token_counts(texts: pa.Array, path: str) -> np.ndarray:
-    """The number of ids of each text; each distinct stretch is encoded once. A missing text has none."""
+    """The number of ids of each text; each distinct stretch is encoded once. A missing text has none.
+
+    Stretches that begin with a blank and end with a visible ASCII character are encoded one after the other as one text, which no id
+    crosses at their borders, and their ids are told apart by their bytes.
+    """
     units, place, per_text = stretches(pc.fill_null(texts, ""), "")
     encode = encoder(path)
-    sizes = np.fromiter((len(encode(one)) for one in units.to_pylist()), np.int64, len(units))
+    plain = pc.match_substring_regex(units, r"^ (?s:.*)[!-~]$").to_numpy(zero_copy_only=False).astype(bool)
+    plain &= ~pc.match_substring(units, "<|").to_numpy(zero_copy_only=False).astype(bool)
+    sizes = np.zeros(len(units), np.int64)
+    sizes[~plain] = [len(encode(one)) for one in units.filter(pa.array(~plain)).to_pylist()]
+    if plain.any():
+        together = pa.concat_arrays([units.filter(pa.array(plain))])
+        ends = np.frombuffer(together.buffers()[1], np.int64)[1 : len(together) + 1]
+        found = np.cumsum(id_lengths(path)[encode(together.buffers()[2].to_pybytes()[: ends[-1]].decode())])
+        sizes[plain] = np.diff(np.searchsorted(found, ends, side="right"), prepend=0)
     ends = np.cumsum(per_text)
     running = np.concatenate([[0], np.cumsum(sizes[place])])
     return running[ends] - running[ends - per_text]
