@@ -43,7 +43,8 @@ def test_pipeline(spark):
             good = {r.doc_id for r in before.select("doc_id").collect() if r.doc_id in labels}
             good = {d for d in good if labels[d].quality == 1 and labels[d].toxic == 0}
             left = {r.doc_id for r in docs.select("doc_id").collect()}
-            assert len(good & left) >= 0.98 * len(good)
+            # Few labels here; test_mixing_keeps_good_documents holds the loss where there are more.
+            assert len(good & left) >= 0.85 * len(good)
         if name == "line_dedup":
             # Documents go only if nothing is left of them.
             gone = before.join(docs, "doc_id", "left_anti")
@@ -52,3 +53,11 @@ def test_pipeline(spark):
     assert start > counts[0] > counts[1] >= counts[2]
     packed = corpus_pipeline.run(spark, SF_DIR)
     assert packed.columns == docs.columns and packed.count() > 0
+
+
+def test_mixing_keeps_good_documents(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    good = QUERIES["op2_mixing"](spark, sf_dir).join(labels, "doc_id").where("quality = 1 and toxic = 0")
+    copies = [r.copies for r in good.select("copies").collect()]
+    assert len(copies) > 250 and sum(c == 0 for c in copies) <= 0.02 * len(copies)
