@@ -28,8 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm.arrays import Words, batch_of, hash_texts, signed, slices
-from cohortflow.llm.frames import map_arrow, with_rows, written
-from cohortflow.llm.quality import CLASSES, _bytes_of
+from cohortflow.llm.frames import few_rows_at_once, map_arrow, with_rows, written
+from cohortflow.llm.quality import CLASSES, GRAM_BYTES, TEXTS_AT_ONCE, _bytes_of
 from cohortflow.llm.tokens import default_vocabulary, token_counts
 
 FIT_ROWS = 10_000
@@ -71,6 +71,16 @@ def _domain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch_of(schema, domain[first].astype(np.int32), signed(word[first]), n)
 
 
+def _byte_class_counts(texts: pa.Array) -> np.ndarray:
+    """A row per document: how many of its bytes are of each class."""
+    out = [np.zeros((0, 64), np.int64)]
+    for batch in slices([pa.RecordBatch.from_arrays([texts], names=["text"])], "text", GRAM_BYTES):
+        data, borders = _bytes_of(batch.column("text"))
+        owner = np.repeat(np.arange(batch.num_rows), np.diff(borders))
+        out.append(np.bincount(owner * 64 + CLASSES[data], minlength=batch.num_rows * 64).reshape(-1, 64))
+    return np.concatenate(out)
+
+
 def _features(texts: pa.Array, chosen: np.ndarray) -> np.ndarray:
     """A row per document: presence of the chosen words, roots of byte class shares, then the shares of
     distinct words and of words equal to the one before, the size, and a constant."""
@@ -81,10 +91,8 @@ def _features(texts: pa.Array, chosen: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(chosen, hashes), len(chosen) - 1)
         hit = np.flatnonzero((chosen[at] == hashes)[words.ids])
         out[words.owner()[hit], at[words.ids[hit]]] = 1
-    data, borders = _bytes_of(texts)
-    owner = np.repeat(np.arange(len(texts)), np.diff(borders))
-    shares = np.bincount(owner * 64 + CLASSES[data], minlength=len(texts) * 64).reshape(-1, 64)
-    out[:, len(chosen) : len(chosen) + 64] = np.sqrt(shares / np.maximum(np.diff(borders), 1)[:, None])
+    shares = _byte_class_counts(texts)
+    out[:, len(chosen) : len(chosen) + 64] = np.sqrt(shares / np.maximum(shares.sum(axis=1), 1)[:, None])
     size, owner = np.maximum(words.counts, 1), words.owner()
     distinct = np.unique(owner * max(len(words.vocabulary), 1) + words.ids) // max(len(words.vocabulary), 1)
     again = (words.ids[1:] == words.ids[:-1]) & (owner[1:] == owner[:-1])
@@ -284,7 +292,8 @@ def mix_to_targets(
     source = docs if labelled is None else labelled
     rows = labelled_rows(source, labels, domain, domains, id_column, text_column, fit_rows)
     model = fit_classifier(rows, domains, anchor)
-    members = written(posteriors(docs, model, id_column, text_column, vocabulary), "posteriors")
+    with few_rows_at_once(docs.sparkSession, 2 * TEXTS_AT_ONCE):
+        members = written(posteriors(docs, model, id_column, text_column, vocabulary), "posteriors")
     at = domains.index(anchor)
     kept = members.agg(F.sum(F.col("n_tokens") * F.col(f"p{at}"))).first()[0] or 0.0
     targets = np.array([weights[one] / weights[anchor] * kept for one in domains])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm.arrays import slices
-from cohortflow.llm.frames import map_arrow, written
+from cohortflow.llm.frames import few_rows_at_once, map_arrow, written
 
 END = 0
 
@@ -162,4 +162,5 @@ def token_table(
         F.col(text_column).alias("text"),
     )
     schema = "doc_id bigint, source string, ids binary, n int, part int, start bigint"
-    return written(map_arrow(picked, _encode, schema, path), "tokens")
+    with few_rows_at_once(docs.sparkSession, 1000):
+        return written(map_arrow(picked, _encode, schema, path), "tokens")

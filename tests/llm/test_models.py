@@ -3,8 +3,10 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -149,6 +151,31 @@ def test_model_counts_whole_texts(spark):
     assert all(np.allclose(a, b) for a, b in zip(model.probs, whole.probs))
 
 
+def test_n_grams_of_a_slice_take_little_memory():
+    """Megabytes of text that come in one batch are not blown up all at once."""
+    rng = random.Random(31)
+    texts = pa.array([" ".join(f"w{rng.randrange(5000)}" for _ in range(300)) for _ in range(4500)])
+    size = sum(len(one.as_py().encode()) for one in texts)
+    assert size > 6 << 20
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    tracemalloc.start()
+    try:
+        counted = list(quality._count([batch]))
+        counting = tracemalloc.get_traced_memory()[1]
+        model = quality.build_model(*(np.concatenate([b.column(k).to_numpy() for b in counted]) for k in range(2)))
+        tracemalloc.reset_peak()
+        described = list(quality._describe([batch], SimpleNamespace(value=model)))
+        describing = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        shares = mixing._features(texts, np.zeros(0, np.uint64))
+        sharing = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(b.column("n").to_numpy().sum() for b in counted) == size
+    assert sum(b.num_rows for b in described) == len(shares) == len(texts)
+    assert counting < 64 << 20 and describing < 96 << 20 and sharing < 96 << 20
+
+
 def test_odd_texts_fall_outside_their_language(spark):
     rng = random.Random(2)
     parts = ["the", "and", "er", "in", "tion", "ou", "st", "re"]
