@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow import fixed_values as V
-from cohortflow.operators.numbering import number_rows
+from cohortflow.operators.numbering import number_rows, spread
 from cohortflow.session import broadcast_if_small, written
 
 # Bits per sample, and samples per packed block.
@@ -158,8 +158,10 @@ def merged_snps(snps: DataFrame) -> DataFrame:
     what that does to calls.
     """
     described = ["chrom", "pos", "genetic_pos", "ref", "alt"]
+    # Descriptions are compared by sorting, and a file of SNPs may be read by one task.
     unique = (
-        snps.groupBy("snp_id")
+        spread(snps.select("snp_id", *described), snps.count(), ["snp_id"])
+        .groupBy("snp_id")
         .agg(F.min(F.struct(*described)).alias("_d"))
         .select("snp_id", *[F.col(f"_d.{name}").alias(name) for name in described])
     )
@@ -178,10 +180,11 @@ def allele_conflicts(snps: DataFrame, snp_list: DataFrame) -> DataFrame:
     same = F.col("ref").eqNullSafe(F.col("_ref")) & F.col("alt").eqNullSafe(F.col("_alt"))
     swapped = F.col("ref").eqNullSafe(F.col("_alt")) & F.col("alt").eqNullSafe(F.col("_ref"))
     return (
-        snps.join(merged, "snp_id")
+        spread(snps, snps.count(), ["snp_id"])
+        .join(merged, "snp_id")
         .filter(~same)
         .groupBy("package_id", "snp_id")
-        .agg(F.min(F.when(swapped, "swap").otherwise("drop")).alias("change"))
+        .agg(F.when(F.bool_and(swapped), "swap").otherwise("drop").alias("change"))
     )
 
 

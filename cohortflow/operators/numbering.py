@@ -15,6 +15,8 @@ GROUP_LIMIT = 2_000_000
 SLICE_ROWS = 2_000_000
 # Most rows that are numbered in one task where there are no keys.
 SINGLE_TASK_ROWS = 20_000
+# Rows that a task sorts or joins where their number sets the number of tasks.
+TASK_ROWS = 1_000_000
 
 # Bits of monotonically_increasing_id() that hold the row position inside a partition.
 _POSITION_BITS = 33
@@ -37,6 +39,12 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return largest or 0, total or 0
 
 
+def spread(df: DataFrame, rows: int, keys: Sequence[str], task_rows: int = TASK_ROWS) -> DataFrame:
+    """The rows dealt by ``keys`` over so many tasks that each gets about ``task_rows`` of the ``rows``."""
+    shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(shuffle_partitions, -(-rows // task_rows)), *keys)
+
+
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortflow.operators import genotypes, packages
+from cohortflow.operators.numbering import spread
 from cohortflow.queries.lab_tables import text
 from cohortflow.queries.registry import query, table
 
@@ -238,8 +239,10 @@ def forge_mixed(spark, sf_dir):
         F.concat(F.lit("N"), F.lpad(text("pos"), 2, "0")).alias("sample_id"),
         "call",
     )
-    # A package has no calls of SNPs that it does not list.
-    genos = genos.join(snps.select("package_id", "snp_id"), ["package_id", "snp_id"], "left_semi")
+    # A package has no calls of SNPs that it does not list. Both sides are dealt by their number of rows, and stay so.
+    line, rows = ["package_id", "snp_id"], genos.count()
+    listed = spread(snps.select(*line), rows, line)
+    genos = spread(genos, rows, line).join(listed.hint("shuffle_merge"), line, "left_semi")
     snps = snps.drop("snp_idx").join(members, "package_id", "left_semi")
     lines, snp_list, _ = genotypes.forge(genos, snps, inds.drop("pos"))
     return lines.join(snp_list, "snp_idx").select("snp_id", "chrom", "snp_idx", "line")

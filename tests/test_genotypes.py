@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortflow.operators import genotypes, packages
+from cohortflow.operators.numbering import spread
 
 
 @pytest.mark.parametrize("block", [1, 4, 32])
@@ -173,3 +174,29 @@ def test_checks(spark):
     }
     assert checks.filter(F.col("package_id") == "good").count() == len(packages.CHECKS)
     assert [r[0] for r in packages.valid_packages(checks).collect()] == ["good"]
+
+
+def test_snps_of_one_file_are_not_sorted_by_the_task_that_reads_them(spark):
+    """Descriptions are compared after the rows are dealt, by their number; allele changes need no sort."""
+    rows = [("A", "r1", "1", 5, 0.0, "A", "G"), ("B", "r1", "1", 5, 0.0, "G", "A"), ("B", "r1", "1", 5, 0.0, "C", "A")]
+    rows += [("B", "r2", "X", 1, 0.0, "G", "A"), ("A", "r2", "X", 1, 0.0, "A", "G"), ("A", "r3", "2", 9, 0.0, "A", None)]
+    snps = spark.createDataFrame(
+        rows, "package_id string, snp_id string, chrom string, pos int, genetic_pos double, ref string, alt string"
+    ).coalesce(1)
+    listed = genotypes.merged_snps(snps)
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("SortAggregate") < plan.rindex("Exchange hashpartitioning(snp_id")
+    assert sorted((r.snp_id, r.ref, r.alt, r.snp_idx) for r in listed.collect()) == [
+        ("r1", "A", "G", 0), ("r2", "A", "G", 2), ("r3", "A", None, 1)
+    ]
+    changes = genotypes.allele_conflicts(snps, listed)
+    # Of two entries for one SNP the change that keeps least counts.
+    assert sorted(tuple(r) for r in changes.collect()) == [("B", "r1", "drop"), ("B", "r2", "swap")]
+
+
+def test_rows_are_dealt_by_their_number(spark):
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(1000)
+    assert spread(rows, 1000, ["id"]).rdd.getNumPartitions() == few
+    dealt = spread(rows, 1000, ["id"], task_rows=20)
+    assert dealt.rdd.getNumPartitions() == 50 and dealt.count() == 1000
