@@ -37,6 +37,11 @@ def of_analysis(df: DataFrame, analysis_type: str) -> DataFrame:
     return df.filter(F.col("analysis_id").isin(*V.PIPELINE_NAMES[analysis_type]))
 
 
+def of_known_pipelines(df: DataFrame) -> DataFrame:
+    """Rows that ``with_analysis_type`` keeps, by a filter that needs no join."""
+    return df.filter(F.col("analysis_id").isin(*[name for names in V.PIPELINE_NAMES.values() for name in names]))
+
+
 def with_analysis_type(df: DataFrame) -> DataFrame:
     """Add the analysis type of each row's pipeline; rows of foreign pipelines go.
 

@@ -18,6 +18,9 @@ SINGLE_TASK_ROWS = 20_000
 # Rows that a task sorts or joins where their number sets the number of tasks.
 TASK_ROWS = 1_000_000
 
+# Bins by which groups are counted where a bound of their sizes is enough.
+SIZE_BINS = 65_536
+
 # Bits of monotonically_increasing_id() that hold the row position inside a partition.
 _POSITION_BITS = 33
 
@@ -39,6 +42,15 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return largest or 0, total or 0
 
 
+def group_bound(df: DataFrame, keys: Sequence[str]) -> int:
+    """A number of rows that no group exceeds: those of the fullest bin, where each group lies in one bin.
+
+    Bins are few and numbered, so this is cheaper than ``group_sizes`` where there are many small groups.
+    """
+    bins = F.pmod(F.xxhash64(*keys), F.lit(SIZE_BINS)).alias("_bin")
+    return df.groupBy(bins).agg(F.count(F.lit(1)).alias("rows")).agg(F.max("rows")).first()[0] or 0
+
+
 def spread(df: DataFrame, rows: int, keys: Sequence[str], task_rows: int = TASK_ROWS) -> DataFrame:
     """The rows dealt by ``keys`` over so many tasks that each gets about ``task_rows`` of the ``rows``."""
     shuffle_partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -70,6 +82,17 @@ def number_rows(
     return _number_sorted(rows, keys, order, name, slices)
 
 
+def number_distinct(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Distinct rows, those of each group numbered 1..n in ``order``; for groups that one task can hold with their copies.
+
+    ``keys`` and ``order`` are all columns, so copies sort next to each other: the sort that numbers the rows also finds them.
+    """
+    window = Window.partitionBy(*keys).orderBy(*order)
+    numbered = df.withColumn(name, F.dense_rank().over(window).cast("long"))
+    before = F.lag(name).over(window)
+    return numbered.withColumn("_before", before).filter(F.col("_before").isNull() | (F.col("_before") < F.col(name))).drop("_before")
+
+
 def _number_sorted(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortflow import fixed_values as V
 from cohortflow.functions import ids
 from cohortflow.operators import lims
-from cohortflow.operators.numbering import GROUP_LIMIT, number_rows
+from cohortflow.operators.numbering import GROUP_LIMIT, number_distinct, number_rows
 
 # Columns that identify a run sheet row; copies made by the analysis table collapse on them.
 SOURCE_COLUMNS = (
@@ -58,12 +58,16 @@ def build_run_sheet(
     rename: bool = False,
     null_main_is_missing: bool = False,
     limit: int = GROUP_LIMIT,
+    largest: int | None = None,
 ) -> DataFrame:
     """Shape cohort rows into run sheet rows, keyed by ``keys``, site and target individual.
 
     Lanes are counted after rows without a result directory are gone. ``rebase`` is an old and a
     new storage prefix. ``rename`` replaces dots in library IDs. A NULL target individual stays
     in the result; ``reject_unnamed`` separates it before writing.
+
+    ``largest`` is a number of rows that no key and target individual exceeds, copies included, where the caller knows one
+    and ``rows`` are cheap to make. Up to ``limit``, nothing is written down before the lanes are counted.
     """
     with_directory = rows.filter(F.col("result_directory").isNotNull()).withColumn(
         "target_ind",
@@ -71,8 +75,11 @@ def build_run_sheet(
             F.col("full_individual_id"), F.col("main_individual_id"), null_main_is_missing
         ),
     )
-    distinct_rows = with_directory.select(*keys, "target_ind", *SOURCE_COLUMNS).distinct()
-    numbered = with_lane(distinct_rows, [*keys, "target_ind"], limit=limit)
+    sources = with_directory.select(*keys, "target_ind", *SOURCE_COLUMNS)
+    if largest is not None and largest <= limit:
+        numbered = number_distinct(sources, [*keys, "target_ind"], LANE_ORDER, "Lane")
+    else:
+        numbered = with_lane(sources.distinct(), [*keys, "target_ind"], limit=limit)
     specified = lims.infer_library_specs(numbered, protocols)
 
     directory = F.col("result_directory")
@@ -161,7 +168,8 @@ def changed_individuals(
 def sheet_digests(sheet: DataFrame, keys: Sequence[str] = V.SHEET_KEYS) -> DataFrame:
     """``keys, digest``: one digest of all rows of each individual, whatever their order."""
     rest = [c for c in sheet.columns if c not in keys]
+    # Rows become digests before they are grouped, so that grouping sorts no whole rows.
     # Missing values and empty text differ, and so do values that meet at other borders.
     row = F.md5(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in rest]), {"ignoreNullFields": "false"}))
-    rows = F.array_sort(F.collect_list(row))
-    return sheet.groupBy(*keys).agg(F.md5(F.array_join(rows, ",")).alias("digest"))
+    rows = F.sort_array(F.collect_list("_row"))
+    return sheet.select(*keys, row.alias("_row")).groupBy(*keys).agg(F.md5(F.array_join(rows, ",")).alias("digest"))

@@ -11,7 +11,7 @@ from cohortflow import __version__
 from cohortflow import fixed_values as V
 from cohortflow.functions import ids, values
 from cohortflow.operators import cohorts, lims, planning, restriction, run_sheets
-from cohortflow.operators.numbering import GROUP_LIMIT
+from cohortflow.operators.numbering import GROUP_LIMIT, group_bound
 from cohortflow.session import written
 from cohortflow.sinks.tables import SITE_LAYOUT, report_empty, write_run_sheets, write_versions
 
@@ -27,13 +27,24 @@ def cohort_rows(
     ``runs`` has ``run_id``, and may name an ``analysis_type`` for each run. What ``keep`` drops is not written down, and
     brings no other individual in.
     """
+    return _flat_and_cohorts(tables, runs, policy, keep)[1]
+
+
+def _flat_and_cohorts(
+    tables: Mapping[str, DataFrame], runs: DataFrame, policy: str, keep: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """The usable flat rows, written down, and those of them that :func:`cohort_rows` returns."""
 
     def usable(flat: DataFrame) -> DataFrame:
         rows = lims.not_excluded(lims.consented(values.enforce_types(flat, lims.FLAGS)))
         return keep(lims.with_analysis_type(rows))
 
+    # Runs are looked up several times; as a small table they need no shuffle of the rows by run.
+    named = [name for name in ("run_id", "analysis_type") if name in runs.columns]
+    runs = written(runs.select(*named).distinct(), "runs")
+    tables = {**tables, "analysis": lims.of_known_pipelines(tables["analysis"])}
     flat = cohorts.flat_of_runs(tables, runs, keep=usable)
-    return cohorts.expand_cohorts(flat, runs, ["analysis_type"], policy=policy, settled=True)
+    return flat, cohorts.expand_cohorts(flat, runs, ["analysis_type"], policy=policy, settled=True)
 
 
 def prepare_run_sheets(
@@ -60,10 +71,14 @@ def prepare_run_sheets(
             return rows
         return restriction.scrub(rows.withColumn("target_ind", target), sensitive, "target_ind").drop("target_ind")
 
-    rows = cohort_rows(tables, runs, policy, unrestricted)
+    flat, rows = _flat_and_cohorts(tables, runs, policy, unrestricted)
     if whitelist is not None:
+        # Settled with the whitelist as it is now.
         rows = run_sheets.whitelisted(rows.withColumn("target_ind", target), whitelist).drop("target_ind")
-    return run_sheets.build_run_sheet(rows, protocols, rebase=rebase, rename=rename, limit=limit)
+        return run_sheets.build_run_sheet(rows, protocols, rebase=rebase, rename=rename, limit=limit)
+    # Each of ``rows`` is one of ``flat``, which is written down already.
+    largest = group_bound(flat.withColumn("target_ind", target), ["analysis_type", "target_ind"])
+    return run_sheets.build_run_sheet(rows, protocols, rebase=rebase, rename=rename, limit=limit, largest=largest)
 
 
 def publish_run_sheets(

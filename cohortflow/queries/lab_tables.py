@@ -71,6 +71,11 @@ LIBRARY_SQL = """CASE WHEN o_orderkey % 9 = 0 THEN 'L' || o_orderkey
     ELSE 'C' || o_custkey || '.A' || o_orderkey || '.' || o_orderkey % 3 END"""
 
 
+def run_id() -> Column:
+    """Year and month of the order, as six digits."""
+    return F.lpad(text(F.year("o_orderdate") * 100 + F.month("o_orderdate")), 6, "0")
+
+
 def lab_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     orders = table(spark, sf_dir, "orders")
     lineitem = table(spark, sf_dir, "lineitem")
@@ -83,7 +88,7 @@ def lab_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         order.alias("capture"),
         (order % 6).cast("int").alias("batch"),
         F.concat(F.lit("S"), text(order)).alias("sequencing_id"),
-        F.date_format("o_orderdate", "yyyyMM").alias("run_id"),
+        run_id().alias("run_id"),
         F.concat(library_id(), F.lit(".S"), text(order)).alias("full_sequencing_id"),
         F.when(status == "F", "yes").when(status == "O", "no").alias("single_stranded"),
         F.when(order % 17 == 0, None).otherwise(order % 19 == 0).alias("exclude"),
@@ -173,11 +178,9 @@ def kept_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of the last calendar year in the data: the runs to prepare."""
-    runs = table(spark, sf_dir, "orders").select(
-        F.date_format("o_orderdate", "yyyyMM").alias("run_id")
-    )
-    year = runs.agg(F.max(F.substring("run_id", 1, 4))).scalar()
-    return runs.filter(F.substring("run_id", 1, 4) == year).distinct()
+    orders = table(spark, sf_dir, "orders")
+    year = orders.agg(F.year(F.max("o_orderdate"))).scalar()
+    return orders.filter(F.year("o_orderdate") == year).select(run_id().alias("run_id")).distinct()
 
 
 RUNS_SQL = """

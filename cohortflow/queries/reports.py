@@ -102,10 +102,17 @@ def _numbered_sheet(spark, sf_dir):
     )
 
 
+_CHANGES = "target_ind LIKE '%1' OR target_ind LIKE '9%7' OR target_ind LIKE '9%23'"
+
+
 def _changed(sheet):
-    return sheet.filter("target_ind LIKE '%1' OR target_ind LIKE '9%7' OR target_ind LIKE '9%23'").withColumn(
-        "Organism", F.concat(F.lit("new "), "Organism")
-    )
+    return sheet.filter(_CHANGES).withColumn("Organism", F.concat(F.lit("new "), "Organism"))
+
+
+def _again(sheet):
+    """All sheets, those of ``_changed`` as they are there."""
+    new = F.when(F.expr(_CHANGES), F.concat(F.lit("new "), "Organism")).otherwise(F.col("Organism"))
+    return sheet.withColumn("Organism", new)
 
 
 @query("rt_run_sheet_update", _UPDATED_SQL)
@@ -124,12 +131,8 @@ def rt_run_sheet_only_changed(spark, sf_dir):
     path = scratch_path(spark, "sheets")
     sheet = _numbered_sheet(spark, sf_dir)
     sink.write_run_sheets(sheet, path, layout=sink.SITE_LAYOUT)
-    changed = _changed(sheet)
-    both = sheet.join(changed.select("analysis_type", "target_ind").distinct(), ["analysis_type", "target_ind"], "left_anti")
     previous = tables.read_run_sheets(spark, path, sink.SITE_LAYOUT)
-    sink.write_run_sheets(
-        both.select(*sheet.columns).unionByName(changed), path, previous, only_changed=True, layout=sink.SITE_LAYOUT
-    )
+    sink.write_run_sheets(_again(sheet), path, previous, only_changed=True, layout=sink.SITE_LAYOUT)
     return tables.read_run_sheets(spark, path, sink.SITE_LAYOUT)
 
 
@@ -139,11 +142,8 @@ def rt_run_sheet_digests(spark, sf_dir):
     path, digests = scratch_path(spark, "sheets"), scratch_path(spark, "digests")
     sheet = _numbered_sheet(spark, sf_dir)
     sink.write_run_sheets(sheet, path, layout=sink.SITE_LAYOUT, digests=digests)
-    changed = _changed(sheet)
-    both = sheet.join(changed.select("analysis_type", "target_ind").distinct(), ["analysis_type", "target_ind"], "left_anti")
-    again = both.select(*sheet.columns).unionByName(changed)
     for _ in range(2):
-        sink.write_run_sheets(again, path, only_changed=True, layout=sink.SITE_LAYOUT, digests=digests)
+        sink.write_run_sheets(_again(sheet), path, only_changed=True, layout=sink.SITE_LAYOUT, digests=digests)
         sink.merge_digests(spark, digests)
     return tables.read_run_sheets(spark, path, sink.SITE_LAYOUT)
 

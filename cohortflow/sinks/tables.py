@@ -11,7 +11,7 @@ from cohortflow import __version__
 from cohortflow import fixed_values as V
 from cohortflow.functions import ids, values
 from cohortflow.operators import run_sheets
-from cohortflow.session import written
+from cohortflow.session import broadcast_if_small, written
 from cohortflow.sinks import commits
 from cohortflow.sources.results import path_exists
 from cohortflow.sources.tables import check_format, read_run_sheets
@@ -61,9 +61,10 @@ def write_run_sheets(
         stored = read_digests(spark, digests)
         if only_changed:
             fresh = written(fresh.join(stored, [*keys, "digest"], "left_anti"), "changed")
-            named = named.join(fresh.select(*keys), keys, "left_semi").select(*columns)
             if fresh.isEmpty():
                 return unnamed
+            # Few of many sheets change as a rule; then the others are not shuffled to find these.
+            named = named.join(broadcast_if_small(fresh.select(*keys)), keys, "left_semi").select(*columns)
     elif only_changed:
         if previous is None:
             raise ValueError("only_changed needs the previous sheets or their digests")
@@ -75,8 +76,9 @@ def write_run_sheets(
         if previous is not None:
             # The new rows are read twice from here on, and the old ones lie where they are replaced.
             named = written(named, "sheets")
-            sites = named.select(*layout).distinct()
-            individuals = named.select(*keys).distinct()
+            # A shuffle of the old rows by their few sites would put them into a few tasks.
+            sites = broadcast_if_small(named.select(*layout).distinct())
+            individuals = broadcast_if_small(named.select(*keys).distinct())
             inside = run_sheets.matching(previous.select(*columns), sites, layout, "left_semi")
             carried = run_sheets.matching(inside, individuals, keys, "left_anti")
             named = named.unionByName(written(carried, "carried"))

@@ -240,6 +240,25 @@ def test_unchanged_sheets_are_known_by_their_digest(spark, tmp_path, monkeypatch
     assert {str(p) for p in (tmp_path / "sheets").rglob("*.csv")} == after
 
 
+def test_few_changed_sheets_are_found_without_a_shuffle_of_the_others(spark, tmp_path, monkeypatch):
+    path, digests = str(tmp_path / "sheets"), str(tmp_path / "digests")
+    sink.write_run_sheets(sheet(spark, "ABC001", "ABC002", "DEF001"), path, layout=sink.SITE_LAYOUT, digests=digests)
+    sent = []
+
+    def counted(lookup):
+        sent.append({tuple(row) for row in lookup.collect()})
+        return broadcast_if_small(lookup)
+
+    monkeypatch.setattr(sink, "broadcast_if_small", counted)
+    again = sheet(spark, "ABC001", "DEF001").unionByName(sheet(spark, "ABC002", organism="dog"))
+    sink.write_run_sheets(again, path, only_changed=True, layout=sink.SITE_LAYOUT, digests=digests)
+    assert sent == [{("TF", "ABC", "ABC002")}, {("TF", "ABC")}, {("TF", "ABC", "ABC002")}]
+    back = tables.read_run_sheets(spark, path, sink.SITE_LAYOUT)
+    assert sorted((r.target_ind, r.Lane, r.Organism) for r in back.collect()) == [
+        (i, lane, "dog" if i == "ABC002" else "human") for i in ("ABC001", "ABC002", "DEF001") for lane in (1, 2)
+    ]
+
+
 def test_listing_sees_every_file(spark, tmp_path):
     expected = {}
     for k in range(60):

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cohortflow.operators.numbering import first_by_digest, number_rows
+from cohortflow.operators.numbering import first_by_digest, group_bound, group_sizes, number_rows
 
 
 @pytest.fixture(scope="module")
@@ -73,3 +73,11 @@ def test_first_by_digest(spark, n, bucket_rows):
     expected = {(key, i) for key, ids in groups.items() for _, i in sorted(ids)[:n]}
     found = [(r.key, r.id) for r in taken.collect()]
     assert len(found) == len(expected) and set(found) == expected
+
+
+def test_no_group_exceeds_its_bound(spark):
+    rows = [(k % 7 or None, "x" if k % 3 else None) for k in range(500)]
+    df = spark.createDataFrame(rows, "a long, b string")
+    largest, total = group_sizes(df, ["a", "b"])
+    assert largest <= group_bound(df, ["a", "b"]) <= total
+    assert group_bound(df.limit(0), ["a"]) == 0

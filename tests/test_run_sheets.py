@@ -1,11 +1,14 @@
 """Consent, cohorts and run sheets on a small lab."""
 
+import hashlib
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortflow.functions import ids, values
-from cohortflow.operators import cohorts, lims, run_sheets
+from cohortflow.operators import cohorts, lims, numbering, run_sheets
 from cohortflow.plans import prepare
 
 # individual, main, consent, library, protocol, pipeline, directory, sequencing, run, single, exclude
@@ -288,3 +291,42 @@ def test_readable_ids(spark):
     found = lims.resolve_ids(df, {"site": (names, "key", "name"), "lab": (names, "key", "name")})
     assert found.columns == ["id", "site", "lab"]
     assert {tuple(r) for r in found.collect()} == {(1, "seven", "eight"), (2, None, None)}
+
+
+def test_lanes_are_counted_without_writing_rows_down_unless_a_sheet_is_large(spark, monkeypatch):
+    tables = frames(spark)
+    tables["analysis"] = tables["analysis"].unionByName(tables["analysis"])
+
+    def made(**options):
+        sheet = prepare.prepare_run_sheets(tables, runs(spark, "R1", "R4"), protocols(spark), **options)
+        return Counter(tuple(row) for row in sheet.collect())
+
+    sliced = made(limit=0)
+    assert set(sliced.values()) == {1}
+
+    def unwanted(*args, **options):
+        raise AssertionError("rows were written down")
+
+    monkeypatch.setattr(numbering, "written", unwanted)
+    assert made() == sliced
+    # The biggest sheet has more rows than that, so the rows are settled again.
+    with pytest.raises(AssertionError, match="written down"):
+        made(limit=1)
+
+
+def test_foreign_pipelines_are_known_without_a_join(spark):
+    flat = lims.lims_flat(frames(spark))
+    typed = lims.with_analysis_type(flat).select(*flat.columns)
+    assert Counter(map(tuple, lims.of_known_pipelines(flat).collect())) == Counter(map(tuple, typed.collect()))
+
+
+def test_digest_of_a_sheet(spark):
+    rows = [("TF", "A", "A1", "x", 2), ("TF", "A", "A1", None, 1), ("TF", "A", "A1", "x", 2), ("TF", None, "9", "", None)]
+    sheet = spark.createDataFrame(rows, "analysis_type string, site_id string, target_ind string, a string, Lane long")
+
+    def md5(text):
+        return hashlib.md5(text.encode()).hexdigest()
+
+    first = sorted(md5(text) for text in ('{"a":"x","Lane":"2"}', '{"a":null,"Lane":"1"}', '{"a":"x","Lane":"2"}'))
+    expected = {("A1", md5(",".join(first))), ("9", md5(md5('{"a":"","Lane":null}')))}
+    assert {(r.target_ind, r.digest) for r in run_sheets.sheet_digests(sheet).collect()} == expected
